@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
 from .mixing import MIX_SQL, mix
+from .rules import RULES_SQL, quality_rules
 from .simhash import simhash_dedup
 
 
@@ -19,6 +20,12 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
@@ -29,12 +36,14 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
+    "op4_quality_rules": op4_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mix": MIX_SQL,
+    "op4_quality_rules": RULES_SQL,
     "op9_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
