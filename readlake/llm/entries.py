@@ -11,6 +11,7 @@ from .mixing import MIX_SQL, mix
 from .packing import pack
 from .rules import RULES_SQL, quality_rules
 from .simhash import simhash_dedup
+from .superkmer import dedup_word_windows
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +32,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_dedup_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_word_windows(_documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
@@ -43,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_pack": op2_pack,
     "op4_quality_rules": op4_quality_rules,
+    "op7_dedup_word_windows": op7_dedup_word_windows,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
