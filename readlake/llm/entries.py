@@ -11,6 +11,7 @@ from .mixing import MIX_SQL, mix
 from .packing import pack
 from .rules import RULES_SQL, quality_rules
 from .simhash import simhash_dedup
+from .suffix_dedup import dedup_substrings
 from .superkmer import dedup_word_windows
 
 
@@ -26,6 +27,10 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir))
 
 
+def op3_dedup_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(_documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -47,6 +52,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_pack": op2_pack,
+    "op3_dedup_substrings": op3_dedup_substrings,
     "op4_quality_rules": op4_quality_rules,
     "op7_dedup_word_windows": op7_dedup_word_windows,
     "op9_exact_dedup": op9_exact_dedup,
