@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .classifier import classify_quality
 from .exact_dedup import exact_dedup
 from .mixing import MIX_SQL, mix
 from .packing import pack
@@ -37,6 +38,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_dedup_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_word_windows(_documents(spark, sf_dir))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
     "op3_dedup_substrings": op3_dedup_substrings,
     "op4_quality_rules": op4_quality_rules,
+    "op6_classify_quality": op6_classify_quality,
     "op7_dedup_word_windows": op7_dedup_word_windows,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_simhash_dedup": op10_simhash_dedup,
