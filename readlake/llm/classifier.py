@@ -8,11 +8,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_or_empty
+from .common import text_or_empty
 
 #: Features of a text, in the order of the model's columns.
 FEATURES = (
@@ -162,18 +162,43 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def features_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, x): the features of every row, in one pass over whole texts."""
+def _matrix(texts: pd.Series) -> np.ndarray:
+    return np.array([text_features(t or "") for t in texts], float).reshape(len(texts), len(FEATURES))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat = [v for t in batch.column("text") for v in text_features(t.as_py())]
-            offsets = pa.array(np.arange(0, len(flat) + 1, len(FEATURES), dtype=np.int32))
-            x = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), x], ["id", "x"])
 
-    src = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, x array<double>")
+def fit_quality(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_labelled: int = 20_000
+) -> Gam:
+    """Learn from at most `most_labelled` labelled rows that are not held out, those with the least hash of their id.
+
+    The ids are chosen from the labels alone and sent to the texts (their number is bounded); only features come back.
+    """
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1) and id is not null")
+    known = known.where(~held_out("id")).withColumn("h", F.xxhash64("id")).orderBy("h", "id", "y").limit(most_labelled).select("id", "y")
+    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).join(F.broadcast(known), "id")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"id": b["id"], "y": b["y"], "x": list(_matrix(b["text"]))})
+
+    schema = f"id {texts.schema['id'].dataType.simpleString()}, y int, x array<double>"
+    sample = texts.mapInPandas(run, schema).toPandas()
+    if not len(sample):
+        return Gam(0.0, [], [])
+    # the same rows in the same order, however Spark dealt them out
+    sample = sample.assign(key=[tuple(v) for v in sample["x"]]).sort_values(["id", "y", "key"])
+    x, y = np.array(sample["x"].tolist(), float), sample["y"].to_numpy(float)
+    return fit_gam(x, y) if 0 < y.mean() < 1 else Gam(float(np.log(999)) * (1 if y.mean() else -1), [], [])
+
+
+def score_column(model: Gam, text: Column) -> Column:
+    """The model's score of a text, a batch at a time."""
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(_matrix(texts)))
+
+    return score(text)
 
 
 def classify_quality(
@@ -187,30 +212,15 @@ def classify_quality(
 ) -> DataFrame:
     """One row per document: `id_col`, held_out, score (0 to 1, higher: label 1 likelier), predicted.
 
-    The model learns from at most `most_labelled` labelled rows that are not held out, those with the least hash of
-    their id, and from features of the text alone. It is a sum of lookup tables, so scoring is a binning and an
-    addition for each feature and pair.
+    The model is fitted by fit_quality() to features of texts alone. It is a sum of lookup tables, so scoring is a
+    binning and an addition for each feature and pair, in one pass over whole texts without a shuffle.
 
     Null or empty texts have all features zero and are scored like any text. Rows without a label only get a score;
-    null labels teach nothing; an id labelled twice counts each time. With labels of one kind or none, every score is
-    the clipped share of label 1 (0.5 without labels). Rows that repeat an id stay apart. An empty table gives none.
+    null labels teach nothing; an id labelled twice counts each time. With labels of one kind, every score is the share
+    of label 1, clipped; without labels it is 0.5. Rows that repeat an id stay apart. An empty table gives none.
     """
-    x = cut(features_table(docs, id_col, text_col))
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
-    known = x.join(known, "id").where(~held_out("id"))
-    sample = known.withColumn("h", F.xxhash64("id")).orderBy("h", "id", "y").limit(most_labelled).select("x", "y").toPandas()
-    if len(sample):
-        xs, ys = np.array(sample["x"].tolist(), float), sample["y"].to_numpy(float)
-        model = fit_gam(xs, ys) if 0 < ys.mean() < 1 else Gam(float(np.log(999)) * (1 if ys.mean() else -1), [], [])
-    else:
-        model = Gam(0.0, [], [])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column("x").flatten().to_numpy().reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(model.score(rows))], ["id", "score"])
-
-    scored = x.mapInArrow(run, f"id {x.schema['id'].dataType.simpleString()}, score double")
+    model = fit_quality(docs, labels, id_col, text_col, label_col, most_labelled)
+    scored = docs.select(F.col(id_col).alias("id"), score_column(model, text_or_empty(text_col)).alias("score"))
     return scored.select(
         F.col("id").alias(id_col), held_out("id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
