@@ -10,6 +10,7 @@ from .classifier import classify_quality
 from .exact_dedup import exact_dedup
 from .mixing import MIX_SQL, mix
 from .packing import pack
+from .pii import pseudonymise_documents
 from .rules import RULES_SQL, quality_rules
 from .simhash import simhash_dedup
 from .suffix_dedup import dedup_substrings
@@ -38,6 +39,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise_documents(_documents(spark, sf_dir))
+
+
 def op6_classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
     "op3_dedup_substrings": op3_dedup_substrings,
     "op4_quality_rules": op4_quality_rules,
+    "op5_pseudonyms": op5_pseudonyms,
     "op6_classify_quality": op6_classify_quality,
     "op7_dedup_word_windows": op7_dedup_word_windows,
     "op9_exact_dedup": op9_exact_dedup,
