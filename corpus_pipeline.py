@@ -1,16 +1,29 @@
-"""A training-data pipeline over `documents`, built from the operators in readlake.llm."""
+"""A training-data pipeline over `documents`, built from the operators in readlake.llm.
+
+Each stage works on all that its predecessor kept. Texts and ids may be null, texts empty or very long; ids are taken to
+be unique, as in `documents`. Where rows repeat an id, rows of that id that reach one stage's decision share it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readlake.llm.classifier import fit_quality, score_column
+from readlake.llm.common import text_or_empty
 from readlake.llm.exact_dedup import exact_dedup
+from readlake.llm.mixing import apply_mix, mix
+from readlake.llm.packing import pack
+from readlake.llm.simhash import simhash_dedup
 
-STAGES: list = []
+#: Documents that score below this go.
+THRESHOLD = 0.7
 
-#: No SQL can express the classifier and the fingerprints; tests hold the stages against brute force.
-ORACLE_SQL = None
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts, with all their columns."""
+    model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.where(score_column(model, text_or_empty("text")) >= THRESHOLD)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,6 +33,36 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.select(*[F.col("carry").getField(c).alias(c) for c in names])
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id, with all its columns."""
+    groups = simhash_dedup(docs)
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay"))
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as the mix takes them: `text` holds the words taken, repeats included, and n_chars their length."""
+    mixed = apply_mix(docs, mix(docs))
+    return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else mixed
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece, with its sequence and its place there."""
+    return pack(docs)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("exact dedup", exact),
+    ("SimHash near-dedup", near),
+    ("mixing sources to target weights", mixing),
+    ("best-fit packing", packing),
+]
+
+#: No SQL can express the classifier, the fingerprints or the ids; tests hold the stages against brute force.
+ORACLE_SQL = None
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
