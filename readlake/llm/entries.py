@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .classifier import classify_quality
 from .exact_dedup import exact_dedup
 from .mixing import MIX_SQL, mix
+from .order import training_order
 from .packing import pack
 from .pii import pseudonymise_documents
 from .rules import RULES_SQL, quality_rules
@@ -51,6 +52,10 @@ def op7_dedup_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_word_windows(_documents(spark, sf_dir))
 
 
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order(_documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pseudonyms": op5_pseudonyms,
     "op6_classify_quality": op6_classify_quality,
     "op7_dedup_word_windows": op7_dedup_word_windows,
+    "op8_training_order": op8_training_order,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
