@@ -1,0 +1,274 @@
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+
+from readlake.llm import entries, packing, suffix_dedup
+from readlake.llm.classifier import classify_quality, crc_remainder
+from readlake.llm.exact_dedup import exact_dedup
+from readlake.llm.mixing import apply_mix, mix
+from readlake.llm.order import slots, training_order
+from readlake.llm.packing import pack
+from readlake.llm.pii import luhn_digit, permute, pseudonymise, pseudonymise_documents
+from readlake.llm.repeats import find_repeats
+from readlake.llm.rules import quality_rules
+from readlake.llm.simhash import fingerprint, simhash_dedup
+from readlake.llm.suffix_dedup import dedup_substrings
+from readlake.llm.superkmer import WordWindows, dedup_word_windows
+from readlake.llm.tokens import cut_points, encoder
+
+from .helpers import ODD, frame, prose, words
+
+ALL = [
+    exact_dedup, simhash_dedup, mix, pack, quality_rules, pseudonymise_documents, dedup_word_windows, dedup_substrings, training_order,
+]
+
+
+@pytest.mark.parametrize("op", ALL, ids=lambda f: f.__name__)
+def test_odd_rows_and_empty_tables(spark, op):
+    out = op(frame(spark, ODD)).collect()
+    assert Counter(r["doc_id"] for r in out) == Counter(i for i, _ in ODD) or op is pack
+    assert op(frame(spark, ODD).limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("name", sorted(entries.ORACLES))
+def test_against_sql(spark, sf, name):
+    got = entries.QUERIES[name](spark, sf).toPandas()
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{sf}/documents.parquet'")
+    want = con.sql(entries.ORACLES[name]).df()
+    order = sorted(want.columns)
+    assert sorted(got.columns) == order
+    a, b = (x[order].sort_values("doc_id").reset_index(drop=True) for x in (got, want))
+    assert (a == b).all().all()
+
+
+def test_exact_dedup_over_partition_edges(spark):
+    rows = [(i, "the same text") for i in range(500)] + [(1000 + i, f"other {i % 7}") for i in range(70)] + [(i, "the same text") for i in range(3)]
+    out = exact_dedup(frame(spark, rows).repartition(7)).collect()
+    kept = [r for r in out if r["kept"]]
+    assert len(kept) == 8 and len(out) == len(rows)
+    assert {(r["keep_id"], r["group_size"]) for r in out if r["doc_id"] < 500} == {(499, 503)}
+    assert all(r["doc_id"] == r["keep_id"] for r in kept)
+
+
+def test_mix_meets_targets_and_reruns(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    a, b = mix(docs).toPandas(), mix(docs.repartition(5)).toPandas()
+    cols = ["doc_id", "size", "target", "taken"]
+    assert a[cols].sort_values("doc_id").values.tolist() == b[cols].sort_values("doc_id").values.tolist()
+    g = a.groupby("mix_source").agg({"size": "sum", "target": "first", "taken": "sum"})
+    assert ((g.taken - g.target).abs() <= 0.01 * g.target + 8).all()
+    assert (a.taken <= 2 * a["size"]).all() and (g.target <= 2 * g["size"] + 1e-6).all()
+    assert abs(g.target.sum() - 1.5 * g["size"].sum()) < 1e-3
+    taken = {r["doc_id"]: len(words(r["text"])) for r in apply_mix(docs, mix(docs)).collect()}
+    assert taken == {i: t for i, t in zip(a.doc_id, a.taken) if t}
+
+
+def test_mix_of_a_hot_source_uses_many_shards(spark):
+    rows = [(i, prose(i, 40), "hot" if i % 3 else None) for i in range(90)]
+    out = mix(frame(spark, rows), shard_words=300).toPandas()
+    g = out.fillna({"mix_source": "-"}).groupby("mix_source").agg({"size": "sum", "target": "first", "taken": "sum"})
+    assert ((g.taken - g.target).abs() <= 0.02 * g.target).all()
+
+
+def test_pack_round_trip(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = pack(docs).toPandas()
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    for i, text in docs.select("doc_id", "text").collect():
+        ids = np.array([*tok.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        own = out[out.doc_id == i].sort_values("piece")
+        want = [(s, n, zlib.crc32(ids[s : s + n].tobytes())) for s, n in cut_points(len(ids), 1024)]
+        assert want == list(zip(own.start, own.length, own.ids_crc32))
+    for _, g in out.sort_values("offset").groupby("sequence_id"):
+        assert g.offset.tolist() == [0, *np.cumsum(g.length)[:-1].tolist()] and g.length.sum() <= 1024
+    assert out.sequence_id.nunique() <= 1.03 * out.length.sum() / 1024 + 1
+
+
+def test_plan_is_best_fit(spark):
+    rnd = np.random.default_rng(5)
+    for _ in range(50):
+        counts = {int(k): int(rnd.integers(1, 40)) for k in rnd.integers(1, 65, 12)}
+        plan = packing.plan_best_fit(counts, 64)
+        fill, open_, slow = defaultdict(int), [], 0
+        for length, _, n, first, per, offset in plan:
+            for r in range(n):
+                s, at = first + r // per, offset + r % per * length
+                assert fill[s] == at
+                fill[s] += length
+                assert fill[s] <= 64
+        assert Counter() + Counter({k: sum(p[2] for p in plan if p[0] == k) for k in counts}) == Counter(counts)
+        for length in sorted(counts, reverse=True):
+            for _ in range(counts[length]):
+                fits = [i for i, room in enumerate(open_) if room >= length]
+                if fits:
+                    open_[min(fits, key=lambda i: open_[i])] -= length
+                else:
+                    open_.append(64 - length)
+        assert len(fill) == len(open_)
+
+
+def test_tokens_equal_the_library(spark):
+    enc = encoder()
+    for t in ["a\x1cb !\x1f?", "it's  l'aime\n\n x", "日本語 text…  “q”", " x y  ", "tab\there ", "", "<|endoftext|> x", "ñ'S don't"]:
+        assert np.frombuffer(enc.ids(t), "<u4").tolist() == enc.exact.encode(t, add_special_tokens=False).ids
+
+
+def _brute(texts, window, cut):
+    units = [cut(t) for t in texts]
+    seen = Counter(tuple(u[i : i + window]) for u in units for i in range(len(u) - window + 1))
+    drops = []
+    for u in units:
+        gone = [False] * len(u)
+        for i in range(len(u) - window + 1):
+            if seen[tuple(u[i : i + window])] > 1:
+                gone[i : i + window] = [True] * window
+        drops.append(gone)
+    return units, drops
+
+
+REPEATS = (
+    [(i, prose(i, 60) + " " + prose(99, 50) + " " + prose(i + 50, 60)) for i in range(6)]
+    + [(10 + i, prose(7, 120)) for i in range(4)]
+    + [(20, "la " * 90), (21, prose(3, 30) + " ha" * 80), (22, prose(99, 34)), (23, None), (24, ""), (25, prose(1, 4000, 3))]
+    + [(30, prose(77, 80)), (30, prose(77, 80)), (30, prose(78, 80))]
+)
+
+
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_word_windows_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr("readlake.llm.superkmer.find_repeats", lambda d, s, g, m: find_repeats(d, s, g, m, hot))
+    out = dedup_word_windows(frame(spark, REPEATS)).collect()
+    units, drops = _brute([t for _, t in REPEATS], 35, words)
+    want = Counter(
+        (i, len(u), sum(d), hashlib.sha256(b" ".join(x for x, y in zip(u, d) if not y)).hexdigest()) for (i, _), u, d in zip(REPEATS, units, drops)
+    )
+    assert Counter(map(tuple, out)) == want
+    assert sum(sum(d) for d in drops) > 500
+
+
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_byte_windows_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr("readlake.llm.suffix_dedup.find_repeats", lambda d, s, g, m: find_repeats(d, s, g, m, hot))
+    out = dedup_substrings(frame(spark, REPEATS)).collect()
+    units, drops = _brute([t for _, t in REPEATS], 200, lambda t: (t or "").encode())
+    want = Counter()
+    for (i, _), u, d in zip(REPEATS, units, drops):
+        spans = sum(1 for a, b in zip([False, *d], d) if b and not a)
+        want[(i, len(u), sum(d), spans, hashlib.sha256(bytes(x for x, y in zip(u, d) if not y)).hexdigest())] += 1
+    assert Counter(map(tuple, out)) == want
+
+
+def test_deep_shallow_sort():
+    rnd = np.random.default_rng(2)
+    for _ in range(200):
+        strings = [bytes(rnd.integers(97, 99, rnd.integers(0, 40)).astype(np.uint8)) for _ in range(rnd.integers(1, 50))]
+        order = suffix_dedup.deep_shallow_sort(strings, 0, int(rnd.choice([0, 8, 16])))
+        assert sorted(order) == list(range(len(strings))) and [strings[i] for i in order] == sorted(strings)
+
+
+def test_simhash_against_brute_force(spark):
+    base = prose(1, 300)
+    rows = [(i, base.replace(f"w{i}", "changed", 1)) for i in range(20)] + [(100 + i, prose(i + 5, 200)) for i in range(40)]
+    rows += [(200, base), (201, base.upper()), (202, None), (203, " "), (204, "a b"), (205, "A B")]
+    out = {r["doc_id"]: r for r in simhash_dedup(frame(spark, rows)).collect()}
+    prints = {i: fingerprint(t or "") for i, t in rows}
+    root = {i: i for i in prints}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in prints:
+        for j in prints:
+            if (prints[i] ^ prints[j]).bit_count() <= 4:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    assert {i: r["component_id"] for i, r in out.items()} == {i: find(i) for i in prints}
+    assert {i: int(r["fingerprint"], 16) for i, r in out.items()} == prints
+    assert out[201]["component_id"] == 0 and out[203]["component_id"] == 202
+
+
+def test_fingerprint_is_a_majority_of_shingle_hashes(spark):
+    text = "A b c d e f g h"
+    shingles = [" ".join(text.lower().split()[i : i + 4]) for i in range(5)]
+    hashes = [r[0] % 2**64 for r in spark.createDataFrame([(s,) for s in shingles], "s string").selectExpr("xxhash64(s)").collect()]
+    want = sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes))
+    assert fingerprint(text) == want
+
+
+def test_rules_keep_clean_and_reject_junk(spark):
+    clean = "\n".join("The cat and the dog of this house went to the river in May. " + prose(i, 8).replace("w", "ab") for i in range(12))
+    rows = [(1, clean), (2, " ".join(f"x{i}%%%" for i in range(99))), (3, " ".join(f"WORD{i}!!" for i in range(99))), (4, "again " * 99), (5, "short text")]
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules(frame(spark, rows)).collect()}
+    assert kept == {1: True, 2: False, 3: False, 4: False, 5: False}
+
+
+def test_classifier_held_out_accuracy(spark, sf):
+    sf = sf.replace("sf0.001", "sf0.01")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    a = classify_quality(docs, labels).toPandas().merge(labels.toPandas(), on="doc_id")
+    assert (a.held_out == a.doc_id.map(lambda i: crc_remainder(i) == 2)).all()
+    own = a[a.held_out]
+    assert (own.predicted == own.quality).mean() > 0.95
+    # labels of held-out rows do not matter
+    turned = labels.selectExpr("doc_id", "if(crc32(cast(cast(doc_id as string) as binary)) % 4 = 2, 1 - quality, quality) as quality")
+    b = classify_quality(docs, turned).toPandas()
+    assert a.set_index("doc_id").score.round(9).to_dict() == {i: s for i, s in b.set_index("doc_id").score.round(9).items() if i in set(a.doc_id)}
+
+
+def test_classifier_of_odd_rows(spark):
+    labels = spark.createDataFrame([(1, 1), (2, None), (4, 0), (5, 1), (None, 1)], "doc_id long, quality int")
+    out = classify_quality(frame(spark, ODD), labels).collect()
+    assert len(out) == len(ODD) and all(0 <= r["score"] <= 1 for r in out)
+    none = classify_quality(frame(spark, ODD), labels.limit(0)).collect()
+    assert {r["score"] for r in none} == {0.5}
+    assert classify_quality(frame(spark, ODD).limit(0), labels).collect() == []
+
+
+def test_pseudonyms_stay_valid_linked_and_in_format():
+    text = "mail jo.doe@ex.org, 4111 1111 1111 1111 or +1 (212) 555-0123 from 10.0.0.1. Born 1987-03-12, i.e. 12.03.1987; DE89 3704 0044 0532 0130 00"
+    new, counts = pseudonymise(text)
+    assert counts == {"email": 1, "card": 1, "phone": 1, "ip": 1, "date": 2, "iban": 1}
+    assert len(new) >= len(text) - 12 and not any(x in new for x in ("jo.doe", "4111", "212", "10.0.0.1", "1987"))
+    card = new.split(", ")[1].split(" or ")[0].replace(" ", "")
+    assert luhn_digit(card[:-1]) == card[-1]
+    y, m, d = new.split("Born ")[1][:10].split("-")
+    assert f"{d}.{m}.{y}" in new
+    assert pseudonymise("again jo.doe@ex.org")[0].split()[1] in new
+    clean = "Version 4111 1111 1111 1112, 300.1.1.1, 2020-13-45, page 12 of 1999 and 12/45/1999"
+    assert pseudonymise(clean) == (clean, {})
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 100, 1000])
+def test_permutations(n):
+    assert sorted(permute(b"k", "t", x, n) for x in range(n)) == list(range(n))
+    assert sorted(slots(np.arange(n), n, b"k").tolist()) == list(range(n))
+
+
+def test_training_order_round_trip(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = training_order(docs, per_shard=300).toPandas()
+    assert sorted(out.slot) == list(range(len(out))) and (out.slot == out["shard"] * 300 + out.position).all()
+    enc = encoder()
+    for i, text in docs.select("doc_id", "text").collect():
+        ids = np.concatenate([np.frombuffer(enc.ids(text), "<u4"), np.array([2], "<u4")])
+        want = [(n, zlib.crc32(ids[s : s + n].tobytes())) for s, n in cut_points(len(ids), 256)]
+        assert want == out[out.doc_id == i].sort_values("piece")[["length", "ids_crc32"]].apply(tuple, axis=1).tolist()
+
+
+def test_windows_spec_names_each_window_once():
+    texts = [prose(i, 200).encode() for i in range(3)] + [b"", b"short"]
+    doc, _, first, n, off = WordWindows(35).anchors(texts, 8)
+    for k, t in enumerate(texts):
+        got = sorted(x for d, f, m in zip(doc, first, n) if d == k for x in range(f, f + m))
+        assert got == list(range(max(0, len(t.split()) - 34)))
+    assert (off >= n - 1).all() and (off <= 27).all()
