@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import shared_dir, text_or_empty
 from .tokens import cut_points, encoder
@@ -63,40 +64,37 @@ def write_training_order(
     end_id: int = 2,
     vocabulary: str = "byte_bpe_50k",
     key: bytes = b"readlake-order",
-) -> int:
-    """Write all documents' sequences in training order under `out_dir` (any path Spark writes to) and return their number.
-
-    A document's ids and `end_id` are cut into sequences of at most `sequence` ids. A first pass counts them for each
-    input partition; those counts, one number for each, give every sequence an index without moving a row. The keyed
-    permutation turns the index into a global slot. Slots are dealt out by range, one range to a shard, and sorted
-    there. Shard k is the k-th file by name and holds slots k * per_shard and on, one record for each in stride()
-    bytes, so a reader seeks to any slot and goes on from there. Files are written by Spark's own writer and commit
-    protocol, so lost executors leave no half shards.
-
-    Both passes must find the same rows in a partition, as scans of files do; a partition whose count changed in
-    between fails. Ids are integers or null; vocabularies have fewer than 65,535 ids. Null texts count as empty and
-    give one sequence with the end id alone. Rows that repeat an id are separate. An empty table writes no record.
+) -> None:
+    """Write all documents' sequences in training order under `out_dir`, any path that Spark writes to.
+
+    A document's ids and `end_id` are cut into sequences of at most `sequence` ids. Byte-level ids are no more than
+    bytes, so a first pass over text lengths bounds the sequences of each input partition; those bounds, one number for
+    each, give every sequence an index without moving a row or encoding a text twice. The keyed permutation over the
+    range of the bounds turns the index into a ticket. Tickets are dealt out by equal ranges, about `per_shard`
+    sequences to a shard, and sorted there; a sequence's slot is its rank, the shard's first slot plus its place. Shard
+    k is the k-th file by name. Every record takes stride() bytes, so sizes of files give the first slots, and a reader
+    seeks to any slot and goes on from there. Files are written by Spark's own writer and commit protocol, so lost
+    executors leave no half shards.
+
+    Both passes must find the same rows in a partition, as scans of files do; a partition that outgrows its bound fails.
+    Ids are integers or null; vocabularies have fewer than 65,535 ids. Null texts count as empty and give one sequence
+    with the end id alone. Rows that repeat an id are separate. An empty table writes no record.
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, total = encoder(vocabulary), 0
-        for batch in batches:
-            for t in batch.column("text"):
-                total += -(-(len(enc.ids(t.as_py())) // 4 + 1) // sequence)
-        pid = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([total], pa.int64())], ["pid", "n"])
-
-    found = {r[0]: r[1] for r in src.mapInArrow(count, "pid int, n long").collect()}
+    bound = F.ceil((F.octet_length("text") + 1) / sequence)
+    # every document's last sequence is short, and an id of prose stands for more than two bytes
+    likely = F.ceil((F.octet_length("text") / 2.2 + 1) / sequence)
+    found = src.groupBy(F.spark_partition_id().alias("pid")).agg(F.sum(bound), F.sum(likely)).collect()
     base, n = {}, 0
-    for pid in sorted(found):
-        base[pid] = n
-        n += found[pid]
+    for pid, size, _ in sorted(found):
+        base[pid] = (n, n + size)
+        n += size
+    shards = max(1, -(-sum(r[2] for r in found) // per_shard))
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(vocabulary), np.array([end_id], "<u4")
         pid = TaskContext.get().partitionId()
-        index, stop = base.get(pid, 0), base.get(pid, 0) + found.get(pid, 0)
+        index, stop = base.get(pid, (0, 0))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, rows = batch.slice(at, 500), []
@@ -107,44 +105,49 @@ def write_training_order(
                         body = np.full(sequence, _PAD, "<u2")
                         body[:m] = ids[s : s + m]
                         rows.append(struct.pack(HEADER, doc, k, m) + body.tobytes())
-                at_slots = slots(np.arange(index, index + len(rows), dtype=np.uint64), n, key)
+                tickets = slots(np.arange(index, index + len(rows), dtype=np.uint64), n, key)
                 index += len(rows)
                 if index > stop:
                     raise RuntimeError(f"partition {pid} changed between the passes")
-                yield pa.RecordBatch.from_arrays([pa.array(at_slots.astype(np.int64)), pa.array(rows, pa.binary())], ["slot", "record"])
-        if index != stop:
-            raise RuntimeError(f"partition {pid} changed between the passes")
+                yield pa.RecordBatch.from_arrays([pa.array(tickets.astype(np.int64)), pa.array(rows, pa.binary())], ["ticket", "record"])
 
-    shards = max(1, -(-n // per_shard))
-    dealt = src.mapInArrow(records, "slot long, record binary").repartitionById(shards, F.floor(F.col("slot") / per_shard).cast("int"))
-    ordered = dealt.sortWithinPartitions("slot").select(F.col("record").cast("string").alias("value"))
+    per_range = max(1, -(-n // shards))
+    dealt = src.mapInArrow(records, "ticket long, record binary").repartitionById(shards, F.floor(F.col("ticket") / per_range).cast("int"))
+    ordered = dealt.sortWithinPartitions("ticket").select(F.col("record").cast("string").alias("value"))
     ordered.write.option("compression", "none").text(out_dir)
-    return n
 
 
-def read_shards(spark: SparkSession, out_dir: str, sequence: int = 256, per_shard: int = 1 << 16) -> DataFrame:
+def read_shards(spark: SparkSession, out_dir: str, sequence: int = 256) -> DataFrame:
     """(slot, shard, position, doc_id, piece, length, ids_crc32) of every record, from the files alone."""
+    step = stride(sequence)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = stride(sequence)
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
-                shard = int(re.search(r"part-(\d+)-[^/]*$", path.as_py()).group(1))
+            for shard, content in zip(batch.column("shard"), batch.column("content")):
                 raw = content.as_buffer()
                 view = memoryview(raw)
                 if len(view) % step:
-                    raise ValueError(f"{path} is not made of whole records")
-                rows = []
-                for k in range(len(view) // step):
-                    doc, piece, m = struct.unpack_from(HEADER, view, k * step)
-                    ids = np.frombuffer(view, "<u2", m, k * step + struct.calcsize(HEADER)).astype("<u4")
-                    rows.append((shard * per_shard + k, shard, k, None if doc == _NO_ID else doc, piece, m, zlib.crc32(ids.tobytes())))
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-                names = ["slot", "shard", "position", "doc_id", "piece", "length", "ids_crc32"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 7, kinds)], names)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(out_dir).select("path", "content")
-    return files.mapInArrow(run, "slot long, shard int, position long, doc_id long, piece int, length int, ids_crc32 long")
+                    raise ValueError(f"shard {shard} is not made of whole records")
+                for at in range(0, len(view) // step, 10_000):
+                    rows = []
+                    for k in range(at, min(at + 10_000, len(view) // step)):
+                        doc, piece, m = struct.unpack_from(HEADER, view, k * step)
+                        ids = np.frombuffer(view, "<u2", m, k * step + struct.calcsize(HEADER)).astype("<u4")
+                        rows.append((shard.as_py(), k, None if doc == _NO_ID else doc, piece, m, zlib.crc32(ids.tobytes())))
+                    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+                    names = ["shard", "position", "doc_id", "piece", "length", "ids_crc32"]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    shard = F.regexp_extract("path", r"part-(\d+)-[^/]*$", 1).cast("int").alias("shard")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(out_dir)
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each shard
+    first = files.select(shard, (F.col("length") / step).cast("long").alias("n"))
+    first = first.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    rows = files.select(shard, "content").mapInArrow(run, "shard int, position long, doc_id long, piece int, length int, ids_crc32 long")
+    return rows.join(first, "shard").select(
+        (F.col("first") + F.col("position")).alias("slot"), "shard", "position", "doc_id", "piece", "length", "ids_crc32"
+    )
 
 
 def training_order(docs: DataFrame, **options: object) -> DataFrame:
@@ -152,4 +155,4 @@ def training_order(docs: DataFrame, **options: object) -> DataFrame:
     spark = docs.sparkSession
     out = f"{shared_dir(spark)}/readlake-order-{uuid.uuid4().hex}"
     write_training_order(docs, out, **options)
-    return read_shards(spark, out, **{k: v for k, v in options.items() if k in ("sequence", "per_shard")})
+    return read_shards(spark, out, **{k: v for k, v in options.items() if k == "sequence"})

@@ -257,7 +257,8 @@ def test_permutations(n):
 def test_training_order_round_trip(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     out = training_order(docs, per_shard=300).toPandas()
-    assert sorted(out.slot) == list(range(len(out))) and (out.slot == out["shard"] * 300 + out.position).all()
+    assert sorted(out.slot) == list(range(len(out))) and out["shard"].nunique() > 1
+    assert out.sort_values(["shard", "position"]).slot.is_monotonic_increasing and abs(np.corrcoef(out.slot, out.doc_id)[0, 1]) < 0.2
     enc = encoder()
     for i, text in docs.select("doc_id", "text").collect():
         ids = np.concatenate([np.frombuffer(enc.ids(text), "<u4"), np.array([2], "<u4")])
