@@ -1 +1,6 @@
-"""Subpackage of readlake."""
+"""Registered queries over the given tables."""
+
+from . import interval_queries  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
