@@ -26,7 +26,7 @@ _MOST_KEPT = 200_000
 
 
 class _Chunks(dict):
-    """Little-endian unsigned 32-bit ids of chunks, encoded when first seen."""
+    """Little-endian unsigned 32-bit ids of chunks, encoded when first seen; for texts that the ranks may not serve."""
 
     def __init__(self, json_path: str, ranks_path: str | None, pattern: str) -> None:
         from tokenizers import Tokenizer
@@ -42,19 +42,20 @@ class _Chunks(dict):
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    def _exact(self, text: str) -> bytes:
+        return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def __missing__(self, chunk: str) -> bytes:
-        if self.fast and _PLAIN.fullmatch(chunk):
-            ids = self.fast(chunk)
-        else:
-            ids = self.exact.encode(chunk, add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
+        out = self._exact(chunk)
         if len(self) < _MOST_KEPT:
             self[chunk] = out
         return out
 
     def ids(self, text: str) -> bytes:
+        if self.fast and _PLAIN.fullmatch(text):
+            return np.array(self.fast(text), "<u4").tobytes()
         if _ODD.search(text):
-            return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._exact(text)
         return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
 
 
@@ -62,7 +63,7 @@ class _Chunks(dict):
 def encoder(name: str = "byte_bpe_50k") -> _Chunks:
     """The encoder of one vocabulary of `public_tokenizers`, or of a path to a tokenizers JSON file; one for each worker.
 
-    The ids are those of the `tokenizers` library. Where the same vocabulary also lies beside it as ranks, chunks of
+    The ids are those of the `tokenizers` library. Where the same vocabulary also lies beside it as ranks, texts of
     plain characters are encoded from those, which gives the same ids sooner.
     """
     import public_tokenizers
