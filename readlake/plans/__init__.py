@@ -1,6 +1,6 @@
 """Registered queries over the given tables."""
 
-from . import interval_queries, qc_queries, read_queries, stat_queries, tracking_queries  # noqa: F401
+from . import interval_queries, pileup_queries, qc_queries, read_queries, stat_queries, tracking_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
