@@ -57,8 +57,8 @@ def read_fastq(spark: SparkSession, paths: str | list[str], lines_per_chunk: int
 
 def _whole_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file, value) with the lines of a file in order in one task: whole texts, cut into lines by a generator."""
-    return spark.read.option("wholetext", True).text(paths).select(
-        F.input_file_name().alias("file"), F.explode(F.filter(F.split(F.col("value"), "\r?\n"), lambda x: x != "")).alias("value")
+    return spark.read.text(paths, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), F.explode(F.filter(F.split(F.col("value"), "\r?\n"), lambda x: x != "")).alias("value")
     )
 
 
@@ -327,7 +327,7 @@ def parse_sample_sheet(texts: DataFrame) -> DataFrame:
 
 
 def read_sample_sheet(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return parse_sample_sheet(spark.read.option("wholetext", True).text(paths).select(F.input_file_name().alias("file"), "value"))
+    return parse_sample_sheet(spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value"))
 
 
 def read_lane_summary_xml(spark: SparkSession, paths: str | list[str], row_tag: str = "Lane") -> DataFrame:
