@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..operators.variants import info_map
 
@@ -19,47 +17,26 @@ def _get(parts: Column, i: int) -> Column:
     return F.get(parts, F.lit(i))
 
 
-def read_fastq(spark: SparkSession, paths: str | list[str], lines_per_chunk: int = 40_000) -> DataFrame:
+def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file, name, seq, strand, qual) of FASTQ files, plain or gzipped.
 
-    A quality line may begin like a header, so records are framed by counting lines from the start of a file: each file
-    is one stream of lines, read by one task, and many files are read side by side. A record without @ and + fails.
+    A quality line may begin like a header, so records are framed by line numbers, never by what a line looks like.
+    Plain files are read in splits by many tasks: lines are numbered inside their split, and the splits' line counts,
+    one row for each, say where a split starts. A record without @ and +, or a file that ends inside one, fails.
     """
-
-    def frame(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, name = [], None
-
-        def out(lines: list[str]) -> pd.DataFrame:
-            bad = [r for r in range(0, len(lines), 4) if not lines[r].startswith("@") or lines[r + 2][:1] not in ("+", "-")]
-            if bad:
-                raise ValueError(f"{name}: not a record: {lines[bad[0]][:80]!r}")
-            return pd.DataFrame({"file": name, "name": [x[1:] for x in lines[0::4]], "seq": lines[1::4], "strand": lines[2::4], "qual": lines[3::4]})
-
-        for b in batches:
-            for file, line in zip(b["file"], b["value"]):
-                if file != name:
-                    if len(held) % 4:
-                        raise ValueError(f"{name} ends inside a record")
-                    if held:
-                        yield out(held)
-                    held, name = [], file
-                held.append(line)
-                if len(held) >= lines_per_chunk and len(held) % 4 == 0:
-                    yield out(held)
-                    held = []
-        if len(held) % 4:
-            raise ValueError(f"{name} ends inside a record")
-        if held:
-            yield out(held)
-
-    return _whole_files(spark, paths).mapInPandas(frame, "file string, name string, seq string, strand string, qual string")
-
-
-def _whole_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, value) with the lines of a file in order in one task: whole texts, cut into lines by a generator."""
-    return spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.explode(F.filter(F.split(F.col("value"), "\r?\n"), lambda x: x != "")).alias("value")
-    )
+    lines = _lines(spark, paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"), "value"
+    )
+    splits = lines.groupBy("file", "_at").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy("file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "_at", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    nth = F.col("_before") + F.col("_id") - F.col("_first")
+    r = lines.join(splits, ["file", "_at"]).withColumn("_k", nth % 4).withColumn("_rec", F.floor(nth / 4))
+    part = lambda k: F.max(F.when(F.col("_k") == k, F.col("value")))
+    r = r.groupBy("file", "_rec").agg(*[part(k).alias(c) for k, c in enumerate(("name", "seq", "strand", "qual"))])
+    whole = F.when(F.col("qual").isNull(), F.raise_error(F.concat("file", F.lit(" ends inside a record"))))
+    head = F.when(~F.col("name").startswith("@") | ~F.col("strand").rlike("^[+-]"), F.raise_error(F.concat("file", F.lit(": not a record: "), "name")))
+    return r.select("file", F.coalesce(whole, head, F.substring("name", 2, 1 << 30)).alias("name"), "seq", "strand", "qual")
 
 
 def parse_fastq(records: DataFrame) -> DataFrame:

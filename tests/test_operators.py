@@ -177,6 +177,12 @@ def test_fastq_round_trip(spark, tmp_path):
     records.write_fastq(df.repartition(3), str(tmp_path / "out"), ["sample"], chunk=7)
     back = records.read_fastq(spark, str(tmp_path / "out" / "*" / "*.gz"))
     assert rows(back.select("name", "seq", "qual")) == sorted([d[:3] for d in data], key=repr)
+    (tmp_path / "plain.fq").write_text("".join(f"@{n}\n{s}\n+\n{q}\n" for n, s, q, _ in data * 40))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")  # many splits of one file
+    assert spark.read.text(str(tmp_path / "plain.fq")).rdd.getNumPartitions() > 5
+    back = records.read_fastq(spark, str(tmp_path / "plain.fq"))
+    assert rows(back.select("name", "seq", "qual")) == sorted([d[:3] for d in data * 40], key=repr)
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
     (tmp_path / "bad.fq").write_text("@a\nAC\n+\n")
     with pytest.raises(Exception, match="inside a record"):
         records.read_fastq(spark, str(tmp_path / "bad.fq")).collect()
