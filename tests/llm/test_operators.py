@@ -206,7 +206,7 @@ def test_fingerprint_is_a_majority_of_shingle_hashes(spark):
 
 
 def test_rules_keep_clean_and_reject_junk(spark):
-    clean = "\n".join("The cat and the dog of this house went to the river in May. " + prose(i, 8).replace("w", "ab") for i in range(12))
+    clean = "\n".join(" ".join(f"the {w} of" if k % 5 == 0 else w for k, w in enumerate(prose(i, 20).replace("w", "ab").split())) for i in range(12))
     rows = [(1, clean), (2, " ".join(f"x{i}%%%" for i in range(99))), (3, " ".join(f"WORD{i}!!" for i in range(99))), (4, "again " * 99), (5, "short text")]
     kept = {r["doc_id"]: r["kept"] for r in quality_rules(frame(spark, rows)).collect()}
     assert kept == {1: True, 2: False, 3: False, 4: False, 5: False}
