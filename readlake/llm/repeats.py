@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from typing import Protocol
 
@@ -111,29 +110,15 @@ def _anchor_rows(spec: Spec, gram: int):  # noqa: ANN202
     return run
 
 
-def _packed(spec: Spec, long_gram: int, text: bytes, found: list[dict]) -> Iterator[tuple[int, int, int, int, bytes, bytes]]:
-    """(hash, first, windows, distance, id, string) of a text's candidate runs; hot ones are dealt again by longer grams."""
-    units = spec.units(text)
-    for c in found:
-        runs = [(c["hash"], c["first"], c["n"], c["off"])]
-        if c["hot"]:
-            part = spec.pack(units, c["first"], c["first"] + c["n"] + spec.window - 1)
-            _, h, first, n, off = spec.anchors([part], long_gram)
-            runs = [(int(a), c["first"] + int(b), int(m), int(o)) for a, b, m, o in zip(h.view(np.int64), first, n, off)]
-        for h, first, n, off in runs:
-            string = spec.pack(units, first, first + n + spec.window - 1)
-            sid = hashlib.blake2b(string, digest_size=16, salt=(h & (2**64 - 1)).to_bytes(8, "little") + off.to_bytes(8, "little")).digest()
-            yield h, first, n, off, sid, string
-
-
 def find_repeats(docs: DataFrame, spec: Spec, gram: int, long_gram: int, hot: int = HOT) -> DataFrame:
-    """`docs` (`_key`, `_id`, `_text`) with `_hits`: [first, [from, to, ...]] of the units that repeated windows cover.
+    """`docs` (`_key`, `_id`, `_text`) with `_hits`: [from, to, from, to, ...] of the units that repeated windows cover.
 
     Equal windows have equal minimisers at equal places, so: (1) each text's runs of windows with one minimiser are
     listed, as numbers; (2) runs whose minimiser no other run has are gone after one grouped count; (3) the others are
-    packed as strings, equal strings counted before they travel, and dealt out by minimiser; (4) a bucket's task
-    compares their windows whole; (5) what it finds goes back to every run that has the string, by a join that Spark
-    splits where one string is very common. A minimiser that very many runs share is dealt again by a longer one.
+    packed as strings and dealt out by minimiser; strings that a task meets twice are known to repeat there and then, so
+    of them one copy travels and no owner; (4) a bucket's task compares the windows of its strings whole; (5) what it
+    finds goes back to the texts. A string with many copies holds no memory once its second copy is seen, and a
+    minimiser that very many runs share is dealt again by a longer one.
     """
     spark = docs.sparkSession
     n = partitions(spark)
@@ -141,90 +126,134 @@ def find_repeats(docs: DataFrame, spec: Spec, gram: int, long_gram: int, hot: in
     runs = table(docs.select("_key", "_text").mapInArrow(_anchor_rows(spec, gram), f"_key {key}, hash long, first int, n int, off int"))
     shared = runs.groupBy("hash").agg(F.count(F.lit(1)).alias("runs")).where("runs > 1")
     found = runs.join(shared, "hash").withColumn("hot", F.col("runs") > hot)
-    found = found.groupBy("_key").agg(F.collect_list(F.struct("hash", "first", "n", "off", "hot")).alias("found"))
-    texts = docs.select("_key", "_text").join(found, "_key")
+    found = found.groupBy("_key").agg(F.collect_list(F.struct("hash", "first", "n", "off", "hot")).alias("f"))
+    # the same columns and filter as in the last join, so the texts are dealt out by key once for both
+    docs = docs.select("_key", "_id", "_text").where(F.col("_key").isNotNull())
+    texts = docs.join(found, "_key").select("_key", "_id", "_text", *[F.col(f"f.{c}").alias(c) for c in ("hash", "first", "n", "off", "hot")])
+    names = ["hash", "off", "n", "string", "copies", "_key", "first", "ranges"]
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["hash", "sid", "copies", "string", "n", "off"]
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
         for batch in batches:
-            seen: dict[bytes, list] = {}
+            keys = batch.column("_key")
+            seen: dict[tuple[int, int, bytes], list] = {}
+            known: dict[int, list[int]] = {}
             size = 0
 
             def out() -> pa.RecordBatch:
-                cols = zip(*seen.values())
-                return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
-
-            for text, cs in zip(batch.column("_text"), batch.column("found")):
-                for h, _, m, off, sid, string in _packed(spec, long_gram, text.as_py().encode("utf-8", "surrogatepass"), cs.as_py()):
-                    if sid in seen:
-                        seen[sid][2] += 1
-                    else:
-                        seen[sid] = [h, sid, 1, string, m, off]
-                        size += len(string)
+                ones = [(k, v) for k, v in seen.items() if v[3] == 1]
+                more = [(k, v) for k, v in seen.items() if v[3] > 1]
+                void = len(more) + len(known)
+                owner = [v[0] for _, v in ones] + [None] * len(more) + list(known)
+                cols = [
+                    # owners whose hits are known already pass through buckets dealt at random
+                    pa.array([k[0] for k, _ in ones + more] + [(i * 0x9E3779B97F4A7C15) % 2**63 for i in known], pa.int64()),
+                    pa.array([k[1] for k, _ in ones + more] + [0] * len(known), pa.int32()),
+                    pa.array([v[2] for _, v in ones + more] + [0] * len(known), pa.int32()),
+                    pa.array([k[2] for k, _ in ones + more] + [None] * len(known), pa.binary()),
+                    pa.array([v[3] for _, v in ones + more] + [0] * len(known), pa.int64()),
+                    keys.take(pa.array(owner, pa.int32())),
+                    pa.array([v[1] for _, v in ones] + [0] * void, pa.int32()),
+                    pa.array([None] * (len(ones) + len(more)) + list(known.values()), pa.list_(pa.int32())),
+                ]
+                return pa.RecordBatch.from_arrays(cols, names)
+
+            lists = [batch.column(c) for c in ("hash", "first", "n", "off", "hot")]
+            offsets = lists[0].offsets.to_numpy()
+            flat = [x.values.to_numpy(zero_copy_only=False) for x in lists]
+            for i, text in enumerate(batch.column("_text")):
+                units = spec.units(text.as_py().encode("utf-8", "surrogatepass"))
+                lo, hi = offsets[i], offsets[i + 1]
+                for h, first, m, off, again in zip(*(x[lo:hi].tolist() for x in flat)):
+                    parts = [(h, first, m, off)]
+                    if again:
+                        whole = spec.pack(units, first, first + m + spec.window - 1)
+                        _, hs, firsts, ms, offs = spec.anchors([whole], long_gram)
+                        parts = [(a, first + b, c, d) for a, b, c, d in zip(hs.view(np.int64).tolist(), firsts.tolist(), ms.tolist(), offs.tolist())]
+                    for h2, first2, m2, off2 in parts:
+                        string = spec.pack(units, first2, first2 + m2 + spec.window - 1)
+                        old = seen.get((h2, off2, string))
+                        if old is None:
+                            seen[h2, off2, string] = [i, first2, m2, 1]
+                            size += len(string)
+                            continue
+                        if old[3] == 1:
+                            known.setdefault(old[0], []).extend((old[1], old[1] + m2 + spec.window - 1))
+                        old[3] += 1
+                        known.setdefault(i, []).extend((first2, first2 + m2 + spec.window - 1))
                 if size > 1 << 24:
                     yield out()
-                    seen, size = {}, 0
+                    seen.clear()
+                    known.clear()
+                    size = 0
             if seen:
                 yield out()
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, firsts, sids = [], [], []
-            for i, (text, cs) in enumerate(zip(batch.column("_text"), batch.column("found"))):
-                for _, first, _, _, sid, _ in _packed(spec, long_gram, text.as_py().encode("utf-8", "surrogatepass"), cs.as_py()):
-                    keys.append(i)
-                    firsts.append(first)
-                    sids.append(sid)
-            cols = [batch.column("_key").take(pa.array(keys, pa.int32())), pa.array(firsts, pa.int32()), pa.array(sids, pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, ["_key", "first", "sid"])
-
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: list[list[list]] = []
-        held, last = 0, None
+        held, last, tail = 0, None, spec.window - 1
+        kind = None
+        done_keys, done = [], []
 
-        def out() -> pa.RecordBatch:
-            sids, ranges = [], []
-            answers = spec.resolve([[(g[1], g[2], g[3], g[4]) for g in group] for group in groups])
+        def settle() -> None:
+            answers = spec.resolve([[(g[0], g[1], g[2], g[3]) for g in group] for group in groups])
             for group, hits in zip(groups, answers):
-                for g, hit in zip(group, hits):
-                    if not hit.any():
+                for (_, _, _, copies, owner, first), hit in zip(group, hits):
+                    if copies > 1 or not hit.any():
                         continue
-                    edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
-                    edge[1::2] += spec.window - 1
-                    sids.append(g[0])
-                    ranges.append(edge.tolist())
-            return pa.RecordBatch.from_arrays([pa.array(sids, pa.binary()), pa.array(ranges, pa.list_(pa.int32()))], ["sid", "ranges"])
+                    edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8))) + first
+                    edge[1::2] += tail
+                    done_keys.append(owner)
+                    done.append(edge.tolist())
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(done_keys, kind), pa.array(done, pa.list_(pa.int32()))], ["_key", "ranges"])
 
         for batch in batches:
-            for h, sid, copies, string, m, off in zip(*(batch.column(c) for c in ("hash", "sid", "copies", "string", "n", "off"))):
-                h, sid, copies = h.as_py(), sid.as_py(), copies.as_py()
+            kind = batch.column("_key").type
+            for h, off, m, string, copies, owner, first, ranges in zip(*(batch.column(c).to_pylist() for c in names)):
+                if string is None:
+                    done_keys.append(owner)
+                    done.append(ranges)
+                    continue
                 if h != last:
                     if held >= _STRINGS:
-                        yield out()
+                        settle()
                         groups, held = [], 0
                     groups.append([])
                     last = h
-                if groups[-1] and groups[-1][-1][0] == sid:
-                    groups[-1][-1][4] += copies
+                group = groups[-1]
+                if group and group[-1][2] == off and group[-1][0] == string:
+                    old = group[-1]
+                    if old[3] == 1:
+                        done_keys.append(old[4])
+                        done.append([old[5], old[5] + m + tail])
+                    if copies == 1:
+                        done_keys.append(owner)
+                        done.append([first, first + m + tail])
+                    old[3] += copies
                 else:
-                    groups[-1].append([sid, string.as_py(), m.as_py(), off.as_py(), copies])
+                    group.append([string, m, off, copies, owner, first])
                     held += 1
+            if len(done) > 10_000:
+                yield out()
+                done_keys, done = [], []
         if groups:
+            settle()
+        if done:
             yield out()
 
-    packed = texts.mapInArrow(strings, "hash long, sid binary, copies long, string binary, n int, off int")
-    resolved = packed.repartition(n, "hash").sortWithinPartitions("hash", "sid").mapInArrow(resolve, "sid binary, ranges array<int>")
-    owners = texts.mapInArrow(members, f"_key {key}, first int, sid binary")
-    hits = owners.join(resolved, "sid").groupBy("_key").agg(F.collect_list(F.struct("first", "ranges")).alias("_hits"))
+    kinds = f"hash long, off int, n int, string binary, copies long, _key {key}, first int, ranges array<int>"
+    packed = texts.mapInArrow(strings, kinds).repartition(n, "hash").sortWithinPartitions("hash", "off", "string")
+    hits = packed.mapInArrow(resolve, f"_key {key}, ranges array<int>")
+    hits = hits.groupBy("_key").agg(F.flatten(F.collect_list("ranges")).alias("_hits"))
     return docs.join(hits, "_key", "left")
 
 
-def covered(hits: list[dict] | None, n: int) -> np.ndarray:
-    """Which of `n` units the hits cover."""
-    step = np.zeros(n + 1, np.int32)
-    for h in hits or []:
-        r = np.asarray(h["ranges"], np.int64) + h["first"]
-        np.add.at(step, r[0::2], 1)
-        np.add.at(step, r[1::2], -1)
-    return np.cumsum(step[:n]) > 0
+def merged(hits: np.ndarray) -> tuple[list[int], list[int]]:
+    """(starts, ends) of the maximal covered runs, in order; ends are exclusive."""
+    order = np.argsort(hits[0::2], kind="stable")
+    start, end = hits[0::2][order], np.maximum.accumulate(hits[1::2][order])
+    new = np.ones(len(start), bool)
+    new[1:] = start[1:] > end[:-1]
+    at = np.flatnonzero(new)
+    return start[at].tolist(), end[np.append(at[1:], len(end)) - 1].tolist()

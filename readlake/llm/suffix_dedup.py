@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import with_row_key
-from .repeats import covered, find_repeats, gram_hashes, minimisers, runs_of
+from .repeats import find_repeats, gram_hashes, merged, minimisers, runs_of
 
 #: Bytes that multikey quicksort looks at in one step.
 _STEP = 8
@@ -207,12 +207,10 @@ def dedup_substrings(
             for text, hits in zip(batch.column("_text"), batch.column("_hits")):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
                 total.append(len(raw))
-                hits = hits.as_py()
                 left, n_spans = raw, 0
-                if hits:
-                    drop = covered(hits, len(raw))
-                    n_spans = int(drop[0]) + int((drop[1:] & ~drop[:-1]).sum())
-                    left = np.frombuffer(raw, np.uint8)[~drop].tobytes()
+                if hits.is_valid:
+                    starts, ends = merged(hits.values.to_numpy())
+                    left, n_spans = b"".join(raw[a:b] for a, b in zip([0, *ends], [*starts, len(raw)])), len(starts)
                 gone.append(len(raw) - len(left))
                 spans.append(n_spans)
                 sha.append(hashlib.sha256(left).hexdigest())

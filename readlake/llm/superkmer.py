@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import with_row_key
-from .repeats import covered, find_repeats, gram_hashes, minimisers, runs_of
+from .repeats import find_repeats, gram_hashes, merged, minimisers, runs_of
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -108,10 +108,13 @@ def dedup_word_windows(
             for text, hits in zip(batch.column("_text"), batch.column("_hits")):
                 words = text.as_py().encode("utf-8", "surrogatepass").split()
                 total.append(len(words))
-                hits = hits.as_py()
-                drop = covered(hits, len(words)) if hits else None
-                gone.append(int(drop.sum()) if hits else 0)
-                left = b" ".join([x for x, d in zip(words, drop.tolist()) if not d] if hits else words)
+                left, n_gone = words, 0
+                if hits.is_valid:
+                    starts, ends = merged(hits.values.to_numpy())
+                    left = [x for a, b in zip([0, *ends], [*starts, len(words)]) for x in words[a:b]]
+                    n_gone = len(words) - len(left)
+                gone.append(n_gone)
+                left = b" ".join(left)
                 sha.append(hashlib.sha256(left).hexdigest())
                 if keep_text:
                     kept.append(left.decode("utf-8", "surrogatepass"))
