@@ -33,7 +33,9 @@ class _Chunks(dict):
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.exact = Tokenizer.from_file(json_path)
-        self.exact.encode_special_tokens = True
+        #: Texts that hold the content of an added token (<|endoftext|> and the like) are for the library alone.
+        added = sorted(t.content for t in self.exact.get_added_tokens_decoder().values())
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.fast = None
         if ranks_path:
             import tiktoken
@@ -52,6 +54,8 @@ class _Chunks(dict):
         return out
 
     def ids(self, text: str) -> bytes:
+        if self.added and self.added.search(text):
+            return self._exact(text)
         if self.fast and _PLAIN.fullmatch(text):
             return np.array(self.fast(text), "<u4").tobytes()
         if _ODD.search(text):

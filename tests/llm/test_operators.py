@@ -121,6 +121,16 @@ def test_tokens_equal_the_library(spark):
         assert np.frombuffer(enc.ids(t), "<u4").tolist() == enc.exact.encode(t, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_those_of_a_fresh_library_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    fresh, enc = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), encoder()
+    for t in ["hello <|endoftext|> x", "<|endoftext|>", "日本 <|endoftext|>\x1c<|endoftext|>", "a<|endoftext|>b  ", "<|endoftext |> x", "<|endoftext|"]:
+        assert np.frombuffer(enc.ids(t), "<u4").tolist() == fresh.encode(t, add_special_tokens=False).ids
+    assert np.frombuffer(enc.ids("hello <|endoftext|> x"), "<u4").tolist() == [31373, 220, 50256, 2124]
+
+
 def _brute(texts, window, cut):
     units = [cut(t) for t in texts]
     seen = Counter(tuple(u[i : i + window]) for u in units for i in range(len(u) - window + 1))
