@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from datetime import date, timedelta
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,10 +36,30 @@ _PATTERN = re.compile(
   | (?P<date>(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}(?P<sep>[./])\d{1,2}(?P=sep)\d{4})(?![\d/-]))
   | (?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))
   | (?P<phone>(?<![\d+])(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\)[ ]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d-]))
-  | (?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))
+  | (?P<card>(?<!\d)(?:(?<!-)|(?<=\d-))\d(?:[ -]?\d){12})
     """,
     re.VERBOSE,
 )
+#: The same alternatives one by one, for places where the first of them fails its check.
+_EACH = {
+    k: re.compile(p, re.VERBOSE)
+    for k, p in zip(KINDS, re.split(r"\n  \| (?=\(\?P<(?:%s)>)" % "|".join(KINDS), _PATTERN.pattern.strip()))
+}
+_GROUP = re.compile(r"[ -]?(\d+)")
+_FIRST = re.compile(r"[^\W_]+")
+#: Digit groups as cards print them; a card written without spaces is one group.
+_CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4)}
+_CARD_MOST = 19
+#: Length of an IBAN by country.
+_IBAN_LENGTHS = {
+    c: int(n)
+    for n, cs in (x.split(":") for x in (
+        "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV "
+        "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST "
+        "26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,YE 31:MT,SC 32:LC 33:RU"
+    ).split())
+    for c in cs.split(",")
+}
 _MAYBE = re.compile(r"[@0-9]|(?i:token|secret|passw|key)")
 
 
@@ -61,18 +84,38 @@ def permute(key: bytes, tweak: str, x: int, n: int) -> int:
             return x
 
 
-def _shuffle_classes(key: bytes, tweak: str, s: str, classes: dict[str, str] = _CLASS) -> str:
-    """Permute a string among all with the same kind of character at each place; other characters stay."""
+@lru_cache(maxsize=1)
+def _lone() -> str:
+    """Letters and digits that no other of their kind shares 256 code points with."""
+    near = [(i >> 8, unicodedata.category(chr(i)), chr(i)) for i in range(0x110000) if chr(i).isalnum() and chr(i) not in _CLASS]
+    count = Counter(x[:2] for x in near)
+    return "".join(c for block, kind, c in near if count[block, kind] == 1)
+
+
+@lru_cache(maxsize=1 << 12)
+def _class_of(c: str) -> str:
+    """The characters that `c` is permuted among: those of its class or, for letters and digits of other scripts, those of
+    the same category in its 256 code points; none for separators."""
+    if c in _CLASS or not c.isalnum():
+        return _CLASS.get(c, "")
+    kind, block = unicodedata.category(c), ord(c) >> 8 << 8
+    near = "".join(x for x in map(chr, range(block, block + 256)) if x.isalnum() and x not in _CLASS and unicodedata.category(x) == kind)
+    return near if len(near) > 1 else _lone()
+
+
+def _shuffle_classes(key: bytes, tweak: str, s: str, classes: dict[str, str] | None = None) -> str:
+    """Permute a string among all with the same kind of character at each place; separators stay."""
+    kinds = [_class_of(c) if classes is None else classes.get(c, "") for c in s]
     x, n = 0, 1
-    for c in s:
-        if c in classes:
-            x, n = x * len(classes[c]) + classes[c].index(c), n * len(classes[c])
+    for c, k in zip(s, kinds):
+        if k:
+            x, n = x * len(k) + k.index(c), n * len(k)
     y = permute(key, tweak, x, n)
     out = []
-    for c in reversed(s):
-        if c in classes:
-            y, r = divmod(y, len(classes[c]))
-            c = classes[c][r]  # noqa: PLW2901
+    for c, k in zip(reversed(s), reversed(kinds)):
+        if k:
+            y, r = divmod(y, len(k))
+            c = k[r]  # noqa: PLW2901
         out.append(c)
     return "".join(reversed(out))
 
@@ -80,7 +123,7 @@ def _shuffle_classes(key: bytes, tweak: str, s: str, classes: dict[str, str] = _
 def _refill(like: str, digits: str) -> str:
     """`digits` in place of those of `like`."""
     it = iter(digits)
-    return "".join(next(it) if c in _DIGITS else c for c in like)
+    return "".join(next(it) if c.isdecimal() else c for c in like)
 
 
 def luhn_digit(payload: str) -> str:
@@ -92,9 +135,53 @@ def luhn_digit(payload: str) -> str:
     return str(-total % 10)
 
 
+def _is_card(d: str) -> bool:
+    return 13 <= len(d) <= _CARD_MOST and len(set(d)) > 1 and int(luhn_digit(d[:-1])) == int(d[-1])
+
+
+def _card_end(text: str, start: int) -> int | None:
+    """Where the card ends whose first digit group begins at `start`: a valid span of whole groups, one that is grouped as
+    cards are before longer ones. None if there is none, or if it would cut into a card that begins at a later group."""
+    groups: list[tuple[int, int]] = []
+    at, total = start, 0
+    # a span has at most _CARD_MOST digits, and so has one that begins inside it
+    while total <= 2 * _CARD_MOST and (g := _GROUP.match(text, at)):
+        groups.append(g.span(1))
+        at, total = g.end(), total + g.end(1) - g.start(1)
+    open_end = text.startswith("-", at)
+
+    def spans(i: int) -> Iterator[tuple[int, bool]]:
+        d, sizes = "", ()
+        for j, (a, b) in enumerate(groups[i:], i):
+            if len(d) + b - a > _CARD_MOST:
+                return
+            d, sizes = d + text[a:b], (*sizes, b - a)
+            if _is_card(d) and not (open_end and j == len(groups) - 1):
+                yield j, len(sizes) == 1 or sizes in _CARD_GROUPS
+
+    last = None
+    for j, usual in spans(0):
+        if usual:
+            return groups[j][1]
+        last = j
+    if last is None or any(usual for i in range(1, last + 1) for _, usual in spans(i)):
+        return None
+    return groups[last][1]
+
+
+def _iban_end(s: str) -> list[int]:
+    """Where an IBAN may end that begins `s`: at its country's length, then at the end; in unknown countries after any group."""
+    after = [i + 1 for i, c in enumerate(s) if c != " "]
+    whole = {i for i in after if i == len(s) or s[i] == " "}
+    n = _IBAN_LENGTHS.get(s[:2])
+    if n is None:
+        return sorted(whole, reverse=True)
+    return [*([after[n - 1]] if n <= len(after) and after[n - 1] in whole else []), len(s)]
+
+
 def _card(key: bytes, s: str) -> str | None:
     d = re.sub(r"\D", "", s)
-    if len(set(d)) == 1 or luhn_digit(d[:-1]) != d[-1]:
+    if not _is_card(d):
         return None
     body = str(permute(key, "card", int(d[:-1]), 10 ** (len(d) - 1))).zfill(len(d) - 1)
     return _refill(s, body + luhn_digit(body))
@@ -176,28 +263,49 @@ def pseudonymise(text: str, key: bytes = KEY) -> tuple[str, dict[str, int]]:
     if not _MAYBE.search(text):
         return text, counts
 
-    def swap(m: re.Match) -> str:
-        kind = next(k for k in KINDS if m.group(k) is not None)
-        s = m.group(kind)
+    def swap(kind: str, m: re.Match) -> tuple[str, int] | None:
+        """What comes in place of the text from the match's start to an end, and that end."""
+        s, start = m.group(kind), m.start()
         if kind == "secret":
             value = m.group("secret_value")
             new = _secret(key, value)
-            new = None if new is None else s[: len(s) - len(value)] + new
-        else:
-            new = _MAKERS[kind](key, s)
+            return None if new is None else (s[: len(s) - len(value)] + new, m.end())
+        ends = [m.end()]
+        if kind == "card":
+            ends = [end] if (end := _card_end(text, start)) else []
+        elif kind == "iban":
+            ends = [start + x for x in _iban_end(s)]
+        for end in ends:
+            if (new := _MAKERS[kind](key, text[start:end])) is not None:
+                return new, end
+        return None
+
+    out, done, at = [], 0, 0
+    while m := _PATTERN.search(text, at):
+        start = m.start()
+        kind = next(k for k in KINDS if m.group(k) is not None)
+        new = swap(kind, m)
+        for other in KINDS[KINDS.index(kind) + 1 :] if new is None else ():
+            if (m2 := _EACH[other].match(text, start)) and (new := swap(other, m2)):
+                kind = other
+                break
         if new is None:
-            return s
+            # what fails may begin with something else, or hold it: go on after its first group
+            first = _FIRST.match(text, start)
+            at = first.end() if first else start + 1
+            continue
         counts[kind] = counts.get(kind, 0) + 1
-        return new
-
-    return _PATTERN.sub(swap, text), counts
+        out += [text[done:start], new[0]]
+        done = at = new[1]
+    return "".join([*out, text[done:]]), counts
 
 
 def pseudonymise_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY) -> DataFrame:
     """One row per document: `id_col`, text (null stays null), n_found and a count n_<kind> for each kind.
 
     Mail addresses, labelled secrets, IBANs, IPv4 addresses, dates, social security numbers, phone numbers and card
-    numbers are found by pattern; those with a checksum or a calendar are checked, and what fails stays. Each is
+    numbers are found by pattern; those with a checksum or a calendar are checked. Where a match fails, shorter spans of
+    its digit groups and what begins after its first group are tried; what fails them all stays. Each is
     replaced by a keyed permutation among the values of its own format, with its checksum made anew, so a pseudonym is
     valid and equal values, wherever they stand, have equal pseudonyms. One pass without a shuffle.
 

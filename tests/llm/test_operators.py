@@ -258,6 +258,38 @@ def test_pseudonyms_stay_valid_linked_and_in_format():
     assert pseudonymise(clean) == (clean, {})
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "card 4111 1111 1111 1111 12/27", "4111111111111111 123", "no 7 4111 1111 1111 1111", "no 7-4111-1111-1111-1111-12", "+4111111111111111",
+        "AB12 4111 1111 1111 1111", "4111 1111 1111 1111 4111 1111 1111 1111", "4111-1111-1111-1111-1234-5678", "1 2 3 4 5 6 4111 1111 1111 1111 9 8 7",
+    ],
+)
+def test_pseudonyms_of_cards_among_other_digits(text):
+    new, counts = pseudonymise(text)
+    n = text.replace(" ", "").replace("-", "").count("4111111111111111")
+    assert counts == {"card": n} and "4111" not in new and len(new) == len(text)
+    own = pseudonymise("4111111111111111")[0]
+    assert new.replace(" ", "").replace("-", "") == text.replace(" ", "").replace("-", "").replace("4111111111111111", own)
+
+
+@pytest.mark.parametrize("rest", ["", " CARD", " 2024", " 12", " CARD 4111 1111 1111 1111"])
+def test_pseudonyms_of_ibans_before_other_words(rest):
+    iban = "ES91 2100 0418 4502 0005 1332"
+    new, counts = pseudonymise(f"pay {iban}{rest} now")
+    own = pseudonymise(iban)[0]
+    assert own != iban and counts["iban"] == 1 and new.startswith(f"pay {own}{rest[:5]}") and "4111" not in new
+    assert pseudonymise(iban[:-1] + "3" + rest[:5]) == (iban[:-1] + "3" + rest[:5], {})
+
+
+@pytest.mark.parametrize("local", ["иван.петров", "王小明", "ΑΒγδ", "josé.иван", "علي", "token: abcdefghijklm"])
+def test_pseudonyms_of_mail_in_any_script(local):
+    new, counts = pseudonymise(f"mail {local}@ex.org now")
+    own = new.removeprefix("mail ").removesuffix("@ex.org now")
+    assert counts == {"email": 1} and len(own) == len(local)
+    assert own != local and pseudonymise(f"{local}@ex.org")[0] == f"{own}@ex.org"
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 100, 1000])
 def test_permutations(n):
     assert sorted(permute(b"k", "t", x, n) for x in range(n)) == list(range(n))
