@@ -53,18 +53,39 @@ def exon_of(variants: DataFrame, exons: DataFrame, leeway: int = 30) -> DataFram
     return variants.select("variant_id").join(best, "variant_id", "left").select("variant_id", label.alias("exon"))
 
 
-def intron_offset(variants: DataFrame, exons: DataFrame, most: int = 2000) -> DataFrame:
-    """Signed distance to the nearest exon edge of the variants outside all exons, and the coding length up to that exon's
-    end: (variant_id, name, offset, coding). Exons further than `most` away are not looked at."""
+def intron_offset(variants: DataFrame, exons: DataFrame, tile: int = 1 << 16) -> DataFrame:
+    """Signed distance to the nearest exon edge of every variant outside all exons, and the coding length up to that exon's
+    end: (variant_id, name, offset, coding), nulls on a chromosome without exons.
+
+    An as-of step in both directions by sorted unions, inside tiles of `tile` bases; what a tile takes from those before
+    or after it comes from one row a tile.
+    """
     w = Window.partitionBy("chr").orderBy("start_pos", "end_pos", "name").rowsBetween(Window.unboundedPreceding, 0)
     e = exons.withColumn("coding", F.sum(F.col("end_pos") - F.col("start_pos") + 1).over(w))
-    e = e.select("name", "coding", F.col("chr").alias("b_chr"), F.col("start_pos").alias("b_start"), F.col("end_pos").alias("b_end"))
-    outside = in_region(variants, exons, keep=False)
-    v = outside.select("variant_id", "chr", F.col("pos").alias("start_pos"), F.col("pos").alias("end_pos"))
-    off = F.when(F.col("start_pos") > F.col("b_end"), F.col("start_pos") - F.col("b_end")).otherwise(F.col("start_pos") - F.col("b_start"))
-    j = overlap_join(v, e, leeway=most, width=max(512, most)).withColumn("offset", off)
-    best = j.groupBy("variant_id").agg(F.min(F.struct(F.abs("offset").alias("d"), "b_start", "name", "offset", "coding")).alias("x"))
-    return best.select("variant_id", "x.name", "x.offset", "x.coding")
+    v = in_region(variants, exons, keep=False).select("variant_id", "chr", F.col("pos").cast("long").alias("pos"))
+
+    def near(points: DataFrame, edge: str, before: bool) -> DataFrame:
+        """`points` with the exon whose `edge` comes last before pos, or first after it, as (b_start, name, edge, coding)."""
+        best = F.min(F.struct(F.col("start_pos").alias("b_start"), "name", F.col(edge).cast("long").alias("edge"), "coding")).alias("_e")
+        edges = e.groupBy("chr", F.col(edge).cast("long").alias("pos")).agg(best)
+        both = points.withColumn("_e", F.lit(None).cast(edges.schema["_e"].dataType)).unionByName(edges.withColumn("_edge", F.lit(True)), allowMissingColumns=True)
+        both = both.withColumn("_tile", F.floor(F.col("pos") / tile))
+        way = (lambda c: F.col(c)) if before else (lambda c: F.col(c).desc())
+        last = lambda c, w: F.last(c, ignorenulls=True).over(w)
+        pick = F.max_by if before else F.min_by
+        tiles = both.groupBy("chr", "_tile").agg(pick("_e", F.when(F.col("_edge"), F.col("pos"))).alias("_own"))
+        ahead = Window.partitionBy("chr").orderBy(way("_tile")).rowsBetween(Window.unboundedPreceding, -1)
+        tiles = tiles.select("chr", "_tile", last("_own", ahead).alias("_carry"))
+        own = Window.partitionBy("chr", "_tile").orderBy(way("pos")).rowsBetween(Window.unboundedPreceding, 0)
+        out = both.withColumn("_e", last("_e", own)).where("_edge is null").join(tiles, ["chr", "_tile"], "left")
+        return out.withColumn("_e", F.coalesce("_e", "_carry")).drop("_edge", "_tile", "_carry")
+
+    both = near(near(v, "end_pos", True).withColumnRenamed("_e", "_lo"), "start_pos", False).withColumnRenamed("_e", "_hi")
+    side = lambda c: F.when(F.col(c).isNotNull(), F.struct(
+        F.abs(F.col("pos") - F.col(f"{c}.edge")).alias("d"), F.col(f"{c}.b_start"), F.col(f"{c}.name"),
+        (F.col("pos") - F.col(f"{c}.edge")).alias("offset"), F.col(f"{c}.coding"),
+    ))
+    return both.withColumn("x", F.least(side("_lo"), side("_hi"))).select("variant_id", "x.name", "x.offset", "x.coding")
 
 
 def gene_of_gap(gaps: DataFrame, genes: DataFrame, pad: int = 20) -> DataFrame:

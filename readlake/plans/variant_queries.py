@@ -41,6 +41,15 @@ def _(t: Tables):
 o AS (SELECT * FROM fx_variants v WHERE NOT EXISTS (SELECT 1 FROM e t WHERE v.chr = t.chr AND v.pos BETWEEN t.start_pos AND t.end_pos)),
 j AS (SELECT variant_id, c.start_pos AS b, name, coding, CASE WHEN pos > c.end_pos THEN pos - c.end_pos ELSE pos - c.start_pos END AS off FROM o JOIN c ON o.chr = c.chr AND pos BETWEEN c.start_pos - 2000 AND c.end_pos + 2000)
 SELECT variant_id, name, off AS "offset", coding FROM j QUALIFY row_number() OVER (PARTITION BY variant_id ORDER BY abs(off), b, name) = 1""")
+def _(t: Tables):
+    # this SQL asks for exons within 2000 bases only; the next query has all
+    return V.intron_offset(t.fx_variants, _exons(t)).where("abs(offset) <= 2000")
+
+
+@query("V07_intron_offset_any_distance", """WITH e AS (SELECT concat('ex', CAST(target_id AS STRING)) AS name, chr, start_pos, end_pos FROM fx_targets), c AS (SELECT *, CAST(sum(end_pos - start_pos + 1) OVER (PARTITION BY chr ORDER BY start_pos, end_pos, name ROWS UNBOUNDED PRECEDING) AS BIGINT) AS coding FROM e),
+o AS (SELECT * FROM fx_variants v WHERE NOT EXISTS (SELECT 1 FROM e t WHERE v.chr = t.chr AND v.pos BETWEEN t.start_pos AND t.end_pos)),
+j AS (SELECT variant_id, c.start_pos AS b, name, coding, CASE WHEN pos > c.end_pos THEN pos - c.end_pos ELSE pos - c.start_pos END AS off FROM o LEFT JOIN c ON o.chr = c.chr)
+SELECT variant_id, name, off AS "offset", coding FROM j QUALIFY row_number() OVER (PARTITION BY variant_id ORDER BY abs(off), b, name) = 1""")
 def _(t: Tables):
     return V.intron_offset(t.fx_variants, _exons(t))
 

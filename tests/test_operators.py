@@ -229,3 +229,22 @@ def test_streams(spark, tmp_path):
         q.processAllAvailable()
         q.stop()
     assert rows(status.read_facts(spark, str(tmp_path / "facts")).select("file_name", "bases", "q30", "records")) == [("f1", 6, 4, 2)]
+
+
+@pytest.mark.parametrize("tile", [64, 1 << 16])
+def test_intron_offset_equals_the_naive_nearest_exon_at_any_distance(spark, tile):
+    rnd = random.Random(8)
+    e = [(f"e{i}", f"c{i % 2}", s, s + rnd.randrange(300)) for i, s in enumerate(rnd.choices(range(1, 200_000, 50), k=24))] + [("z", "c0", 900_000, 900_009)]
+    e += [("twin", *e[0][1:])]
+    v = [(i, f"c{rnd.randrange(3)}", rnd.randrange(1, 1_000_000, 25)) for i in range(150)]
+    got = rows(variants.intron_offset(iv(spark, v, "variant_id int, chr string, pos long"), iv(spark, e, "name string, chr string, start_pos long, end_pos long"), tile))
+    total, coding = {}, {}
+    for name, c, s, t in sorted(e, key=lambda x: (x[2], x[3], x[0])):
+        coding[name] = total[c] = total.get(c, 0) + t - s + 1
+    want = []
+    for i, c, p in v:
+        own = [x for x in e if x[1] == c]
+        if not any(s <= p <= t for _, _, s, t in own):
+            best = min(((abs(o := p - t if p > t else p - s), s, n, o) for n, _, s, t in own), default=None)
+            want.append((i, *((best[2], best[3], coding[best[2]]) if best else (None,) * 3)))
+    assert got == sorted(want, key=repr) and max(abs(x[2] or 0) for x in got) > 50_000
