@@ -322,3 +322,8 @@ def _(t: Tables):
 o AS (SELECT c.seq, n, coalesce(leader, c.seq) AS leader FROM c LEFT JOIN j ON c.seq = j.seq) SELECT *, sum(n) OVER (PARTITION BY leader)::BIGINT AS size FROM o QUALIFY sum(n) OVER (PARTITION BY leader) >= 3""")
 def _(t: Tables):
     return V.cluster_polish(t.fx_reads.select(F.substring("seq", 1, 8).alias("seq")).where("seq <> ''"))
+
+
+@query("A46_polish_reads")
+def _(t: Tables):
+    return V.polish_reads(t.fx_reads.where("seq <> ''").select("read_id", "seq", F.expr("repeat('I', length(seq))").alias("qual")))

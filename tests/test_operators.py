@@ -248,3 +248,13 @@ def test_intron_offset_equals_the_naive_nearest_exon_at_any_distance(spark, tile
             best = min(((abs(o := p - t if p > t else p - s), s, n, o) for n, _, s, t in own), default=None)
             want.append((i, *((best[2], best[3], coding[best[2]]) if best else (None,) * 3)))
     assert got == sorted(want, key=repr) and max(abs(x[2] or 0) for x in got) > 50_000
+
+
+def test_polish_replaces_the_minority_of_pure_columns(spark):
+    data = [(i, "ACGTACGT", "IIIIIIII") for i in range(100)] + [(100, "ACGTACGA", "ABCDEFGH"), (101, "ANGTACGT", "IIIIIIII"), (102, "GGGGGGGG", "IIIIIIII")]
+    df = iv(spark, data, "read_id int, seq string, qual string")
+    got = {r["read_id"]: (r["leader"], r["seq"], r["qual"]) for r in variants.polish_reads(df).collect()}
+    assert len(got) == 102 and got[0] == ("ACGTACGT", "ACGTACGT", "IIIIIIII")
+    assert got[100] == ("ACGTACGT", "ACGTACGt", "ABCDEFG!") and got[101] == ("ACGTACGT", "AcGTACGT", "I!IIIIII")
+    strict = {r["read_id"]: r["seq"] for r in variants.polish_reads(df, purity=0.995).collect()}
+    assert strict[100] == "ACGTACGA" and strict[101] == "AcGTACGT"
