@@ -4,22 +4,25 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 #: A word is a run of anything but ASCII white space (Java and Python regex).
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
+    """The folder that driver and executors share. One of our own only in a local session where none is set."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        if where is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
 
 
@@ -37,19 +40,45 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one that no column of `df` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def heavy_limit(total: int, parts: int, least: int = 1000) -> int:
+    """Rows beyond which a key is heavy: a quarter of a mean partition. At most 4 x `parts` keys have more."""
+    return max(least, total // (4 * parts))
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: str, rows: str, total: int) -> DataFrame:
+    """Inner join with `right`, one row for each key, where a key may have a large share of the `total` rows of `left`.
+
+    `rows` is the column of `right` that says how many rows of `left` (or more) have the key. Heavy keys are joined by
+    broadcast, at most four for each shuffle partition; only the others are dealt out by key. Both sides are read more
+    than once, so they should be tables.
+    """
+    limit = heavy_limit(total, partitions(left.sparkSession))
+    heavy = right.where(F.col(rows) > limit)
+    if heavy.isEmpty():
+        return left.join(right, on)
+    light = left.join(F.broadcast(heavy.select(on)), on, "left_anti").join(right.where(F.col(rows) <= limit), on)
+    return light.unionByName(left.join(F.broadcast(heavy), on))
+
+
 def with_row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(`_key`, `_id`, `_text`) of every row; `_key` is unique, so rows that repeat an id stay apart.
 
     Where ids are unique and not null (one pass over the id column alone tells), the key is the id itself and no text
-    moves. Otherwise a string key numbers the rows of each id, and the result is cut so that the numbers hold.
+    moves. Otherwise rows are numbered where they lie and written once, so that the numbers hold.
     """
     base = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
     bad = docs.groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 or _id is null")
     if bad.isEmpty():
         return base.select(F.col("_id").alias("_key"), "_id", "_text")
-    order = Window.partitionBy("_id").orderBy(F.xxhash64("_text"), "_text")
-    key = F.concat_ws("#", F.coalesce(F.col("_id").cast("string"), F.lit("null")), F.row_number().over(order).cast("string"))
-    return cut(base.select(key.alias("_key"), "_id", "_text"))
+    return table(base.select(F.monotonically_increasing_id().alias("_key"), "_id", "_text"))
 
 
 def table(df: DataFrame) -> DataFrame:
@@ -58,8 +87,14 @@ def table(df: DataFrame) -> DataFrame:
     The files go when the session's Python process ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/readlake-{uuid.uuid4().hex}"
+    path = own_folder(spark)
     df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def own_folder(spark: SparkSession) -> str:
+    """A new path in the shared folder; what is there goes when the session's Python process ends."""
+    path = f"{shared_dir(spark)}/readlake-{uuid.uuid4().hex}"
 
     def drop() -> None:
         with contextlib.suppress(Exception):
@@ -67,4 +102,4 @@ def table(df: DataFrame) -> DataFrame:
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
     atexit.register(drop)
-    return spark.read.schema(df.schema).parquet(path)
+    return path

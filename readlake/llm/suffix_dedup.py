@@ -122,7 +122,12 @@ def _ranks(groups: list[list[bytes]], gram: int, shallow: int) -> tuple[np.ndarr
 
 
 class ByteWindows:
-    """Windows of bytes; a bucket sorts the suffixes at its anchors and, reversed, what lies before them."""
+    """Windows of bytes; a bucket sorts the suffixes at its anchors and, reversed, what lies before them.
+
+    The suffix order alone tells which strings of a bucket are alike: they come in no order.
+    """
+
+    presorted = False
 
     def __init__(self, window: int, shallow: int) -> None:
         self.window, self.shallow = window, shallow
@@ -184,7 +189,6 @@ def dedup_substrings(
     text_col: str = "text",
     window: int = 200,
     gram: int = 64,
-    long_gram: int = 168,
     shallow: int = 96,
     keep_text: bool = False,
 ) -> DataFrame:
@@ -224,5 +228,5 @@ def dedup_substrings(
     keyed = with_row_key(docs, id_col, text_col)
     kind = keyed.schema["_id"].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    hits = find_repeats(keyed, ByteWindows(window, shallow), gram, long_gram)
+    hits = find_repeats(keyed, ByteWindows(window, shallow), gram)
     return hits.mapInArrow(cut_bytes, schema + (", kept_bytes binary" if keep_text else ""))

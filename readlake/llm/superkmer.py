@@ -38,6 +38,8 @@ def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class WordWindows:
     """Windows of consecutive words; a bucket sorts its windows and looks at neighbours."""
 
+    presorted = True
+
     def __init__(self, window: int) -> None:
         self.window = window
 
@@ -88,15 +90,15 @@ def dedup_word_windows(
     id_col: str = "doc_id",
     text_col: str = "text",
     window: int = 35,
-    gram: int = 8,
-    long_gram: int = 26,
+    gram: int = 10,
     keep_text: bool = False,
 ) -> DataFrame:
     """One row per document: `id_col`, n_words, n_removed, kept_sha256 (and kept_text, the kept words joined by spaces).
 
     A word goes if a window of `window` words that covers it also starts anywhere else, the same document included;
     windows are judged on the input. Consecutive windows that share a minimiser travel as one packed string to its
-    bucket, where sorting counts the windows exactly; minimisers that only one run has stay where they are.
+    bucket, where sorting counts the windows exactly; minimisers that only one run has stay where they are, and runs of
+    a minimiser that very many share are dealt out window by window.
 
     Null texts have no words. Texts shorter than a window lose nothing. Rows that repeat an id are separate documents,
     so rows that repeat wholly lose all their windows. Very long texts give more runs. Extra columns do not matter.
@@ -124,4 +126,4 @@ def dedup_word_windows(
 
     keyed = with_row_key(docs, id_col, text_col)
     schema = f"`{id_col}` {keyed.schema['_id'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string"
-    return find_repeats(keyed, WordWindows(window), gram, long_gram).mapInArrow(cut_words, schema + (", kept_text string" if keep_text else ""))
+    return find_repeats(keyed, WordWindows(window), gram).mapInArrow(cut_words, schema + (", kept_text string" if keep_text else ""))

@@ -13,7 +13,7 @@ from readlake.llm.mixing import apply_mix, mix
 from readlake.llm.order import slots, training_order
 from readlake.llm.packing import pack
 from readlake.llm.pii import luhn_digit, permute, pseudonymise, pseudonymise_documents
-from readlake.llm.repeats import find_repeats
+from readlake.llm.repeats import minimisers
 from readlake.llm.rules import quality_rules
 from readlake.llm.simhash import fingerprint, simhash_dedup
 from readlake.llm.suffix_dedup import dedup_substrings
@@ -152,9 +152,9 @@ REPEATS = (
 )
 
 
-@pytest.mark.parametrize("hot", [20_000, 2])
+@pytest.mark.parametrize("hot", [1000, 2])
 def test_word_windows_against_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr("readlake.llm.superkmer.find_repeats", lambda d, s, g, m: find_repeats(d, s, g, m, hot))
+    monkeypatch.setattr("readlake.llm.repeats.heavy_limit", lambda total, parts, least: hot)
     out = dedup_word_windows(frame(spark, REPEATS)).collect()
     units, drops = _brute([t for _, t in REPEATS], 35, words)
     want = Counter(
@@ -164,9 +164,9 @@ def test_word_windows_against_brute_force(spark, monkeypatch, hot):
     assert sum(sum(d) for d in drops) > 500
 
 
-@pytest.mark.parametrize("hot", [20_000, 2])
+@pytest.mark.parametrize("hot", [1000, 2])
 def test_byte_windows_against_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr("readlake.llm.suffix_dedup.find_repeats", lambda d, s, g, m: find_repeats(d, s, g, m, hot))
+    monkeypatch.setattr("readlake.llm.repeats.heavy_limit", lambda total, parts, least: hot)
     out = dedup_substrings(frame(spark, REPEATS)).collect()
     units, drops = _brute([t for _, t in REPEATS], 200, lambda t: (t or "").encode())
     want = Counter()
@@ -176,6 +176,29 @@ def test_byte_windows_against_brute_force(spark, monkeypatch, hot):
     assert Counter(map(tuple, out)) == want
 
 
+@pytest.mark.parametrize("kind", ["words", "bytes"])
+def test_one_passage_in_many_contexts(spark, kind):
+    """The passage is shorter than a window in half of the texts, so only windows with their context tell what repeats."""
+    rows = [(i, f"{prose(i, 40, 10**6)} {prose(-1, 33 if i % 2 else 60)} {prose(10_000 + i // 3, 40, 10**6)}") for i in range(1200)]
+    docs = frame(spark, rows).repartition(6)
+    out = (dedup_word_windows if kind == "words" else dedup_substrings)(docs).collect()
+    units, drops = _brute([t for _, t in rows], *((35, words) if kind == "words" else (200, lambda t: t.encode())))
+    assert {r["doc_id"]: r["n_removed"] for r in out} == {i: sum(d) for (i, _), d in zip(rows, drops)}
+
+
+def test_minimisers_do_not_depend_on_the_chunk(monkeypatch):
+    rnd = np.random.default_rng(3)
+    h = rnd.integers(0, 2**63, 5000).astype(np.uint64)
+    # hashes that agree in all but their lowest bits, in every order
+    h[100:140] = h[100] ^ rnd.integers(0, 1 << 20, 40).astype(np.uint64)
+    whole = minimisers(h, 30)
+    for a, b in [(90, 150), (95, 4000), (101, 131), (0, 5000)]:
+        assert (minimisers(h[a:b], 30) + a == whole[a : b - 29]).all()
+    monkeypatch.setattr("readlake.llm.repeats._PLACE_BITS", 8)
+    sliced = minimisers(h, 30)
+    assert len(sliced) == len(whole) and (sliced[1000:] == whole[1000:]).mean() > 0.99
+
+
 def test_deep_shallow_sort():
     rnd = np.random.default_rng(2)
     for _ in range(200):
