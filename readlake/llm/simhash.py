@@ -12,13 +12,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, partitions, text_or_empty
+from .common import cut, partitions, spread_join, text_or_empty
 from .components import connected_components
 
 #: Hashes whose bits are counted at once.
 _SLICE = 1 << 15
 #: Variants that one task holds at once; larger buckets are split by further bits.
 _MOST_VARIANTS = 1 << 21
+#: Fingerprints of a bucket beyond which it is dealt out by more bits.
+_MOST_PRINTS = 1 << 16
 
 
 def fingerprint(text: str, words: int = 4) -> int:
@@ -88,13 +90,15 @@ def _stars(fps: np.ndarray, prefix: int, bits: int, half: int) -> tuple[np.ndarr
     return fps[pairs // len(fps)], fps[pairs % len(fps)]
 
 
-def ball_edges(distinct: DataFrame, radius: int = 4) -> DataFrame:
+def ball_edges(distinct: DataFrame, radius: int = 4, most: int = _MOST_PRINTS) -> DataFrame:
     """(a, b): links that connect all fingerprints `fp` at most `radius` (even) bits apart.
 
     Every fingerprint owns the variants within half the radius. They travel packed: a variant's top bits name its
     bucket, each fingerprint is sent once to every bucket that holds one of its variants, and the bucket's task writes
     the variants out, sorts them and verifies the colliding pairs. The bits that name a bucket grow with the number of
-    fingerprints, so a bucket's share stays the same at every size.
+    fingerprints. A bucket with more than `most` of them, as where very many near prints differ in low bits only, is
+    dealt out again by more bits, until none is larger; with all bits a bucket is one variant, which no more
+    fingerprints share than a ball holds.
     """
     if radius % 2:
         raise ValueError("radius must be even")
@@ -103,53 +107,75 @@ def ball_edges(distinct: DataFrame, radius: int = 4) -> DataFrame:
     n = distinct.count()
     bits = min(32, max(6, math.ceil(math.log2(max(1, n * ball / _MOST_VARIANTS)))))
     masks = F.array(*[F.lit(int(m)) for m in _masks(bits, half)])
+    parts = max(partitions(spark), 2)
+
+    def stars(bits: int):  # noqa: ANN202
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, bucket = [], None
+
+            def out() -> Iterator[pa.RecordBatch]:
+                a, b = _stars(np.concatenate(held), bucket, bits, half)
+                near = np.bitwise_count(a ^ b) <= radius
+                if near.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(a[near].view(np.int64)), pa.array(b[near].view(np.int64))], ["a", "b"])
+
+            for batch in batches:
+                keys = batch.column("bucket").to_numpy()
+                fps = batch.column("fp").to_numpy().view(np.uint64)
+                cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1), len(keys)]
+                for i, j in zip(cuts, cuts[1:]):
+                    if i == j:
+                        continue
+                    if bucket is not None and keys[i] != bucket:
+                        yield from out()
+                        held = []
+                    bucket = int(keys[i]) % (1 << 64)
+                    held.append(fps[i:j])
+            if held:
+                yield from out()
+
+        return run
+
     sent = distinct.select(F.explode(masks).alias("mask"), "fp").select(
         F.shiftrightunsigned("fp", 64 - bits).bitwiseXOR(F.col("mask")).alias("bucket"), "fp"
     )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, bucket = [], None
-
-        def out() -> Iterator[pa.RecordBatch]:
-            a, b = _stars(np.concatenate(held), bucket, bits, half)
-            near = np.bitwise_count(a ^ b) <= radius
-            if near.any():
-                yield pa.RecordBatch.from_arrays([pa.array(a[near].view(np.int64)), pa.array(b[near].view(np.int64))], ["a", "b"])
-
-        for batch in batches:
-            keys = batch.column("bucket").to_numpy()
-            fps = batch.column("fp").to_numpy().view(np.uint64)
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1), len(keys)]
-            for i, j in zip(cuts, cuts[1:]):
-                if i == j:
-                    continue
-                if bucket is not None and keys[i] != bucket:
-                    yield from out()
-                    held = []
-                bucket = int(keys[i])
-                held.append(fps[i:j])
-        if held:
-            yield from out()
-
-    dealt = sent.repartition(max(partitions(spark), 2), "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    found = None
+    while True:
+        sizes = sent.groupBy("bucket").count().where(F.col("count") > most)
+        full = bits < 64 and not sizes.isEmpty()
+        # the buckets that are too large: each holds more than `most` of the rows sent
+        over = cut(sizes.select("bucket")) if full else None
+        fits = sent.join(over, "bucket", "left_anti") if full else sent
+        edges = fits.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(stars(bits), "a long, b long")
+        found = edges if found is None else found.union(edges)
+        if not full:
+            return found.distinct()
+        more = min(8, 64 - bits)
+        deeper = F.array(*[F.lit(i) for i in range(1 << more)])
+        bits += more
+        low = F.when(F.lit(bits) == 64, F.col("fp")).otherwise(F.shiftrightunsigned("fp", 64 - bits))
+        sent = sent.join(over, "bucket", "left_semi").select(F.explode(deeper).alias("x"), "bucket", "fp")
+        sent = sent.select(F.shiftleft("bucket", more).bitwiseOR(F.col("x")).alias("bucket"), "fp")
+        sent = cut(sent.where(F.bit_count(F.col("bucket").bitwiseXOR(low)) <= half))
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4) -> DataFrame:
     """One row per document: `id_col`, fingerprint (16 hex digits), component_id (smallest id reachable).
 
-    Rows with the same fingerprint are one node, so copies cost nothing further. Null texts count as empty; texts
-    without a word have fingerprint zero, which links like any other. A component whose ids are all null has a null
-    component_id. Rows that repeat an id each give a row. Extra columns do not matter; an empty table gives none.
+    Rows with the same fingerprint are one node, so copies cost nothing further. Fingerprints that very many rows share,
+    and components of very many fingerprints, are joined by broadcast.
+    Null texts count as empty; texts without a word have fingerprint zero, which links like any other. A component
+    whose ids are all null has a null component_id. Rows that repeat an id each give a row. A very long text is hashed
+    shingle by shingle. Extra columns do not matter; an empty table gives none.
     """
     rows = cut(simhash(docs, id_col, text_col, words))
-    distinct = cut(rows.groupBy("fp").agg(F.min("id").alias("least")))
+    distinct = cut(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")))
     comp = connected_components(ball_edges(distinct.select("fp"), radius))
-    labelled = distinct.join(comp, distinct.fp == comp.node, "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
-    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = labelled.join(least, "component").select("fp", "component_id")
-    return rows.join(named, "fp").select(
+    linked = cut(comp.withColumnRenamed("node", "fp").join(distinct.select("fp", "least"), "fp"))
+    least = cut(linked.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")))
+    linked = spread_join(linked.select("fp", "component"), least, "component", "n", linked.count()).select("fp", "component_id", F.lit(True).alias("in"))
+    named = distinct.join(linked, "fp", "left")
+    named = cut(named.select("fp", "rows", F.when(F.col("in"), F.col("component_id")).otherwise(F.col("least")).alias("component_id")))
+    return spread_join(rows, named, "fp", "rows", rows.count()).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from readlake.llm import entries, packing, suffix_dedup
+from readlake.llm.components import connected_components
 from readlake.llm.classifier import classify_quality, crc_remainder
 from readlake.llm.exact_dedup import exact_dedup
 from readlake.llm.mixing import apply_mix, mix
@@ -15,7 +16,7 @@ from readlake.llm.packing import pack
 from readlake.llm.pii import luhn_digit, permute, pseudonymise, pseudonymise_documents
 from readlake.llm.repeats import minimisers
 from readlake.llm.rules import quality_rules
-from readlake.llm.simhash import fingerprint, simhash_dedup
+from readlake.llm.simhash import ball_edges, fingerprint, simhash_dedup
 from readlake.llm.suffix_dedup import dedup_substrings
 from readlake.llm.superkmer import WordWindows, dedup_word_windows
 from readlake.llm.tokens import cut_points, encoder
@@ -230,6 +231,40 @@ def test_simhash_against_brute_force(spark):
     assert out[201]["component_id"] == 0 and out[203]["component_id"] == 202
 
 
+@pytest.mark.parametrize("most", [1 << 16, 40])
+def test_ball_edges_against_brute_force(spark, most):
+    """Clusters of prints that differ in low bits only, and a hub whose ball is full."""
+    rnd = np.random.default_rng(8)
+    prints = {int(x) for x in rnd.integers(0, 2**64, 60, dtype=np.uint64)}
+    for c in list(prints)[:3]:
+        prints |= {c ^ (1 << int(i)) ^ (1 << int(j)) for i, j in rnd.integers(0, 12, (80, 2))}
+        prints |= {c ^ (1 << int(i)) ^ (1 << int(j)) for i, j in rnd.integers(0, 64, (60, 2))}
+    got = ball_edges(spark.createDataFrame([(x - (x >> 63 << 64),) for x in prints], "fp long"), 4, most).collect()
+    near = {(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 4}
+    links = {tuple(sorted((r["a"] % 2**64, r["b"] % 2**64))) for r in got}
+    assert links <= near
+
+    def parts(edges):
+        root = {x: x for x in prints}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in edges:
+            root[find(a)] = find(b)
+        return Counter(frozenset(x for x in prints if find(x) == r) for r in {find(x) for x in prints})
+
+    assert parts(links) == parts(near)
+
+
+def test_components_of_a_hub_and_a_chain(spark):
+    edges = [(0, i) for i in range(1, 3000)] + [(10_000 + i, 10_001 + i) for i in range(60)] + [(50_000, 50_000), (20_000, 20_001), (20_001, 20_000)]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: 0 if x < 3000 else 10_000 if x < 20_000 else 20_000 for e in edges for x in e if x != 50_000}
+
+
 def test_fingerprint_is_a_majority_of_shingle_hashes(spark):
     text = "A b c d e f g h"
     shingles = [" ".join(text.lower().split()[i : i + 4]) for i in range(5)]
