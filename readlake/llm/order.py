@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-import re
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -14,9 +12,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import shared_dir, text_or_empty
+from .common import own_folder, text_or_empty
 from .tokens import cut_points, encoder
 
 #: Document id, piece and number of ids stand before the ids of a record.
@@ -25,6 +22,8 @@ _NO_ID = -(1 << 63)
 #: Fills a record behind its ids.
 _PAD = 0xFFFF
 _ROUNDS = 6
+#: Records of a shard, about 9 MB of sequences of 256 ids.
+PER_SHARD = 1 << 14
 
 
 def slots(index: np.ndarray, n: int, key: bytes) -> np.ndarray:
@@ -60,72 +59,81 @@ def write_training_order(
     id_col: str = "doc_id",
     text_col: str = "text",
     sequence: int = 256,
-    per_shard: int = 1 << 16,
+    per_shard: int = PER_SHARD,
     end_id: int = 2,
     vocabulary: str = "byte_bpe_50k",
     key: bytes = b"readlake-order",
 ) -> None:
     """Write all documents' sequences in training order under `out_dir`, any path that Spark writes to.
 
-    A document's ids and `end_id` are cut into sequences of at most `sequence` ids. Byte-level ids are no more than
-    bytes, so a first pass over text lengths bounds the sequences of each input partition; those bounds, one number for
-    each, give every sequence an index without moving a row or encoding a text twice. The keyed permutation over the
-    range of the bounds turns the index into a ticket. Tickets are dealt out by equal ranges, about `per_shard`
-    sequences to a shard, and sorted there; a sequence's slot is its rank, the shard's first slot plus its place. Shard
-    k is the k-th file by name. Every record takes stride() bytes, so sizes of files give the first slots, and a reader
-    seeks to any slot and goes on from there. Files are written by Spark's own writer and commit protocol, so lost
-    executors leave no half shards.
-
-    Both passes must find the same rows in a partition, as scans of files do; a partition that outgrows its bound fails.
-    Ids are integers or null; vocabularies have fewer than 65,535 ids. Null texts count as empty and give one sequence
-    with the end id alone. Rows that repeat an id are separate. An empty table writes no record.
+    A document's ids and `end_id` are cut into sequences of at most `sequence` ids. A first pass counts the sequences of
+    each input partition exactly, from remembered lengths of words; the running sums of those counts, one number for
+    each partition and sent once to each executor, give every sequence an index without moving a row. The keyed
+    permutation over the exact number turns the index into the sequence's slot, and division by `per_shard` gives its
+    shard and its place there, so anyone who knows the number and the key can say where a sequence lies without looking.
+    Sequences are dealt out by shard and sorted by slot. Shard k is the k-th file by name; all but the last hold
+    `per_shard` records of stride() bytes, so a reader seeks to any slot and goes on from there. Files are written by
+    Spark's own writer and commit protocol (a record is a line of bytes), so lost executors leave no half shards.
+
+    Both passes must find the same rows in a partition, as scans of files do; a partition that differs fails. Ids of
+    documents are integers or null; ids of tokens must be under 65,535, and others fail. Null texts count as empty and
+    give one sequence with the end id alone. Rows that repeat an id are separate. A very long text is encoded whole by
+    one task, in memory of some times its size. An empty table writes no record.
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    bound = F.ceil((F.octet_length("text") + 1) / sequence)
-    # every document's last sequence is short, and an id of prose stands for more than two bytes
-    likely = F.ceil((F.octet_length("text") / 2.2 + 1) / sequence)
-    found = src.groupBy(F.spark_partition_id().alias("pid")).agg(F.sum(bound), F.sum(likely)).collect()
-    base, n = {}, 0
-    for pid, size, _ in sorted(found):
-        base[pid] = (n, n + size)
-        n += size
-    shards = max(1, -(-sum(r[2] for r in found) // per_shard))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, n = encoder(vocabulary), 0
+        for batch in batches:
+            for t in batch.column("text"):
+                n += -(-(enc.count(t.as_py()) + 1) // sequence)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["pid", "n"])
+
+    # one row for each input partition
+    found = src.select("text").mapInArrow(count, "pid int, n long").toPandas().sort_values("pid")
+    stops = np.zeros(int(found.pid.max()) + 2 if len(found) else 1, np.int64)
+    stops[found.pid.to_numpy() + 1] = found.n.to_numpy()
+    n = int(stops.sum())
+    shards = max(1, -(-n // per_shard))
+    sent = docs.sparkSession.sparkContext.broadcast(np.cumsum(stops))
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(vocabulary), np.array([end_id], "<u4")
         pid = TaskContext.get().partitionId()
-        index, stop = base.get(pid, (0, 0))
+        index, stop = (sent.value[pid : pid + 2].tolist() + [0, 0])[:2] if pid + 1 < len(sent.value) else (0, 0)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, rows = batch.slice(at, 500), []
                 for i, t in zip(part.column("id"), part.column("text")):
                     ids = np.concatenate([np.frombuffer(enc.ids(t.as_py()), "<u4"), end])
+                    if ids.max() >= _PAD:
+                        raise ValueError(f"ids of {vocabulary} do not fit in two bytes")
                     doc = _NO_ID if i.as_py() is None else i.as_py()
                     for k, (s, m) in enumerate(cut_points(len(ids), sequence)):
                         body = np.full(sequence, _PAD, "<u2")
                         body[:m] = ids[s : s + m]
                         rows.append(struct.pack(HEADER, doc, k, m) + body.tobytes())
-                tickets = slots(np.arange(index, index + len(rows), dtype=np.uint64), n, key)
+                slot = slots(np.arange(index, index + len(rows), dtype=np.uint64), n, key)
                 index += len(rows)
                 if index > stop:
                     raise RuntimeError(f"partition {pid} changed between the passes")
-                yield pa.RecordBatch.from_arrays([pa.array(tickets.astype(np.int64)), pa.array(rows, pa.binary())], ["ticket", "record"])
+                yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(rows, pa.binary())], ["slot", "record"])
+        if index != stop:
+            raise RuntimeError(f"partition {pid} changed between the passes")
 
-    per_range = max(1, -(-n // shards))
-    dealt = src.mapInArrow(records, "ticket long, record binary").repartitionById(shards, F.floor(F.col("ticket") / per_range).cast("int"))
-    ordered = dealt.sortWithinPartitions("ticket").select(F.col("record").cast("string").alias("value"))
+    dealt = src.mapInArrow(records, "slot long, record binary").repartitionById(shards, F.floor(F.col("slot") / per_shard).cast("int"))
+    ordered = dealt.sortWithinPartitions("slot").select(F.col("record").cast("string").alias("value"))
     ordered.write.option("compression", "none").text(out_dir)
 
 
-def read_shards(spark: SparkSession, out_dir: str, sequence: int = 256) -> DataFrame:
-    """(slot, shard, position, doc_id, piece, length, ids_crc32) of every record, from the files alone."""
+def read_shards(spark: SparkSession, out_dir: str, sequence: int = 256, per_shard: int = PER_SHARD) -> DataFrame:
+    """(slot, shard, position, doc_id, piece, length, ids_crc32) of every record, from the files alone, a shard to a task at most."""
     step = stride(sequence)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, content in zip(batch.column("shard"), batch.column("content")):
-                raw = content.as_buffer()
-                view = memoryview(raw)
+            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
+                view = memoryview(content.as_buffer())
                 if len(view) % step:
                     raise ValueError(f"shard {shard} is not made of whole records")
                 for at in range(0, len(view) // step, 10_000):
@@ -133,26 +141,23 @@ def read_shards(spark: SparkSession, out_dir: str, sequence: int = 256) -> DataF
                     for k in range(at, min(at + 10_000, len(view) // step)):
                         doc, piece, m = struct.unpack_from(HEADER, view, k * step)
                         ids = np.frombuffer(view, "<u2", m, k * step + struct.calcsize(HEADER)).astype("<u4")
-                        rows.append((shard.as_py(), k, None if doc == _NO_ID else doc, piece, m, zlib.crc32(ids.tobytes())))
-                    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-                    names = ["shard", "position", "doc_id", "piece", "length", "ids_crc32"]
+                        rows.append((shard * per_shard + k, shard, k, None if doc == _NO_ID else doc, piece, m, zlib.crc32(ids.tobytes())))
+                    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+                    names = ["slot", "shard", "position", "doc_id", "piece", "length", "ids_crc32"]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     shard = F.regexp_extract("path", r"part-(\d+)-[^/]*$", 1).cast("int").alias("shard")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(out_dir)
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # one row for each shard
-    first = files.select(shard, (F.col("length") / step).cast("long").alias("n"))
-    first = first.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    rows = files.select(shard, "content").mapInArrow(run, "shard int, position long, doc_id long, piece int, length int, ids_crc32 long")
-    return rows.join(first, "shard").select(
-        (F.col("first") + F.col("position")).alias("slot"), "shard", "position", "doc_id", "piece", "length", "ids_crc32"
-    )
+    schema = "slot long, shard int, position long, doc_id long, piece int, length int, ids_crc32 long"
+    return files.select(shard, "content").mapInArrow(run, schema)
 
 
 def training_order(docs: DataFrame, **options: object) -> DataFrame:
-    """Write the shards to the folder that the cluster shares, and return what they hold: see read_shards()."""
+    """Write the shards to the folder that the cluster shares, and return what they hold: see read_shards().
+
+    The folder goes when the session's Python process ends; write_training_order() writes where one wants to keep it.
+    """
     spark = docs.sparkSession
-    out = f"{shared_dir(spark)}/readlake-order-{uuid.uuid4().hex}"
+    out = own_folder(spark)
     write_training_order(docs, out, **options)
-    return read_shards(spark, out, **{k: v for k, v in options.items() if k == "sequence"})
+    return read_shards(spark, out, **{k: v for k, v in options.items() if k in ("sequence", "per_shard")})
