@@ -115,11 +115,39 @@ def _shallow_tree(grad: np.ndarray, hess: np.ndarray, leaves: int, least: float,
     return out
 
 
+def _pair_tree(grad: np.ndarray, hess: np.ndarray, least: float, smooth: float) -> np.ndarray:
+    """Newton step of a tree of depth two over a table of cells: one cut of the rows or columns and, on either side of
+    it, one cut of the others."""
+
+    def gain(g: np.ndarray, h: np.ndarray) -> np.ndarray:
+        return g**2 / (h + smooth)
+
+    best, out = 1e-9, np.zeros_like(grad)
+    for turned in (False, True):
+        g, h = (grad.T, hess.T) if turned else (grad, hess)
+        cg, ch = (np.pad(x.cumsum(0).cumsum(1), ((1, 0), (1, 0))) for x in (g, h))
+        for cut in range(1, len(g)):
+            total, parts = -gain(cg[-1, -1], ch[-1, -1]), []
+            for lo, hi in ((0, cut), (cut, len(g))):
+                sg, sh = cg[hi] - cg[lo], ch[hi] - ch[lo]
+                split = gain(sg[1:-1], sh[1:-1]) + gain(sg[-1] - sg[1:-1], sh[-1] - sh[1:-1])
+                split[(sh[1:-1] < least) | (sh[-1] - sh[1:-1] < least)] = -1
+                at = int(split.argmax()) + 1 if len(split) and split.max() > gain(sg[-1], sh[-1]) else len(sg) - 1
+                total += gain(sg[at], sh[at]) + gain(sg[-1] - sg[at], sh[-1] - sh[at])
+                parts.append((lo, hi, at, sg[at] / (sh[at] + smooth), (sg[-1] - sg[at]) / (sh[-1] - sh[at] + smooth)))
+            if total > best:
+                best, step = total, np.zeros_like(g)
+                for lo, hi, at, a, b in parts:
+                    step[lo:hi, :at], step[lo:hi, at:] = a, b
+                out = step.T if turned else step
+    return out
+
+
 def fit_gam(
     x: np.ndarray, y: np.ndarray, bins: int = 64, pair_bins: int = 8, pairs: int = 8, rounds: int = 150, rate: float = 0.1, leaves: int = 3
 ) -> Gam:
     """Boost shallow trees over one feature at a time, round after round, so that no feature takes what others explain;
-    then do the same over the pairs of features whose coarse tables explain most of what is left."""
+    then do the same, with trees that cut both, over the pairs of features whose coarse tables explain most of what is left."""
     n, k = x.shape
     p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     edges = _bin_edges(x, bins)
@@ -151,9 +179,10 @@ def fit_gam(
             q = 1 / (1 + np.exp(-z))
             cell = coarse[a] * size[b] + coarse[b]
             g, h = np.bincount(cell, y - q, size[a] * size[b]), np.bincount(cell, q * (1 - q), size[a] * size[b])
-            step = rate * np.clip(g / (h + 5), -4, 4)
-            model.pair_tables[i] += step.reshape(size[a], size[b])
-            z += step[cell]
+            shape = (size[a], size[b])
+            step = rate * np.clip(_pair_tree(g.reshape(shape), h.reshape(shape), 1.0, 1.0), -4, 4)
+            model.pair_tables[i] += step
+            z += step.ravel()[cell]
     return model
 
 
@@ -171,7 +200,8 @@ def fit_quality(
 ) -> Gam:
     """Learn from at most `most_labelled` labelled rows that are not held out, those with the least hash of their id.
 
-    The ids are chosen from the labels alone and sent to the texts (their number is bounded); only features come back.
+    The ids are chosen from the labels alone and sent to the texts (their number is bounded); only features come back,
+    of at most `most_labelled` rows again, however many rows repeat an id.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1) and id is not null")
     known = known.where(~held_out("id")).withColumn("h", F.xxhash64("id")).orderBy("h", "id", "y").limit(most_labelled).select("id", "y")
@@ -182,7 +212,7 @@ def fit_quality(
             yield pd.DataFrame({"id": b["id"], "y": b["y"], "x": list(_matrix(b["text"]))})
 
     schema = f"id {texts.schema['id'].dataType.simpleString()}, y int, x array<double>"
-    sample = texts.mapInPandas(run, schema).toPandas()
+    sample = texts.mapInPandas(run, schema).orderBy(F.xxhash64("id"), "id", "y", "x").limit(most_labelled).toPandas()
     if not len(sample):
         return Gam(0.0, [], [])
     # the same rows in the same order, however Spark dealt them out
