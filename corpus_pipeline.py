@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readlake.llm.classifier import fit_quality, score_column
-from readlake.llm.common import text_or_empty
+from readlake.llm.common import fresh, text_or_empty
 from readlake.llm.exact_dedup import exact_dedup
 from readlake.llm.mixing import apply_mix, mix
 from readlake.llm.packing import pack
@@ -36,8 +36,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id, with all its columns."""
     groups = simhash_dedup(docs)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay"))
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+    name = fresh(docs, "stay")
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name))
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

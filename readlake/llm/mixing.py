@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, cut
+from .common import WORD, cut, fresh, spread_join
 
-#: A side of a join is broadcast only up to this many (narrow) rows; beyond it, Spark joins by a shuffle.
-BROADCAST_ROWS = 50_000
+#: Blocks that a shard has at most, but for one with longer documents; a document looks through its shard's drawn blocks.
+SHARD_BLOCKS = 256
+#: Shards of a group: quotas go to the groups of a source first, then to the shards of each group.
+GROUP_SHARDS = 4096
 
 
 def seeded(seed: str, *cols: Column) -> Column:
@@ -58,13 +60,16 @@ def mix(
 
     `weights` repeat over the sources in code point order, null last. The sources share `share` times all words; no
     target exceeds `most` times its source, and the excess is shared again by weight. The budget is cut into blocks of
-    equal size (`block_words`, less where sources are small), apportioned to the sources and, within a source, to its
-    shards by highest quotients. A source is dealt to as many shards as its size asks for, so a hot source is spread;
-    a shard lays its documents end to end in seeded order. A source's quota gives whole passes (`copies`) over it and a
+    equal size (`block_words`, less where sources are small), apportioned by highest quotients to the sources, within a
+    source to its groups of shards, and within a group to its shards. A source is dealt to as many shards as its words
+    and rows ask for, so a hot source is spread and no task apportions more than GROUP_SHARDS shards; a shard lays its
+    documents end to end in seeded order. A source's quota gives whole passes (`copies`) over it and a
     seeded choice of the blocks of one more, whose words are `ranges` (from, to) of a document.
 
     Null texts have size 0, and so have empty ones: they take nothing. Sources without words have target 0. Rows that
-    repeat an id stay apart and are dealt alike. An empty table gives an empty result. Extra columns do not matter.
+    repeat an id stay apart and are dealt alike. A very long document makes its shard longer. An empty table gives an
+    empty result. Extra columns do not matter. One row for each source, and one for each group of a source's shards,
+    are put in order by one task.
     """
     rows = cut(
         docs.select(
@@ -77,7 +82,7 @@ def mix(
     )
     every = Window.partitionBy(F.lit(1))
     w = F.array(*[F.lit(float(x)) for x in weights])
-    src = rows.groupBy("skey", "source").agg(F.sum("size").alias("source_size"))
+    src = rows.groupBy("skey", "source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
     src = src.withColumn("at", F.row_number().over(every.orderBy(F.col("source").asc_nulls_last())))
     src = src.withColumn("weight", F.get(w, ((F.col("at") - 1) % len(weights)).cast("int")))
     src = src.withColumn("top", (most * F.col("source_size")).cast("double"))
@@ -97,20 +102,23 @@ def mix(
     src = src.withColumn("seats", F.floor(F.col("budget") / F.col("block") + 0.5).cast("long"))
     src = src.withColumn("cap", (most * F.ceil(F.col("source_size") / F.col("block"))).cast("long")).withColumn("all", F.lit(1))
     src = sainte_lague(src, ["all"], ["at"], "target", "seats", "cap")
-    src = src.withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.lit(shard_words))).cast("long"))
-    src = cut(src.select("skey", "source_size", "target", "block", F.col("won").alias("quota"), "n_shards"))
-    few = F.broadcast(src) if src.count() <= BROADCAST_ROWS else src
+    # rows without words take room as well
+    room = F.col("source_size") + 16 * F.col("source_rows")
+    src = src.withColumn("n_shards", F.greatest(F.lit(1), F.ceil(room / F.least(F.lit(shard_words), SHARD_BLOCKS * F.col("block")))).cast("long"))
+    src = cut(src.select("skey", "source_size", "source_rows", "target", "block", F.col("won").alias("quota"), "n_shards"))
 
-    line = rows.join(few, "skey").withColumn("shard", F.col("h") % F.col("n_shards"))
+    line = spread_join(rows, src, "skey", "source_rows", rows.count()).withColumn("shard", F.col("h") % F.col("n_shards"))
     shards = line.groupBy("skey", "shard", "block", "quota").agg(F.sum("size").alias("shard_size"))
     shards = shards.withColumn("blocks", F.ceil(F.col("shard_size") / F.col("block")).cast("long"))
-    own = Window.partitionBy("skey")
-    shards = shards.withColumn("all_blocks", F.sum("blocks").over(own))
+    shards = cut(shards.withColumn("cluster", F.floor(F.col("shard") / GROUP_SHARDS)))
+    groups = shards.groupBy("skey", "cluster", "quota").agg(F.sum("shard_size").alias("group_size"), F.sum("blocks").alias("group_blocks"))
+    groups = groups.withColumn("all_blocks", F.sum("group_blocks").over(Window.partitionBy("skey")))
     passes = F.when(F.col("all_blocks") > 0, F.least(F.floor(F.col("quota") / F.col("all_blocks")), F.lit(most))).otherwise(most)
-    shards = shards.withColumn("copies", passes.cast("long"))
+    groups = groups.withColumn("copies", passes.cast("long"))
     over = F.when(F.col("copies") >= most, 0).otherwise(F.col("quota") - F.col("copies") * F.col("all_blocks"))
-    shards = shards.withColumn("over", over.cast("long"))
-    shards = cut(sainte_lague(shards, ["skey"], ["shard"], "shard_size", "over", "blocks"))
+    groups = sainte_lague(groups.withColumn("over", over.cast("long")), ["skey"], ["cluster"], "group_size", "over", "group_blocks")
+    shards = shards.join(groups.select("skey", "cluster", "copies", F.col("won").alias("over")), ["skey", "cluster"])
+    shards = cut(sainte_lague(shards, ["skey", "cluster"], ["shard"], "shard_size", "over", "blocks"))
 
     chance = seeded(seed, F.col("skey"), F.col("shard"), F.col("b"))
     lots = Window.partitionBy("skey", "shard").orderBy(chance, "b")
@@ -150,26 +158,27 @@ def apply_mix(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", tex
 
     Documents of which nothing is taken go. `decisions` come from mix() over rows with unique ids.
     """
-    d = decisions.where("taken > 0").select(F.col(id_col).alias("_id"), F.col("copies").alias("_c"), F.col("ranges").alias("_r"))
-    j = docs.join(d, F.col(id_col).eqNullSafe(F.col("_id")))
+    key, times, some_of = (fresh(docs, x) for x in ("id_taken", "times_taken", "ranges_taken"))
+    d = decisions.where("taken > 0").select(F.col(id_col).alias(key), F.col("copies").alias(times), F.col("ranges").alias(some_of))
+    j = docs.join(d, F.col(id_col).eqNullSafe(F.col(key)))
     words = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))
     some = F.transform(
         F.array(words),
-        lambda ws: F.transform("_r", lambda r: F.array_join(F.slice(ws, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")), " ")),
+        lambda ws: F.transform(some_of, lambda r: F.array_join(F.slice(ws, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")), " ")),
     )
-    some = F.when(F.size("_r") > 0, some[0]).otherwise(F.array().cast("array<string>"))
-    text = F.array_join(F.concat(F.array_repeat(F.col(text_col), F.col("_c").cast("int")), some), "\n")
+    some = F.when(F.size(some_of) > 0, some[0]).otherwise(F.array().cast("array<string>"))
+    text = F.array_join(F.concat(F.array_repeat(F.col(text_col), F.col(times).cast("int")), some), "\n")
     return j.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 
-#: The same mix for DuckDB: mix() with the parameters of the registered query.
+#: The same mix for DuckDB, for the parameters of the registered query and sources of one group of shards (up to 10^9 words).
 MIX_SQL = r"""
 WITH r AS (
   SELECT doc_id AS id, source, coalesce('s' || source, 'n') AS skey,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS h
   FROM documents),
-s1 AS (SELECT skey, source, sum(size)::BIGINT AS source_size FROM r GROUP BY ALL),
+s1 AS (SELECT skey, source, sum(size)::BIGINT AS source_size, count(*) AS source_rows FROM r GROUP BY ALL),
 s2 AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS pos, 1.5::DOUBLE * sum(source_size) OVER ()::DOUBLE AS budget FROM s1),
 s3 AS (SELECT *, ([5.0, 2.0, 1.0]::DOUBLE[])[((pos - 1) % 3 + 1)::INT] AS weight, (2 * source_size)::DOUBLE AS top FROM s2),
 s4 AS (SELECT *, coalesce(sum(top) OVER b, 0)::DOUBLE AS used0,
@@ -191,7 +200,7 @@ s12 AS (SELECT pos, open, target / (2 * k + 1) AS quotient
 s13 AS (SELECT pos, count(*) AS wins
         FROM (SELECT pos, open, row_number() OVER (ORDER BY quotient DESC, pos) AS rk FROM s12) WHERE rk <= open GROUP BY pos),
 src AS (SELECT s11.skey, source_size, target, block, base + coalesce(wins, 0) AS quota,
-               greatest(1, ceil(source_size / 262144))::BIGINT AS n_shards FROM s11 LEFT JOIN s13 USING (pos)),
+               greatest(1, ceil((source_size + 16 * source_rows) / least(262144, 256 * block)))::BIGINT AS n_shards FROM s11 LEFT JOIN s13 USING (pos)),
 line AS (SELECT r.*, source_size, target, block, quota, h % n_shards AS shard FROM r JOIN src USING (skey)),
 h1 AS (SELECT skey, shard, block, quota, sum(size)::BIGINT AS shard_size, ceil(sum(size) / block)::BIGINT AS blocks
        FROM line GROUP BY skey, shard, block, quota),
