@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import calendar
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from datetime import date, timedelta
+from datetime import date
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "secret", "iban", "ip", "date", "ssn", "phone", "card")
+KINDS = ("email", "secret", "key", "iban", "ip", "date", "ssn", "phone", "card")
 
 #: Demonstration key; pass your own.
 KEY = b"readlake-demonstration-key"
@@ -25,17 +27,23 @@ _LATIN = "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
 _LATIN_UPPER = "".join(map(chr, [*range(0xC0, 0xD7), *range(0xD8, 0xDF)]))
 _CLASSES = (_DIGITS, _LOWER, _LOWER.upper(), _LATIN, _LATIN_UPPER)
 _CLASS = {c: k for k in _CLASSES for c in k}
-_DAY0, _DAYS = date(1900, 1, 1).toordinal(), date(2100, 1, 1).toordinal() - date(1900, 1, 1).toordinal()
+#: Country codes of telephone numbers with one and with two digits; all others have three. Fixed values.
+_ONE_DIGIT = {"1", "7"}
+_TWO_DIGITS = set(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
 
 _PATTERN = re.compile(
     r"""
     (?P<email>[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,})
-  | (?P<secret>\b(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)\b["']?\s*[=:]\s*["']?(?P<secret_value>[A-Za-z0-9+/_-]{12,}))
+  | (?P<secret>\b(?:\w{0,40}[_-])?(?i:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|secret[_-]?key|private[_-]?key)\b["']?
+      (?:\s*(?P<equals>=)\s*|\s*:\s*)(?P<quote>["']?)(?![\w.+-]+@[\w-]+\.)(?P<secret_value>[A-Za-z0-9+/_.~!@\#$%^&*-]*[A-Za-z0-9+/_~!@\#$%^&*-]=*))
+  | (?P<key>\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9]{20,}\b|\bxox[abprs]-[A-Za-z0-9-]{10,}\b)
   | (?P<iban>\b[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?\b)
   | (?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d))
   | (?P<date>(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}(?P<sep>[./])\d{1,2}(?P=sep)\d{4})(?![\d/-]))
   | (?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))
-  | (?P<phone>(?<![\d+])(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\)[ ]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d-]))
+  | (?P<phone>(?<![\d+])(?:(?:\+[1-9]\d{0,2}[ .-]?|00[1-9]\d{0,2}[ .-])(?:\(0\)[ ]?)?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\)[ ]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d-]))
   | (?P<card>(?<!\d)(?:(?<!-)|(?<=\d-))\d(?:[ -]?\d){12})
     """,
     re.VERBOSE,
@@ -60,7 +68,7 @@ _IBAN_LENGTHS = {
     ).split())
     for c in cs.split(",")
 }
-_MAYBE = re.compile(r"[@0-9]|(?i:token|secret|passw|key)")
+_MAYBE = re.compile(r"[@0-9]|(?i:token|secret|passw|pwd|key)|sk-|xox")
 
 
 def permute(key: bytes, tweak: str, x: int, n: int) -> int:
@@ -202,25 +210,55 @@ def _ip(key: bytes, s: str) -> str | None:
     parts = s.split(".")
     if any(int(p) > 255 or str(int(p)) != p for p in parts):
         return None
-    x = permute(key, "ip", int.from_bytes(bytes(map(int, parts)), "big"), 1 << 32)
-    return ".".join(map(str, x.to_bytes(4, "big")))
+    # each part moves among those with as many digits
+    low = [(0, 10, 100)[len(p) - 1] for p in parts]
+    size = [(10, 90, 156)[len(p) - 1] for p in parts]
+    x, n = 0, 1
+    for p, a, m in zip(parts, low, size):
+        x, n = x * m + int(p) - a, n * m
+    x = permute(key, f"ip{low}", x, n)
+    out = []
+    for a, m in zip(reversed(low), reversed(size)):
+        x, r = divmod(x, m)
+        out.append(str(a + r))
+    return ".".join(reversed(out))
+
+
+@lru_cache(maxsize=64)
+def _days(block: int, day_wide: bool, month_wide: bool) -> list[int]:
+    """Of the 200 years from 200 * block - 100: the days whose day and month have two digits or one, as ordinals."""
+    first, last = max(1, 200 * block - 100), min(9999, 200 * block + 99)
+    months = range(10, 13) if month_wide else range(1, 10)
+    out = []
+    for y in range(first, last + 1):
+        for m in months:
+            for d in range(10, calendar.monthrange(y, m)[1] + 1) if day_wide else range(1, 10):
+                out.append(date(y, m, d).toordinal())
+    return out
 
 
 def _date(key: bytes, s: str) -> str | None:
-    """The same day gives the same pseudonym however it is written; day before month, unless only month first is valid."""
+    """The same day gives the same pseudonym however it is written; day before month, unless only month first is valid.
+
+    A day moves within its 200 years (1900 to 2099, and so before and after) and among those whose day and month have as
+    many digits, so every spelling keeps its length.
+    """
     iso, sep = "-" in s, "/" if "/" in s else "."
-    a = [int(p) for p in re.split(r"[./-]", s)]
+    parts = re.split(r"[./-]", s)
+    a = [int(p) for p in parts]
     orders = [(a[0], a[1], a[2])] if iso else [(a[2], a[1], a[0]), (a[2], a[0], a[1])]
     for i, (y, m, d) in enumerate(orders):
         try:
-            day = date(y, m, d).toordinal() - _DAY0
+            day = date(y, m, d).toordinal()
         except ValueError:
             continue
-        if not 0 <= day < _DAYS:
-            return None
-        new = date.fromordinal(_DAY0) + timedelta(permute(key, "date", day, _DAYS))
+        block, kind = (y + 100) // 200, (d > 9, m > 9)
+        days = _days(block, *kind)
+        new = date.fromordinal(days[permute(key, f"date{block}{kind}", bisect_left(days, day), len(days))])
+        if iso:
+            return f"{new.year:04d}-{new.month:02d}-{new.day:02d}"
         first, second = (new.day, new.month) if i == 0 else (new.month, new.day)
-        return new.isoformat() if iso else f"{first:02d}{sep}{second:02d}{sep}{new.year:04d}"
+        return f"{first:0{len(parts[0])}d}{sep}{second:0{len(parts[1])}d}{sep}{new.year:04d}"
     return None
 
 
@@ -234,11 +272,18 @@ def _ssn(key: bytes, s: str) -> str | None:
 
 
 def _phone(key: bytes, s: str) -> str | None:
-    head = re.match(r"\+\d{1,3}(?=[ .(-])|\+\d{2}|", s).group()
+    """The digits after the country code are permuted, so all spellings of a number stay linked; without a code it is 1."""
+    head = re.match(r"\+|00|", s).group()
     d = re.sub(r"\D", "", s[len(head) :])
-    if not 7 <= len(d) <= 13:
+    code = "1"
+    if head:
+        code = d[:1] if d[:1] in _ONE_DIGIT else d[:2] if d[:2] in _TWO_DIGITS else d[:3]
+        keep = re.match(r"(?:\D*\d){%d}(?:[ .-]?\(0\))?" % len(code), s[len(head) :])
+        head += keep.group()
+        d = re.sub(r"\D", "", s[len(head) :])
+    if not 6 <= len(d) <= 13:
         return None
-    return head + _refill(s[len(head) :], str(permute(key, "phone", int(d), 10 ** len(d))).zfill(len(d)))
+    return head + _refill(s[len(head) :], str(permute(key, f"phone{code}", int(d), 10 ** len(d))).zfill(len(d)))
 
 
 def _email(key: bytes, s: str) -> str:
@@ -247,14 +292,26 @@ def _email(key: bytes, s: str) -> str:
 
 
 def _secret(key: bytes, s: str) -> str | None:
-    if re.fullmatch("[0-9a-f]+", s):
+    if re.fullmatch("[0-9a-f]+", s) and re.search("[0-9]", s):
         return _shuffle_classes(key, "hex", s, dict.fromkeys("0123456789abcdef", "0123456789abcdef"))
-    if re.fullmatch("[0-9A-F]+", s):
+    if re.fullmatch("[0-9A-F]+", s) and re.search("[0-9]", s):
         return _shuffle_classes(key, "hex", s, dict.fromkeys("0123456789ABCDEF", "0123456789ABCDEF"))
-    return _shuffle_classes(key, "secret", s) if re.search(r"\d", s) else None
+    return _shuffle_classes(key, "secret", s)
+
+
+def _is_secret(m: re.Match) -> bool:
+    """A value that is assigned, quoted, long or holds a digit; a short plain word after a colon is prose."""
+    value = m.group("secret_value")
+    return bool(m.group("equals") or m.group("quote") or len(value) >= 12 or re.search(r"\d", value))
+
+
+def _key(key: bytes, s: str) -> str:
+    """Keys known by their first letters, which stay."""
+    head = re.match(r"AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-", s).group()
+    return head + _shuffle_classes(key, "secret", s[len(head) :])
 
 
-_MAKERS = {"iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card, "email": _email}
+_MAKERS = {"key": _key, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card, "email": _email}
 
 
 def pseudonymise(text: str, key: bytes = KEY) -> tuple[str, dict[str, int]]:
@@ -268,7 +325,7 @@ def pseudonymise(text: str, key: bytes = KEY) -> tuple[str, dict[str, int]]:
         s, start = m.group(kind), m.start()
         if kind == "secret":
             value = m.group("secret_value")
-            new = _secret(key, value)
+            new = _secret(key, value) if _is_secret(m) else None
             return None if new is None else (s[: len(s) - len(value)] + new, m.end())
         ends = [m.end()]
         if kind == "card":
@@ -303,13 +360,14 @@ def pseudonymise(text: str, key: bytes = KEY) -> tuple[str, dict[str, int]]:
 def pseudonymise_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY) -> DataFrame:
     """One row per document: `id_col`, text (null stays null), n_found and a count n_<kind> for each kind.
 
-    Mail addresses, labelled secrets, IBANs, IPv4 addresses, dates, social security numbers, phone numbers and card
+    Mail addresses (their domain stays), labelled secrets and keys known by their first letters, IBANs, IPv4 addresses, dates, social security numbers, phone numbers and card
     numbers are found by pattern; those with a checksum or a calendar are checked. Where a match fails, shorter spans of
     its digit groups and what begins after its first group are tried; what fails them all stays. Each is
     replaced by a keyed permutation among the values of its own format, with its checksum made anew, so a pseudonym is
     valid and equal values, wherever they stand, have equal pseudonyms. One pass without a shuffle.
 
-    Rows that repeat an id stay apart. Empty and null texts have nothing found. Extra columns do not matter.
+    Rows that repeat an id stay apart. Empty and null texts have nothing found. A very long text is scanned whole by one
+    task. Extra columns do not matter.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

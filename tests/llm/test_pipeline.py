@@ -42,3 +42,28 @@ def test_stages_against_brute_force(spark, sf, tmp_path):
     assert set(mixed) <= set(rows) and abs(sum(len(t.split()) for t in mixed.values()) - 1.5 * total) < 0.01 * total
     assert {r["doc_id"] for r in steps["best-fit packing"].collect()} == set(mixed)
     assert corpus_pipeline.run(spark, sf).count() == steps["best-fit packing"].count()
+
+
+def test_odd_rows_and_clashing_columns(spark, sf, tmp_path):
+    """Nulls, repeated rows, a very long text and extra columns with the names that stages use; then no rows at all."""
+    own = tmp_path / "odd"
+    spark.read.parquet(f"{sf}/labels.parquet").write.parquet(str(own / "labels.parquet"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    good = [r["text"] for r in docs.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("quality = 1").orderBy("doc_id").limit(6).collect()]
+    texts = [None, "", "one", *good, good[0], good[1] + " " + good[2] * 40]
+    rows = [(i, t, None, None if i % 3 else "s", None, "a", "b", "c", "d", "e") for i, t in enumerate(texts)]
+    rows += [rows[4], (None, good[3], "en", "s", 5, "a", "b", "c", "d", "e")]
+    extra = "_id string, _stay string, carry string, stay string, id_taken string"
+    spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {extra}").write.parquet(str(own / "documents.parquet"))
+    d = spark.read.parquet(str(own / "documents.parquet"))
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, d, str(own)).write.parquet(str(own / str(k)))
+        out = spark.read.parquet(str(own / str(k)))
+        assert k == 4 or out.columns == d.columns
+        assert k == 1 or out.count()
+        d = out
+    assert corpus_pipeline.run(spark, str(own)).count() == d.count()
+    none = tmp_path / "none"
+    spark.read.parquet(f"{sf}/labels.parquet").limit(0).write.parquet(str(none / "labels.parquet"))
+    docs.limit(0).write.parquet(str(none / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(none)).count() == 0
