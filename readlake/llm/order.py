@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -14,10 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import own_folder, text_or_empty
-from .tokens import cut_points, encoder
+from .tokens import encoder
 
-#: Document id, piece and number of ids stand before the ids of a record.
-HEADER = "<qii"
 _NO_ID = -(1 << 63)
 #: Fills a record behind its ids.
 _PAD = 0xFFFF
@@ -48,9 +45,9 @@ def slots(index: np.ndarray, n: int, key: bytes) -> np.ndarray:
     return x
 
 
-def stride(sequence: int) -> int:
-    """Bytes from one record of a shard to the next; the last of them is a line feed."""
-    return struct.calcsize(HEADER) + 2 * sequence + 1
+def record(sequence: int) -> np.dtype:
+    """Document id, piece, number of ids and the ids; a line feed ends it, so that sizes and places are multiples of one stride."""
+    return np.dtype([("doc", "<i8"), ("piece", "<i4"), ("n", "<i4"), ("ids", "<u2", (sequence,)), ("end", "u1")])
 
 
 def write_training_order(
@@ -67,12 +64,12 @@ def write_training_order(
     """Write all documents' sequences in training order under `out_dir`, any path that Spark writes to.
 
     A document's ids and `end_id` are cut into sequences of at most `sequence` ids. A first pass counts the sequences of
-    each input partition exactly, from remembered lengths of words; the running sums of those counts, one number for
+    each input partition exactly; the running sums of those counts, one number for
     each partition and sent once to each executor, give every sequence an index without moving a row. The keyed
     permutation over the exact number turns the index into the sequence's slot, and division by `per_shard` gives its
     shard and its place there, so anyone who knows the number and the key can say where a sequence lies without looking.
     Sequences are dealt out by shard and sorted by slot. Shard k is the k-th file by name; all but the last hold
-    `per_shard` records of stride() bytes, so a reader seeks to any slot and goes on from there. Files are written by
+    `per_shard` records of equal size, so a reader seeks to any slot and goes on from there. Files are written by
     Spark's own writer and commit protocol (a record is a line of bytes), so lost executors leave no half shards.
 
     Both passes must find the same rows in a partition, as scans of files do; a partition that differs fails. Ids of
@@ -97,27 +94,39 @@ def write_training_order(
     shards = max(1, -(-n // per_shard))
     sent = docs.sparkSession.sparkContext.broadcast(np.cumsum(stops))
 
+    kind = np.dtype(record(sequence).descr[:-1])
+
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(vocabulary), np.array([end_id], "<u4")
         pid = TaskContext.get().partitionId()
         index, stop = (sent.value[pid : pid + 2].tolist() + [0, 0])[:2] if pid + 1 < len(sent.value) else (0, 0)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                part, rows = batch.slice(at, 500), []
-                for i, t in zip(part.column("id"), part.column("text")):
-                    ids = np.concatenate([np.frombuffer(enc.ids(t.as_py()), "<u4"), end])
+                part = batch.slice(at, 500)
+                texts = [np.concatenate([np.frombuffer(enc.ids(t.as_py()), "<u4"), end]) for t in part.column("text")]
+                pieces = np.array([-(-len(x) // sequence) for x in texts])
+                # the line feed is the writer's
+                rows = np.zeros(pieces.sum(), kind)
+                rows["doc"] = np.repeat(part.column("id").fill_null(_NO_ID).to_numpy(), pieces)
+                rows["n"], rows["ids"], row = sequence, _PAD, 0
+                for ids, k in zip(texts, pieces.tolist()):
                     if ids.max() >= _PAD:
                         raise ValueError(f"ids of {vocabulary} do not fit in two bytes")
-                    doc = _NO_ID if i.as_py() is None else i.as_py()
-                    for k, (s, m) in enumerate(cut_points(len(ids), sequence)):
-                        body = np.full(sequence, _PAD, "<u2")
-                        body[:m] = ids[s : s + m]
-                        rows.append(struct.pack(HEADER, doc, k, m) + body.tobytes())
-                slot = slots(np.arange(index, index + len(rows), dtype=np.uint64), n, key)
-                index += len(rows)
+                    first = len(ids) % sequence
+                    own = rows[row : row + k]
+                    own["piece"] = np.arange(k)
+                    if first:
+                        own["n"][0] = first
+                        own["ids"][0, :first] = ids[:first]
+                    own["ids"][k - len(ids) // sequence :] = ids[first:].reshape(-1, sequence)
+                    row += k
+                slot = slots(np.arange(index, index + row, dtype=np.uint64), n, key)
+                index += row
                 if index > stop:
                     raise RuntimeError(f"partition {pid} changed between the passes")
-                yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(rows, pa.binary())], ["slot", "record"])
+                size = kind.itemsize
+                data = [None, pa.py_buffer(np.arange(0, size * (row + 1), size, dtype=np.int32)), pa.py_buffer(rows.tobytes())]
+                yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.BinaryArray.from_buffers(pa.binary(), row, data)], ["slot", "record"])
         if index != stop:
             raise RuntimeError(f"partition {pid} changed between the passes")
 
@@ -128,23 +137,29 @@ def write_training_order(
 
 def read_shards(spark: SparkSession, out_dir: str, sequence: int = 256, per_shard: int = PER_SHARD) -> DataFrame:
     """(slot, shard, position, doc_id, piece, length, ids_crc32) of every record, from the files alone, a shard to a task at most."""
-    step = stride(sequence)
+    kind = record(sequence)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
-                view = memoryview(content.as_buffer())
-                if len(view) % step:
+                view = content.as_buffer()
+                if view.size % kind.itemsize:
                     raise ValueError(f"shard {shard} is not made of whole records")
-                for at in range(0, len(view) // step, 10_000):
-                    rows = []
-                    for k in range(at, min(at + 10_000, len(view) // step)):
-                        doc, piece, m = struct.unpack_from(HEADER, view, k * step)
-                        ids = np.frombuffer(view, "<u2", m, k * step + struct.calcsize(HEADER)).astype("<u4")
-                        rows.append((shard * per_shard + k, shard, k, None if doc == _NO_ID else doc, piece, m, zlib.crc32(ids.tobytes())))
-                    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-                    names = ["slot", "shard", "position", "doc_id", "piece", "length", "ids_crc32"]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                whole = np.frombuffer(view, kind)
+                for at in range(0, len(whole), 10_000):
+                    rows = whole[at : at + 10_000]
+                    place = np.arange(at, at + len(rows))
+                    ids = rows["ids"].astype("<u4")
+                    cols = [
+                        pa.array(shard * per_shard + place),
+                        pa.array(np.full(len(rows), shard, np.int32)),
+                        pa.array(place),
+                        pa.array(rows["doc"], mask=rows["doc"] == _NO_ID),
+                        pa.array(rows["piece"]),
+                        pa.array(rows["n"]),
+                        pa.array([zlib.crc32(x[:m]) for x, m in zip(ids, rows["n"].tolist())], pa.int64()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(cols, ["slot", "shard", "position", "doc_id", "piece", "length", "ids_crc32"])
 
     shard = F.regexp_extract("path", r"part-(\d+)-[^/]*$", 1).cast("int").alias("shard")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(out_dir)

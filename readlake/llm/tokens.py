@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,7 +37,6 @@ class _Chunks(dict):
         added = sorted(t.content for t in self.exact.get_added_tokens_decoder().values())
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.fast = None
-        self.lengths = _Lengths(lambda chunk: len(self._chunk(chunk)) // 4)
         if ranks_path:
             import tiktoken
 
@@ -48,9 +47,6 @@ class _Chunks(dict):
     def _exact(self, text: str) -> bytes:
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        return np.array(self.fast(chunk), "<u4").tobytes() if self.fast and _PLAIN.fullmatch(chunk) else self._exact(chunk)
-
     def __missing__(self, chunk: str) -> bytes:
         out = self._exact(chunk)
         if len(self) < _MOST_KEPT:
@@ -58,10 +54,10 @@ class _Chunks(dict):
         return out
 
     def count(self, text: str) -> int:
-        """How many ids a text has, without making them where its chunks are remembered."""
-        if (self.added and self.added.search(text)) or _ODD.search(text):
-            return len(self._exact(text)) // 4
-        return sum(map(self.lengths.__getitem__, _CHUNK.findall(text)))
+        """How many ids a text has."""
+        if self.fast and _PLAIN.fullmatch(text) and not (self.added and self.added.search(text)):
+            return len(self.fast(text))
+        return len(self.ids(text)) // 4
 
     def ids(self, text: str) -> bytes:
         if self.added and self.added.search(text):
@@ -73,19 +69,6 @@ class _Chunks(dict):
         return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
 
 
-class _Lengths(dict):
-    """Numbers of ids of chunks."""
-
-    def __init__(self, encode: Callable[[str], int]) -> None:
-        self.encode = encode
-
-    def __missing__(self, chunk: str) -> int:
-        n = self.encode(chunk)
-        if len(self) < _MOST_KEPT:
-            self[chunk] = n
-        return n
-
-
 @lru_cache(maxsize=2)
 def encoder(name: str = "byte_bpe_50k") -> _Chunks:
     """The encoder of one vocabulary of `public_tokenizers`, or of a path to a tokenizers JSON file; one for each worker.
