@@ -46,7 +46,7 @@ def quantiles(df: DataFrame, keys: list[str], x: str) -> DataFrame:
 
 
 def trimmed_mean(df: DataFrame, keys: list[str], x: str, lower: float, upper: float | None = None) -> DataFrame:
-    """Mean without the lowest `lower` and the highest `upper` share of values."""
+    """Mean without the lowest `lower` and the highest `upper` share of values; null where nothing is left."""
     upper = lower if upper is None else upper
     w = Window.partitionBy(*keys)
     r = df.select(*keys, F.col(x).cast("double").alias("_x")).where("_x is not null")
@@ -55,14 +55,14 @@ def trimmed_mean(df: DataFrame, keys: list[str], x: str, lower: float, upper: fl
     r = r.withColumn("_n", F.sum("_c").over(w)).withColumn("_upto", F.sum("_c").over(w.orderBy("_x")))
     low, high = F.floor(F.col("_n") * lower), F.col("_n") - F.floor(F.col("_n") * upper)
     n = F.greatest(F.lit(0), F.least("_upto", high) - F.greatest(F.col("_upto") - F.col("_c"), low))
-    return r.groupBy(*keys).agg((F.sum(n * F.col("_x")) / F.sum(n)).alias("trimmed_mean"))
+    return r.groupBy(*keys).agg(F.try_divide(F.sum(n * F.col("_x")), F.sum(n)).alias("trimmed_mean"))
 
 
 def other_means(df: DataFrame, keys: list[str], x: str) -> DataFrame:
     """Harmonic mean (null with a value near zero), geometric mean (null with a negative one), mode (null if all differ)."""
     c = F.col(x).cast("double")
     means = df.groupBy(*keys).agg(
-        F.when(F.min(F.abs(c)) > 1e-12, F.count(c) / F.sum(1 / c)).alias("harmonic"),
+        F.when(F.min(F.abs(c)) > 1e-12, F.try_divide(F.count(c), F.sum(F.try_divide(F.lit(1.0), c)))).alias("harmonic"),
         F.when(F.min(c) > 0, F.exp(F.avg(F.ln(c)))).when(F.min(c) == 0, 0.0).alias("geometric"),
     )
     counts = df.groupBy(*keys, c.alias("_x")).agg(F.count(F.lit(1)).alias("_c")).where("_x is not null")
@@ -80,11 +80,16 @@ def shape(df: DataFrame, keys: list[str], x: str) -> DataFrame:
 
 
 def chi_square(df: DataFrame, keys: list[str], observed: str, expected: str | None = None) -> DataFrame:
-    """Goodness of fit of the `observed` counts of a group to equal or given `expected` frequencies: (stat, df, p)."""
+    """Goodness of fit of the `observed` counts of a group to equal or given `expected` frequencies: (stat, df, p).
+
+    Nothing observed where nothing is expected adds nothing; something observed there makes the statistic infinite.
+    """
     w = Window.partitionBy(*keys)
-    share = F.col(expected) / F.sum(expected).over(w) if expected else F.lit(1.0) / F.count(F.lit(1)).over(w)
+    share = F.try_divide(F.col(expected), F.sum(expected).over(w)) if expected else F.lit(1.0) / F.count(F.lit(1)).over(w)
     e = df.withColumn("_e", share * F.sum(observed).over(w))
-    out = e.groupBy(*keys).agg(F.sum((F.col(observed) - F.col("_e")) ** 2 / F.col("_e")).alias("stat"), (F.count(F.lit(1)) - 1).alias("df"))
+    none = F.when(F.col(observed) == 0, 0.0).otherwise(float("inf"))
+    part = F.when(F.col("_e") == 0, none).otherwise(F.try_divide((F.col(observed) - F.col("_e")) ** 2, F.col("_e")))
+    out = e.groupBy(*keys).agg(F.sum(part).alias("stat"), (F.count(F.lit(1)) - 1).alias("df"))
     return out.withColumn("p", chi_square_tail(F.col("stat"), F.col("df")))
 
 
@@ -92,6 +97,8 @@ def _upper_gamma(a: float, x: float) -> float:
     """Regularised upper incomplete gamma function."""
     if x <= 0:
         return 1.0
+    if math.isinf(x):
+        return 0.0
     front = math.exp(a * math.log(x) - x - math.lgamma(a))
     if x < a + 1:
         term = total = 1 / a
@@ -142,11 +149,11 @@ def chi_square_critical(p: pd.Series, df: pd.Series) -> pd.Series:
 
 
 def frequency(df: DataFrame, keys: list[str], x: str, bins: int) -> DataFrame:
-    """Counts of values up to each of `bins` equal upper limits between least and most: (limit, n), empty bins with 0."""
+    """Counts of values up to each of `bins` equal upper limits between least and most: (limit, n), empty bins with 0; equal values are in bin 1."""
     c = F.col(x).cast("double")
     ends = df.groupBy(*keys).agg(F.min(c).alias("_lo"), F.max(c).alias("_hi")).withColumn("_step", (F.col("_hi") - F.col("_lo")) / bins)
     values = df.groupBy(*keys, c.alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
-    k = F.greatest(F.lit(1), F.ceil((F.col("_x") - F.col("_lo")) / F.col("_step")))
+    k = F.greatest(F.lit(1), F.ceil(F.try_divide(F.col("_x") - F.col("_lo"), F.col("_step"))))
     n = values.join(ends, keys).groupBy(*keys, F.coalesce(F.least(k, F.lit(bins)), F.lit(1)).alias("bin")).agg(F.sum("_c").alias("n"))
     grid = ends.withColumn("bin", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(bins).cast("long"))))
     limit = (F.col("_lo") + F.col("bin") * F.col("_step")).alias("limit")
@@ -161,17 +168,17 @@ def frequency_by_limits(df: DataFrame, keys: list[str], x: str, limits: list[flo
 
 
 def least_squares(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    """Intercept, slope, r and root mean square of the residuals of y on x."""
+    """Intercept, slope, r and root mean square of the residuals of y on x; nulls where x, and r where y, does not vary."""
     a, b = F.col(x).cast("double"), F.col(y).cast("double")
     s = df.where(a.isNotNull() & b.isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum(a).alias("sx"), F.sum(b).alias("sy"), F.sum(a * a).alias("sxx"), F.sum(a * b).alias("sxy"), F.sum(b * b).alias("syy")
     )
     n, sx, sy, sxx, sxy, syy = (F.col(k) for k in ("n", "sx", "sy", "sxx", "sxy", "syy"))
-    slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
+    slope = F.try_divide(n * sxy - sx * sy, n * sxx - sx * sx)
     s = s.withColumn("slope", slope).withColumn("intercept", (sy - F.col("slope") * sx) / n)
-    s = s.withColumn("r", (n * sxy - sx * sy) / F.sqrt((n * sxx - sx * sx) * (n * syy - sy * sy)))
+    s = s.withColumn("r", F.try_divide(n * sxy - sx * sy, F.sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))))
     left = syy - F.col("intercept") * sy - F.col("slope") * sxy
-    return s.select(*keys, "n", "intercept", "slope", "r", F.sqrt(F.greatest(F.lit(0.0), left) / n).alias("rms"))
+    return s.select(*keys, "n", "intercept", "slope", "r", F.when(left.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), left) / n)).alias("rms"))
 
 
 def human_count(x: Column) -> Column:

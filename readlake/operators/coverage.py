@@ -41,7 +41,7 @@ def depth_bins(depth: DataFrame, targets: DataFrame) -> DataFrame:
     empty = total.crossJoin(seg.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))).select(F.lit("0").alias("bin"), (F.col("total") - F.col("n")).alias("n"))
     both = seg.unionByName(empty).groupBy("bin").agg(F.sum("n").alias("bases"))
     # at most six rows against one
-    return both.crossJoin(total).select("bin", "bases", (F.col("bases") * 100 / F.col("total")).alias("pct"))
+    return both.crossJoin(total).select("bin", "bases", F.try_divide(F.col("bases") * 100, F.col("total")).alias("pct"))
 
 
 def covered_bases(depth: DataFrame, targets: DataFrame) -> DataFrame:
@@ -135,8 +135,9 @@ def fetch_depths(depth: DataFrame, regions: DataFrame) -> DataFrame:
         regions.select("target_id", F.col("chr").alias("t_chr"), F.col("start_pos").alias("t_start"), F.col("end_pos").alias("t_end")),
         depth, ("t_chr", "t_start", "t_end"), ("chr", "start_pos", "end_pos"),
     )
+    j = j.where("t_start <= t_end and start_pos <= end_pos")
     have = j.select("target_id", F.explode(F.sequence(F.greatest("t_start", "start_pos"), F.least("t_end", "end_pos"))).alias("pos"), "depth")
-    grid = regions.select("target_id", F.explode(F.sequence("start_pos", "end_pos")).alias("pos"))
+    grid = regions.where("start_pos <= end_pos").select("target_id", F.explode(F.sequence("start_pos", "end_pos")).alias("pos"))
     return grid.join(have, ["target_id", "pos"], "left").select("target_id", "pos", F.coalesce("depth", F.lit(0)).alias("depth"))
 
 

@@ -11,7 +11,7 @@ BROADCAST_BARCODES = 100_000
 
 
 def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if len(df.limit(BROADCAST_BARCODES + 1).take(BROADCAST_BARCODES + 1)) <= BROADCAST_BARCODES else df
+    return F.broadcast(df) if df.limit(BROADCAST_BARCODES + 1).count() <= BROADCAST_BARCODES else df
 
 
 def hamming(a: Column, b: Column) -> Column:

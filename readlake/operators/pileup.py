@@ -188,7 +188,7 @@ def noise_index(alignments: DataFrame) -> DataFrame:
         F.sum(F.when(gap, F.col("n"))).alias("gap"), F.sum(F.when(F.col("op") == "M", F.col("n"))).alias("match"),
         F.count_if(gap).alias("gap_blocks"), F.count_if(F.col("op") == "M").alias("match_blocks"),
     )
-    return s.withColumn("noise", F.col("gap") * 100 / F.col("match") * F.col("gap_blocks") / F.col("match_blocks"))
+    return s.withColumn("noise", F.try_divide(F.try_divide(F.col("gap") * 100, F.col("match")) * F.col("gap_blocks"), F.col("match_blocks")))
 
 
 #: The standard genetic code: amino acids of the codons in order T, C, A, G at each place; * ends.

@@ -130,7 +130,7 @@ def lane_stats(reads: DataFrame) -> DataFrame:
     s = reads.groupBy("lane", "sample").agg(
         F.count(F.lit(1)).alias("reads"), F.sum("pf").alias("pf_reads"), F.sum("bases").alias("bases"), F.sum("q30_bases").alias("q30_bases")
     )
-    return s.withColumn("pct_of_lane", F.col("pf_reads") * 100 / F.sum("pf_reads").over(Window.partitionBy("lane")))
+    return s.withColumn("pct_of_lane", F.try_divide(F.col("pf_reads") * 100, F.sum("pf_reads").over(Window.partitionBy("lane"))))
 
 
 def lane_rollup(reads: DataFrame) -> DataFrame:
@@ -164,20 +164,61 @@ def file_summary(reads: DataFrame) -> DataFrame:
     return reads.groupBy("file_name").agg(F.count(F.lit(1)).alias("records"), F.min_by(F.length("seq"), "read_id").alias("first_length"))
 
 
-#: Limits of a metric's lamp: (metric, platform, green from, yellow from, higher is better).
+#: Lamps of a metric by platform: (metric, platform, light, lowest, whether that counts, highest, whether that counts);
+#: a platform of None is any. Fixed values.
 LIGHTS = [
-    ("q30", "hiseq", 80.0, 70.0, True), ("q30", "miseq", 75.0, 65.0, True), ("mappability", "hiseq", 90.0, 80.0, True),
-    ("duplicates", "hiseq", 5.0, 10.0, False), ("duplicates", "miseq", 8.0, 12.0, False), ("partial_adaptors", "hiseq", 2.0, 5.0, False),
-]
+    ("q30", "SOLID", "green", 25.0, False, None, False),
+    ("q30", "SOLID", "yellow", 15.0, True, 25.0, True),
+    ("q30", "SOLID", "red", None, False, 15.0, False),
+    ("mappability", "SOLID", "green", 40.0, False, None, False),
+    ("mappability", "SOLID", "yellow", 20.0, True, 40.0, True),
+    ("mappability", "SOLID", "red", None, False, 20.0, False),
+    ("q30", "ILLUMINA", "green", 90.0, False, None, False),
+    ("q30", "ILLUMINA", "yellow", 70.0, True, 90.0, True),
+    ("q30", "ILLUMINA", "red", None, False, 70.0, False),
+    ("mappability", "ILLUMINA", "green", 95.0, False, None, False),
+    ("mappability", "ILLUMINA", "yellow", 70.0, True, 95.0, True),
+    ("mappability", "ILLUMINA", "red", None, False, 70.0, False),
+    ("duplicates", "ILLUMINA", "green", None, False, 1.0, False),
+    ("duplicates", "ILLUMINA", "yellow", 1.0, True, 10.0, True),
+    ("duplicates", "ILLUMINA", "red", 10.0, False, None, False),
+    ("partial_adaptors", "ILLUMINA", "green", None, False, 1.0, False),
+    ("partial_adaptors", "ILLUMINA", "yellow", 1.0, True, 10.0, True),
+    ("partial_adaptors", "ILLUMINA", "red", 10.0, False, None, False),
+    ("q30", "TORRENT", "green", 20.0, False, None, False),
+    ("q30", "TORRENT", "yellow", 15.0, True, 20.0, True),
+    ("q30", "TORRENT", "red", None, False, 10.0, False),
+    ("mappability", "TORRENT", "green", 95.0, False, None, False),
+    ("mappability", "TORRENT", "yellow", 70.0, True, 95.0, True),
+    ("mappability", "TORRENT", "red", None, False, 70.0, False),
+    ("duplicates", "TORRENT", "green", None, False, 1.0, False),
+    ("duplicates", "TORRENT", "yellow", 1.0, True, 10.0, True),
+    ("duplicates", "TORRENT", "red", 10.0, False, None, False),
+    ("partial_adaptors", "TORRENT", "green", None, False, 1.0, False),
+    ("partial_adaptors", "TORRENT", "yellow", 1.0, True, 10.0, True),
+    ("partial_adaptors", "TORRENT", "red", 10.0, False, None, False),
+    ("mean_ac", None, "green", 45.0, True, 55.0, True),
+    ("mean_ac", None, "yellow", 40.0, False, 45.0, False),
+    ("mean_ac", None, "yellow", 55.0, False, 60.0, False),
+    ("mean_ac", None, "red", None, False, 40.0, False),
+    ("mean_ac", None, "red", 60.0, False, None, False),
+]
 
 
 def traffic_light(values: DataFrame, limits: list[tuple] = LIGHTS) -> DataFrame:
-    """`values` (metric, platform, value, ...) with `light`: green, yellow or red by a table of limits, grey without one."""
-    t = values.sparkSession.createDataFrame(limits, "metric string, platform string, _g double, _y double, _up boolean")
-    better = lambda x: F.when(F.col("_up"), F.col("value") >= x).otherwise(F.col("value") <= x)
-    light = F.when(F.col("_g").isNull(), "grey").when(better(F.col("_g")), "green").when(better(F.col("_y")), "yellow").otherwise("red")
-    # the table of limits is a literal of a few rows
-    return values.join(F.broadcast(t), ["metric", "platform"], "left").withColumn("light", light).drop("_g", "_y", "_up")
+    """`values` (metric, platform, value, ...) with `light`: green, yellow or red by a table of limits; null where no limit
+    speaks of a value, and for values of zero or null, which mean that nothing was measured."""
+    light = F.lit(None).cast("string")
+    for metric, platform, name, low, has_low, high, has_high in limits:
+        hit = (F.col("metric") == metric) & (F.col("value") != 0)
+        if platform is not None:
+            hit = hit & (F.col("platform") == platform)
+        if low is not None:
+            hit = hit & (F.col("value") >= low if has_low else F.col("value") > low)
+        if high is not None:
+            hit = hit & (F.col("value") <= high if has_high else F.col("value") < high)
+        light = F.when(hit, name).otherwise(light)
+    return values.withColumn("light", light)
 
 
 def amplicon_zygosity(reads: DataFrame, key: str = "file_name") -> DataFrame:

@@ -40,8 +40,10 @@ def stamp_to_timestamp(stamp: Column) -> Column:
 
 
 def upsert(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """`table` in which `rows` replace what has the same keys. Keys are unique in each of the two."""
-    return table.join(rows.select(*keys), keys, "left_anti").unionByName(rows.select(*table.columns))
+    """`table` in which `rows` replace what has the same keys, nulls among them. Keys are unique in each of the two."""
+    new = rows.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = [table[k].eqNullSafe(new[f"_new_{k}"]) for k in keys]
+    return table.join(new, same, "left_anti").unionByName(rows.select(*table.columns))
 
 
 def newest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -92,7 +94,7 @@ def database_totals(files: DataFrame) -> DataFrame:
 def lane_split(files: DataFrame) -> DataFrame:
     """Each sample's share of its lane's reads: (lane, sid, reads, pct)."""
     s = files.groupBy("lane", "sid").agg(F.sum("total_reads").alias("reads"))
-    return s.withColumn("pct", F.col("reads") * 100 / F.sum("reads").over(Window.partitionBy("lane")))
+    return s.withColumn("pct", F.try_divide(F.col("reads") * 100, F.sum("reads").over(Window.partitionBy("lane"))))
 
 
 def run_summary(stats: DataFrame) -> DataFrame:

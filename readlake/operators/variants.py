@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.maps import last_wins
 from .intervals import in_region, overlap_join
 from .reads import reverse_complement
 
 
 def info_map(info: Column) -> Column:
-    """INFO as a map; a bare flag has a null value."""
-    return F.str_to_map(info, F.lit(";"), F.lit("="))
+    """INFO as a map; a bare flag has a null value, and of a key that repeats the last value counts."""
+    value = lambda x: F.when(F.contains(x, F.lit("=")), F.regexp_extract(x, "^[^=]*=(.*)$", 1))
+    return last_wins(F.transform(F.split(info, ";"), lambda x: F.named_struct(F.lit("key"), F.substring_index(x, "=", 1), F.lit("value"), value(x))))
 
 
 def info_matrix(variants: DataFrame, keys: list[str]) -> DataFrame:
@@ -23,11 +28,12 @@ def info_matrix(variants: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def metric_histogram(values: DataFrame, x: str, group: str, bins: int) -> DataFrame:
-    """Shares of each group by equal-width bins over all values: (group, bin from 1, n, pct)."""
+    """Shares of each group by equal-width bins over all values: (group, bin from 1, n, pct). Equal values are in bin 1."""
     ends = values.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    at = F.least(F.floor((F.col(x) - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo"))) + 1, F.lit(bins))
+    at = F.coalesce(F.floor(F.try_divide((F.col(x) - F.col("_lo")) * bins, F.col("_hi") - F.col("_lo"))) + 1, F.lit(1))
+    at = F.least(at, F.lit(bins))
     # one row with the ends
-    h = values.crossJoin(F.broadcast(ends)).groupBy(group, F.coalesce(at, F.lit(1)).cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    h = values.crossJoin(F.broadcast(ends)).groupBy(group, at.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return h.withColumn("pct", F.col("n") * 100 / F.sum("n").over(Window.partitionBy(group)))
 
 
@@ -116,7 +122,8 @@ def subtract_background(variants: DataFrame, background: DataFrame) -> DataFrame
     return variants.join(background.select("chr", "pos"), ["chr", "pos"], "left_anti")
 
 
-HARMFUL = ("ESSENTIAL_SPLICE_SITE", "STOP_GAINED", "COMPLEX_INDEL", "FRAMESHIFT_CODING", "NON_SYNONYMOUS_CODING")
+#: Effects that count as harmful. Fixed values.
+HARMFUL = ("ESSENTIAL_SPLICE_SITE", "NON_SYNONYMOUS_CODING", "SPLICE_SITE", "STOP_GAINED", "STOP_LOST")
 
 
 def harmful(report: DataFrame) -> DataFrame:
@@ -132,9 +139,9 @@ def common_in_all(report: DataFrame) -> DataFrame:
 
 
 def rare(report: DataFrame, most_pct: float = 10, least_n: int = 30) -> DataFrame:
-    """Rows without a population figure (`freq` as n/per cent), or seen in more than `least_n` and below `most_pct`."""
+    """Rows without a population figure (`freq` as n/fraction), or of more than `least_n` samples and below `most_pct` per cent."""
     p = F.split("freq", "/")
-    return report.where(F.col("freq").isNull() | (F.col("freq") == "") | ((F.get(p, 0).try_cast("double") > least_n) & (F.get(p, 1).try_cast("double") < most_pct)))
+    return report.where(F.col("freq").isNull() | (F.col("freq") == "") | ((F.get(p, 0).try_cast("double") > least_n) & (F.get(p, 1).try_cast("double") * 100 < most_pct)))
 
 
 def novel(report: DataFrame) -> DataFrame:
@@ -155,16 +162,34 @@ def zygosity_pattern(report: DataFrame, homozygous: list[str], heterozygous: lis
 
 def shared_candidates(report: DataFrame, background: DataFrame, homozygous: list[str], heterozygous: list[str]) -> DataFrame:
     """Harmful in all files, rare, not known, not in the background, with the zygosity pattern: one plan."""
-    r = harmful(report).join(common_in_all(report), ["chr", "pos"], "left_semi")
-    r = subtract_background(novel(rare(r)), background)
-    return r.join(zygosity_pattern(report, homozygous, heterozygous), ["chr", "pos"], "left_semi")
+    return _candidate_steps(report, background, homozygous, heterozygous)[-1][1]
+
+
+def _candidate_steps(report: DataFrame, background: DataFrame, homozygous: list[str], heterozygous: list[str]) -> list[tuple[str, DataFrame]]:
+    shared = harmful(report).join(common_in_all(report), ["chr", "pos"], "left_semi")
+    seldom = rare(shared)
+    unknown = novel(seldom)
+    own = subtract_background(unknown, background)
+    last = own.join(zygosity_pattern(report, homozygous, heterozygous), ["chr", "pos"], "left_semi")
+    return [("shared", shared), ("rare", seldom), ("novel", unknown), ("not in background", own), ("zygosity", last)]
+
+
+def shared_candidate_counts(report: DataFrame, background: DataFrame, homozygous: list[str], heterozygous: list[str]) -> DataFrame:
+    """(step, nth, places): how many places are left after each step of shared_candidates()."""
+    counts = [
+        d.select("chr", "pos").distinct().agg(F.count(F.lit(1)).alias("places")).select(F.lit(name).alias("step"), F.lit(i).alias("nth"), "places")
+        for i, (name, d) in enumerate(_candidate_steps(report, background, homozygous, heterozygous), 1)
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def genotype(info: Column) -> Column:
-    """HOMO, HET or UNKNOWN: by AF 1 or .5 where it is given, else by the second AC count as a share of DP."""
+    """HOMO, HET or UNKNOWN: by AF 1 or .5 where it is given, else by the first of two AC counts as a share of DP; UNKNOWN
+    also where neither tells."""
     m = info_map(info)
     af = F.element_at(m, "AF").try_cast("double")
-    share = F.get(F.split(F.element_at(m, "AC"), ","), 1).try_cast("double") * 100 / F.element_at(m, "DP").try_cast("double")
+    first = F.regexp_extract(F.element_at(m, "AC"), r"^(\d+),\d+$", 1).try_cast("double")
+    share = F.try_divide(first * 100, F.element_at(m, "DP").try_cast("double"))
     return (
         F.when(af == 1, "HOMO").when(af == 0.5, "HET").when(af.isNotNull(), "UNKNOWN")
         .when(share > 75, "HOMO").when(share > 35, "HET").otherwise("UNKNOWN")
@@ -222,23 +247,49 @@ def hgvs_report(rows: DataFrame, most: int = 30) -> DataFrame:
     return r.where(F.col("_p.base").isNotNull() & (F.abs("_p.offset") <= most)).select(*rows.columns, "_p.base", "_p.offset")
 
 
-#: Named site filters by preset: a site fails a filter where the condition holds; an absent value passes.
-PRESETS: dict[str, dict[str, tuple[str, str, float]]] = {
-    "wgs": {"LowDepth": ("DP", "<", 10), "LowQual": ("QD", "<", 2), "Strand": ("FS", ">", 60)},
-    "exon": {"LowDepth": ("DP", "<", 20), "LowQual": ("QD", "<", 2), "Strand": ("FS", ">", 60)},
-    "indel": {"LowQual": ("QD", "<", 2), "ReadPos": ("ReadPosRankSum", "<", -20), "Inbreeding": ("InbreedingCoeff", "<", -0.8), "Strand": ("FS", ">", 200)},
+#: Named site filters by preset, as conditions over INFO values and QUAL; a site fails a filter where its condition holds,
+#: and what is absent makes no condition hold. Fixed values.
+PRESETS: dict[str, dict[str, str]] = {
+    "wgs": {
+        "shallow20": "DP < 20",
+        "StdFilter": "AB > 0.75 AND DP > 40 OR DP > 100 OR MQ0 > 40 OR SB > -0.10",
+        "HARD_TO_VALIDATE": "MQ0 >= 4 AND try_divide(MQ0, DP) > 0.1",
+    },
+    "wgs-low": {
+        "shallow5": "DP < 5",
+        "HARD_TO_VALIDATE": "MQ0 >= 4 AND try_divide(MQ0, DP) > 0.1",
+    },
+    "exon": {
+        "shallow20": "DP < 20",
+        "StddFilter": "QUAL < 30.0 OR QD < 5.0 OR HRun > 5 OR SB > -0.10",
+        "HARD_TO_VALIDATE": "MQ0 >= 4 AND try_divide(MQ0, DP) > 0.1",
+    },
+    "exon-low": {
+        "shallow5": "DP < 5",
+        "StdFilter": "QUAL < 30.0 OR QD < 5.0 OR HRun > 5 OR SB > -0.10",
+        "HARD_TO_VALIDATE": "MQ0 >= 4 AND try_divide(MQ0, DP) > 0.1",
+    },
+    "indel": {
+        "LowQual": "QD < 2",
+        "ReadPos": "ReadPosRankSum < -20",
+        "Inbreeding": "InbreedingCoeff < -0.8",
+        "Strand": "FS > 200",
+    },
 }
 
 
 def site_filter(variants: DataFrame, preset: str) -> DataFrame:
     """`variants` whose filter is PASS or the names of the preset's filters that they fail, joined by ;."""
+    conditions = PRESETS[preset]
+    keys = sorted({k for c in conditions.values() for k in re.findall(r"\b[A-Z][A-Za-z0-9]*\b", c)} - {"AND", "OR", "QUAL"})
     m = info_map(F.col("info"))
+    qual = F.col("qual").cast("double") if "qual" in variants.columns else F.lit(None).cast("double")
+    own = variants.withColumn("_row", F.struct(*[F.element_at(m, k).try_cast("double").alias(k) for k in keys], qual.alias("QUAL")))
     fails = []
-    for name, (key, op, x) in PRESETS[preset].items():
-        v = F.element_at(m, key).try_cast("double")
-        fails.append(F.when(v < x if op == "<" else v > x, F.lit(name)))
+    for name, c in conditions.items():
+        fails.append(F.when(F.expr(re.sub(r"\b(%s)\b" % "|".join([*keys, "QUAL"]), r"_row.\1", c)), F.lit(name)))
     names = F.array_join(F.array_compact(F.array(*fails)), ";")
-    return variants.withColumn("filter", F.when(names == "", "PASS").otherwise(names))
+    return own.withColumn("filter", F.when(names == "", "PASS").otherwise(names)).drop("_row")
 
 
 def select_type(variants: DataFrame, kind: str) -> DataFrame:
@@ -246,29 +297,80 @@ def select_type(variants: DataFrame, kind: str) -> DataFrame:
     return variants.where(same if kind == "SNP" else ~same)
 
 
-#: Ranks of effects, the gravest highest.
-EFFECT_RANK = {
-    "STOP_GAINED": 12, "FRAMESHIFT_CODING": 11, "ESSENTIAL_SPLICE_SITE": 10, "NON_SYNONYMOUS_CODING": 9, "SPLICE_SITE": 8,
-    "SYNONYMOUS_CODING": 7, "5PRIME_UTR": 6, "3PRIME_UTR": 5, "INTRONIC": 4, "UPSTREAM": 3, "DOWNSTREAM": 2, "INTERGENIC": 1,
-}
+#: Ranks of effects for the one that stands for a place. Fixed values.
+TOP_RANK = {
+    "ESSENTIAL_SPLICE_SITE": 10,
+    "STOP_GAINED": 10,
+    "STOP_LOST": 10,
+    "COMPLEX_INDEL": 10,
+    "FRAMESHIFT_CODING": 10,
+    "NON_SYNONYMOUS_CODING": 10,
+    "SPLICE_SITE": 8,
+    "PARTIAL_CODON": 8,
+    "SYNONYMOUS_CODING": 1,
+    "REGULATORY_REGION": 3,
+    "WITHIN_MATURE_miRNA": 3,
+    "5PRIME_UTR": 1,
+    "3PRIME_UTR": 1,
+    "UTR": 1,
+    "INTRONIC": 1,
+    "NMD_TRANSCRIPT": 1,
+    "WITHIN_NON_CODING_GENE": 5,
+    "UPSTREAM": 2,
+    "DOWNSTREAM": 2,
+    "HGMD_MUTATION": 10,
+    "INTERGENIC": 0,
+    "NO_CONSEQUENCE": 0,
+}
+
+#: Ranks of effects for the order of a report. Fixed values.
+REPORT_RANK = {
+    "ESSENTIAL_SPLICE_SITE": 10,
+    "STOP_GAINED": 10,
+    "STOP_LOST": 10,
+    "COMPLEX_INDEL": 10,
+    "FRAMESHIFT_CODING": 10,
+    "NON_SYNONYMOUS_CODING": 10,
+    "HGMD_MUTATION": 0,
+    "SPLICE_SITE": 8,
+    "PARTIAL_CODON": 8,
+    "SYNONYMOUS_CODING": 5,
+    "REGULATORY_REGION": 3,
+    "WITHIN_MATURE_miRNA": 3,
+    "5PRIME_UTR": 1,
+    "3PRIME_UTR": 1,
+    "UTR": 1,
+    "INTRONIC": 1,
+    "NMD_TRANSCRIPT": 1,
+    "WITHIN_NON_CODING_GENE": 1,
+    "UPSTREAM": 2,
+    "DOWNSTREAM": 2,
+    "INTERGENIC": 2,
+    "NO_CONSEQUENCE": 0,
+}
 
 
-def effect_rank(effect: Column) -> Column:
-    m = F.create_map(*[F.lit(x) for kv in EFFECT_RANK.items() for x in kv])
+def effect_rank(effect: Column, ranks: dict[str, int]) -> Column:
+    m = F.create_map(*[F.lit(x) for kv in ranks.items() for x in kv])
     return F.coalesce(F.element_at(m, effect), F.lit(0))
 
 
 def top_effect_per_position(report: DataFrame, least: int = 5) -> DataFrame:
-    """The gravest effect of each place, of at least rank `least`; ties by variant_id."""
+    """The gravest effect of each place, of at least rank `least`, its gene up to the first /; ties by variant_id."""
     w = Window.partitionBy("chr", "pos").orderBy(F.col("_rank").desc(), "variant_id")
-    r = report.withColumn("_rank", effect_rank(F.col("effect"))).where(F.col("_rank") >= least)
-    return r.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "_rank")
+    r = report.withColumn("_rank", effect_rank(F.col("effect"), TOP_RANK)).where(F.col("_rank") >= least)
+    r = r.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "_rank")
+    return r.withColumn("gene", F.substring_index("gene", "/", 1)) if "gene" in report.columns else r
 
 
 def order_effects(report: DataFrame) -> DataFrame:
-    """`report` (..., transcript) with `nth` within its place: other transcripts before ENST ones before none, then by effect."""
-    kind = F.when(F.col("transcript").isNull(), 2).when(F.col("transcript").startswith("ENST"), 1).otherwise(0)
-    w = Window.partitionBy("chr", "pos").orderBy(kind, effect_rank(F.col("effect")).desc(), "variant_id")
+    """`report` (..., gene_id, transcript) with `nth` within its place: what neither ENSG nor ENST names, then what an ENST
+    alone names, then the rest; inside each by the effect's rank, a missing effect as INTERGENIC."""
+    gene = F.coalesce("gene_id", F.lit("")).rlike(r"^ENSG\d+")
+    transcript = F.coalesce("transcript", F.lit("")).rlike(r"^ENST\d+")
+    kind = F.when(~gene & ~transcript, 0).when(~gene, 1).otherwise(2)
+    rank = effect_rank(F.coalesce("effect", F.lit("INTERGENIC")), REPORT_RANK)
+    w = Window.partitionBy("chr", "pos").orderBy(kind, rank.desc(), "variant_id")
     return report.withColumn("nth", F.row_number().over(w))
 
 
@@ -379,8 +481,9 @@ def variation_report(variants: DataFrame, targets: DataFrame, known: DataFrame,
     """
     v = in_region(variants, targets)
     v = annotate_known(v, known).withColumn("genotype", genotype(F.col("info")))
-    v = v.join(exon_of(v, exons), "variant_id").withColumn("transcript", F.col("rs"))
-    return order_effects(v).drop("transcript")
+    v = v.join(exon_of(v, exons), "variant_id")
+    lacks = [c for c in ("gene_id", "transcript") if c not in v.columns]
+    return order_effects(v.withColumns({c: F.lit(None).cast("string") for c in lacks}) if lacks else v).drop(*lacks)
 
 
 def anchored_pairs(alignments: DataFrame, max_n: float = 0.1, min_len: int = 22, edits_per: int = 20, min_mapq: int = 20) -> DataFrame:

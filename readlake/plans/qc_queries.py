@@ -152,8 +152,13 @@ def _(t: Tables):
     return Q.file_summary(t.fx_reads)
 
 
-@query("V21_traffic_light", """SELECT fid, metric, value, CASE WHEN metric = 'q30' THEN CASE WHEN value >= 80 THEN 'green' WHEN value >= 70 THEN 'yellow' ELSE 'red' END
-ELSE CASE WHEN value <= 5 THEN 'green' WHEN value <= 10 THEN 'yellow' ELSE 'red' END END AS light FROM (SELECT fid, 'q30' AS metric, q30_bases AS value FROM fx_files UNION ALL SELECT fid, 'duplicates', duplicates FROM fx_files)""")
-def _(t: Tables):
-    f = t.fx_files.selectExpr("fid", "'hiseq' AS platform", "stack(2, 'q30', q30_bases, 'duplicates', duplicates) AS (metric, value)")
-    return Q.traffic_light(f).select("fid", "metric", "value", "light")
+@query("V21_traffic_light", """SELECT fid, metric, value, CASE WHEN value = 0 THEN NULL
+WHEN metric = 'q30' THEN CASE WHEN value > 90 THEN 'green' WHEN value >= 70 THEN 'yellow' ELSE 'red' END
+WHEN metric = 'mappability' THEN CASE WHEN value > 95 THEN 'green' WHEN value >= 70 THEN 'yellow' ELSE 'red' END
+WHEN metric = 'mean_ac' THEN CASE WHEN value BETWEEN 45 AND 55 THEN 'green' WHEN value > 40 AND value < 60 THEN 'yellow' WHEN value < 40 OR value > 60 THEN 'red' END
+ELSE CASE WHEN value < 1 THEN 'green' WHEN value <= 10 THEN 'yellow' ELSE 'red' END END AS light
+FROM (SELECT fid, 'q30' AS metric, q30_bases AS value FROM fx_files UNION ALL SELECT fid, 'duplicates', duplicates FROM fx_files UNION ALL SELECT fid, 'partial_adaptors', duplicates / 4 FROM fx_files
+UNION ALL SELECT fid, 'mappability', q30_bases FROM fx_files UNION ALL SELECT fid, 'mean_ac', q30_bases - 30 FROM fx_files)""")
+def _(t: Tables):
+    f = "stack(5, 'q30', q30_bases, 'duplicates', duplicates, 'partial_adaptors', duplicates / 4, 'mappability', q30_bases, 'mean_ac', q30_bases - 30) AS (metric, value)"
+    return Q.traffic_light(t.fx_files.selectExpr("fid", "'ILLUMINA' AS platform", f)).select("fid", "metric", "value", "light")

@@ -12,7 +12,9 @@ from .registry import Tables, query
 _KNOWN = "k AS (SELECT chr, pos, min(row(rs, hgmd, flags)) AS x FROM fx_known_snps GROUP BY 1, 2)"
 _GENO = "CASE WHEN info LIKE '%AF=1.00' THEN 'HOMO' WHEN info LIKE '%AF=0.50' THEN 'HET' ELSE 'UNKNOWN' END"
 _ON = "v.chr = t.chr AND v.pos BETWEEN t.start_pos AND t.end_pos"
-_RANK = "CASE {e} " + " ".join(f"WHEN '{k}' THEN {r}" for k, r in V.EFFECT_RANK.items()) + " ELSE 0 END"
+#: Effects of all weights, by variant.
+_EFFECT = "CASE variant_id % 11 WHEN 0 THEN 'STOP_LOST' WHEN 1 THEN 'NON_SYNONYMOUS_CODING' WHEN 2 THEN 'SPLICE_SITE' WHEN 3 THEN 'SYNONYMOUS_CODING' WHEN 4 THEN 'COMPLEX_INDEL' WHEN 5 THEN 'UPSTREAM' WHEN 6 THEN '3PRIME_UTR' WHEN 7 THEN 'WITHIN_NON_CODING_GENE' WHEN 8 THEN 'ESSENTIAL_SPLICE_SITE' WHEN 9 THEN 'HGMD_MUTATION' ELSE 'STOP_GAINED' END"
+_ALL = f"(SELECT variant_id, file_name, chr, pos, info, {_EFFECT} AS effect FROM fx_variants)"
 
 
 def _exons(t: Tables) -> DataFrame:
@@ -79,14 +81,18 @@ def _(t: Tables):
     return V.subtract_background(t.fx_variants, t.fx_known_snps).select("variant_id")
 
 
-_TWO = "(SELECT variant_id, CASE WHEN variant_id % 2 = 0 THEN 'a' ELSE 'b' END AS file_name, chr, pos, effect, info FROM fx_variants)"
+_TWO = f"(SELECT variant_id, CASE WHEN variant_id % 2 = 0 THEN 'a' ELSE 'b' END AS file_name, chr, pos, {_EFFECT} AS effect, info FROM fx_variants)"
 
 
 def _two(t: Tables) -> DataFrame:
-    return t.fx_variants.withColumn("file_name", F.expr("IF(variant_id % 2 = 0, 'a', 'b')")).withColumn("genotype", V.genotype(F.col("info")))
+    return _all(t).withColumn("file_name", F.expr("IF(variant_id % 2 = 0, 'a', 'b')")).withColumn("genotype", V.genotype(F.col("info")))
 
 
-_HARM = "effect IN ('ESSENTIAL_SPLICE_SITE','STOP_GAINED','COMPLEX_INDEL','FRAMESHIFT_CODING','NON_SYNONYMOUS_CODING')"
+def _all(t: Tables) -> DataFrame:
+    return t.fx_variants.withColumn("effect", F.expr(_EFFECT))
+
+
+_HARM = "effect IN ('ESSENTIAL_SPLICE_SITE', 'NON_SYNONYMOUS_CODING', 'SPLICE_SITE', 'STOP_GAINED', 'STOP_LOST')"
 
 
 @query("J18_common_in_all", f"SELECT chr, pos FROM {_TWO} WHERE {_HARM} GROUP BY 1, 2 HAVING count(DISTINCT file_name) = 2")
@@ -94,17 +100,17 @@ def _(t: Tables):
     return V.common_in_all(_two(t))
 
 
-@query("V11_harmful", f"SELECT variant_id FROM fx_variants WHERE {_HARM}")
+@query("V11_harmful", f"SELECT variant_id FROM {_ALL} WHERE {_HARM}")
 def _(t: Tables):
-    return V.harmful(t.fx_variants).select("variant_id")
+    return V.harmful(_all(t)).select("variant_id")
 
 
 _FREQ = "SELECT o_orderkey AS variant_id, CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE concat(CAST(o_custkey % 60 AS STRING), '/', CAST(o_orderkey % 25 AS STRING)) END AS freq FROM orders"
 
 
-@query("V12_rare", "SELECT o_orderkey AS variant_id FROM orders WHERE o_custkey % 4 = 0 OR (o_custkey % 60 > 30 AND o_orderkey % 25 < 10)")
+@query("V12_rare", "SELECT o_orderkey AS variant_id FROM orders WHERE o_custkey % 4 = 0 OR (o_custkey % 60 > 30 AND o_orderkey % 25 / 100.0::DOUBLE * 100 < 10)")
 def _(t: Tables):
-    r = t.orders.selectExpr("o_orderkey AS variant_id", "IF(o_custkey % 4 = 0, NULL, concat(CAST(o_custkey % 60 AS STRING), '/', CAST(o_orderkey % 25 AS STRING))) AS freq")
+    r = t.orders.selectExpr("o_orderkey AS variant_id", "IF(o_custkey % 4 = 0, NULL, concat(CAST(o_custkey % 60 AS STRING), '/', CAST(o_orderkey % 25 / 100.0D AS STRING))) AS freq")
     return V.rare(r).select("variant_id")
 
 
@@ -133,9 +139,21 @@ def _(t: Tables):
     return V.shared_candidates(r, t.fx_targets.select("chr", F.col("start_pos").alias("pos")), ["a"], ["b"]).select("variant_id")
 
 
-@query("V01_genotype", f"SELECT variant_id, {_GENO} AS genotype FROM fx_variants")
+@query("V15_step_counts", f"""WITH z AS ({_ZYG}), c AS (SELECT chr, pos FROM {_TWO} WHERE {_HARM} GROUP BY 1, 2 HAVING count(DISTINCT file_name) = 2),
+b AS (SELECT c.*, EXISTS (SELECT 1 FROM fx_targets t WHERE t.chr = c.chr AND t.start_pos = c.pos) AS bg, (chr, pos) IN (SELECT (chr, pos) FROM z) AS zy FROM c)
+SELECT 'shared' AS step, 1::INT AS nth, count(*) AS places FROM b UNION ALL SELECT 'rare', 2, count(*) FILTER (pos % 3 <> 0) FROM b UNION ALL SELECT 'novel', 3, count(*) FILTER (pos % 3 <> 0 AND pos % 5 <> 0) FROM b
+UNION ALL SELECT 'not in background', 4, count(*) FILTER (pos % 3 <> 0 AND pos % 5 <> 0 AND NOT bg) FROM b UNION ALL SELECT 'zygosity', 5, count(*) FILTER (pos % 3 <> 0 AND pos % 5 <> 0 AND NOT bg AND zy) FROM b""")
+def _(t: Tables):
+    r = _two(t).withColumn("freq", F.expr("IF(pos % 3 = 0, '40/0.2', '40/0.05')")).withColumn("rs", F.expr("IF(pos % 5 = 0, 'rs1', '')"))
+    return V.shared_candidate_counts(r, t.fx_targets.select("chr", F.col("start_pos").alias("pos")), ["a"], ["b"])
+
+
+@query("V01_genotype", """WITH v AS (SELECT o_orderkey AS variant_id, o_orderkey % 5 AS k, o_custkey % 90 AS dp, o_custkey % 77 AS one FROM orders)
+SELECT variant_id, CASE k WHEN 0 THEN 'HOMO' WHEN 1 THEN 'HET' WHEN 2 THEN 'UNKNOWN' WHEN 3 THEN CASE WHEN dp > 0 AND one * 100 > 75 * dp THEN 'HOMO' WHEN dp > 0 AND one * 100 > 35 * dp THEN 'HET' ELSE 'UNKNOWN' END ELSE 'UNKNOWN' END AS genotype FROM v""")
 def _(t: Tables):
-    return t.fx_variants.select("variant_id", V.genotype(F.col("info")).alias("genotype"))
+    tail = "CASE o_orderkey % 5 WHEN 0 THEN ';AF=1.00' WHEN 1 THEN ';AF=0.50;AC=0,9' WHEN 2 THEN ';AF=0.33' WHEN 3 THEN concat(';AC=', CAST(o_custkey % 77 AS STRING), ',', CAST(o_orderkey % 50 AS STRING)) ELSE ';AC=7' END"
+    v = t.orders.selectExpr("o_orderkey AS variant_id", f"concat('DP=1;DP=', CAST(o_custkey % 90 AS STRING), {tail}) AS info")
+    return v.select("variant_id", V.genotype(F.col("info")).alias("genotype"))
 
 
 @query("V02_genotype_by_copies", "SELECT variant_id, CASE variant_id % 3 WHEN 1 THEN 'HET' WHEN 2 THEN 'HOMO' END AS genotype FROM fx_variants")
@@ -167,17 +185,44 @@ def _(t: Tables):
     return V.hgvs_report(t.orders.selectExpr("o_orderkey AS id", f"{h} AS hgvs")).select("id", "base", "offset")
 
 
-_INFO = "concat('DP=', CAST(o_custkey % 90 AS STRING), CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE concat(';QD=', CAST(o_orderkey % 5 AS STRING)) END, ';FS=', CAST(o_custkey % 300 AS STRING))"
+_INFO = "concat('DP=', CAST(o_custkey % 130 AS STRING), CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE concat(';QD=', CAST(o_orderkey % 9 AS STRING)) END, ';FS=', CAST(o_custkey % 300 AS STRING), ';MQ0=', CAST(o_orderkey % 50 AS STRING), ';AB=0.', CAST(10 + o_custkey % 90 AS STRING), CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE concat(';SB=-0.', CAST(o_orderkey % 3 AS STRING)) END, ';HRun=', CAST(o_custkey % 8 AS STRING))"
+_SITE = "(SELECT o_orderkey AS variant_id, o_custkey % 130 AS dp, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 9 END AS qd, o_custkey % 300 AS fs, o_orderkey % 50 AS mq0, (10 + o_custkey % 90) / 100.0::DOUBLE AS ab, CASE WHEN o_orderkey % 3 <> 0 THEN -(o_orderkey % 3) / 10.0::DOUBLE END AS sb, o_custkey % 8 AS hrun, o_totalprice / 1000 AS q FROM orders)"
+_HARD = "CASE WHEN mq0 >= 4 AND dp > 0 AND mq0 / dp::DOUBLE > 0.1::DOUBLE THEN 'HARD_TO_VALIDATE' END"
+_STD_EXON = "q < 30.0::DOUBLE OR coalesce(qd < 5, false) OR hrun > 5 OR coalesce(sb > -0.10::DOUBLE, false)"
+_STD_WGS = "(ab > 0.75::DOUBLE AND dp > 40) OR dp > 100 OR mq0 > 40 OR coalesce(sb > -0.10::DOUBLE, false)"
+
+
+def _site_sql(*parts: str) -> str:
+    return f"WITH f AS (SELECT variant_id, concat_ws(';', {', '.join(parts)}) AS f FROM {_SITE}) SELECT variant_id, CASE WHEN f = '' THEN 'PASS' ELSE f END AS filter FROM f"
+
+
+def _sites(t: Tables) -> DataFrame:
+    return t.orders.selectExpr("o_orderkey AS variant_id", "o_totalprice / 1000 AS qual", f"{_INFO} AS info")
+
+
+@query("V08_site_filter", _site_sql("CASE WHEN dp < 20 THEN 'shallow20' END", f"CASE WHEN {_STD_EXON} THEN 'StddFilter' END", _HARD))
+def _(t: Tables):
+    return V.site_filter(_sites(t), "exon").select("variant_id", "filter")
+
+
+@query("V08_site_filter_exon_low", _site_sql("CASE WHEN dp < 5 THEN 'shallow5' END", f"CASE WHEN {_STD_EXON} THEN 'StdFilter' END", _HARD))
+def _(t: Tables):
+    return V.site_filter(_sites(t), "exon-low").select("variant_id", "filter")
 
 
-@query("V08_site_filter", """WITH f AS (SELECT o_orderkey AS variant_id, concat_ws(';', CASE WHEN o_custkey % 90 < 20 THEN 'LowDepth' END, CASE WHEN o_orderkey % 4 <> 0 AND o_orderkey % 5 < 2 THEN 'LowQual' END, CASE WHEN o_custkey % 300 > 60 THEN 'Strand' END) AS f FROM orders) SELECT variant_id, CASE WHEN f = '' THEN 'PASS' ELSE f END AS filter FROM f""")
+@query("V08_site_filter_wgs", _site_sql("CASE WHEN dp < 20 THEN 'shallow20' END", f"CASE WHEN {_STD_WGS} THEN 'StdFilter' END", _HARD))
 def _(t: Tables):
-    return V.site_filter(t.orders.selectExpr("o_orderkey AS variant_id", f"{_INFO} AS info"), "exon").select("variant_id", "filter")
+    return V.site_filter(_sites(t), "wgs").select("variant_id", "filter")
 
 
-@query("V09_indel_filter", """WITH f AS (SELECT o_orderkey AS variant_id, concat_ws(';', CASE WHEN o_orderkey % 4 <> 0 AND o_orderkey % 5 < 2 THEN 'LowQual' END, CASE WHEN o_custkey % 300 > 200 THEN 'Strand' END) AS f FROM orders) SELECT variant_id, CASE WHEN f = '' THEN 'PASS' ELSE f END AS filter FROM f""")
+@query("V08_site_filter_wgs_low", _site_sql("CASE WHEN dp < 5 THEN 'shallow5' END", _HARD))
 def _(t: Tables):
-    return V.site_filter(t.orders.selectExpr("o_orderkey AS variant_id", f"{_INFO} AS info"), "indel").select("variant_id", "filter")
+    return V.site_filter(_sites(t), "wgs-low").select("variant_id", "filter")
+
+
+@query("V09_indel_filter", _site_sql("CASE WHEN qd < 2 THEN 'LowQual' END", "CASE WHEN fs > 200 THEN 'Strand' END"))
+def _(t: Tables):
+    return V.site_filter(_sites(t), "indel").select("variant_id", "filter")
 
 
 @query("V10_select_type", "SELECT variant_id FROM fx_variants WHERE variant_id % 5 <> 0")
@@ -185,23 +230,37 @@ def _(t: Tables):
     return V.select_type(t.fx_variants.withColumn("alt", F.expr("IF(variant_id % 5 = 0, concat(alt, 'A'), alt)")), "SNP").select("variant_id")
 
 
-@query("W10_top_effect", f"SELECT variant_id, chr, pos, effect FROM fx_variants WHERE {_RANK.format(e='effect')} >= 5 QUALIFY row_number() OVER (PARTITION BY chr, pos ORDER BY {_RANK.format(e='effect')} DESC, variant_id) = 1")
+_TOP = """CASE effect WHEN 'STOP_LOST' THEN 10 WHEN 'NON_SYNONYMOUS_CODING' THEN 10 WHEN 'SPLICE_SITE' THEN 8 WHEN 'SYNONYMOUS_CODING' THEN 1 WHEN 'COMPLEX_INDEL' THEN 10
+WHEN 'UPSTREAM' THEN 2 WHEN '3PRIME_UTR' THEN 1 WHEN 'WITHIN_NON_CODING_GENE' THEN 5 WHEN 'ESSENTIAL_SPLICE_SITE' THEN 10 WHEN 'HGMD_MUTATION' THEN 10 WHEN 'STOP_GAINED' THEN 10 END"""
+_REPORT = """CASE effect WHEN 'STOP_LOST' THEN 10 WHEN 'NON_SYNONYMOUS_CODING' THEN 10 WHEN 'SPLICE_SITE' THEN 8 WHEN 'SYNONYMOUS_CODING' THEN 5 WHEN 'COMPLEX_INDEL' THEN 10
+WHEN 'UPSTREAM' THEN 2 WHEN '3PRIME_UTR' THEN 1 WHEN 'WITHIN_NON_CODING_GENE' THEN 1 WHEN 'ESSENTIAL_SPLICE_SITE' THEN 10 WHEN 'HGMD_MUTATION' THEN 0 WHEN 'STOP_GAINED' THEN 10
+WHEN 'INTRONIC' THEN 1 WHEN 'INTERGENIC' THEN 2 END"""
+
+
+@query("W10_top_effect", f"SELECT variant_id, chr, pos, effect, concat('G', CAST(variant_id % 5 AS STRING)) AS gene FROM {_ALL} WHERE {_TOP} >= 5 QUALIFY row_number() OVER (PARTITION BY chr, pos ORDER BY {_TOP} DESC, variant_id) = 1")
 def _(t: Tables):
-    return V.top_effect_per_position(t.fx_variants).select("variant_id", "chr", "pos", "effect")
+    r = _all(t).withColumn("gene", F.expr("concat('G', CAST(variant_id % 5 AS STRING), '/ENSG1')"))
+    return V.top_effect_per_position(r).select("variant_id", "chr", "pos", "effect", "gene")
 
 
 _TR = "CASE variant_id % 3 WHEN 0 THEN 'ENST1' WHEN 1 THEN 'NM_1' END"
-_ORD = f"SELECT variant_id, {_TR} AS transcript, CAST(row_number() OVER (PARTITION BY chr, pos ORDER BY CASE variant_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 ELSE 2 END, {_RANK.format(e='effect')} DESC, variant_id) AS INT) AS nth FROM fx_variants"
+_GENE = "CASE variant_id % 4 WHEN 0 THEN 'ENSG7' WHEN 1 THEN 'ABC' END"
+_CLASS = "CASE WHEN variant_id % 4 = 0 THEN 2 WHEN variant_id % 3 = 0 THEN 1 ELSE 0 END"
+_ORD = f"SELECT variant_id, {_TR} AS transcript, CAST(row_number() OVER (PARTITION BY chr, pos ORDER BY {_CLASS}, {_REPORT} DESC, variant_id) AS INT) AS nth FROM {_ALL}"
+
+
+def _ordered(t: Tables) -> DataFrame:
+    return V.order_effects(_all(t).withColumn("transcript", F.expr(_TR)).withColumn("gene_id", F.expr(_GENE)))
 
 
 @query("W11_order_effects", _ORD)
 def _(t: Tables):
-    return V.order_effects(t.fx_variants.withColumn("transcript", F.expr(_TR))).select("variant_id", "transcript", "nth")
+    return _ordered(t).select("variant_id", "transcript", "nth")
 
 
 @query("W16_dedupe_by_transcript", f"WITH o AS ({_ORD}) SELECT v, transcript, min(nth) AS nth FROM (SELECT variant_id // 4 AS v, transcript, nth FROM o) GROUP BY 1, 2")
 def _(t: Tables):
-    o = V.order_effects(t.fx_variants.withColumn("transcript", F.expr(_TR))).withColumn("variant_id", F.expr("variant_id div 4"))
+    o = _ordered(t).withColumn("variant_id", F.expr("variant_id div 4"))
     return V.dedupe_by_transcript(o).select(F.col("variant_id").alias("v"), "transcript", "nth")
 
 
@@ -287,7 +346,7 @@ def _(t: Tables):
 
 @query("V20_variation_report", f"""WITH {_KNOWN}, o AS (SELECT v.*, x[1] AS rs, {_GENO} AS genotype FROM fx_variants v LEFT JOIN k ON v.chr = k.chr AND v.pos = k.pos WHERE EXISTS (SELECT 1 FROM fx_targets t WHERE {_ON})),
 e AS (SELECT variant_id, arg_min(concat('ex', CAST(target_id AS STRING)), row(start_pos, end_pos, concat('ex', CAST(target_id AS STRING)))) AS exon FROM o v JOIN fx_targets t ON {_ON} GROUP BY 1)
-SELECT o.variant_id, rs, genotype, exon, CAST(row_number() OVER (PARTITION BY chr, pos ORDER BY CASE WHEN rs IS NULL THEN 2 ELSE 0 END, {_RANK.format(e='effect')} DESC, o.variant_id) AS INT) AS nth FROM o JOIN e ON o.variant_id = e.variant_id""")
+SELECT o.variant_id, rs, genotype, exon, CAST(row_number() OVER (PARTITION BY chr, pos ORDER BY {_REPORT} DESC, o.variant_id) AS INT) AS nth FROM o JOIN e ON o.variant_id = e.variant_id""")
 def _(t: Tables):
     return V.variation_report(t.fx_variants, t.fx_targets, t.fx_known_snps, _exons(t)).select("variant_id", "rs", "genotype", "exon", "nth")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.maps import last_wins
 from ..operators.variants import info_map
 
 
@@ -87,15 +88,15 @@ def write_fasta(fasta: DataFrame, path: str, width: int = 60) -> None:
 
 
 def parse_sam(lines: DataFrame) -> DataFrame:
-    """The eleven fields of alignment lines and a map of their tags (name: type:value)."""
+    """The eleven fields of alignment lines and a map of their tags (name: type:value), the last of a tag that repeats."""
     p = F.split("value", "\t")
-    tags = F.transform(F.slice(p, 12, 1 << 20), lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, 4, 1 << 20)))
+    tags = F.transform(F.slice(p, 12, 1 << 20), lambda t: F.named_struct(F.lit("key"), F.substring(t, 1, 2), F.lit("value"), F.substring(t, 4, 1 << 20)))
     a = lines.where(~F.col("value").startswith("@"))
     i = lambda k, t: _get(p, k).cast(t)
     return a.select(
         _get(p, 0).alias("qname"), i(1, "int").alias("flags"), _get(p, 2).alias("chr"), i(3, "long").alias("pos"), i(4, "int").alias("mapq"),
         _get(p, 5).alias("cigar"), _get(p, 6).alias("mate_chr"), i(7, "long").alias("mate_pos"), i(8, "long").alias("isize"),
-        _get(p, 9).alias("seq"), _get(p, 10).alias("qual"), F.map_from_entries(tags).alias("tags"),
+        _get(p, 9).alias("seq"), _get(p, 10).alias("qual"), last_wins(tags).alias("tags"),
     )
 
 
@@ -125,7 +126,7 @@ def parse_bed(lines: DataFrame, leeway: int = 0) -> DataFrame:
     p = F.split("value", "\t")
     r = r"^([^\s:]+):(\d+)-(\d+)"
     pick = lambda k: F.when(F.col("value").rlike(r), F.regexp_extract("value", r, k + 1)).otherwise(_get(p, k))
-    b = lines.where(~F.col("value").rlike("^(chromosome|#)") & (F.col("value") != ""))
+    b = lines.where(~F.col("value").rlike(r"^(chromosome|#|track\b|browser\b)") & (F.col("value") != ""))
     return b.select(
         F.regexp_replace(pick(0), "^chr", "").alias("chr"), (pick(1).cast("long") - leeway).alias("start_pos"),
         (pick(2).cast("long") + leeway).alias("end_pos"), _get(p, 3).alias("name"), _get(p, 4).alias("ref_id"),

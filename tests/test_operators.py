@@ -145,12 +145,61 @@ def test_strand_test_and_consensus(spark):
 
 
 def test_variant_functions(spark):
-    i = spark.createDataFrame([("AF=1.00",), ("AF=.5",), ("DP=10;AC=2,8",), ("DP=10;AC=5,5",), ("DB",)], "info string")
-    assert [r[0] for r in i.select(variants.genotype(F.col("info"))).collect()] == ["HOMO", "HET", "HOMO", "HET", "UNKNOWN"]
+    i = spark.createDataFrame([("AF=1.00",), ("AF=.5",), ("DP=10;AC=8,2",), ("DP=10;AC=5,5",), ("DB",), ("DP=10;AC=9",), ("DP=0;AC=1,2",), ("DP=1;DP=10;AC=8,1",)], "info string")
+    want = ["HOMO", "HET", "HOMO", "HET", "UNKNOWN", "UNKNOWN", "UNKNOWN", "HOMO"]
+    assert [r[0] for r in i.select(variants.genotype(F.col("info"))).collect()] == want
     h = spark.createDataFrame([("c.123+45",), ("c.-7delA",), ("c.*5",), ("p.1",)], "h string")
     assert rows(h.select(variants.parse_hgvs_position(F.col("h")).alias("p")).select("p.*")) == [(-7, 0), (123, 45), (None, None), (None, None)]
-    v = spark.createDataFrame([(1, "QD=1;DP=30"), (2, "DP=5;FS=99"), (3, "DB")], "variant_id int, info string")
-    assert [r["filter"] for r in variants.site_filter(v, "exon").orderBy("variant_id").collect()] == ["LowQual", "LowDepth;Strand", "PASS"]
+    v = spark.createDataFrame([(1, "QD=1;DP=30"), (2, "DP=5;HRun=9"), (3, "DB"), (4, "DP=20;MQ0=4;SB=-5"), (5, "DP=50;AB=0.8;SB=-1")], "variant_id int, info string")
+    by = lambda preset: [r["filter"] for r in variants.site_filter(v, preset).orderBy("variant_id").collect()]
+    assert by("exon") == ["StddFilter", "shallow20;StddFilter", "PASS", "HARD_TO_VALIDATE", "PASS"]
+    assert by("wgs") == ["PASS", "shallow20", "PASS", "HARD_TO_VALIDATE", "StdFilter"]
+    assert by("wgs-low") == ["PASS", "PASS", "PASS", "HARD_TO_VALIDATE", "PASS"]
+
+
+def test_effect_rules(spark):
+    names = ["STOP_LOST", "SPLICE_SITE", "COMPLEX_INDEL", "FRAMESHIFT_CODING", "3PRIME_UTR", "SYNONYMOUS_CODING", "WITHIN_NON_CODING_GENE", "HGMD_MUTATION"]
+    r = spark.createDataFrame([(i, "1", i, e, "A/B", None, "NM_1") for i, e in enumerate(names)], "variant_id int, chr string, pos int, effect string, gene string, gene_id string, transcript string")
+    assert {x["effect"] for x in variants.harmful(r).collect()} == {"STOP_LOST", "SPLICE_SITE"}
+    top = variants.top_effect_per_position(r).collect()
+    assert {x["effect"] for x in top} == {*names} - {"3PRIME_UTR", "SYNONYMOUS_CODING"} and {x["gene"] for x in top} == {"A"}
+    one = r.withColumn("pos", F.lit(1)).withColumn("gene_id", F.when(F.col("variant_id") == 0, "ENSG1")).withColumn("transcript", F.when(F.col("variant_id") == 1, "ENST1"))
+    assert [x["variant_id"] for x in variants.order_effects(one).orderBy("nth").collect()] == [2, 3, 5, 4, 6, 7, 1, 0]
+    f = spark.createDataFrame([(1, "40/0.05"), (2, "40/0.2"), (3, "20/0.01"), (4, None), (5, "")], "i int, freq string")
+    assert [x["i"] for x in variants.rare(f).orderBy("i").collect()] == [1, 4, 5]
+
+
+def test_constant_columns_zeros_and_empty_tables(spark):
+    df = spark.createDataFrame([("a", 2.0, 3.0), ("a", 2.0, 3.0), ("b", 0.0, 1.0), ("b", 4.0, 0.0)], "g string, x double, y double")
+    for d in (df, df.limit(0)):
+        for out in (
+            S.frequency(d, ["g"], "x", 4), S.least_squares(d, ["g"], "x", "y"), S.other_means(d, ["g"], "x"), S.chi_square(d, ["g"], "y", "x"),
+            S.trimmed_mean(d, ["g"], "x", 0.5), S.describe(d, ["g"], "x", "y"), S.quantiles(d, ["g"], "x"), S.percentile_pick(d, ["g"], "x", 50),
+            S.shape(d, ["g"], "x"), variants.metric_histogram(d, "x", "g", 5),
+        ):
+            assert len(out.collect()) >= (1 if d is df else 0)
+    line = {r["g"]: r for r in S.least_squares(df, ["g"], "x", "y").collect()}
+    assert line["a"]["slope"] is None and line["a"]["r"] is None and line["b"]["slope"] == -0.25
+    assert {r["g"]: r["stat"] for r in S.chi_square(df, ["g"], "y", "x").collect()} == {"a": 0.0, "b": float("inf")}
+    assert {(r["bin"], r["n"]) for r in S.frequency(df.where("g = 'a'"), ["g"], "x", 2).collect()} == {(1, 2), (2, 0)}
+    assert [r["bin"] for r in variants.metric_histogram(df.where("g = 'a'"), "x", "g", 5).collect()] == [1]
+    none = spark.createDataFrame([], "chr string, start_pos long, end_pos long, depth long, target_id long")
+    assert coverage.depth_bins(none, none.drop("depth")).where("pct is not null").collect() == []
+    lane = spark.createDataFrame([(1, "s", 0, 0, 0, 0)], "lane int, sample string, pf long, bases long, q30_bases long, total_reads long")
+    assert qc.lane_stats(lane).first()["pct_of_lane"] is None
+    assert tracking.lane_split(lane.withColumnRenamed("sample", "sid")).first()["pct"] is None
+
+
+def test_repeated_keys_and_odd_lines(spark):
+    vcf = spark.createDataFrame([("chr1\t5\t.\tA\tC\t9\tPASS\tDP=1;DB;DP=2;X=a=b",)], "value string")
+    assert records.parse_vcf(vcf).first()["info"] == {"DB": None, "DP": "2", "X": "a=b"}
+    sam = spark.createDataFrame([("q\t0\tchr1\t1\t9\t2M\t*\t0\t0\tAC\tII\tNM:i:1\tXX:Z:k\tNM:i:7",)], "value string")
+    assert records.parse_sam(sam).first()["tags"] == {"XX": "Z:k", "NM": "i:7"}
+    bed = spark.createDataFrame([("track name=x",), ("browser position chr1",), ("chr1\t1\t2",)], "value string")
+    assert records.parse_bed(bed).count() == 1
+    table = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, v int")
+    new = spark.createDataFrame([(None, 10), ("a", 20)], "k string, v int")
+    assert rows(tracking.upsert(table, new, ["k"])) == [("a", 20), ("b", 3), (None, 10)]
 
 
 def test_global_rank_over_buckets(spark):
