@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -45,7 +46,7 @@ class _Chunks(dict):
             self.fast = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def _exact(self, text: str) -> bytes:
-        return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.exact.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
         out = self._exact(chunk)
@@ -63,7 +64,7 @@ class _Chunks(dict):
         if self.added and self.added.search(text):
             return self._exact(text)
         if self.fast and _PLAIN.fullmatch(text):
-            return np.array(self.fast(text), "<u4").tobytes()
+            return array("I", self.fast(text)).tobytes()
         if _ODD.search(text):
             return self._exact(text)
         return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
