@@ -10,20 +10,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .reads import cigar_ops, project_cigar, qualities
+from .reads import cigar_ops, qualities
+
+
+def _blocks(alignments: DataFrame, ops: tuple[str, ...], *cols: str) -> DataFrame:
+    """One row (cols, pos, seq, qual, op, n, ref_at, seq_at, next) for each CIGAR block of `ops` of usable reads: where it
+    begins on the reference and in the read, from 0, and the block after it."""
+    a = alignments.where(F.col("flags").bitwiseAND(0x404) == 0)
+    zero = F.struct(F.lit(0).alias("r"), F.lit(0).alias("s"), F.array().cast("array<struct<op:string,n:int,ref_at:int,seq_at:int>>").alias("out"))
+
+    def step(x: Column, o: Column) -> Column:
+        n, both = o["n"], o["op"].isin("M", "=", "X")
+        block = F.struct(o["op"].alias("op"), n.alias("n"), x["r"].alias("ref_at"), x["s"].alias("seq_at"))
+        r = x["r"] + F.when(both | o["op"].isin("D", "N"), n).otherwise(0)
+        s = x["s"] + F.when(both | o["op"].isin("I", "S"), n).otherwise(0)
+        return F.struct(r.alias("r"), s.alias("s"), F.array_append(x["out"], block).alias("out"))
+
+    rows = a.select(*cols, "pos", "seq", "qual", F.aggregate(cigar_ops(F.col("cigar")), zero, step)["out"].alias("_b"))
+    rows = rows.select(*cols, "pos", "seq", "qual", "_b", F.posexplode("_b").alias("_i", "_x")).where(F.col("_x.op").isin(*ops))
+    return rows.select(*cols, "pos", "seq", "qual", "_x.*", F.get("_b", F.col("_i") + 1).alias("next"))
 
 
 def aligned_bases(alignments: DataFrame, *cols: str) -> DataFrame:
     """One row (read_id, flags, chr, pos, base, qv, cycle, cols) for each reference position that a usable read covers;
-    deleted positions have base '-' and quality 0."""
-    a = alignments.where(F.col("flags").bitwiseAND(0x404) == 0)
-    bases, quals = project_cigar(F.col("seq"), F.col("cigar")), project_cigar(F.col("qual"), F.col("cigar"), "!")
-    pair = F.arrays_zip(F.filter(F.split(bases, ""), lambda c: c != "").alias("b"), qualities(quals).alias("q"))
-    rows = a.select("read_id", "flags", "chr", F.col("pos").alias("_s"), *cols, F.posexplode(pair).alias("_i", "_p"))
-    return rows.select(
-        "read_id", "flags", "chr", (F.col("_s") + F.col("_i")).alias("pos"), F.col("_p.b").alias("base"), F.col("_p.q").alias("qv"),
-        (F.col("_i") + 1).alias("cycle"), *cols,
+    deleted positions have base '-' and quality 0. CIGAR blocks are laid out first, a few rows a read, then their bases."""
+    keep = ["read_id", "flags", "chr", *cols]
+    b = _blocks(alignments, ("M", "=", "X", "D", "N"), *keep)
+    b = b.select(*keep, "pos", "seq", "qual", "ref_at", "seq_at", F.col("op").isin("D", "N").alias("gap"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    at = (F.col("seq_at") + F.col("i") + 1).cast("int")
+    rows = b.select(
+        "read_id", "flags", "chr", (F.col("pos") + F.col("ref_at") + F.col("i")).alias("pos"),
+        F.when(F.col("gap"), "-").otherwise(F.substring(F.col("seq"), at, F.lit(1))).alias("base"),
+        F.when(F.col("gap"), 0).otherwise(F.ascii(F.substring(F.col("qual"), at, F.lit(1))) - 33).alias("qv"),
+        (F.col("ref_at") + F.col("i") + 1).alias("cycle"), *cols,
     )
+    return rows.where("base <> ''")
 
 
 def pileup_counts(bases: DataFrame) -> DataFrame:
@@ -107,33 +128,47 @@ def consensus_iupac(counts: DataFrame, least: float = 0.25, min_depth: int = 400
 
 
 def allele_counts(alignments: DataFrame) -> DataFrame:
-    """Alleles by position: single bases, '-' for deleted bases, and '+n' for an insertion after the position:
-    (chr, pos, allele, n)."""
-    single = aligned_bases(alignments).select("chr", "pos", F.col("base").alias("allele"))
-    a = alignments.where(F.col("flags").bitwiseAND(0x404) == 0)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,n:int>>").alias("out"))
-    step = lambda s, x: F.struct(
-        (s["at"] + F.when(x["op"].isin("M", "D", "N", "=", "X"), x["n"]).otherwise(0)).alias("at"),
-        F.when(x["op"] == "I", F.concat(s["out"], F.array(F.struct(s["at"].alias("at"), x["n"].alias("n"))))).otherwise(s["out"]).alias("out"),
+    """Alleles by position: single bases; a base and what is inserted after it, as one string; a base and a - for each base
+    deleted after it. Deleted positions count nothing: (chr, pos, allele, n)."""
+    b = _blocks(alignments, ("M", "=", "X"), "chr")
+    b = b.select("chr", "pos", "seq", "n", "ref_at", "seq_at", "next", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    at = (F.col("seq_at") + F.col("i") + 1).cast("int")
+    base, last = F.substring(F.col("seq"), at, F.lit(1)), F.col("i") == F.col("n") - 1
+    allele = (
+        F.when(last & (F.col("next.op") == "I"), F.substring(F.col("seq"), at, F.col("next.n") + 1))
+        .when(last & (F.col("next.op") == "D"), F.concat(base, F.repeat(F.lit("-"), F.col("next.n"))))
+        .otherwise(base)
     )
-    ins = a.select("chr", "pos", F.explode(F.aggregate(cigar_ops(F.col("cigar")), zero, step)["out"]).alias("x"))
-    ins = ins.select("chr", (F.col("pos") + F.col("x.at") - 1).alias("pos"), F.concat(F.lit("+"), F.col("x.n").cast("string")).alias("allele"))
-    return single.unionAll(ins).groupBy("chr", "pos", "allele").agg(F.count(F.lit(1)).alias("n"))
+    rows = b.select("chr", (F.col("pos") + F.col("ref_at") + F.col("i")).alias("pos"), allele.alias("allele")).where("allele <> ''")
+    return rows.groupBy("chr", "pos", "allele").agg(F.count(F.lit(1)).alias("n"))
 
 
 def alt_allele_fraction(variants: DataFrame, alleles: DataFrame) -> DataFrame:
-    """Share of the alternative allele at each variant (variant_id, chr, pos, alt): (variant_id, depth, alt_n, ten_thousandths)."""
+    """Share of each alternative allele (`alt`, several joined by commas; one shorter than `ref` is a deletion and is filled
+    up with -) at each variant (variant_id, chr, pos, ref, alt): (variant_id, depth, fractions), four decimals each joined by
+    commas, null without a read."""
     a = alleles.groupBy("chr", "pos").agg(F.sum("n").alias("depth"), F.map_from_entries(F.collect_list(F.struct("allele", "n"))).alias("_m"))
-    j = variants.join(a, ["chr", "pos"], "left").withColumn("alt_n", F.coalesce(F.col("_m")[F.col("alt")], F.lit(0)))
-    share = F.floor(F.col("alt_n") * 10000 / F.col("depth") + 0.5)
-    return j.select("variant_id", F.coalesce("depth", F.lit(0)).alias("depth"), "alt_n", share.alias("ten_thousandths"))
+    j = variants.join(a, ["chr", "pos"], "left")
+
+    def share(alt: Column) -> Column:
+        filled = F.rpad(alt, F.greatest(F.length(alt), F.length("ref")), F.lit("-"))
+        x = F.floor(F.coalesce(F.element_at("_m", filled), F.lit(0)) * 10000 / F.col("depth") + 0.5)
+        return F.concat(F.floor(x / 10000).cast("string"), F.lit("."), F.lpad((x % 10000).cast("string"), 4, "0"))
+
+    out = F.when(F.col("depth").isNotNull(), F.array_join(F.transform(F.split("alt", ","), share), ","))
+    return j.select("variant_id", F.coalesce("depth", F.lit(0)).alias("depth"), out.alias("fractions"))
 
 
 def base_stats(bases: DataFrame) -> DataFrame:
     """Per site and base the count, share, mean quality, distinct read starts and zygosity (above 76 % homozygous, 35 to
-    75 heterozygous, below 35 reference-like, else null): (chr, pos, base, n, pct, mean_qv, starts, zygosity)."""
-    s = bases.where("base <> '-'").withColumn("_start", F.col("pos") - F.col("cycle"))
-    s = s.groupBy("chr", "pos", "base").agg(F.count(F.lit(1)).alias("n"), F.sum("qv").alias("q"), F.countDistinct("_start").alias("starts"))
+    75 heterozygous, below 35 reference-like, else null): (chr, pos, base, n, pct, mean_qv, starts, zygosity).
+
+    At one position a start is a cycle, so starts are counted as bits of 64-bit words, combined before the shuffle.
+    """
+    s = bases.where("base <> '-'").withColumn("_word", F.floor(F.col("cycle") / 64))
+    bit = F.expr("shiftleft(1L, cast(cycle % 64 as int))")
+    s = s.groupBy("chr", "pos", "base", "_word").agg(F.count(F.lit(1)).alias("n"), F.sum("qv").alias("q"), F.bit_or(bit).alias("_bits"))
+    s = s.groupBy("chr", "pos", "base").agg(F.sum("n").alias("n"), F.sum("q").alias("q"), F.sum(F.bit_count("_bits")).alias("starts"))
     pct = F.col("n") * 100 / F.sum("n").over(Window.partitionBy("chr", "pos"))
     z = F.when(F.col("pct") > 76, "HOMO").when((F.col("pct") > 35) & (F.col("pct") < 75), "HET").when(F.col("pct") < 35, "LOW")
     return s.withColumn("pct", pct).select("chr", "pos", "base", "n", "pct", (F.col("q") / F.col("n")).alias("mean_qv"), "starts", z.alias("zygosity"))

@@ -12,8 +12,13 @@ _ROW = (
 )
 _SPAN = "CAST(20 + l_quantity AS BIGINT)"
 
-#: name: (table, expressions)
-FIXTURES: dict[str, tuple[str, list[str]]] = {
+#: What the two engines write differently: a global replacement, and a row for each tile of 100 letters.
+_TILES = "greatest(1, CAST(floor((length(letters) + 99) / 100) AS BIGINT))"
+SPARK = {"{g}": "", "{tiles}": f"explode(sequence(CAST(0 AS BIGINT), {_TILES} - 1))"}
+DUCKDB = {"{g}": ", 'g'", "{tiles}": f"unnest(range({_TILES}))"}
+
+#: name: (table, expressions of one or more projections)
+FIXTURES: dict[str, tuple] = {
     "fx_targets": (
         "part",
         [
@@ -39,12 +44,19 @@ FIXTURES: dict[str, tuple[str, list[str]]] = {
             " + (CASE WHEN l_linenumber = 7 THEN 4 ELSE 0 END) + (CASE WHEN l_linenumber % 2 = 1 THEN 64 ELSE 128 END) AS INT) AS flags",
         ],
     ),
+    # every letter of every text, in reads of 100; an empty text is one empty read
     "fx_reads": (
         "documents",
         [
-            "doc_id AS read_id",
+            "doc_id",
             "source AS file_name",
-            "substr(translate(regexp_replace(lower(text), '[^a-z]', ''{g}), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC'), 1, 100) AS seq",
+            "translate(regexp_replace(lower(text), '[^a-z]', ''{g}), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS letters",
+        ],
+        ["doc_id", "file_name", "letters", "{tiles} AS tile"],
+        [
+            "doc_id * 100000 + tile AS read_id",
+            "file_name",
+            "substr(letters, CAST(tile * 100 + 1 AS INT), 100) AS seq",
         ],
     ),
     "fx_variants": (
@@ -113,16 +125,27 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture view over the tables in `sf_dir`, or a table itself."""
     if name not in FIXTURES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    table, exprs = FIXTURES[name]
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet").selectExpr(*[e.replace("{g}", "") for e in exprs])
+    table, *levels = FIXTURES[name]
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    for exprs in levels:
+        df = df.selectExpr(*[_written(e, SPARK) for e in exprs])
+    return df
+
+
+def _written(expr: str, marks: dict[str, str]) -> str:
+    for mark, text in marks.items():
+        expr = expr.replace(mark, text)
+    return expr
 
 
 def with_views(sql: str) -> str:
     """`sql` for DuckDB with the fixture views that it names."""
     ctes = []
-    for name, (table, exprs) in FIXTURES.items():
+    for name, (table, *levels) in FIXTURES.items():
         if re.search(rf"\b{name}\b", sql):
-            ctes.append(f"{name} AS (SELECT {', '.join(e.replace('{g}', ', ' + chr(39) + 'g' + chr(39)) for e in exprs)} FROM {table})")
+            for exprs in levels:
+                table = f"(SELECT {', '.join(_written(e, DUCKDB) for e in exprs)} FROM {table})"  # noqa: PLW2901
+            ctes.append(f"{name} AS {table}")
     body = sql.strip()
     if not ctes:
         return body

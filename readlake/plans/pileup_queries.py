@@ -81,14 +81,32 @@ def _(t: Tables):
     return P.consensus_iupac(P.pileup_counts(_bases(t)), min_depth=2)
 
 
-@query("A18_allele_counts", f"WITH {_B} SELECT chr, pos, base AS allele, count(*) AS n FROM b GROUP BY 1, 2, 3")
+#: Reads whose clipped shape holds an insertion instead: five bases, three inserted ones, and the rest.
+_INS = f"""{_A}, c AS (SELECT *, unnest(range(CASE WHEN cigar LIKE '5S%' THEN span + 5 ELSE span END)) AS i FROM a),
+al AS (SELECT chr, pos + i AS pos, CASE WHEN cigar LIKE '10M2D%' THEN CASE WHEN i = 9 THEN concat(substr(s, 10, 1), '--') WHEN i IN (10, 11) THEN NULL WHEN i > 11 THEN substr(s, CAST(i - 1 AS INT), 1) ELSE substr(s, CAST(i + 1 AS INT), 1) END
+WHEN cigar LIKE '5S%' AND i = 4 THEN substr(s, 5, 4) WHEN cigar LIKE '5S%' AND i > 4 THEN substr(s, CAST(i + 4 AS INT), 1) ELSE substr(s, CAST(i + 1 AS INT), 1) END AS allele FROM c),
+n AS (SELECT chr, pos, allele, count(*) AS n FROM al WHERE allele IS NOT NULL GROUP BY 1, 2, 3)"""
+
+
+def _with_insertions(t: Tables) -> DataFrame:
+    return _alignments(t).withColumn("cigar", F.replace("cigar", F.lit("5S"), F.lit("5M3I")))
+
+
+@query("A18_allele_counts", f"WITH {_INS} SELECT * FROM n")
 def _(t: Tables):
-    return P.allele_counts(_alignments(t))
+    return P.allele_counts(_with_insertions(t))
+
+
+_PART = "concat(CAST({x} // 10000 AS STRING), '.', lpad(CAST({x} % 10000 AS STRING), 4, '0'))"
+_SHARE = "CAST(floor(coalesce(sum(n) FILTER (allele = {a}), 0) * 10000 / sum(n)::DOUBLE + 0.5) AS BIGINT)"
 
 
-@query("A19_alt_allele_fraction", f"WITH {_B}, d AS (SELECT variant_id, count(b.base) AS depth, count(*) FILTER (b.base = alt) AS alt_n FROM fx_variants v LEFT JOIN b ON b.chr = v.chr AND b.pos = v.pos GROUP BY 1) SELECT *, CASE WHEN depth > 0 THEN CAST(floor(alt_n * 10000 / depth::DOUBLE + 0.5) AS BIGINT) END AS ten_thousandths FROM d")
+@query("A19_alt_allele_fraction", f"""WITH {_INS}, v AS (SELECT variant_id, chr, pos, CASE WHEN variant_id % 3 = 1 THEN concat(alt, '--') ELSE alt END AS one, CASE WHEN variant_id % 3 = 0 THEN ref END AS two FROM fx_variants),
+d AS (SELECT variant_id, any_value(two) AS two, coalesce(sum(n), 0)::BIGINT AS depth, {_SHARE.format(a='one')} AS x, {_SHARE.format(a='two')} AS y FROM v LEFT JOIN n ON n.chr = v.chr AND n.pos = v.pos GROUP BY 1)
+SELECT variant_id, depth, CASE WHEN depth > 0 THEN concat({_PART.format(x='x')}, CASE WHEN two IS NULL THEN '' ELSE concat(',', {_PART.format(x='y')}) END) END AS fractions FROM d""")
 def _(t: Tables):
-    return P.alt_allele_fraction(t.fx_variants, P.allele_counts(_alignments(t)))
+    v = t.fx_variants.withColumns({"ref": F.expr("IF(variant_id % 3 = 1, concat(ref, 'AA'), ref)"), "alt": F.expr("IF(variant_id % 3 = 0, concat(alt, ',', ref), alt)")})
+    return P.alt_allele_fraction(v, P.allele_counts(_with_insertions(t)))
 
 
 @query("A20_base_stats", f"""WITH {_B}, s AS (SELECT chr, pos, base, count(*) AS n, sum(qv)::BIGINT AS q, count(DISTINCT pos - cycle) AS starts FROM b WHERE base <> '-' GROUP BY 1, 2, 3), p AS (SELECT *, n * 100 / CAST(sum(n) OVER (PARTITION BY chr, pos) AS DOUBLE) AS pct FROM s)

@@ -66,14 +66,15 @@ def _(t: Tables):
     return Q.adaptor_of(t.fx_reads, _ADAPTORS).select("read_id", "adaptor")
 
 
-@query("A07_partial_adaptor_profile", """WITH ad AS (SELECT DISTINCT substr(seq, 20, 30) AS s FROM fx_reads WHERE length(seq) >= 50), two AS (SELECT s FROM ad UNION ALL SELECT reverse(translate(s, 'ACGT', 'TGCA')) FROM ad),
+@query("A07_partial_adaptor_profile", """WITH ad AS (SELECT DISTINCT translate(regexp_replace(lower(concat(n_name, n_name, n_name)), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS s FROM nation), two AS (SELECT s FROM ad UNION ALL SELECT reverse(translate(s, 'ACGT', 'TGCA')) FROM ad),
 k AS (SELECT DISTINCT substr(s, i, n) AS p FROM (SELECT s, n, unnest(range(1, length(s) - n + 2)) AS i FROM (SELECT s, unnest([13, 14, 15]) AS n FROM two))),
 w AS (SELECT file_name, read_id, i, substr(seq, i, 15) AS p FROM (SELECT *, unnest(range(1, greatest(1, length(seq) - 12) + 1, 5)) AS i FROM fx_reads)),
 h AS (SELECT DISTINCT file_name, read_id, unnest(range(i, i + length(p))) AS pos FROM w WHERE p IN (SELECT p FROM k) AND length(p) >= 13),
 n AS (SELECT file_name, count(*) AS n FROM fx_reads GROUP BY 1)
 SELECT file_name, CAST(pos AS INT) AS pos, count(*) AS reads, count(*) * 100 / any_value(n)::DOUBLE AS pct FROM h JOIN n USING (file_name) GROUP BY 1, 2""")
 def _(t: Tables):
-    ad = t.fx_reads.where("length(seq) >= 50").selectExpr("substr(seq, 20, 30) AS seq").distinct()
+    letters = "translate(regexp_replace(lower(concat(n_name, n_name, n_name)), '[^a-z]', ''), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')"
+    ad = t.nation.selectExpr(f"{letters} AS seq").distinct()
     return Q.partial_adaptor_profile(t.fx_reads, ad)
 
 
@@ -109,13 +110,13 @@ def _(t: Tables):
     return Q.flagstat(t.fx_alignments)
 
 
-@query("A34_amplicon_zygosity", """WITH c AS (SELECT file_name, substr(seq, 1, 2) AS seq, count(*) AS n FROM fx_reads GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY n DESC, seq) AS rn FROM c),
+@query("A34_amplicon_zygosity", """WITH c AS (SELECT file_name, seq, count(*) AS n FROM fx_reads GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY n DESC, seq) AS rn FROM c),
 p AS (SELECT file_name, max(n) FILTER (rn = 1) AS first_n, max(n) FILTER (rn = 2) AS second_n FROM r GROUP BY 1),
 s AS (SELECT *, 10 * ln(first_n) AS x, 10 * ln(second_n) AS y FROM p WHERE second_n IS NOT NULL), e AS (SELECT *, (x + y) / 2 AS e FROM s),
 z AS (SELECT *, CASE WHEN e = 0 THEN 0 ELSE (x - e) * (x - e) / e + (y - e) * (y - e) / e END AS st FROM e)
 SELECT file_name, first_n, second_n, floor(st * 1e6 + 0.5) / 1e6 AS stat, CASE WHEN st > 3.841458820694124::DOUBLE THEN 'Heterozygous' ELSE 'Homozygous' END AS label FROM z""")
 def _(t: Tables):
-    z = Q.amplicon_zygosity(t.fx_reads.withColumn("seq", F.substring("seq", 1, 2)))
+    z = Q.amplicon_zygosity(t.fx_reads)
     return z.withColumn("stat", F.floor(F.col("stat") * 1e6 + 0.5) / 1e6)
 
 
@@ -138,11 +139,11 @@ def _(t: Tables):
     return Q.insert_stats(t.fx_alignments.selectExpr("flags | 2 AS flags", "mapq", "pos % 2000 AS isize"))
 
 
-@query("A51_qc_from_alignments", """WITH a AS (SELECT CASE WHEN flags & 128 <> 0 THEN 2 ELSE 1 END AS read_nr, CASE WHEN flags & 16 <> 0 THEN reverse(translate(upper(substr(read_id, 1, 8)), '0123456789ABCDEF', 'TGCATGCATGCATGCA')) ELSE translate(upper(substr(read_id, 1, 8)), '0123456789ABCDEF', 'ACGTACGTACGTACGT') END AS seq FROM fx_alignments WHERE flags & 4 = 0),
-b AS (SELECT read_nr, i AS cycle, substr(seq, i, 1) AS base FROM (SELECT *, unnest(range(1, 9)) AS i FROM a))
+@query("A51_qc_from_alignments", """WITH a AS (SELECT CASE WHEN flags & 128 <> 0 THEN 2 ELSE 1 END AS read_nr, CASE WHEN flags & 16 <> 0 THEN reverse(translate(upper(read_id), '0123456789ABCDEF', 'TGCATGCATGCATGCA')) ELSE translate(upper(read_id), '0123456789ABCDEF', 'ACGTACGTACGTACGT') END AS seq FROM fx_alignments WHERE flags & 4 = 0),
+b AS (SELECT read_nr, i AS cycle, substr(seq, i, 1) AS base FROM (SELECT *, unnest(range(1, 33)) AS i FROM a))
 SELECT CAST(read_nr AS INT) AS read_nr, CAST(cycle AS INT) AS cycle, count(*) AS reads, """ + ", ".join(f"{_pct(x)} AS \"pct_{x}\"" for x in "ACGTN") + f", {_pct('A')} + {_pct('T')} AS \"pct_AT\" FROM b GROUP BY 1, 2")
 def _(t: Tables):
-    a = t.fx_alignments.withColumn("seq", F.expr("translate(upper(substr(read_id, 1, 8)), '0123456789ABCDEF', 'ACGTACGTACGTACGT')")).withColumn("qual", F.col("seq"))
+    a = t.fx_alignments.withColumn("seq", F.expr("translate(upper(read_id), '0123456789ABCDEF', 'ACGTACGTACGTACGT')")).withColumn("qual", F.col("seq"))
     r = R.sam_to_reads(R.filter_flags(a, 4)).withColumn("read_nr", F.substring("name", -1, 1).cast("int"))
     return Q.base_distribution(r, ["read_nr"])
 

@@ -29,9 +29,9 @@ def _(t: Tables):
     return R.reads_grep(t.fx_reads, ["ACGTA", "TTAC"], both_strands=True).select("read_id")
 
 
-@query("P01_grep_by_table", "SELECT read_id FROM fx_reads WHERE read_id NOT IN (SELECT doc_id FROM labels)")
+@query("P01_grep_by_table", "SELECT read_id FROM fx_reads WHERE read_id NOT IN (SELECT doc_id * 100000 FROM labels)")
 def _(t: Tables):
-    return R.grep_by_table(t.fx_reads, t.labels.select(F.col("doc_id").alias("name")), invert=True).select("read_id")
+    return R.grep_by_table(t.fx_reads, t.labels.select((F.col("doc_id") * 100000).alias("name")), invert=True).select("read_id")
 
 
 @query("P02_trim_length", f"SELECT read_id, substr(seq, 1, 36) AS seq, substr(qual, 1, 36) AS qual FROM ({_READS})")

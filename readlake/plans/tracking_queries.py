@@ -18,12 +18,12 @@ def _(t: Tables):
 
 
 @query("J13_demultiplex_dual", """WITH s AS (SELECT a.barcode AS i7, b.barcode AS i5, concat(CAST(a.sample_id AS STRING), '-', CAST(b.sample_id AS STRING)) AS sample FROM fx_barcodes a JOIN fx_barcodes b ON a.sample_id + b.sample_id < 30)
-SELECT read_id, substr(seq, 1, 3) AS i7, substr(seq, 4, 3) AS i5, substr(seq, 7, 20) AS seq1, substr(seq, 27, 20) AS seq2, sample FROM fx_reads LEFT JOIN s ON substr(seq, 1, 3) = i7 AND substr(seq, 4, 3) = i5""")
+SELECT read_id, substr(seq, 1, 3) AS i7, substr(seq, 4, 3) AS i5, substr(seq, 7, 47) AS seq1, substr(seq, 54, 47) AS seq2, sample FROM fx_reads LEFT JOIN s ON substr(seq, 1, 3) = i7 AND substr(seq, 4, 3) = i5""")
 def _(t: Tables):
     part = lambda a, n: t.fx_reads.select("read_id", F.substring("seq", a, n).alias("seq"))
     b = t.fx_barcodes
     s = b.alias("a").join(b.alias("b"), F.expr("a.sample_id + b.sample_id < 30")).selectExpr("a.barcode AS i7", "b.barcode AS i5", "concat(CAST(a.sample_id AS STRING), '-', CAST(b.sample_id AS STRING)) AS sample")
-    return D.demultiplex_dual(part(7, 20), part(27, 20), part(1, 3), part(4, 3), s)
+    return D.demultiplex_dual(part(7, 47), part(54, 47), part(1, 3), part(4, 3), s)
 
 
 _HAM = "(CASE WHEN substr({a}, 1, 1) <> substr({b}, 1, 1) THEN 1 ELSE 0 END + CASE WHEN substr({a}, 2, 1) <> substr({b}, 2, 1) THEN 1 ELSE 0 END + CASE WHEN substr({a}, 3, 1) <> substr({b}, 3, 1) THEN 1 ELSE 0 END)"
@@ -186,9 +186,9 @@ def _(t: Tables):
     return K.sort_files(t.fx_alignments.select("read_id", "chr", "pos"), "chr", "pos")
 
 
-@query("O03_top_counts", "SELECT seq, count(*) AS n FROM (SELECT substr(seq, 1, 4) AS seq FROM fx_reads) GROUP BY 1 ORDER BY n DESC, seq LIMIT 10")
+@query("O03_top_counts", "SELECT seq, count(*) AS n FROM (SELECT seq FROM fx_reads) GROUP BY 1 ORDER BY n DESC, seq LIMIT 10")
 def _(t: Tables):
-    return K.top_counts(t.fx_reads.select(F.substring("seq", 1, 4).alias("seq")), "seq", 10)
+    return K.top_counts(t.fx_reads.select("seq"), "seq", 10)
 
 
 @query("O04_exon_order", "SELECT name, row_number() OVER (ORDER BY gene, k)::INT AS nth FROM (SELECT DISTINCT concat(p_brand, '_exon', CAST(p_size AS STRING)) AS name, p_brand AS gene, p_size AS k FROM part)")

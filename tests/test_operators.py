@@ -307,3 +307,27 @@ def test_polish_replaces_the_minority_of_pure_columns(spark):
     assert got[100] == ("ACGTACGT", "ACGTACGt", "ABCDEFG!") and got[101] == ("ACGTACGT", "AcGTACGT", "I!IIIIII")
     strict = {r["read_id"]: r["seq"] for r in variants.polish_reads(df, purity=0.995).collect()}
     assert strict[100] == "ACGTACGA" and strict[101] == "AcGTACGT"
+
+
+def test_clusters_against_brute_force(spark):
+    rnd = random.Random(4)
+    base = ["".join(rnd.choice("ACGT") for _ in range(100)) for _ in range(6)]
+    seqs = [s for k, s in enumerate(base) for _ in range(5 - k % 3)]
+    seqs += [s[:i] + rnd.choice("ACGT") + s[i + 1 :] for s in base for i in rnd.sample(range(100), 4)] + [base[0][:60], base[0][:59] + "N", "A", "C", "A"]
+    n = {s: seqs.count(s) for s in seqs}
+    near = lambda a, b: len(a) == len(b) and sum(x != y for x, y in zip(a, b)) <= 1
+    leader = {s: max(((n[o], o) for o in n if n[o] > n[s] and near(s, o)), default=(0, s))[1] for s in n}
+    size = {x: sum(n[s] for s in n if leader[s] == x) for x in leader.values()}
+    got = variants.cluster_polish(spark.createDataFrame([(s,) for s in seqs], "seq string")).collect()
+    assert {(r["seq"], r["n"], r["leader"], r["size"]) for r in got} == {(s, n[s], leader[s], size[leader[s]]) for s in n if size[leader[s]] >= 3}
+
+
+def test_bases_and_alleles_of_every_kind_of_block(spark):
+    a = spark.createDataFrame(
+        [("r", 0, "1", 10, "2S3M2I2M1D2M3H", "NNACGTTACGT", "!!IIIIIIIII"), ("d", 1024, "1", 10, "3M", "AAA", "III"), ("*", 0, "1", 10, "*", "A", "I")],
+        "read_id string, flags int, chr string, pos long, cigar string, seq string, qual string",
+    )
+    b = sorted((r["pos"], r["base"], r["qv"], r["cycle"]) for r in pileup.aligned_bases(a).collect())
+    assert b == [(10, "A", 40, 1), (11, "C", 40, 2), (12, "G", 40, 3), (13, "A", 40, 4), (14, "C", 40, 5), (15, "-", 0, 6), (16, "G", 40, 7), (17, "T", 40, 8)]
+    n = {(r["pos"], r["allele"]) for r in pileup.allele_counts(a).collect()}
+    assert n == {(10, "A"), (11, "C"), (12, "GTT"), (13, "A"), (14, "C-"), (16, "G"), (17, "T")}
