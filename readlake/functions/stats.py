@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -11,6 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..operators.ranking import global_rank
+
+#: Equal parts of a group's span inside which values are ranked.
+PARTS = 1024
+
 
 def describe(df: DataFrame, keys: list[str], x: str, index: str, divisor: int | None = None) -> DataFrame:
     """Count, sum, sumsq, mean, min, max, range, indexes of the extremes (last on ties), variance and sd.
@@ -27,32 +35,71 @@ def describe(df: DataFrame, keys: list[str], x: str, index: str, divisor: int |
     return out.withColumns({"mean": F.col("total") / F.col("n"), "spread": F.col("most") - F.col("least"), "variance": var, "sd": F.sqrt(var)})
 
 
+def _by_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on `keys`, null keys included; `other` has one row for each."""
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    same = F.lit(True)
+    for k, name in names.items():
+        same = same & F.col(k).eqNullSafe(F.col(name))
+    return df.join(other.withColumnsRenamed(names), same).drop(*names.values())
+
+
+def _ranked(df: DataFrame, keys: list[str], x: str, wanted: Callable[[Column, Column, Column], Column] | None = None) -> DataFrame:
+    """(keys, _x, _c, _n, _upto): every distinct value of a group, how often it comes, the group's size and the number of
+    values up to it. Groups without a value give no row.
+
+    Values are counted first, so equal ones cost one row. A group's span is cut into equal parts; values are ranked inside
+    their part, after the counts of the parts before, so no task holds a group. `wanted` (values before a part, values up
+    to its end, group's size) says which parts are of use; the others are left out before anything is sorted.
+    """
+    r = df.select(*keys, F.col(x).cast("double").alias("_x")).where("_x is not null").groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    ends = r.groupBy(*keys).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    part = F.floor(F.try_divide(F.col("_x") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * PARTS)
+    r = _by_keys(r, ends, keys).withColumn("_part", F.coalesce(part, F.lit(0))).drop("_lo", "_hi")
+    w = Window.partitionBy(*keys)
+    parts = r.groupBy(*keys, "_part").agg(F.sum("_c").alias("_k"))
+    upto = F.sum("_k").over(w.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))
+    parts = parts.withColumns({"_n": F.sum("_k").over(w), "_end": upto})
+    parts = parts.withColumn("_before", F.col("_end") - F.col("_k"))
+    if wanted is not None:
+        parts = parts.where(wanted(F.col("_before"), F.col("_end"), F.col("_n")))
+    own = Window.partitionBy(*keys, "_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    r = _by_keys(r, parts.select(*keys, "_part", "_n", "_before"), [*keys, "_part"])
+    return r.select(*keys, "_x", "_c", "_n", (F.col("_before") + F.sum("_c").over(own)).alias("_upto"))
+
+
 def percentile_pick(df: DataFrame, keys: list[str], x: str, p: float) -> DataFrame:
     """The value at place ceil(n p / 100) of the sorted ones, and that place from 0; null where p < 100 / n."""
-    w = Window.partitionBy(*keys)
-    r = df.select(*keys, F.col(x).cast("double").alias("value")).where("value is not null")
-    r = r.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_c"))
-    r = r.withColumn("_n", F.sum("_c").over(w)).withColumn("_upto", F.sum("_c").over(w.orderBy("value")))
-    at = F.ceil(F.col("_n") * F.lit(p) / 100)
-    hit = r.where((F.col("_upto") >= at) & (F.col("_upto") - F.col("_c") < F.greatest(at, F.lit(1))))
-    ok = F.lit(p) >= 100 / F.col("_n")
-    return hit.select(*keys, F.when(ok, F.col("value")).alias("value"), F.when(ok, at - 1).cast("long").alias("place"))
+    at = lambda n: F.greatest(F.ceil(n * F.lit(p) / 100), F.lit(1))
+    r = _ranked(df, keys, x, lambda before, upto, n: (before < at(n)) & (upto >= at(n)))
+    n = F.col("_n")
+    hit = r.where((F.col("_upto") >= at(n)) & (F.col("_upto") - F.col("_c") < at(n)))
+    ok = F.lit(p) >= 100 / n
+    return hit.select(*keys, F.when(ok, F.col("_x")).alias("value"), F.when(ok, at(n) - 1).cast("long").alias("place"))
 
 
 def quantiles(df: DataFrame, keys: list[str], x: str) -> DataFrame:
-    """Quartiles q0 to q4, interpolated linearly; q2 is the median."""
-    q = F.percentile(F.col(x).cast("double"), F.array(*[F.lit(k / 4) for k in range(5)]))
-    return df.groupBy(*keys).agg(q.alias("q")).select(*keys, *[F.get("q", k).alias(f"q{k}") for k in range(5)])
+    """Quartiles q0 to q4, interpolated linearly; q2 is the median. Groups without a value give no row."""
+    place = lambda n, k: (n - 1) * F.lit(k / 4)
+    ends = lambda n: [f(place(n, k)) for k in range(5) for f in (F.floor, F.ceil)]
+    holds = lambda before, upto, j: (before <= j) & (j < upto)
+    any_of = lambda before, upto, n: reduce(or_, [holds(before, upto, j) for j in ends(n)])
+    r = _ranked(df, keys, x, any_of)
+    before, upto, n = F.col("_upto") - F.col("_c"), F.col("_upto"), F.col("_n")
+    at = [F.max(F.when(holds(before, upto, j), F.col("_x"))).alias(f"_v{i}") for i, j in enumerate(ends(n))]
+    out = r.groupBy(*keys).agg(F.max("_n").alias("_n"), *at)
+
+    def between(k: int) -> Column:
+        lo, hi, p = F.col(f"_v{2 * k}"), F.col(f"_v{2 * k + 1}"), place(n, k)
+        return F.when(lo == hi, lo).otherwise((F.ceil(p) - p) * lo + (p - F.floor(p)) * hi)
+
+    return out.select(*keys, *[between(k).alias(f"q{k}") for k in range(5)])
 
 
 def trimmed_mean(df: DataFrame, keys: list[str], x: str, lower: float, upper: float | None = None) -> DataFrame:
     """Mean without the lowest `lower` and the highest `upper` share of values; null where nothing is left."""
     upper = lower if upper is None else upper
-    w = Window.partitionBy(*keys)
-    r = df.select(*keys, F.col(x).cast("double").alias("_x")).where("_x is not null")
-    # values are counted before they are ranked, so equal ones cost one row
-    r = r.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    r = r.withColumn("_n", F.sum("_c").over(w)).withColumn("_upto", F.sum("_c").over(w.orderBy("_x")))
+    r = _ranked(df, keys, x)
     low, high = F.floor(F.col("_n") * lower), F.col("_n") - F.floor(F.col("_n") * upper)
     n = F.greatest(F.lit(0), F.least("_upto", high) - F.greatest(F.col("_upto") - F.col("_c"), low))
     return r.groupBy(*keys).agg(F.try_divide(F.sum(n * F.col("_x")), F.sum(n)).alias("trimmed_mean"))
@@ -167,8 +214,17 @@ def frequency_by_limits(df: DataFrame, keys: list[str], x: str, limits: list[flo
     return df.groupBy(*keys, limit.alias("limit")).agg(F.count(F.lit(1)).alias("n")).where("limit is not null")
 
 
-def least_squares(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    """Intercept, slope, r and root mean square of the residuals of y on x; nulls where x, and r where y, does not vary."""
+def least_squares(df: DataFrame, keys: list[str], x: str | None, y: str, order: list[str] | None = None) -> DataFrame:
+    """Intercept, slope, r and root mean square of the residuals of y on x; nulls where x, and r where y, does not vary.
+
+    Without `x`, the values that are not null count 1, 2, ... inside their group, in the given total order.
+    """
+    if x is None:
+        if not order:
+            raise ValueError("without x, order must say how values follow each other")
+        df = global_rank(df.where(F.col(y).isNotNull()), [*keys, *order])
+        first = df.groupBy(*keys).agg((F.min("rank") - 1).alias("_first"))
+        df, x = _by_keys(df, first, keys).withColumn("_x", F.col("rank") - F.col("_first")), "_x"
     a, b = F.col(x).cast("double"), F.col(y).cast("double")
     s = df.where(a.isNotNull() & b.isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum(a).alias("sx"), F.sum(b).alias("sy"), F.sum(a * a).alias("sxx"), F.sum(a * b).alias("sxy"), F.sum(b * b).alias("syy")

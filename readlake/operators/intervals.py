@@ -15,24 +15,44 @@ def bare_chr(chr: Column) -> Column:
     return F.regexp_replace(chr, "^chr", "")
 
 
-def _merge(df: DataFrame, keys: list[str], flank: int) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy("start_pos", "end_pos")
-    reach = F.max("end_pos").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    df = df.withColumn("_new", F.when(reach.isNull() | (F.col("start_pos") > reach + flank), 1).otherwise(0))
-    df = df.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return df.groupBy(*keys, "_island").agg(
-        F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.sum("n").alias("n")
-    ).drop("_island")
+def by_tile(df: DataFrame, tiles: DataFrame) -> DataFrame:
+    """`df` (chr, _tile, ...) with the columns of `tiles`, one row for each tile; null chromosomes match too."""
+    t = tiles.withColumnsRenamed({"chr": "_chr_of", "_tile": "_tile_of"})
+    return df.join(t, F.col("chr").eqNullSafe(F.col("_chr_of")) & F.col("_tile").eqNullSafe(F.col("_tile_of")), "left").drop("_chr_of", "_tile_of")
+
+
+def islands(df: DataFrame, order: list[str], new: str) -> DataFrame:
+    """`df` (chr, _tile, ...) with `_island`: how many rows of the chromosome up to this one, in order, have `new` = 1.
+
+    Rows are counted inside tiles; one sum for each tile says where the next starts.
+    """
+    w = Window.partitionBy("chr").orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    tiles = df.groupBy("chr", "_tile").agg(F.sum(new).alias("_sum"))
+    tiles = tiles.select("chr", "_tile", F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_islands"))
+    own = Window.partitionBy("chr", "_tile").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return by_tile(df.withColumn("_own", F.sum(new).over(own)), tiles).withColumn("_island", F.col("_islands") + F.col("_own")).drop("_islands", "_own")
+
+
+def _joined(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.groupBy(*keys, "_island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.sum("n").alias("n")).drop("_island")
 
 
 def merge_intervals(regions: DataFrame, flank: int = 0) -> DataFrame:
     """Union of intervals that overlap or lie at most `flank` apart: (chr, start_pos, end_pos, n merged).
 
-    With flank 0 abutting intervals stay apart. Rows are merged inside tiles first, then the few that are left by chromosome.
+    With flank 0 abutting intervals stay apart. Rows are merged inside the tile that they start in. How far the tiles
+    before reach, one number for each tile, then says which of them go on from there; only tiles are windowed by
+    chromosome.
     """
-    df = regions.select("chr", "start_pos", "end_pos", F.lit(1).cast("long").alias("n"))
-    df = _merge(df.withColumn("_tile", F.floor(F.col("start_pos") / TILE)), ["chr", "_tile"], flank).drop("_tile")
-    return _merge(df, ["chr"], flank)
+    df = regions.select("chr", "start_pos", "end_pos", F.lit(1).cast("long").alias("n")).withColumn("_tile", F.floor(F.col("start_pos") / TILE))
+    w = Window.partitionBy("chr", "_tile").orderBy("start_pos", "end_pos")
+    reach = F.max("end_pos").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    df = df.withColumn("_new", F.when(reach.isNull() | (F.col("start_pos") > reach + flank), 1).otherwise(0))
+    df = _joined(df.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))), ["chr", "_tile"])
+    ahead = Window.partitionBy("chr").orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    tiles = df.groupBy("chr", "_tile").agg(F.max("end_pos").alias("_far")).select("chr", "_tile", F.max("_far").over(ahead).alias("_reach"))
+    new = F.when(F.col("_reach").isNull() | (F.col("start_pos") > F.col("_reach") + flank), 1).otherwise(0)
+    return _joined(islands(by_tile(df, tiles).withColumn("_new", new), ["start_pos"], "_new"), ["chr"])
 
 
 def _bins(start: Column, end: Column, width: int) -> Column:
@@ -130,30 +150,49 @@ def gaps(depth: DataFrame, regions: DataFrame) -> DataFrame:
 
 def dips(depth: DataFrame, least: int = 10) -> DataFrame:
     """Runs of per-position `depth` (chr, pos, depth) below `least`: a run opens below it, closes above it, and equality
-    keeps the state. (chr, start_pos, end_pos, positions, mean_depth as a whole number)."""
-    w = Window.partitionBy("chr").orderBy("pos")
+    keeps the state. (chr, start_pos, end_pos, positions, mean_depth as a whole number).
+
+    States are taken inside tiles and start from the last state of the tiles before, one row for each tile.
+    """
     state = F.when(F.col("depth") < least, 1).when(F.col("depth") > least, 0)
-    low = F.coalesce(F.last(state, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
-    d = depth.withColumn("_low", low)
-    new = F.when((F.col("_low") == 1) & (F.coalesce(F.lag("_low").over(w), F.lit(0)) == 0), 1).otherwise(0)
-    d = d.withColumn("_new", new).withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return d.where("_low = 1").groupBy("chr", "_run").agg(
+    d = depth.select("chr", "pos", "depth", F.floor(F.col("pos") / TILE).alias("_tile"), state.alias("_state"))
+    tiles = d.groupBy("chr", "_tile").agg(F.max_by("_state", F.when(F.col("_state").isNotNull(), F.col("pos"))).alias("_last"))
+    ahead = Window.partitionBy("chr").orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    tiles = tiles.select("chr", "_tile", F.coalesce(F.last("_last", ignorenulls=True).over(ahead), F.lit(0)).alias("_from"))
+    w = Window.partitionBy("chr", "_tile").orderBy("pos")
+    d = d.withColumn("_seen", F.last("_state", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    d = by_tile(d.withColumn("_past", F.lag("_seen").over(w)), tiles)
+    d = d.withColumn("_low", F.coalesce("_seen", "_from"))
+    d = d.withColumn("_new", F.when((F.col("_low") == 1) & (F.coalesce("_past", "_from") == 0), 1).otherwise(0))
+    return islands(d, ["pos"], "_new").where("_low = 1").groupBy("chr", "_island").agg(
         F.min("pos").alias("start_pos"), F.max("pos").alias("end_pos"), F.count(F.lit(1)).alias("positions"),
         F.floor(F.sum("depth") / F.count(F.lit(1))).cast("long").alias("mean_depth"),
-    ).drop("_run")
+    ).drop("_island")
 
 
 def genetic_position(points: DataFrame, markers: DataFrame) -> DataFrame:
     """centimorgan of each point (id, chr, pos) from `markers` (chr, pos, centimorgan): an exact hit, else the mean of the
-    nearest marker below and above in hundredths, else null. An as-of join in both directions by one sorted union."""
+    nearest marker below and above in hundredths, else null.
+
+    An as-of join in both directions by one sorted union inside tiles; what a tile takes from those before and after it
+    comes from one row for each tile.
+    """
     m = markers.where("centimorgan is not null").groupBy("chr", "pos").agg(F.min("centimorgan").alias("cm"))
     both = points.select("id", "chr", "pos", F.lit(None).cast("double").alias("cm"), F.lit(1).alias("_p")).unionByName(
         m.select(F.lit(None).cast(points.schema["id"].dataType).alias("id"), "chr", "pos", "cm", F.lit(0).alias("_p"))
     )
-    up = Window.partitionBy("chr").orderBy("pos", "_p").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("chr").orderBy(F.col("pos").desc(), "_p").rowsBetween(Window.unboundedPreceding, 0)
-    near = lambda w: F.last(F.when(F.col("_p") == 0, F.struct("pos", "cm")), ignorenulls=True).over(w)
-    out = both.withColumn("_lo", near(up)).withColumn("_hi", near(down)).where("_p = 1")
+    both = both.withColumn("_tile", F.floor(F.col("pos") / TILE)).withColumn("_m", F.when(F.col("_p") == 0, F.struct("pos", "cm")))
+    tiles = both.groupBy("chr", "_tile").agg(F.max("_m").alias("_most"), F.min("_m").alias("_least"))
+    w = Window.partitionBy("chr").orderBy("_tile")
+    tiles = tiles.select(
+        "chr", "_tile",
+        F.last("_most", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_below"),
+        F.first("_least", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_above"),
+    )
+    own = Window.partitionBy("chr", "_tile").rowsBetween(Window.unboundedPreceding, 0)
+    near = lambda *order: F.last("_m", ignorenulls=True).over(own.orderBy(*order))
+    out = both.withColumn("_lo", near("pos", "_p")).withColumn("_hi", near(F.col("pos").desc(), "_p")).where("_p = 1")
+    out = by_tile(out, tiles).withColumns({"_lo": F.coalesce("_lo", "_below"), "_hi": F.coalesce("_hi", "_above")})
     mean = F.floor((F.col("_lo.cm") + F.col("_hi.cm")) / 2 * 100 + 0.5) / 100
     return out.select("id", "chr", "pos", F.when(F.col("_lo.pos") == F.col("pos"), F.col("_lo.cm")).otherwise(mean).alias("centimorgan"))
 

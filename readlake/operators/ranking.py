@@ -6,31 +6,58 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .scratch import table
 
-def global_rank(df: DataFrame, order: list[str | Column], buckets: int = 1024) -> DataFrame:
-    """`df` with `rank` from 1 in the given order, which must be total.
 
-    Rows are cut into buckets at quantiles of the leading column's hash-free order: ntile-like bounds come from a small
-    sample of that column, ranks are taken inside buckets, and the buckets' counts say where each starts. Only the
-    bounds, at most `buckets` values, come to the driver.
+#: Bits of monotonically_increasing_id() that count rows inside a partition.
+_ROW_BITS = 33
+
+
+def _dealt(df: DataFrame, order: list[str | Column]) -> DataFrame:
+    """`df` in range partitions by the whole order, written once, with `_part` and `_row` (from 0 inside the partition).
+
+    Splitters come from the sample that Spark takes for range partitions; rows that share a leading value are parted by
+    the later columns, so no value fills a partition. What is written holds, so later passes see the same partitions.
+    """
+    at = F.monotonically_increasing_id()
+    d = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at)
+    d = d.withColumns({"_part": F.shiftright("_at", _ROW_BITS), "_row": F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))})
+    return table(d.drop("_at"))
+
+
+def _before(d: DataFrame, amount: Column) -> DataFrame:
+    """(_part, _own, _before): the sum of `amount` in each partition and in all those before. One row for each partition."""
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return d.groupBy("_part").agg(F.sum(amount).alias("_own")).withColumn("_before", F.coalesce(F.sum("_own").over(w), F.lit(0)))
+
+
+def global_rank(df: DataFrame, order: list[str | Column]) -> DataFrame:
+    """`df` with `rank` from 1 in the given order, which must be total (of equal rows any comes first).
+
+    Rows are sorted in range partitions and written once; a row's rank is its place in its partition after the rows of
+    the partitions before. Nothing but one count for each partition is windowed, and that is what is broadcast. Nulls
+    come first, as in Spark's ascending order; an empty table gives none.
+    """
+    d = _dealt(df, order)
+    before = _before(d, F.lit(1)).select("_part", "_before")
+    return d.join(F.broadcast(before), "_part").withColumn("rank", F.col("_before") + F.col("_row") + 1).drop("_part", "_row", "_before")
+
+
+def take_until(df: DataFrame, order: list[str | Column], most: int, amount: Column | None = None) -> DataFrame:
+    """The first rows in the given order, which must be total: `most` of them, or with `amount` (a whole number of each
+    row, null counts as 0) those before which the running sum is `most` at most.
+
+    Partitions wholly inside the limit are kept as they lie; only the one that crosses it is windowed.
     """
-    first = order[0]
-    col = F.col(first) if isinstance(first, str) else first
-    total = df.count()
-    size = max(1, min(buckets, total // 100_000))
-    bounds = []
-    if size > 1:
-        got = df.select(col.alias("_k")).sample(min(1.0, 100 * size / total), seed=1).where("_k is not null").orderBy("_k").collect()
-        bounds = sorted({r[0] for r in got[:: max(1, len(got) // size)]})
-    bucket = F.lit(0)
-    for i, b in enumerate(bounds):
-        bucket = F.when(col > F.lit(b), F.lit(i + 1)).otherwise(bucket)
-    d = df.withColumn("_b", bucket)
-    before = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = before.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_b").orderBy(*order))
-    # at most `buckets` + 1 rows
-    return d.withColumn("_own", own).join(F.broadcast(before), "_b").withColumn("rank", F.col("_before") + F.col("_own")).drop("_b", "_own", "_before")
+    d = _dealt(df.withColumn("_amount", F.lit(1) if amount is None else F.coalesce(amount, F.lit(0))), order)
+    # a row stays while what comes before it is at most this
+    limit = most - 1 if amount is None else most
+    before = _before(d, F.col("_amount"))
+    j = d.join(F.broadcast(before.where(F.col("_before") <= limit)), "_part")
+    whole = F.col("_before") + F.col("_own") <= limit
+    sums = F.coalesce(F.sum("_amount").over(Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cut = j.where(~whole).withColumn("_sum", sums).where(F.col("_before") + F.col("_sum") <= limit).drop("_sum")
+    return j.where(whole).unionByName(cut).drop("_part", "_row", "_own", "_before", "_amount")
 
 
 def chromosome_number(chr: Column) -> Column:

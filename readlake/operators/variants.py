@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.maps import last_wins
-from .intervals import in_region, overlap_join
+from .intervals import TILE, in_region, islands, overlap_join
 from .reads import reverse_complement
 
 
@@ -382,16 +382,17 @@ def dedupe_by_transcript(report: DataFrame) -> DataFrame:
 
 def homozygous_runs(variants: DataFrame, positions: DataFrame, least_cm: float = 0.5, least_n: int = 3) -> DataFrame:
     """Runs of consecutive HOMO variants that pass, longer than `least_cm` and of at least `least_n`, inside a chromosome:
-    (chr, start_pos, end_pos, n, cm). `positions` gives centimorgan by id, see genetic_position()."""
+    (chr, start_pos, end_pos, n, cm). `positions` gives centimorgan by id, see genetic_position(). Runs are counted inside
+    tiles, see islands()."""
     p = positions.select(F.col("id").alias("variant_id"), "centimorgan")
     v = variants.where("filter = 'PASS'").join(p, "variant_id", "left")
-    w = Window.partitionBy("chr").orderBy("pos", "variant_id")
-    v = v.withColumn("_h", F.col("genotype") == "HOMO").withColumn("_run", F.sum(F.when(F.col("_h"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    g = v.where("_h").groupBy("chr", "_run").agg(
+    home = F.coalesce(F.col("genotype") == "HOMO", F.lit(False))
+    v = v.withColumn("_h", home).withColumn("_other", F.when(home, 0).otherwise(1)).withColumn("_tile", F.floor(F.col("pos") / TILE))
+    g = islands(v, ["pos", "variant_id"], "_other").where("_h").groupBy("chr", "_island").agg(
         F.min("pos").alias("start_pos"), F.max("pos").alias("end_pos"), F.count(F.lit(1)).alias("n"),
         (F.max("centimorgan") - F.min("centimorgan")).alias("cm"),
     )
-    return g.where((F.col("cm") > least_cm) & (F.col("n") >= least_n)).drop("_run")
+    return g.where((F.col("cm") > least_cm) & (F.col("n") >= least_n)).drop("_island")
 
 
 def marker_range(pairs: DataFrame, markers: DataFrame) -> DataFrame:

@@ -94,6 +94,13 @@ def _(t: Tables):
     return _rounded(S.least_squares(_orders(t), ["g"], "x", "y"), "intercept", "slope", "r", "rms")
 
 
+@query("M10_least_squares_in_order", f"""WITH v AS (SELECT g, y, row_number() OVER (PARTITION BY g ORDER BY i) AS x FROM ({_X})), s AS (SELECT g, count(*) AS n, sum(x)::DOUBLE AS sx, sum(y)::DOUBLE AS sy, sum(x * x)::DOUBLE AS sxx, sum(x * y)::DOUBLE AS sxy, sum(y * y)::DOUBLE AS syy FROM v GROUP BY g),
+f AS (SELECT *, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope FROM s), h AS (SELECT *, (sy - slope * sx) / n AS intercept FROM f)
+SELECT g, n, {_r('intercept')} AS intercept, {_r('slope')} AS slope, {_r('(n * sxy - sx * sy) / sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))')} AS r, {_r('sqrt(greatest(0.0, syy - intercept * sy - slope * sxy) / n)')} AS rms FROM h""")
+def _(t: Tables):
+    return _rounded(S.least_squares(_orders(t), ["g"], None, "y", ["i"]), "intercept", "slope", "r", "rms")
+
+
 @query("P18_human_count", """SELECT l_returnflag AS g, sum(CAST(l_extendedprice AS BIGINT))::BIGINT AS x, CASE WHEN sum(CAST(l_extendedprice AS BIGINT)) >= 1000000000 THEN concat(CAST(floor(sum(CAST(l_extendedprice AS BIGINT)) / 10000000) / 100 AS STRING), 'G')
  WHEN sum(CAST(l_extendedprice AS BIGINT)) >= 1000000 THEN concat(CAST(floor(sum(CAST(l_extendedprice AS BIGINT)) / 10000) / 100 AS STRING), 'M') ELSE CAST(sum(CAST(l_extendedprice AS BIGINT)) AS STRING) END AS label
  FROM (SELECT l_returnflag, floor(l_extendedprice) AS l_extendedprice FROM lineitem) GROUP BY 1""")

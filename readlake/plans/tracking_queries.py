@@ -207,6 +207,18 @@ def _(t: Tables):
     return K.common_keys(t.fx_variants, t.fx_known_snps, ["chr", "pos"])
 
 
+@query("O07_first_reads", "SELECT read_id FROM fx_alignments WHERE (flags & 4) = 0 ORDER BY chr, pos, read_id LIMIT 1000")
+def _(t: Tables):
+    return K.take_until(t.fx_alignments.where("(flags & 4) = 0").select("read_id", "chr", "pos"), ["chr", "pos", "read_id"], 1000).select("read_id")
+
+
+@query("O07_first_bases", """SELECT read_id FROM (SELECT read_id, coalesce(sum(span) OVER (ORDER BY chr, pos, read_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+FROM fx_alignments WHERE (flags & 4) = 0) WHERE before <= 50000""")
+def _(t: Tables):
+    a = t.fx_alignments.where("(flags & 4) = 0").select("read_id", "chr", "pos", "span")
+    return K.take_until(a, ["chr", "pos", "read_id"], 50_000, F.col("span")).select("read_id")
+
+
 @query("O06_without_keys", "SELECT variant_id FROM fx_variants v WHERE NOT EXISTS (SELECT 1 FROM fx_known_snps k WHERE k.chr = v.chr AND k.pos = v.pos)")
 def _(t: Tables):
     return K.without_keys(t.fx_variants, t.fx_known_snps, ["chr", "pos"]).select("variant_id")

@@ -202,13 +202,111 @@ def test_repeated_keys_and_odd_lines(spark):
     assert rows(tracking.upsert(table, new, ["k"])) == [("a", 20), ("b", 3), (None, 10)]
 
 
-def test_global_rank_over_buckets(spark):
+def test_global_rank_over_partitions(spark):
     df = spark.range(300_000).select(F.xxhash64("id").alias("x"))
-    out = ranking.global_rank(df, ["x"], buckets=8)
+    out = ranking.global_rank(df, ["x"])
     assert out.agg(F.min("rank"), F.max("rank"), F.countDistinct("rank")).first() == (1, 300_000, 300_000)
     assert out.orderBy("x").limit(3).select("rank").collect() == [(1,), (2,), (3,)]
 
 
+def test_global_rank_with_nulls_ties_and_a_frequent_leading_value(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), *[("a", i) for i in range(2000)], ("b", 0)], "k string, i int")
+    out = {(r.k, r.i): r["rank"] for r in ranking.global_rank(df, ["k", "i"]).collect()}
+    assert (out[None, 1], out[None, 2], out["a", 0], out["a", 1999], out["b", 0]) == (1, 2, 3, 2002, 2003)
+    assert sorted(r["rank"] for r in ranking.global_rank(df.select("k"), ["k"]).collect()) == list(range(1, 2004))
+    assert ranking.global_rank(df.limit(0), ["k"]).count() == 0
+
+
+def test_take_until_stops_after_rows_or_amounts(spark):
+    rnd = random.Random(8)
+    data = [(i, rnd.choice([None, 0, 3, 50])) for i in range(3000)]
+    df = spark.createDataFrame(data, "i int, n int").repartition(7)
+    assert rows(ranking.take_until(df, ["i"], 1234).select("i")) == sorted(((i,) for i in range(1234)), key=repr)
+    total, want = 0, []
+    for i, n in data:
+        if total <= 777:
+            want.append((i,))
+        total += n or 0
+    assert rows(ranking.take_until(df, ["i"], 777, F.col("n")).select("i")) == sorted(want, key=repr)
+    assert ranking.take_until(df, ["i"], 0).count() == 0
+    assert ranking.take_until(df.limit(0), ["i"], 5).count() == 0
+    assert ranking.take_until(df, ["i"], 10**9, F.col("n")).count() == 3000
+
+
+def test_ranks_inside_parts_equal_sorting(spark):
+    rnd = random.Random(9)
+    data = [(g, rnd.choice([float(rnd.randrange(9)), rnd.gauss(0, 1), 1e12 * rnd.random()])) for g in ["a", "b", None] for _ in range(rnd.randrange(1, 300))]
+    data += [("c", 5.0)] * 7 + [("d", None), ("e", float("inf")), ("e", 1.0), ("e", float("-inf"))]
+    df = spark.createDataFrame(data, "g string, x double")
+    groups = {}
+    for g, x in data:
+        if x is not None:
+            groups.setdefault(g, []).append(x)
+    for p in (1.0, 37.5, 90.0, 100.0):
+        got = {r.g: (r.value, r.place) for r in S.percentile_pick(df, ["g"], "x", p).collect()}
+        want = {}
+        for g, xs in groups.items():
+            k = max(1, -int(-len(xs) * p // 100))
+            want[g] = (sorted(xs)[k - 1], k - 1) if p >= 100 / len(xs) else (None, None)
+        assert got == want
+    finite = df.where("g is null or g <> 'e'")
+    got = {r.g: tuple(r)[1:] for r in S.quantiles(finite, ["g"], "x").collect()}
+    q = F.percentile("x", F.array(*[F.lit(k / 4) for k in range(5)]))
+    want = {r.g: tuple(r.q) for r in finite.where("x is not null").groupBy("g").agg(q.alias("q")).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[g] == pytest.approx(want[g], rel=1e-12) for g in want)
+    assert S.quantiles(df.drop("g"), [], "x").count() == 1
+
+
+def test_least_squares_in_order(spark):
+    df = spark.createDataFrame([("a", i, 3.0 * i + 1) for i in range(5)] + [("b", 9, 4.0), ("b", 7, None), (None, 1, 2.0), (None, 2, 4.0)], "g string, i int, y double")
+    got = {r.g: (r.n, r.intercept, r.slope) for r in S.least_squares(df, ["g"], None, "y", ["i"]).collect()}
+    assert got["a"] == (5, pytest.approx(-2.0), pytest.approx(3.0))
+    assert got["b"] == (1, None, None)
+    assert got[None] == (2, pytest.approx(0.0), pytest.approx(2.0))
+
+
+def test_merge_over_tiles_equals_one_sweep(spark):
+    rnd, t = random.Random(3), intervals.TILE
+    data = [(c, s, s + rnd.choice([0, 40, t // 2, 3 * t])) for c in ("1", "2", None) for s in rnd.choices([k * t // 3 + d for k in range(60) for d in (-1, 0, 7)], k=12)]
+    for flank in (0, 1, t):
+        want = []
+        for c in ("1", "2", None):
+            for _, s, e in sorted(d for d in data if d[0] == c) if c else sorted((d for d in data if d[0] is None), key=lambda d: d[1:]):
+                if want and want[-1][0] == c and s <= want[-1][2] + flank:
+                    want[-1][2] = max(want[-1][2], e)
+                    want[-1][3] += 1
+                else:
+                    want.append([c, s, e, 1])
+        assert rows(intervals.merge_intervals(iv(spark, data), flank)) == sorted(map(tuple, want), key=repr)
+
+
+def test_dips_and_runs_over_tiles_equal_one_sweep(spark):
+    rnd, t = random.Random(5), intervals.TILE
+    data = [("1", p, rnd.choice([3, 9, 10, 10, 10, 30])) for p in sorted(rnd.sample(range(0, 9 * t, 50_000), 150))]
+    want, low = [], False
+    for _, p, d in data:
+        was, low = low, d < 10 if d != 10 else low
+        if low and not was:
+            want.append([])
+        if low:
+            want[-1].append((p, d))
+    want = sorted((("1", w[0][0], w[-1][0], len(w), sum(d for _, d in w) // len(w)) for w in want), key=repr)
+    assert rows(intervals.dips(spark.createDataFrame(data, "chr string, pos long, depth int"))) == want
+
+
+def test_genetic_position_over_tiles(spark):
+    rnd, t = random.Random(6), intervals.TILE
+    marks = {p: round(p / t, 2) for p in rnd.sample(range(0, 12 * t, 99_991), 9)}
+    points = [(i, "1", p) for i, p in enumerate(rnd.sample(range(0, 12 * t), 60) + list(marks))]
+    m = spark.createDataFrame([("1", p, c) for p, c in marks.items()], "chr string, pos long, centimorgan double")
+    got = {r.id: r.centimorgan for r in intervals.genetic_position(spark.createDataFrame(points, "id int, chr string, pos long"), m).collect()}
+    for i, _, p in points:
+        lo, hi = max((q for q in marks if q <= p), default=None), min((q for q in marks if q >= p), default=None)
+        want = marks[p] if p in marks else None if lo is None or hi is None else (marks[lo] + marks[hi]) / 2
+        assert got[i] == (None if want is None else pytest.approx(want, abs=0.0051))
+
+
 def test_upsert_and_partial_update(spark):
     t = spark.createDataFrame([(1, 10), (2, 20)], "id int, v int")
     assert rows(tracking.upsert(t, spark.createDataFrame([(2, 5), (3, 6)], "id int, v int"), ["id"])) == [(1, 10), (2, 5), (3, 6)]
