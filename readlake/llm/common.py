@@ -2,30 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.scratch import own_folder, shared_dir, table
+
 #: A word is a run of anything but ASCII white space (Java and Python regex).
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. One of our own only in a local session where none is set."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        where = spark.conf.get("spark.checkpoint.dir", None)
-        if where is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="spark-"))
-    return sc.getCheckpointDir()
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` to the shared checkpoint folder and go on from there (survives lost executors)."""
     shared_dir(df.sparkSession)
@@ -79,27 +64,3 @@ def with_row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if bad.isEmpty():
         return base.select(F.col("_id").alias("_key"), "_id", "_text")
     return table(base.select(F.monotonically_increasing_id().alias("_key"), "_id", "_text"))
-
-
-def table(df: DataFrame) -> DataFrame:
-    """Write `df` as Parquet to the shared folder and read it back: a smaller cut than cut() for tables of many narrow rows.
-
-    The files go when the session's Python process ends.
-    """
-    spark = df.sparkSession
-    path = own_folder(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def own_folder(spark: SparkSession) -> str:
-    """A new path in the shared folder; what is there goes when the session's Python process ends."""
-    path = f"{shared_dir(spark)}/readlake-{uuid.uuid4().hex}"
-
-    def drop() -> None:
-        with contextlib.suppress(Exception):
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-    atexit.register(drop)
-    return path
