@@ -79,6 +79,26 @@ def files_of(runs: DataFrame, files: DataFrame) -> DataFrame:
     return runs.join(files, "rid").groupBy("rid", "name").agg(F.sort_array(F.collect_list("fid")).alias("files"))
 
 
+def files_by_sample(runs: DataFrame, files: DataFrame, samples: DataFrame) -> DataFrame:
+    """File names of each sample of each run as a sorted list: (rid, sample, files). `samples` has (sid, sample)."""
+    j = files.join(runs.select("rid"), "rid").join(samples.select("sid", "sample"), "sid")
+    return j.groupBy("rid", "sample").agg(F.sort_array(F.collect_list("name")).alias("files"))
+
+
+def files_with_runs(files: DataFrame, runs: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+    """Files with all columns of their run, and with `samples` (sid, project) their project: rows to look samples and projects up in."""
+    j = files.join(runs, "rid")
+    return j if samples is None else j.join(samples.select("sid", "project"), "sid")
+
+
+def lane_sheet(stats: DataFrame, files: DataFrame) -> DataFrame:
+    """The file of each lane and barcode.read of a run: (rid, lane, tag, name). `stats` has (fid, lane, read_nr, bcode); an
+    empty or missing barcode is called default; of several files the one with the greatest fid stays."""
+    code = F.coalesce(F.nullif("bcode", F.lit("")), F.lit("default"))
+    tag = F.concat(code, F.lit("."), F.col("read_nr").cast("string"))
+    return stats.join(files.select("fid", "rid", "name"), "fid").groupBy("rid", "lane", tag.alias("tag")).agg(F.max_by("name", "fid").alias("name"))
+
+
 def samples_per_run(files: DataFrame) -> DataFrame:
     return files.groupBy("rid").agg(F.countDistinct("sid").alias("samples"))
 
@@ -97,11 +117,49 @@ def lane_split(files: DataFrame) -> DataFrame:
     return s.withColumn("pct", F.try_divide(F.col("reads") * 100, F.sum("reads").over(Window.partitionBy("lane"))))
 
 
-def run_summary(stats: DataFrame) -> DataFrame:
-    """(rid, pct_pf, pct_q30) as text with two decimals cut off; NA where a run has no reads or bases."""
-    s = stats.groupBy("rid").agg(F.sum("reads").alias("r"), F.sum("pf").alias("p"), F.sum("bases").alias("b"), F.sum("q30").alias("q"))
-    pct = lambda a, b: F.coalesce((F.floor(F.col(a) * 10000 / F.nullif(F.col(b), F.lit(0))) / 100).cast("string"), F.lit("NA"))
-    return s.select("rid", pct("p", "r").alias("pct_pf"), pct("q", "b").alias("pct_q30"))
+def short_count(x: Column) -> Column:
+    """A whole number as the run pages show it: 1.23K or 12.3K, 123K, 1.2M, 12M; up to 100 and at powers of ten unchanged.
+
+    Halves are rounded up; from 100K and 10M on the rest is cut off.
+    """
+
+    def fixed(step: int, digits: int, unit: str) -> Column:
+        n, one = F.floor((x + step // 2) / step), 10**digits
+        return F.concat(F.floor(n / one).cast("string"), F.lit("."), F.lpad((n % one).cast("string"), digits, "0"), F.lit(unit))
+
+    return (
+        F.when((x > 10**7), F.concat(F.floor(x / 10**6).cast("string"), F.lit("M")))
+        .when((x > 10**6) & (x < 10**7), fixed(10**5, 1, "M"))
+        .when((x > 10**5) & (x < 10**6), F.concat(F.floor(x / 1000).cast("string"), F.lit("K")))
+        .when((x > 1000) & (x < 10**5) & (x != 10**4), fixed(100, 1, "K"))
+        .when((x > 100) & (x < 1000), fixed(10, 2, "K"))
+        .otherwise(x.cast("string"))
+    )
+
+
+def percent(part: Column, whole: Column, none: str) -> Column:
+    """`part` of `whole` (whole numbers) as 12.34%, halves rounded up; `none` where either is null or zero."""
+    cents = F.floor((part * 20000 + whole) / F.nullif(2 * whole, F.lit(0)))
+    text = F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"), F.lit("%"))
+    return F.when((part != 0) & (whole != 0), text).otherwise(none)
+
+
+def run_summary(stats: DataFrame, counts: tuple[str, ...] = (), measures: tuple[str, ...] = ()) -> DataFrame:
+    """One row of text for each row of `stats` (rid, read_nr, lane, reads, pf, bases, q30, phasing, prephasing, ...).
+
+    Reads that pass are 0% and bases of quality NA where there are none. Each of `counts` and `measures`, a mean with its
+    deviation beside it as <name>_sd, is mean±sd, counts in short form; phasing is phasing/prephasing. NA where either of
+    the two is null or zero.
+    """
+    both = lambda a, b: F.coalesce((F.col(a) != 0) & (F.col(b) != 0), F.lit(False))
+    pair = lambda a, b, mark, show: F.when(both(a, b), F.concat(show(F.col(a)), F.lit(mark), show(F.col(b)))).otherwise("NA")
+    text = lambda c: c.cast("string")
+    return stats.select(
+        "rid", "read_nr", "lane", short_count(F.col("reads")).alias("reads"), short_count(F.col("pf")).alias("pf"),
+        percent(F.col("pf"), F.col("reads"), "0%").alias("pct_pf"), percent(F.col("q30"), F.col("bases"), "NA").alias("pct_q30"),
+        pair("phasing", "prephasing", "/", text).alias("phasing"),
+        *[pair(c, f"{c}_sd", "±", short_count).alias(c) for c in counts], *[pair(c, f"{c}_sd", "±", text).alias(c) for c in measures],
+    )
 
 
 def dominant_reference(mapping: DataFrame) -> DataFrame:

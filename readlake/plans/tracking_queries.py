@@ -137,6 +137,32 @@ def _(t: Tables):
     return T.files_of(t.region.selectExpr("CAST(r_regionkey AS BIGINT) AS rid", "r_name AS name"), t.fx_files)
 
 
+_RUNS = "SELECT CAST(r_regionkey AS BIGINT) AS rid, r_name AS run FROM region"
+
+
+def _named(t: Tables):
+    return t.fx_files.withColumn("name", F.concat(F.lit("f"), F.col("fid").cast("string"))), t.region.selectExpr("CAST(r_regionkey AS BIGINT) AS rid", "r_name AS run")
+
+
+@query("J27_files_by_sample", f"SELECT r.rid, n_name AS sample, list(concat('f', CAST(fid AS STRING)) ORDER BY concat('f', CAST(fid AS STRING))) AS files FROM ({_RUNS}) r JOIN fx_files f ON r.rid = f.rid JOIN nation ON n_nationkey = sid GROUP BY 1, 2")
+def _(t: Tables):
+    files, runs = _named(t)
+    return T.files_by_sample(runs, files, t.nation.selectExpr("n_nationkey AS sid", "n_name AS sample"))
+
+
+@query("J27_files_of_project", f"SELECT n_regionkey AS project, sid, f.rid, run, fid FROM fx_files f JOIN ({_RUNS}) r ON r.rid = f.rid JOIN nation ON n_nationkey = sid")
+def _(t: Tables):
+    files, runs = _named(t)
+    return T.files_with_runs(files, runs, t.nation.selectExpr("n_nationkey AS sid", "n_regionkey AS project")).select("project", "sid", "rid", "run", "fid")
+
+
+@query("J27_lane_sheet", """SELECT rid, lane, concat(CASE WHEN fid % 3 = 0 THEN 'default' ELSE concat('b', CAST(fid % 3 AS STRING)) END, '.', CAST(1 + fid % 2 AS STRING)) AS tag, concat('f', CAST(max(fid) AS STRING)) AS name
+FROM fx_files GROUP BY 1, 2, 3""")
+def _(t: Tables):
+    stats = t.fx_files.selectExpr("fid", "lane", "1 + fid % 2 AS read_nr", "CASE WHEN fid % 3 = 0 THEN '' ELSE concat('b', fid % 3) END AS bcode")
+    return T.lane_sheet(stats, _named(t)[0])
+
+
 @query("J31_qc_facts", "SELECT file_name AS fid, list({'x': k, 'n': n} ORDER BY k) AS series FROM (SELECT file_name, length(seq) AS k, count(*) AS n FROM fx_reads GROUP BY 1, 2) GROUP BY 1")
 def _(t: Tables):
     f = t.fx_reads.groupBy(F.col("file_name").alias("fid"), F.length("seq").alias("x")).agg(F.count(F.lit(1)).alias("n"))
@@ -161,9 +187,41 @@ def _(t: Tables):
     return T.lane_split(t.fx_files)
 
 
-@query("A40_run_summary", "SELECT rid, CAST(floor(sum(total_reads - 500) * 10000 / sum(total_reads)) / 100 AS STRING) AS pct_pf, 'NA' AS pct_q30 FROM fx_files GROUP BY 1")
+_LANES = """SELECT CAST(l_suppkey % 97 AS BIGINT) AS rid, 1 + CAST(l_partkey % 2 AS INT) AS read_nr, CAST(l_linenumber AS INT) AS lane, CAST(sum(CAST(l_quantity AS BIGINT) * l_suppkey) AS BIGINT) AS reads,
+ CAST(sum(CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS BIGINT) * l_suppkey ELSE 0 END) AS BIGINT) AS pf, CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS bases,
+ CAST(sum(CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' AND l_partkey % 3 = 0 THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS q30,
+ CAST(max(l_partkey) % 3 AS BIGINT) AS phasing, CAST(min(l_partkey) % 7 AS BIGINT) AS prephasing, CAST(sum(l_partkey) AS BIGINT) AS clusters, CAST(max(l_partkey) AS BIGINT) AS clusters_sd,
+ CAST(max(l_suppkey) % 90 AS BIGINT) AS error, CAST(min(l_suppkey) % 5 AS BIGINT) AS error_sd FROM lineitem GROUP BY 1, 2, 3"""
+
+
+def _short(x: str) -> str:
+    return f"""CASE WHEN {x} > 10000000 THEN concat(CAST({x} // 1000000 AS STRING), 'M') WHEN {x} > 1000000 AND {x} < 10000000 THEN concat(CAST(({x} + 50000) // 1000000 AS STRING), '.', CAST((({x} + 50000) // 100000) % 10 AS STRING), 'M')
+ WHEN {x} > 100000 AND {x} < 1000000 THEN concat(CAST({x} // 1000 AS STRING), 'K') WHEN {x} > 1000 AND {x} < 100000 AND {x} <> 10000 THEN concat(CAST(({x} + 50) // 1000 AS STRING), '.', CAST((({x} + 50) // 100) % 10 AS STRING), 'K')
+ WHEN {x} > 100 AND {x} < 1000 THEN concat(CAST(({x} + 5) // 1000 AS STRING), '.', lpad(CAST((({x} + 5) // 10) % 100 AS STRING), 2, '0'), 'K') ELSE CAST({x} AS STRING) END"""
+
+
+def _pct(part: str, whole: str, none: str) -> str:
+    cents = f"((2 * {part} * 10000 + {whole}) // (2 * {whole}))"
+    return f"CASE WHEN {part} <> 0 AND {whole} <> 0 THEN concat(CAST({cents} // 100 AS STRING), '.', lpad(CAST({cents} % 100 AS STRING), 2, '0'), '%') ELSE '{none}' END"
+
+
+@query("A40_run_summary", f"""SELECT rid, read_nr, lane, {_short('reads')} AS reads, {_short('pf')} AS pf, {_pct('pf', 'reads', '0%')} AS pct_pf, {_pct('q30', 'bases', 'NA')} AS pct_q30,
+CASE WHEN phasing <> 0 AND prephasing <> 0 THEN concat(CAST(phasing AS STRING), '/', CAST(prephasing AS STRING)) ELSE 'NA' END AS phasing,
+CASE WHEN clusters <> 0 AND clusters_sd <> 0 THEN concat({_short('clusters')}, '±', {_short('clusters_sd')}) ELSE 'NA' END AS clusters,
+CASE WHEN error <> 0 AND error_sd <> 0 THEN concat(CAST(error AS STRING), '±', CAST(error_sd AS STRING)) ELSE 'NA' END AS error FROM ({_LANES})""")
 def _(t: Tables):
-    return T.run_summary(t.fx_files.selectExpr("rid", "total_reads AS reads", "total_reads - 500 AS pf", "0 AS bases", "0 AS q30"))
+    n, f = F.col("l_quantity").cast("long"), F.col("l_linestatus") == "F"
+    total = lambda c, when: F.sum(F.when(when, c).otherwise(0)).cast("long")
+    returned = F.col("l_returnflag") == "R"
+    lanes = t.lineitem.groupBy(
+        (F.col("l_suppkey") % 97).cast("long").alias("rid"), (F.col("l_partkey") % 2 + 1).cast("int").alias("read_nr"), F.col("l_linenumber").cast("int").alias("lane")
+    ).agg(
+        F.sum(n * F.col("l_suppkey")).cast("long").alias("reads"), total(n * F.col("l_suppkey"), f).alias("pf"), total(n, returned).alias("bases"),
+        total(n, returned & f & (F.col("l_partkey") % 3 == 0)).alias("q30"), (F.max("l_partkey") % 3).cast("long").alias("phasing"),
+        (F.min("l_partkey") % 7).cast("long").alias("prephasing"), F.sum("l_partkey").cast("long").alias("clusters"), F.max("l_partkey").cast("long").alias("clusters_sd"),
+        (F.max("l_suppkey") % 90).cast("long").alias("error"), (F.min("l_suppkey") % 5).cast("long").alias("error_sd"),
+    )
+    return T.run_summary(lanes, ("clusters",), ("error",))
 
 
 @query("A41_dominant_reference", "WITH m AS (SELECT l_suppkey AS fid, l_shipmode_ AS reference, sum(CAST(l_quantity AS BIGINT))::BIGINT AS hits FROM (SELECT *, concat('ref', CAST(l_linenumber AS STRING)) AS l_shipmode_ FROM lineitem) GROUP BY 1, 2) SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY fid ORDER BY hits DESC, reference) = 1")

@@ -307,6 +307,21 @@ def test_genetic_position_over_tiles(spark):
         assert got[i] == (None if want is None else pytest.approx(want, abs=0.0051))
 
 
+def test_short_counts_and_percents(spark):
+    want = {0: "0", 100: "100", 123: "0.12K", 999: "1.00K", 1000: "1000", 1234: "1.2K", 10_000: "10000", 12_345: "12.3K", 123_999: "123K", 1_000_000: "1000000",
+            1_260_000: "1.3M", 10_000_000: "10000000", 12_999_999: "12M", None: None}
+    got = spark.createDataFrame([(k,) for k in want], "x long").select("x", tracking.short_count(F.col("x")).alias("s"))
+    assert {r.x: r.s for r in got.collect()} == want
+    d = spark.createDataFrame([(1, 3), (3, 3), (0, 3), (1, 0), (None, 2), (1, 200)], "a long, b long")
+    assert [r[0] for r in d.select(tracking.percent(F.col("a"), F.col("b"), "NA")).collect()] == ["33.33%", "100.00%", "NA", "NA", "NA", "0.50%"]
+
+
+def test_run_summary_has_na_without_a_pair(spark):
+    s = spark.createDataFrame([(1, 1, 1, 200, 100, 0, 0, 0.1, None, 1500, 120)], "rid int, read_nr int, lane int, reads long, pf long, bases long, q30 long, phasing double, prephasing double, c long, c_sd long")
+    assert rows(tracking.run_summary(s, ("c",))) == [(1, 1, 1, "0.20K", "100", "50.00%", "NA", "NA", "1.5K±0.12K")]
+    assert tracking.run_summary(s.limit(0), ("c",)).count() == 0
+
+
 def test_upsert_and_partial_update(spark):
     t = spark.createDataFrame([(1, 10), (2, 20)], "id int, v int")
     assert rows(tracking.upsert(t, spark.createDataFrame([(2, 5), (3, 6)], "id int, v int"), ["id"])) == [(1, 10), (2, 5), (3, 6)]
