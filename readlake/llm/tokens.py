@@ -22,6 +22,10 @@ _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _ODD = re.compile("[\x1c-\x1f]")
 #: Characters on which both libraries agree by construction.
 _PLAIN = re.compile("[\t-\r\x20-\x7e\xa1-ſ]*")
+#: All of a run of white space that the splitter takes by itself: its last character goes with the word behind it.
+_RUN = re.compile(r"(\s+(?=\s\S)|\s\s+\Z)")
+#: The vocabulary's splitter for texts without such runs. It needs no look-ahead, so it is matched in one pass.
+_NO_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
 #: Chunks that one worker remembers.
 _MOST_KEPT = 200_000
 
@@ -43,7 +47,18 @@ class _Chunks(dict):
 
             with open(ranks_path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            self.fast = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            self.whole = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            self.fast = tiktoken.Encoding("byte_bpe_no_runs", pat_str=_NO_RUNS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def _plain(self, text: str) -> list[int]:
+        """Ids of a text of plain characters: what lies between runs of white space, and the runs."""
+        parts = _RUN.split(text)
+        if len(parts) == 1:
+            return self.fast(text)
+        out = []
+        for i, part in enumerate(parts):
+            out += (self.whole if i % 2 else self.fast)(part)
+        return out
 
     def _exact(self, text: str) -> bytes:
         return array("I", self.exact.encode(text, add_special_tokens=False).ids).tobytes()
@@ -57,14 +72,14 @@ class _Chunks(dict):
     def count(self, text: str) -> int:
         """How many ids a text has."""
         if self.fast and _PLAIN.fullmatch(text) and not (self.added and self.added.search(text)):
-            return len(self.fast(text))
+            return len(self._plain(text))
         return len(self.ids(text)) // 4
 
     def ids(self, text: str) -> bytes:
         if self.added and self.added.search(text):
             return self._exact(text)
         if self.fast and _PLAIN.fullmatch(text):
-            return array("I", self.fast(text)).tobytes()
+            return array("I", self._plain(text)).tobytes()
         if _ODD.search(text):
             return self._exact(text)
         return b"".join(map(self.__getitem__, _CHUNK.findall(text)))

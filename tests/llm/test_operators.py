@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -143,6 +144,18 @@ def test_tokens_equal_the_library(spark):
         assert enc.count(t) == len(enc.ids(t)) // 4
 
 
+def test_tokens_equal_the_library_around_white_space():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    fresh, enc, rnd = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), encoder(), random.Random(5)
+    parts = [" ", "\n", "\t", "\r\n", "\x0b", "  ", "\n\n\n", "it's", "'LL", "'ve", "é'd", "12", "3.5", "--", "word", "ñandú", "$"]
+    for _ in range(3000):
+        t = "".join(rnd.choices(parts, k=rnd.randrange(1, 12)))
+        assert np.frombuffer(enc.ids(t), "<u4").tolist() == fresh.encode(t, add_special_tokens=False).ids, repr(t)
+        assert enc.count(t) == len(enc.ids(t)) // 4
+
+
 def test_added_tokens_are_those_of_a_fresh_library_tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
