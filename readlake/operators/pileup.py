@@ -13,10 +13,14 @@ from pyspark.sql.window import Window
 from .reads import cigar_ops, qualities
 
 
-def _blocks(alignments: DataFrame, ops: tuple[str, ...], *cols: str) -> DataFrame:
+#: Flags of reads that are left out: unmapped ones, or duplicates too.
+UNMAPPED, UNUSABLE = 0x4, 0x404
+
+
+def _blocks(alignments: DataFrame, ops: tuple[str, ...], *cols: str, skip: int = UNUSABLE) -> DataFrame:
     """One row (cols, pos, seq, qual, op, n, ref_at, seq_at, next) for each CIGAR block of `ops` of usable reads: where it
     begins on the reference and in the read, from 0, and the block after it."""
-    a = alignments.where(F.col("flags").bitwiseAND(0x404) == 0)
+    a = alignments.where(F.col("flags").bitwiseAND(skip) == 0)
     zero = F.struct(F.lit(0).alias("r"), F.lit(0).alias("s"), F.array().cast("array<struct<op:string,n:int,ref_at:int,seq_at:int>>").alias("out"))
 
     def step(x: Column, o: Column) -> Column:
@@ -31,11 +35,12 @@ def _blocks(alignments: DataFrame, ops: tuple[str, ...], *cols: str) -> DataFram
     return rows.select(*cols, "pos", "seq", "qual", "_x.*", F.get("_b", F.col("_i") + 1).alias("next"))
 
 
-def aligned_bases(alignments: DataFrame, *cols: str) -> DataFrame:
-    """One row (read_id, flags, chr, pos, base, qv, cycle, cols) for each reference position that a usable read covers;
-    deleted positions have base '-' and quality 0. CIGAR blocks are laid out first, a few rows a read, then their bases."""
+def aligned_bases(alignments: DataFrame, *cols: str, skip: int = UNUSABLE) -> DataFrame:
+    """One row (read_id, flags, chr, pos, base, qv, cycle, cols) for each reference position that a read without any of the
+    flags `skip` covers; deleted positions have base '-' and quality 0. CIGAR blocks are laid out first, a few rows a
+    read, then their bases."""
     keep = ["read_id", "flags", "chr", *cols]
-    b = _blocks(alignments, ("M", "=", "X", "D", "N"), *keep)
+    b = _blocks(alignments, ("M", "=", "X", "D", "N"), *keep, skip=skip)
     b = b.select(*keep, "pos", "seq", "qual", "ref_at", "seq_at", F.col("op").isin("D", "N").alias("gap"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
     at = (F.col("seq_at") + F.col("i") + 1).cast("int")
     rows = b.select(
@@ -53,6 +58,11 @@ def pileup_counts(bases: DataFrame) -> DataFrame:
     return bases.groupBy("chr", "pos").agg(*[count(b).alias(b) for b in "ACGT"], count("-").alias("gap"), F.count(F.lit(1)).alias("total"))
 
 
+def pileup_qualities(bases: DataFrame) -> DataFrame:
+    """(chr, pos, base, qv, n): how often each base, deletions aside, was read at a site with each quality."""
+    return bases.where("base <> '-'").groupBy("chr", "pos", "base", "qv").agg(F.count(F.lit(1)).alias("n"))
+
+
 def mismatch_sites(bases: DataFrame, reference: DataFrame, ratio: float = 0.03, min_depth: int = 10) -> DataFrame:
     """Sites whose share of bases other than the reference (chr, pos, ref) exceeds `ratio`: (chr, pos, depth, other)."""
     n = bases.groupBy("chr", "pos", "base").agg(F.count(F.lit(1)).alias("n")).join(reference, ["chr", "pos"])
@@ -60,17 +70,24 @@ def mismatch_sites(bases: DataFrame, reference: DataFrame, ratio: float = 0.03,
     return s.where((F.col("depth") >= min_depth) & (F.col("other") > ratio * F.col("depth")))
 
 
+def _phred(matches: Column, mismatches: Column) -> Column:
+    """int(-10 log10 of the error), 55 without an error, 0 with nothing but errors, -1 without data."""
+    p = -10 * F.log10(mismatches / (matches + mismatches))
+    return F.when((mismatches == 0) & (matches == 0), -1).when(mismatches == 0, 55).when(matches == 0, 0).otherwise(F.floor(p)).cast("int")
+
+
 def recalibration_table(bases: DataFrame, reference: DataFrame) -> DataFrame:
-    """Per quality how often bases match, and the quality that this means: int(-10 log10 of the error), 55 without an
-    error, 0 with nothing but errors: (qv, matches, mismatches, empirical)."""
-    b = bases.where("base <> '-'").groupBy("chr", "pos", "base", "qv").agg(F.count(F.lit(1)).alias("n")).join(reference, ["chr", "pos"])
-    s = b.groupBy("qv").agg(
-        F.sum(F.when(F.col("base") == F.col("ref"), F.col("n")).otherwise(0)).alias("matches"),
-        F.sum(F.when(F.col("base") != F.col("ref"), F.col("n")).otherwise(0)).alias("mismatches"),
-    )
-    p = -10 * F.log10(F.col("mismatches") / (F.col("matches") + F.col("mismatches")))
-    e = F.when(F.col("mismatches") == 0, 55).when(F.col("matches") == 0, 0).otherwise(F.floor(p))
-    return s.withColumn("empirical", e.cast("int"))
+    """Per quality how often bases match, and the quality that this means for all and for each base read, see _phred():
+    (qv, matches, mismatches, empirical, empirical_a, empirical_c, empirical_g, empirical_t)."""
+    b = pileup_qualities(bases).where(F.col("base").isin(*"ACGT")).join(reference, ["chr", "pos"])
+    total = lambda hit, *own: F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("".join(own))
+    same, other = F.col("base") == F.col("ref"), F.col("base") != F.col("ref")
+    sums = [x for base in "ACGT" for x in (total(same & (F.col("base") == base), "_m", base), total(other & (F.col("base") == base), "_x", base))]
+    s = b.groupBy("qv").agg(total(same, "matches"), total(other, "mismatches"), *sums)
+    return s.select(
+        "qv", "matches", "mismatches", _phred(F.col("matches"), F.col("mismatches")).alias("empirical"),
+        *[_phred(F.col(f"_m{x}"), F.col(f"_x{x}")).alias(f"empirical_{x.lower()}") for x in "ACGT"],
+    )
 
 
 def apply_recalibration(reads: DataFrame, table: DataFrame) -> DataFrame:
@@ -127,20 +144,30 @@ def consensus_iupac(counts: DataFrame, least: float = 0.25, min_depth: int = 400
     return counts.where(F.col("total") > min_depth).select("chr", "pos", iupac_code(F.transform(keep, lambda x: x["b"])).alias("code"))
 
 
-def allele_counts(alignments: DataFrame) -> DataFrame:
-    """Alleles by position: single bases; a base and what is inserted after it, as one string; a base and a - for each base
-    deleted after it. Deleted positions count nothing: (chr, pos, allele, n)."""
-    b = _blocks(alignments, ("M", "=", "X"), "chr")
-    b = b.select("chr", "pos", "seq", "n", "ref_at", "seq_at", "next", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+def alleles(alignments: DataFrame, *cols: str) -> DataFrame:
+    """One row (chr, pos, allele, qv, cols) for each position that a usable read covers with a base: the base; the base and
+    what is inserted after it, as one string, with the whole part of their mean quality; or the base and a - for each base
+    deleted after it. Deleted positions have no row."""
+    b = _blocks(alignments, ("M", "=", "X"), "chr", *cols)
+    b = b.select("chr", "pos", "seq", "qual", "n", "ref_at", "seq_at", "next", *cols, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
     at = (F.col("seq_at") + F.col("i") + 1).cast("int")
     base, last = F.substring(F.col("seq"), at, F.lit(1)), F.col("i") == F.col("n") - 1
+    inserted, deleted = last & (F.col("next.op") == "I"), last & (F.col("next.op") == "D")
     allele = (
-        F.when(last & (F.col("next.op") == "I"), F.substring(F.col("seq"), at, F.col("next.n") + 1))
-        .when(last & (F.col("next.op") == "D"), F.concat(base, F.repeat(F.lit("-"), F.col("next.n"))))
+        F.when(inserted, F.substring(F.col("seq"), at, F.col("next.n") + 1))
+        .when(deleted, F.concat(base, F.repeat(F.lit("-"), F.col("next.n"))))
         .otherwise(base)
     )
-    rows = b.select("chr", (F.col("pos") + F.col("ref_at") + F.col("i")).alias("pos"), allele.alias("allele")).where("allele <> ''")
-    return rows.groupBy("chr", "pos", "allele").agg(F.count(F.lit(1)).alias("n"))
+    own = qualities(F.substring(F.col("qual"), at, F.col("next.n") + 1))
+    mean = F.try_divide(F.aggregate(own, F.lit(0), lambda x, v: x + v), F.size(own))
+    qv = F.when(inserted, F.floor(mean)).otherwise(F.ascii(F.substring(F.col("qual"), at, F.lit(1))) - 33).cast("int")
+    rows = b.select("chr", (F.col("pos") + F.col("ref_at") + F.col("i")).alias("pos"), allele.alias("allele"), qv.alias("qv"), *cols)
+    return rows.where("allele <> ''")
+
+
+def allele_counts(alignments: DataFrame) -> DataFrame:
+    """Alleles by position, see alleles(): (chr, pos, allele, n)."""
+    return alleles(alignments).groupBy("chr", "pos", "allele").agg(F.count(F.lit(1)).alias("n"))
 
 
 def alt_allele_fraction(variants: DataFrame, alleles: DataFrame) -> DataFrame:
@@ -186,33 +213,63 @@ def _fisher(a: int, b: int, c: int, d: int) -> float:
     return min(1.0, sum(math.exp(p(x)) for x in range(max(0, k - s), min(r, k) + 1) if p(x) <= mine + 1e-9))
 
 
+@F.pandas_udf(T.DoubleType())
+def normal_two_sided(z: pd.Series) -> pd.Series:
+    """Probability of a standard normal value at least as far from 0."""
+    return pd.Series([math.erfc(abs(x) / math.sqrt(2)) for x in z], dtype="float64")
+
+
 @F.pandas_udf(T.DoubleType())
 def fisher(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
     return pd.Series([_fisher(*map(int, x)) for x in zip(a, b, c, d)], dtype="float64")
 
 
-def snp_evidence(bases: DataFrame) -> DataFrame:
-    """Major and minor allele of each site with two or more: counts, mean qualities, strands and the strand test's p, and
-    the z of the rank sum of the minor allele's cycles (average ranks)."""
-    b = bases.where("base <> '-'").withColumn("rev", F.when(F.col("flags").bitwiseAND(0x10) != 0, 1).otherwise(0))
-    c = b.groupBy("chr", "pos", "base").agg(F.count(F.lit(1)).alias("n"), F.sum("qv").alias("q"), F.sum("rev").alias("rev"))
-    w = Window.partitionBy("chr", "pos").orderBy(F.col("n").desc(), "base")
-    top = c.withColumn("_r", F.row_number().over(w)).where("_r <= 2")
-    pick = lambda col, r: F.max(F.when(F.col("_r") == r, F.col(col)))
-    t = top.groupBy("chr", "pos").agg(
-        pick("base", 1).alias("major"), pick("base", 2).alias("minor"), pick("n", 1).alias("major_n"), pick("n", 2).alias("minor_n"),
-        pick("rev", 1).alias("major_rev"), pick("rev", 2).alias("minor_rev"), pick("q", 1).alias("major_q"), pick("q", 2).alias("minor_q"),
-    ).where("minor is not null")
+def _span(cigar: Column) -> Column:
+    """Positions of the reference that a CIGAR covers."""
+    return F.aggregate(cigar_ops(cigar), F.lit(0), lambda x, o: x + F.when(o["op"].isin("M", "=", "X", "D", "N"), o["n"]).otherwise(0))
+
+
+def _starts(alignments: DataFrame) -> DataFrame:
+    """(chr, pos, allele, rev, end, n, q): reads of an allele by strand and by where the read ends on the reference, of
+    reads with a mapping quality above 0. Reads that share all that count as one start."""
+    mapped = alignments.where("mapq > 0").withColumns({"_end": F.col("pos") + _span(F.col("cigar")), "_rev": F.col("flags").bitwiseAND(0x10) != 0})
+    a = alleles(mapped, "_end", "_rev").groupBy("chr", "pos", "allele", F.col("_rev").alias("rev"), F.col("_end").alias("end"))
+    return a.agg(F.count(F.lit(1)).alias("n"), F.sum("qv").alias("q"))
+
+
+def allele_evidence(alignments: DataFrame) -> DataFrame:
+    """Each allele of each site: (chr, pos, allele, n, mean_qv, forward, reverse), the last two the distinct starts by strand."""
+    return _starts(alignments).groupBy("chr", "pos", "allele").agg(
+        F.sum("n").alias("n"), (F.sum("q") / F.sum("n")).alias("mean_qv"), F.count_if(~F.col("rev")).alias("forward"), F.count_if("rev").alias("reverse"),
+    )
+
+
+def snp_evidence(alignments: DataFrame) -> DataFrame:
+    """Major and minor allele of each site with two or more: reads, quality sums, distinct starts by strand, the minor's
+    share in per cent, the strand test's p over those starts, and z and p of the rank sum of the major allele's starts
+    (average ranks). Equal counts are ordered by allele.
+
+    Starts are combined first, so a site has at most a few rows for each base of a read's length; all windows then run
+    over one distribution by site.
+    """
     site = Window.partitionBy("chr", "pos")
-    r = b.join(top.select("chr", "pos", "base"), ["chr", "pos", "base"])
-    tied = F.count(F.lit(1)).over(Window.partitionBy("chr", "pos", "cycle"))
-    rank = F.rank().over(site.orderBy("cycle")) + (tied - 1) / 2
-    r = r.withColumn("_rank", rank).groupBy("chr", "pos", "base").agg(F.sum("_rank").alias("ranks"))
-    t = t.join(r.select("chr", "pos", F.col("base").alias("minor"), "ranks"), ["chr", "pos", "minor"])
-    n1, n2 = F.col("minor_n"), F.col("major_n")
+    s = _starts(alignments).repartition("chr", "pos").withColumn("_n", F.sum("n").over(Window.partitionBy("chr", "pos", "allele")))
+    s = s.withColumn("_r", F.dense_rank().over(site.orderBy(F.col("_n").desc(), "allele"))).where("_r <= 2")
+    tied = F.count(F.lit(1)).over(Window.partitionBy("chr", "pos", "end"))
+    s = s.withColumn("_rank", F.rank().over(site.orderBy("end")) + (tied - 1) / 2)
+    of = lambda r, x: F.sum(F.when(F.col("_r") == r, x).otherwise(0))
+    rev = F.col("rev").cast("int")
+    t = s.groupBy("chr", "pos").agg(
+        F.max(F.when(F.col("_r") == 1, F.col("allele"))).alias("major"), F.max(F.when(F.col("_r") == 2, F.col("allele"))).alias("minor"),
+        *[of(r, x).alias(f"{who}_{what}") for r, who in ((1, "major"), (2, "minor"))
+          for what, x in (("n", F.col("n")), ("q", F.col("q")), ("forward", 1 - rev), ("reverse", rev))],
+        of(1, F.col("_rank")).alias("ranks"),
+    ).where("minor is not null")
+    n1, n2 = F.col("major_forward") + F.col("major_reverse"), F.col("minor_forward") + F.col("minor_reverse")
     z = (F.col("ranks") - n1 * (n1 + n2 + 1) / 2) / F.sqrt(n1 * n2 * (n1 + n2 + 1) / 12)
-    p = fisher(F.col("major_n") - F.col("major_rev"), F.col("major_rev"), F.col("minor_n") - F.col("minor_rev"), F.col("minor_rev"))
-    return t.withColumn("rank_z", z).withColumn("strand_p", p).withColumn("ratio", n1 / (n1 + n2))
+    t = t.withColumn("rank_z", z).withColumn("ratio", F.col("minor_n") * 100 / (F.col("major_n") + F.col("minor_n")))
+    t = t.withColumn("rank_p", normal_two_sided("rank_z"))
+    return t.withColumn("strand_p", fisher("major_forward", "major_reverse", "minor_forward", "minor_reverse"))
 
 
 def noise_index(alignments: DataFrame) -> DataFrame:
@@ -239,7 +296,7 @@ def amino_acid(codon: Column) -> Column:
 
 def codon_usage(alignments: DataFrame, genes: DataFrame, least: float = 1.0) -> DataFrame:
     """Codons that reads hold whole in the frame of each gene (gene, chr, start_pos, end_pos): (gene, codon_nr, aa, n, pct),
-    amino acids with at least `least` per cent of their place."""
+    amino acids with at least `least` per cent of their place; codons with another letter than A, C, G or T count nothing."""
     from .intervals import overlap_join
 
     b = aligned_bases(alignments).where("base <> '-'").select("read_id", "chr", "pos", "base")
@@ -250,7 +307,7 @@ def codon_usage(alignments: DataFrame, genes: DataFrame, least: float = 1.0) ->
         F.sort_array(F.collect_list(F.struct("_o", "base"))).alias("b"), F.count(F.lit(1)).alias("k")
     ).where("k = 3")
     c = j.select("gene", "codon_nr", amino_acid(F.array_join(F.transform("b", lambda x: x["base"]), "")).alias("aa"))
-    c = c.groupBy("gene", "codon_nr", "aa").agg(F.count(F.lit(1)).alias("n"))
+    c = c.where("aa <> 'X'").groupBy("gene", "codon_nr", "aa").agg(F.count(F.lit(1)).alias("n"))
     c = c.withColumn("pct", F.col("n") * 100 / F.sum("n").over(Window.partitionBy("gene", "codon_nr")))
     return c.withColumn("codon_nr", F.col("codon_nr") + 1).where(F.col("pct") >= least)
 
@@ -261,3 +318,35 @@ def reference_base(positions: DataFrame, tiles: DataFrame, size: int) -> DataFra
     return p.join(tiles, ["chr", "tile"], "left").withColumn(
         "ref_base", F.substring(F.col("subseq"), ((F.col("pos") - 1) % size + 1).cast("int"), F.lit(1))
     ).drop("tile", "subseq")
+
+
+def reference_codons(places: DataFrame, tiles: DataFrame, size: int) -> DataFrame:
+    """`places` (chr, pos of a codon's first base, ...) with `ref_aa`, the amino acid of the reference from tiles as
+    reference_base() takes them; x where the reference has no whole codon there."""
+    first = (F.col("pos") - 1) % size
+    p = places.withColumn("tile", F.floor((F.col("pos") - 1) / size))
+    here, behind = (tiles.select("chr", (F.col("tile") - k).alias("tile"), F.col("subseq").alias(f"_s{k}")) for k in (0, 1))
+    both = F.concat(F.rpad(F.coalesce("_s0", F.lit("")), size, "?"), F.coalesce("_s1", F.lit("")))
+    codon = F.substring(both, (first + 1).cast("int"), F.lit(3))
+    aa = F.when((F.length(codon) < 3) | codon.contains("?"), "x").otherwise(amino_acid(codon))
+    return p.join(here, ["chr", "tile"], "left").join(behind, ["chr", "tile"], "left").withColumn("ref_aa", aa).drop("tile", "_s0", "_s1")
+
+
+def codon_report(usage: DataFrame, genes: DataFrame, tiles: DataFrame, size: int) -> DataFrame:
+    """Places of `usage`, by codon_usage(), where an amino acid is not the reference's: (gene, pos, codon_nr, ref_aa,
+    frequencies as aa:share% with two decimals, mutations as <ref><n><aa>), both in order of amino acid.
+
+    The frame is the gene's own all the way; it is not shifted by indels that most reads have.
+    """
+    g = genes.select("gene", "chr", F.col("start_pos").alias("_from"))
+    u = usage.join(g, "gene").withColumn("pos", F.col("_from") + 3 * (F.col("codon_nr") - 1))
+    place = reference_codons(u.select("gene", "chr", "pos", "codon_nr").distinct(), tiles, size).select("gene", "pos", "codon_nr", "ref_aa")
+    x = F.floor(F.col("pct") * 100 + 0.5).cast("long")
+    share = F.concat("aa", F.lit(":"), F.floor(x / 100).cast("string"), F.lit("."), F.lpad((x % 100).cast("string"), 2, "0"), F.lit("%"))
+    u = u.select("gene", "codon_nr", "aa", share.alias("share")).join(place, ["gene", "codon_nr"]).where("aa <> ref_aa")
+    s = u.groupBy("gene", "pos", "codon_nr", "ref_aa").agg(F.sort_array(F.collect_list(F.struct("aa", "share"))).alias("_l"))
+    mutation = lambda v: F.concat("ref_aa", F.col("codon_nr").cast("string"), v["aa"])
+    return s.select(
+        "gene", "pos", "codon_nr", "ref_aa", F.array_join(F.transform("_l", lambda v: v["share"]), "\t").alias("frequencies"),
+        F.array_join(F.transform("_l", mutation), ", ").alias("mutations"),
+    )

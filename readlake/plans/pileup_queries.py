@@ -15,6 +15,8 @@ _A = f"a AS (SELECT read_id, chr, pos, span, flags, cigar, {_SEQ} AS s, {_QUAL}
 _B = f"""{_A}, b AS (SELECT read_id, flags, chr, pos + i AS pos, CASE WHEN cigar LIKE '10M2D%' AND i IN (10, 11) THEN '-' ELSE substr(s, j, 1) END AS base,
 CASE WHEN cigar LIKE '10M2D%' AND i IN (10, 11) THEN 0 ELSE CAST(ascii(substr(q, j, 1)) - 33 AS INT) END AS qv, CAST(i + 1 AS INT) AS cycle FROM
 (SELECT *, CAST(CASE WHEN cigar LIKE '5S%' THEN i + 6 WHEN cigar LIKE '10M2D%' AND i >= 12 THEN i - 1 ELSE i + 1 END AS INT) AS j FROM (SELECT *, unnest(range(span)) AS i FROM a)))"""
+#: The same with duplicates.
+_ALL = _B.replace("flags & 1028", "flags & 4")
 _REF = "r AS (SELECT chr, pos, min(ref) AS ref FROM fx_variants GROUP BY 1, 2)"
 
 
@@ -22,37 +24,43 @@ def _alignments(t: Tables) -> DataFrame:
     return t.fx_alignments.withColumns({"seq": F.expr(_SEQ), "qual": F.expr(_QUAL)})
 
 
-def _bases(t: Tables) -> DataFrame:
-    return P.aligned_bases(_alignments(t))
+def _bases(t: Tables, skip: int = P.UNUSABLE) -> DataFrame:
+    return P.aligned_bases(_alignments(t), skip=skip)
 
 
 def _reference(t: Tables) -> DataFrame:
     return t.fx_variants.groupBy("chr", "pos").agg(F.min("ref").alias("ref"))
 
 
-@query("A11_pileup_counts", f"WITH {_B} SELECT chr, pos, " + ", ".join(f"count(*) FILTER (base = '{x}') AS \"{x}\"" for x in "ACGT") + ", count(*) FILTER (base = '-') AS gap, count(*) AS total FROM b GROUP BY 1, 2")
+@query("A11_pileup_counts", f"WITH {_ALL} SELECT chr, pos, " + ", ".join(f"count(*) FILTER (base = '{x}') AS \"{x}\"" for x in "ACGT") + ", count(*) FILTER (base = '-') AS gap, count(*) AS total FROM b GROUP BY 1, 2")
 def _(t: Tables):
-    return P.pileup_counts(_bases(t))
+    return P.pileup_counts(_bases(t, P.UNMAPPED))
 
 
-@query("A12_mismatch_sites", f"WITH {_B}, {_REF} SELECT b.chr, b.pos, count(*) AS depth, count(*) FILTER (base <> ref) AS other FROM b JOIN r ON b.chr = r.chr AND b.pos = r.pos GROUP BY 1, 2 HAVING count(*) >= 2 AND count(*) FILTER (base <> ref) > 0.03::DOUBLE * count(*)")
+@query("A11_pileup_qualities", f"WITH {_ALL} SELECT chr, pos, base, qv, count(*) AS n FROM b WHERE base <> '-' GROUP BY 1, 2, 3, 4")
 def _(t: Tables):
-    return P.mismatch_sites(_bases(t), _reference(t), min_depth=2)
+    return P.pileup_qualities(_bases(t, P.UNMAPPED))
 
 
-_RECAL = f"""{_B}, {_REF}, s AS (SELECT qv, count(*) FILTER (base = ref) AS matches, count(*) FILTER (base <> ref) AS mismatches FROM b JOIN r ON b.chr = r.chr AND b.pos = r.pos WHERE base <> '-' GROUP BY 1),
-tab AS (SELECT *, CAST(CASE WHEN mismatches = 0 THEN 55 WHEN matches = 0 THEN 0 ELSE floor(-10 * log10(mismatches / (matches + mismatches)::DOUBLE)) END AS INT) AS empirical FROM s)"""
+@query("A12_mismatch_sites", f"WITH {_ALL}, {_REF} SELECT b.chr, b.pos, count(*) AS depth, count(*) FILTER (base <> ref) AS other FROM b JOIN r ON b.chr = r.chr AND b.pos = r.pos GROUP BY 1, 2 HAVING count(*) >= 2 AND count(*) FILTER (base <> ref) > 0.03::DOUBLE * count(*)")
+def _(t: Tables):
+    return P.mismatch_sites(_bases(t, P.UNMAPPED), _reference(t), min_depth=2)
+
+
+_HITS = ", ".join(f"count(*) FILTER (base = ref AND base IN ({x})) AS m{i}, count(*) FILTER (base <> ref AND base IN ({x})) AS x{i}" for i, x in enumerate(["'A', 'C', 'G', 'T'", "'A'", "'C'", "'G'", "'T'"]))
+_PHRED = "CAST(CASE WHEN x{i} = 0 AND m{i} = 0 THEN -1 WHEN x{i} = 0 THEN 55 WHEN m{i} = 0 THEN 0 ELSE floor(-10 * log10(x{i} / (m{i} + x{i})::DOUBLE)) END AS INT) AS empirical{n}"
+_RECAL = f"""{_ALL}, {_REF}, s AS (SELECT qv, {_HITS} FROM b JOIN r ON b.chr = r.chr AND b.pos = r.pos WHERE base <> '-' GROUP BY 1),
+tab AS (SELECT qv, m0 AS matches, x0 AS mismatches, """ + ", ".join(_PHRED.format(i=i, n=n) for i, n in enumerate(["", "_a", "_c", "_g", "_t"])) + " FROM s)"
 
 
 @query("A13_recalibration_table", f"WITH {_RECAL} SELECT * FROM tab")
 def _(t: Tables):
-    return P.recalibration_table(_bases(t), _reference(t))
+    return P.recalibration_table(_bases(t, P.UNMAPPED), _reference(t))
 
 
-@query("A14_apply_recalibration", f"WITH {_RECAL}, x AS (SELECT read_id, i, CAST(ascii(substr(q, i, 1)) - 33 AS INT) AS v FROM (SELECT *, unnest(range(1, 91)) AS i FROM a)) SELECT read_id, string_agg(chr(coalesce(empirical, v) + 33), '' ORDER BY i) AS qual FROM x LEFT JOIN tab ON v = qv GROUP BY 1")
+@query("A14_apply_recalibration", f"WITH {_RECAL}, x AS (SELECT read_id, i, CAST(ascii(substr(q, i, 1)) - 33 AS INT) AS v FROM (SELECT *, unnest(range(1, 91)) AS i FROM (SELECT read_id, {_QUAL} AS q FROM fx_alignments))) SELECT read_id, string_agg(chr(coalesce(empirical, v) + 33), '' ORDER BY i) AS qual FROM x LEFT JOIN tab ON v = qv GROUP BY 1")
 def _(t: Tables):
-    a = _alignments(t).where("flags & 1028 = 0")
-    return P.apply_recalibration(a, P.recalibration_table(_bases(t), _reference(t))).select("read_id", "qual")
+    return P.apply_recalibration(_alignments(t), P.recalibration_table(_bases(t, P.UNMAPPED), _reference(t))).select("read_id", "qual")
 
 
 @query("A15_covariate_table", f"WITH {_B}, d AS (SELECT *, concat(coalesce(lag(base) OVER (PARTITION BY read_id ORDER BY cycle), 'N'), base) AS dinuc FROM b) SELECT chr AS rg, qv, cycle, dinuc, count(*) AS n FROM d GROUP BY 1, 2, 3, 4")
@@ -115,20 +123,45 @@ def _(t: Tables):
     return P.base_stats(_bases(t))
 
 
-@query("A21_snp_evidence", f"""WITH {_B}, c AS (SELECT chr, pos, base, count(*) AS n, sum(qv)::BIGINT AS q, count(*) FILTER (flags & 16 <> 0) AS rev FROM b WHERE base <> '-' GROUP BY 1, 2, 3),
-tp AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY chr, pos ORDER BY n DESC, base) <= 2), rk AS (SELECT *, row_number() OVER (PARTITION BY chr, pos ORDER BY n DESC, base) AS r FROM tp),
-e AS (SELECT b.chr, b.pos, b.base, rank() OVER (PARTITION BY b.chr, b.pos ORDER BY cycle) + (count(*) OVER (PARTITION BY b.chr, b.pos, cycle) - 1) / 2.0::DOUBLE AS rank FROM b JOIN tp ON b.chr = tp.chr AND b.pos = tp.pos AND b.base = tp.base),
-z AS (SELECT chr, pos, base, sum(rank) AS ranks FROM e GROUP BY 1, 2, 3)
-SELECT x.chr, x.pos, x.base AS major, y.base AS minor, x.n AS major_n, y.n AS minor_n, x.rev AS major_rev, y.rev AS minor_rev, x.q AS major_q, y.q AS minor_q, ranks,
-floor((ranks - y.n * (y.n + x.n + 1) / 2.0::DOUBLE) / sqrt(y.n * x.n * (y.n + x.n + 1) / 12.0::DOUBLE) * 1e6 + 0.5) / 1e6 AS rank_z FROM rk x JOIN rk y ON x.chr = y.chr AND x.pos = y.pos AND x.r = 1 AND y.r = 2 JOIN z ON z.chr = x.chr AND z.pos = x.pos AND z.base = y.base""")
+#: Alleles with strand, end of the read and quality, of reads with a mapping quality above 0 that hold an insertion or not.
+_STARTS = f"""a AS (SELECT pos, chr, span, flags, cigar, {_SEQ} AS s, {_QUAL} AS q FROM fx_alignments WHERE flags & 1028 = 0 AND mapq > 0),
+c AS (SELECT *, flags & 16 <> 0 AS rev, unnest(range(CASE WHEN cigar LIKE '5S%' THEN span + 5 ELSE span END)) AS i FROM a),
+al AS (SELECT chr, pos + i AS pos, rev, pos + CASE WHEN cigar LIKE '5S%' THEN span + 5 ELSE span END AS e,
+CAST(CASE WHEN cigar LIKE '10M2D%' AND i > 11 THEN i - 1 WHEN cigar LIKE '5S%' AND i > 4 THEN i + 4 ELSE i + 1 END AS INT) AS j,
+CASE WHEN cigar LIKE '10M2D%' AND i = 9 THEN 1 WHEN cigar LIKE '10M2D%' AND i IN (10, 11) THEN 2 WHEN cigar LIKE '5S%' AND i = 4 THEN 3 ELSE 0 END AS k, s, q FROM c),
+w AS (SELECT chr, pos, rev, e, CASE k WHEN 1 THEN concat(substr(s, j, 1), '--') WHEN 3 THEN substr(s, j, 4) ELSE substr(s, j, 1) END AS allele,
+CASE k WHEN 3 THEN (ascii(substr(q, j, 1)) + ascii(substr(q, j + 1, 1)) + ascii(substr(q, j + 2, 1)) + ascii(substr(q, j + 3, 1)) - 132) // 4 ELSE ascii(substr(q, j, 1)) - 33 END AS qv FROM al WHERE k <> 2),
+d AS (SELECT chr, pos, allele, rev, e, count(*) AS n, sum(qv)::BIGINT AS q FROM w WHERE allele <> '' GROUP BY 1, 2, 3, 4, 5),
+g AS (SELECT chr, pos, allele, sum(n)::BIGINT AS n, sum(q)::BIGINT AS q, count(*) FILTER (NOT rev) AS forward, count(*) FILTER (rev) AS reverse FROM d GROUP BY 1, 2, 3)"""
+_PAIR = f"""{_STARTS}, o AS (SELECT *, row_number() OVER (PARTITION BY chr, pos ORDER BY n DESC, allele) AS r FROM g),
+rk AS (SELECT d.chr, d.pos, o.r, rank() OVER (PARTITION BY d.chr, d.pos ORDER BY e) + (count(*) OVER (PARTITION BY d.chr, d.pos, e) - 1) / 2.0::DOUBLE AS rank
+FROM d JOIN o ON d.chr = o.chr AND d.pos = o.pos AND d.allele = o.allele WHERE o.r <= 2), z AS (SELECT chr, pos, sum(rank) AS ranks FROM rk WHERE r = 1 GROUP BY 1, 2),
+t AS (SELECT x.chr, x.pos, x.allele AS major, y.allele AS minor, x.n AS major_n, x.q AS major_q, x.forward AS major_forward, x.reverse AS major_reverse, y.n AS minor_n, y.q AS minor_q, y.forward AS minor_forward, y.reverse AS minor_reverse, ranks
+FROM o x JOIN o y ON x.chr = y.chr AND x.pos = y.pos AND x.r = 1 AND y.r = 2 JOIN z ON z.chr = x.chr AND z.pos = x.pos)"""
+#: Logarithm of the probability of a table with this upper left number, and the numbers that it may be.
+_LP = "({r}) - lgamma({x} + 1) - lgamma(r - {x} + 1) - lgamma(k - {x} + 1) - lgamma(s - k + {x} + 1)"
+_CONST = "lgamma(r + 1) + lgamma(s + 1) + lgamma(k + 1) + lgamma(r + s - k + 1) - lgamma(r + s + 1)"
+
+
+@query("A21_allele_evidence", f"WITH {_STARTS} SELECT chr, pos, allele, n, q / n::DOUBLE AS mean_qv, forward, reverse FROM g")
 def _(t: Tables):
-    e = P.snp_evidence(_bases(t)).drop("strand_p", "ratio")
+    return P.allele_evidence(_with_insertions(t))
+
+
+@query("A21_snp_evidence", f"""WITH {_PAIR}, u AS (SELECT *, major_forward + major_reverse AS n1, minor_forward + minor_reverse AS n2 FROM t)
+SELECT chr, pos, major, minor, major_n, major_q, major_forward, major_reverse, minor_n, minor_q, minor_forward, minor_reverse, ranks, minor_n * 100 / (major_n + minor_n)::DOUBLE AS ratio,
+floor((ranks - n1 * (n1 + n2 + 1) / 2.0::DOUBLE) / sqrt(n1 * n2 * (n1 + n2 + 1) / 12.0::DOUBLE) * 1e6 + 0.5) / 1e6 AS rank_z FROM u""")
+def _(t: Tables):
+    e = P.snp_evidence(_with_insertions(t)).drop("strand_p", "rank_p")
     return e.withColumn("rank_z", F.floor(F.col("rank_z") * 1e6 + 0.5) / 1e6)
 
 
-@query("A21_strand_test")
+@query("A21_strand_test", f"""WITH {_PAIR}, u AS (SELECT chr, pos, major, minor, major_forward AS f, major_forward + major_reverse AS r, minor_forward + minor_reverse AS s, major_forward + minor_forward AS k FROM t),
+v AS (SELECT DISTINCT f, r, s, k, {_LP.format(r=_CONST, x='f')} AS mine FROM u), x AS (SELECT *, unnest(range(greatest(0, k - s), least(r, k) + 1)) AS i FROM v),
+p AS (SELECT f, r, s, k, sum(exp({_LP.format(r=_CONST, x='i')})) FILTER ({_LP.format(r=_CONST, x='i')} <= mine + 1e-9) AS p FROM x GROUP BY 1, 2, 3, 4)
+SELECT u.chr, u.pos, major, minor, floor(least(1.0::DOUBLE, p) * 1e6 + 0.5) / 1e6 AS strand_p FROM u JOIN p ON u.f = p.f AND u.r = p.r AND u.s = p.s AND u.k = p.k""")
 def _(t: Tables):
-    return P.snp_evidence(_bases(t)).select("chr", "pos", "major", "minor", (F.floor(F.col("strand_p") * 1e9 + 0.5) / 1e9).alias("strand_p"))
+    return P.snp_evidence(_with_insertions(t)).select("chr", "pos", "major", "minor", (F.floor(F.col("strand_p") * 1e6 + 0.5) / 1e6).alias("strand_p"))
 
 
 @query("A23_noise_index", """WITH c AS (SELECT sum(CASE WHEN cigar LIKE '10M2D%' THEN 2 ELSE 0 END)::BIGINT AS gap, sum(CASE WHEN cigar LIKE '10M2D%' THEN span - 2 ELSE span END)::BIGINT AS "match",
@@ -140,15 +173,35 @@ def _(t: Tables):
 _AA = "substr('" + P.AMINO_ACIDS + "', CAST((instr('TCAG', substr(c, 1, 1)) - 1) * 16 + (instr('TCAG', substr(c, 2, 1)) - 1) * 4 + instr('TCAG', substr(c, 3, 1)) AS INT), 1)"
 
 
-@query("A36_codon_usage", f"""WITH {_B}, j AS (SELECT target_id AS gene, read_id, (b.pos - start_pos) // 3 AS k, string_agg(base, '' ORDER BY b.pos) AS c FROM b JOIN fx_targets t ON b.chr = t.chr AND b.pos BETWEEN start_pos AND end_pos WHERE base <> '-' GROUP BY 1, 2, 3 HAVING count(*) = 3),
-s AS (SELECT gene, k + 1 AS codon_nr, {_AA} AS aa, count(*) AS n FROM j GROUP BY 1, 2, 3), p AS (SELECT *, n * 100 / CAST(sum(n) OVER (PARTITION BY gene, codon_nr) AS DOUBLE) AS pct FROM s) SELECT * FROM p WHERE pct >= 1""")
+_USAGE = f"""{_B}, j AS (SELECT target_id AS gene, read_id, (b.pos - start_pos) // 3 AS k, string_agg(base, '' ORDER BY b.pos) AS c FROM b JOIN fx_targets t ON b.chr = t.chr AND b.pos BETWEEN start_pos AND end_pos WHERE base <> '-' GROUP BY 1, 2, 3 HAVING count(*) = 3),
+s AS (SELECT gene, k + 1 AS codon_nr, {_AA} AS aa, count(*) AS n FROM j GROUP BY 1, 2, 3), p AS (SELECT *, n * 100 / CAST(sum(n) OVER (PARTITION BY gene, codon_nr) AS DOUBLE) AS pct FROM s), us AS (SELECT * FROM p WHERE pct >= 1)"""
+_TILES = "ti AS (SELECT chr, (pos - 1) // 100 AS tile, rpad(string_agg(ref, '' ORDER BY pos, variant_id), 100, 'ACGT') AS sub FROM fx_variants GROUP BY 1, 2)"
+
+
+def _genes(t: Tables) -> DataFrame:
+    return t.fx_targets.withColumnRenamed("target_id", "gene")
+
+
+def _tiles(t: Tables) -> DataFrame:
+    g = t.fx_variants.groupBy("chr", F.floor((F.col("pos") - 1) / 100).alias("tile")).agg(F.sort_array(F.collect_list(F.struct("pos", "variant_id", "ref"))).alias("x"))
+    return g.select("chr", "tile", F.rpad(F.array_join(F.transform("x", lambda v: v["ref"]), ""), 100, "ACGT").alias("subseq"))
+
+
+@query("A36_codon_usage", f"WITH {_USAGE} SELECT * FROM us")
 def _(t: Tables):
-    return P.codon_usage(_alignments(t), t.fx_targets.withColumnRenamed("target_id", "gene"))
+    return P.codon_usage(_alignments(t), _genes(t))
+
+
+@query("A36_codon_report", f"""WITH {_USAGE}, {_TILES}, pl AS (SELECT us.*, chr, start_pos + 3 * (codon_nr - 1) AS pos FROM us JOIN fx_targets ON gene = target_id),
+bs AS (SELECT gene, codon_nr, i, substr(ti.sub, CAST((pos + i - 1) % 100 + 1 AS INT), 1) AS x FROM (SELECT DISTINCT gene, codon_nr, chr, pos, unnest(range(3)) AS i FROM pl) q JOIN ti ON ti.chr = q.chr AND ti.tile = (pos + i - 1) // 100),
+cd AS (SELECT gene, codon_nr, string_agg(x, '' ORDER BY i) AS c FROM bs GROUP BY 1, 2 HAVING count(*) = 3), rf AS (SELECT pl.gene, pl.pos, pl.codon_nr, pl.aa, pct, coalesce({_AA}, 'x') AS ref_aa FROM pl LEFT JOIN cd ON cd.gene = pl.gene AND cd.codon_nr = pl.codon_nr),
+fm AS (SELECT *, CAST(floor(pct * 100 + 0.5) AS BIGINT) AS h FROM rf WHERE aa <> ref_aa)
+SELECT gene, pos, codon_nr, ref_aa, string_agg(concat(aa, ':', CAST(h // 100 AS STRING), '.', lpad(CAST(h % 100 AS STRING), 2, '0'), '%'), chr(9) ORDER BY aa) AS frequencies, string_agg(concat(ref_aa, CAST(codon_nr AS STRING), aa), ', ' ORDER BY aa) AS mutations FROM fm GROUP BY 1, 2, 3, 4""")
+def _(t: Tables):
+    return P.codon_report(P.codon_usage(_alignments(t), _genes(t)), _genes(t), _tiles(t), 100)
 
 
 @query("J30_reference_base", """WITH g AS (SELECT chr, (pos - 1) // 100 AS tile, string_agg(ref, '' ORDER BY pos, variant_id) AS s FROM fx_variants GROUP BY 1, 2)
 SELECT k.rs, k.chr, k.pos, CASE WHEN g.s IS NULL THEN NULL ELSE substr(rpad(g.s, 100, 'ACGT'), CAST((k.pos - 1) % 100 + 1 AS INT), 1) END AS ref_base FROM fx_known_snps k LEFT JOIN g ON g.chr = k.chr AND g.tile = (k.pos - 1) // 100""")
 def _(t: Tables):
-    g = t.fx_variants.groupBy("chr", F.floor((F.col("pos") - 1) / 100).alias("tile")).agg(F.sort_array(F.collect_list(F.struct("pos", "variant_id", "ref"))).alias("x"))
-    g = g.select("chr", "tile", F.rpad(F.array_join(F.transform("x", lambda v: v["ref"]), ""), 100, "ACGT").alias("subseq"))
-    return P.reference_base(t.fx_known_snps.select("rs", "chr", "pos"), g, 100)
+    return P.reference_base(t.fx_known_snps.select("rs", "chr", "pos"), _tiles(t), 100)
