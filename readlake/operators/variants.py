@@ -458,6 +458,13 @@ def snp_insert_new(vcf: DataFrame, known: DataFrame) -> DataFrame:
     return vcf.join(known.select("rs"), "rs", "left_anti").withColumn("class", F.when(F.col("info").contains("GT2"), "multi_genotypes").otherwise("single"))
 
 
+def population_rows(vcf: DataFrame, pop: str) -> DataFrame:
+    """(pop, rs, sample_size, allele_freq) of every row of `vcf` (rs, info, ...), known or not, from NS and AF of its INFO;
+    null where either is absent."""
+    entry = lambda key, value: F.nullif(F.regexp_extract("info", rf"(?:^|;){key}=({value})", 1), F.lit(""))
+    return vcf.select(F.lit(pop).alias("pop"), "rs", entry("NS", r"\d+").cast("long").alias("sample_size"), entry("AF", r"\d+\.\d+").cast("double").alias("allele_freq"))
+
+
 def population_summary(pop: DataFrame) -> DataFrame:
     """(rs, seen, observations, freq) over populations (rs, freq, n): seen is the whole part of freq * n, summed."""
     return pop.groupBy("rs").agg(F.sum(F.floor(F.col("freq") * F.col("n"))).alias("seen"), F.sum("n").alias("observations"), F.avg("freq").alias("freq"))

@@ -110,6 +110,12 @@ def _(t: Tables):
     return S.parse_sample_sheet(_sheets(t, "concat_ws(',', sample, 'n', 'A01', barcode, 'TT')", "[Header]\r\nx,1\r\n[Data]\r\nSample_ID,Sample_Name,Sample_Well,index,index2\r\n"))
 
 
+@query("S13_well_sheet", f"SELECT CAST(f AS STRING) AS file, concat('B0', CAST(lane AS STRING)) AS well, CASE WHEN k % 2 = 0 THEN 'n' ELSE sample END AS sample, barcode AS index1, 'TT' AS index2 FROM ({_ROWS})")
+def _(t: Tables):
+    line = "concat_ws(',', IF(k % 2 = 0, '', sample), 'n', concat('B0', CAST(lane AS STRING)), barcode, 'TT')"
+    return S.parse_well_sheet(_sheets(t, line, "[Header]\r\nx,1\r\n[Data]\r\nSample_ID,Sample_Name,Sample_Well,index,index2\r\n"))
+
+
 @query("S14_parse_qseq", """SELECT concat('M_1:', CAST(1 + read_id % 8 AS STRING), ':11:2:3#0/2') AS name, 2 AS read_nr, replace(seq, 'A', 'N') AS seq, regexp_replace(seq, '.', 'C', 'g') AS qual, 1 AS pf FROM fx_reads""")
 def _(t: Tables):
     v = "concat_ws('\t', 'M', '1', CAST(1 + read_id % 8 AS STRING), '11', '2', '3', '0', '3', replace(seq, 'A', '.'), regexp_replace(seq, '.', 'b'), '1')"

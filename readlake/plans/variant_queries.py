@@ -333,6 +333,12 @@ def _(t: Tables):
     return V.snp_insert_new(v, t.fx_known_snps).select("rs", "class")
 
 
+@query("V17_population_rows", "SELECT 'CEU' AS pop, concat('rs', CAST(o_orderkey AS STRING)) AS rs, CASE WHEN o_custkey % 3 <> 0 THEN o_custkey::BIGINT END AS sample_size, CASE WHEN o_custkey % 5 <> 0 THEN CAST(concat('0.', CAST(o_orderkey % 1000 AS STRING)) AS DOUBLE) END AS allele_freq FROM orders")
+def _(t: Tables):
+    info = "concat_ws(';', 'VP=050', IF(o_custkey % 3 <> 0, concat('NS=', CAST(o_custkey AS STRING)), NULL), IF(o_custkey % 5 <> 0, concat('AF=0.', CAST(o_orderkey % 1000 AS STRING)), NULL))"
+    return V.population_rows(t.orders.selectExpr("concat('rs', CAST(o_orderkey AS STRING)) AS rs", f"{info} AS info"), "CEU")
+
+
 @query("V18_indel_rows", "SELECT chr, pos, concat(CASE WHEN variant_id % 2 = 0 THEN '+' ELSE '-' END, alt) AS change, concat(CAST(variant_id % 9 AS STRING), '/', CAST(variant_id % 60 AS STRING)) AS evidence FROM fx_variants WHERE variant_id % 60 >= 20")
 def _(t: Tables):
     return V.indel_rows(t.fx_variants.selectExpr("chr", "pos", "IF(variant_id % 2 = 0, '+', '-') AS type", "alt AS variation", "variant_id % 9 AS support", "variant_id % 60 AS depth"))

@@ -274,6 +274,27 @@ def _sheet_lines(texts: DataFrame) -> DataFrame:
     return texts.select("file", F.posexplode(F.split(F.regexp_replace("value", "\r\n?", "\n"), "\n")).alias("nth", "value")).where("trim(value) <> ''")
 
 
+def _named_cells(lines: DataFrame) -> DataFrame:
+    """(file, _m) of the lines behind the one that names the columns, of sheets that begin with [: cells by lower-cased name."""
+    comma = F.split("value", ",", -1)
+    c = lines.where(F.col("_first").startswith("["))
+    head = c.where(F.lower("value").contains("sample_id,")).select("file", F.col("nth").alias("_at"), F.split(F.lower("value"), ",", -1).alias("_h"))
+    n = F.least(F.size("_h"), F.size(comma))
+    return c.join(head, "file").where("nth > _at").select("file", F.map_from_arrays(F.slice("_h", 1, n), F.slice(comma, 1, n)).alias("_m"))
+
+
+def parse_well_sheet(texts: DataFrame) -> DataFrame:
+    """(file, well, sample, index1, index2) of sheets that begin with [Header]: the sample is Sample_ID or, where that is
+    empty, Sample_Name; an index that the sheet lacks is empty."""
+    lines = _sheet_lines(texts)
+    lines = lines.join(lines.groupBy("file").agg(F.min_by("value", "nth").alias("_first")), "file")
+    cell = lambda name: F.element_at("_m", name)
+    return _named_cells(lines).select(
+        "file", cell("sample_well").alias("well"), F.coalesce(F.nullif(cell("sample_id"), F.lit("")), cell("sample_name")).alias("sample"),
+        F.coalesce(cell("index"), F.lit("")).alias("index1"), F.coalesce(cell("index2"), F.lit("")).alias("index2"),
+    )
+
+
 def parse_sample_sheet(texts: DataFrame) -> DataFrame:
     """(file, lane, sample, barcode) of sheets of any of the known forms, told by their first line.
 
@@ -293,11 +314,7 @@ def parse_sample_sheet(texts: DataFrame) -> DataFrame:
     b = lines.where(F.col("_first").startswith("FCID") & ~F.col("value").startswith("FCID")).select(
         "file", _get(cells, 1).try_cast("int").alias("lane"), _get(cells, 2).alias("sample"), _get(cells, 4).alias("barcode")
     )
-    comma = F.split("value", ",", -1)
-    c = lines.where(F.col("_first").startswith("["))
-    head = c.where(F.lower("value").contains("sample_id,")).select("file", F.col("nth").alias("_at"), F.split(F.lower("value"), ",", -1).alias("_h"))
-    c = c.join(head, "file").where("nth > _at").withColumn("_m", F.map_from_arrays(F.slice("_h", 1, F.least(F.size("_h"), F.size(comma))), F.slice(comma, 1, F.least(F.size("_h"), F.size(comma)))))
-    c = c.select(
+    c = _named_cells(lines).select(
         "file", F.lit(1).alias("lane"), F.element_at("_m", "sample_id").alias("sample"),
         F.concat(F.coalesce(F.element_at("_m", "index"), F.lit("")), F.coalesce(F.element_at("_m", "index2"), F.lit(""))).alias("barcode"),
     )

@@ -444,3 +444,23 @@ def test_bases_and_alleles_of_every_kind_of_block(spark):
     assert b == [(10, "A", 40, 1), (11, "C", 40, 2), (12, "G", 40, 3), (13, "A", 40, 4), (14, "C", 40, 5), (15, "-", 0, 6), (16, "G", 40, 7), (17, "T", 40, 8)]
     n = {(r["pos"], r["allele"]) for r in pileup.allele_counts(a).collect()}
     assert n == {(10, "A"), (11, "C"), (12, "GTT"), (13, "A"), (14, "C-"), (16, "G"), (17, "T")}
+
+
+def test_recalibration_by_base_and_starts_by_strand(spark):
+    b = spark.createDataFrame([("1", 1, "A", 30), ("1", 1, "C", 30), ("1", 1, "N", 30), ("1", 2, "-", 0)], "chr string, pos long, base string, qv int")
+    ref = spark.createDataFrame([("1", 1, "A"), ("1", 2, "C")], "chr string, pos long, ref string")
+    assert rows(pileup.recalibration_table(b, ref)) == [(30, 1, 1, 3, 55, 0, -1, -1)]
+    reads = [("a", 0, 60, "4M", "ACGT"), ("b", 16, 60, "4M", "ACGT"), ("c", 16, 60, "4M", "ACGT"), ("d", 0, 60, "2M1I2M", "ACTGT"), ("e", 0, 0, "4M", "GGGG"), ("f", 1024, 60, "4M", "GGGG")]
+    a = spark.createDataFrame([(i, f, "1", 10, q, c, s, "I" * len(s)) for i, f, q, c, s in reads], "read_id string, flags int, chr string, pos long, mapq int, cigar string, seq string, qual string")
+    assert rows(pileup.allele_evidence(a).where("pos = 11")) == [("1", 11, "C", 3, 40.0, 1, 1), ("1", 11, "CT", 1, 40.0, 1, 0)]
+    e = pileup.snp_evidence(a).collect()
+    assert [(r["pos"], r["major"], r["minor"], r["major_n"], r["minor_n"], r["ratio"], round(r["strand_p"], 9)) for r in e] == [(11, "C", "CT", 3, 1, 25.0, 1.0)]
+    assert not pileup.snp_evidence(a.limit(0)).collect()
+
+
+def test_codon_report_names_what_differs_from_the_reference(spark):
+    genes = spark.createDataFrame([("g", "1", 9, 14)], "gene string, chr string, start_pos long, end_pos long")
+    usage = spark.createDataFrame([("g", 1, "M", 3, 75.0), ("g", 1, "K", 1, 25.0), ("g", 2, "W", 1, 100.0)], "gene string, codon_nr long, aa string, n long, pct double")
+    tiles = spark.createDataFrame([("1", 0, "CCCCCCCCAT"), ("1", 1, "GT")], "chr string, tile long, subseq string")
+    got = sorted(tuple(r) for r in pileup.codon_report(usage, genes, tiles, 10).collect())
+    assert got == [("g", 9, 1, "M", "K:25.00%", "M1K"), ("g", 12, 2, "x", "W:100.00%", "x2W")]
