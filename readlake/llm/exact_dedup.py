@@ -91,12 +91,13 @@ def exact_dedup(
 ) -> DataFrame:
     """One row per document: `id_col`, keep_id, group_size, kept, text_sha256 (and `carry`: struct of those columns, kept rows only).
 
-    Sampled splitters deal the normalised texts out by range, Spark's external sort orders each range by the texts
-    themselves, so equal ones lie side by side, and neighbours are compared whole. A splitter is short whatever the
-    texts are: first characters, a hash that parts texts which agree there, and the id, so that a text with very many
-    copies is spread over several ranges. A range's first and last run may go on in the next one: their texts, two for
-    each range, are grouped whole, and what that joins up goes back as a table of at most two rows for each range. The
-    largest id of each group stays. A very long text is one row of a sort and is never in a splitter.
+    Sampled splitters deal the normalised texts out by range, Spark's external sort puts equal ones side by side, and
+    neighbours are compared whole. Ranges and sort follow one order: the first `prefix_chars` characters, then the
+    SHA-256 of the text, the text, and the id. So the order is that of the bytes up to that prefix, and by hash among
+    texts that share it; a splitter is short whatever the texts are, a text with very many copies is spread over several
+    ranges, and only a range's first and last run can go on in the next one. Their texts, two for each range, are
+    grouped whole, and what that joins up goes back as a table of at most two rows for each range. The largest id of
+    each group stays. A very long text is one row of a sort and is never in a splitter.
 
     Null texts count as empty. Null ids sort last, so they stay only where a group has no other. Among rows that repeat
     text and id exactly one is kept. An empty table gives an empty result. Extra columns do not matter.
@@ -104,8 +105,10 @@ def exact_dedup(
     text = normalise(text_or_empty(text_col))
     extra = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("boolean")
     keyed = docs.select(F.col(id_col).alias("id"), text.alias("text"), extra.alias("carry")).withColumn("sha", F.sha2("text", 256))
-    splitter = [F.substring("text", 1, prefix_chars), F.xxhash64("text"), F.col("id").desc_nulls_last()]
-    ranged = keyed.repartitionByRange(*splitter).sortWithinPartitions("text", F.col("id").desc_nulls_last())
+    # the text adds nothing to a splitter: rows with one SHA-256 have one text
+    order = [F.substring("text", 1, prefix_chars), F.col("sha")]
+    last = F.col("id").desc_nulls_last()
+    ranged = keyed.repartitionByRange(*order, last).sortWithinPartitions(*order, "text", last)
     kinds = {f.name: f.dataType for f in ranged.schema.fields}
     schema = T.StructType(
         [T.StructField(n, kinds[n]) for n in ("id", "sha", "carry")]

@@ -73,6 +73,32 @@ def test_exact_dedup_over_partition_edges(spark):
     assert all(r["doc_id"] == r["keep_id"] for r in kept)
 
 
+@pytest.mark.parametrize("parts", [2, 16, 64])
+def test_exact_dedup_over_real_range_edges(spark, parts):
+    """Hot texts in the middle of many others with the same head, repeated and null ids, over as many ranges as asked for."""
+    head = "one boilerplate head that all share "
+    texts = [f"{head}{hashlib.md5(str(i).encode()).hexdigest()}" for i in range(3000)]
+    hot = sorted(texts)[1500:1503]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [(10_000 + i, hot[i % 3]) for i in range(4000)] + [(10_000 + i, hot[i % 3]) for i in range(300)] + [(None, hot[0])] * 50 + [(None, "z")] * 900
+    on = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": str(parts)}
+    was = {k: spark.conf.get(k) for k in on}
+    for k, v in on.items():
+        spark.conf.set(k, v)
+    try:
+        out = exact_dedup(frame(spark, rows).repartition(7)).toPandas()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    want = defaultdict(list)
+    for i, t in rows:
+        want[hashlib.sha256(t.encode()).hexdigest()].append(i)
+    assert len(out) == len(rows) and (out[out.kept].groupby("text_sha256").size() == 1).all() and out.kept.sum() == len(want)
+    for sha, g in out.groupby("text_sha256"):
+        ids = [i for i in want[sha] if i is not None]
+        assert set(g.group_size) == {len(want[sha])} and (set(g.keep_id) == {max(ids)} if ids else g.keep_id.isna().all())
+
+
 def test_mix_meets_targets_and_reruns(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     a, b = mix(docs).toPandas(), mix(docs.repartition(5)).toPandas()
