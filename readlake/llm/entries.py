@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .classifier import classify_quality
+from .conversations import damaged, repair
+from .conversations_sql import REPAIR_SQL
 from .exact_dedup import exact_dedup
 from .mixing import MIX_SQL, mix
 from .order import training_order
@@ -64,6 +66,11 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(_documents(spark, sf_dir))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair(damaged(conversations), conversations)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_pack": op2_pack,
@@ -75,11 +82,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_training_order": op8_training_order,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_repair": op11_repair,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mix": MIX_SQL,
     "op4_quality_rules": RULES_SQL,
+    "op11_repair": REPAIR_SQL,
     "op9_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
