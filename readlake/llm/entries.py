@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .centroids import CLUSTER_SQL, cluster
 from .classifier import classify_quality
 from .conversations import damaged, repair
 from .conversations_sql import REPAIR_SQL
 from .exact_dedup import exact_dedup
+from .licenses import LICENSES_SQL, scan_licenses
 from .mixing import MIX_SQL, mix
 from .order import training_order
 from .packing import pack
@@ -71,6 +73,14 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damaged(conversations), conversations)
 
 
+def op12_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_pack": op2_pack,
@@ -83,12 +93,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_simhash_dedup": op10_simhash_dedup,
     "op11_repair": op11_repair,
+    "op12_cluster": op12_cluster,
+    "op13_licenses": op13_licenses,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mix": MIX_SQL,
     "op4_quality_rules": RULES_SQL,
     "op11_repair": REPAIR_SQL,
+    "op12_cluster": CLUSTER_SQL,
+    "op13_licenses": LICENSES_SQL,
     "op9_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
