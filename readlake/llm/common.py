@@ -53,6 +53,16 @@ def spread_join(left: DataFrame, right: DataFrame, on: str, rows: str, total: in
     return light.unionByName(left.join(F.broadcast(heavy), on))
 
 
+def with_unique(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, str]:
+    """`docs` and the name of a column that tells its rows apart: `id_col` where it is unique and not null (one pass over
+    that column alone tells), else a new column of numbers, for which the rows are written once as they lie."""
+    bad = docs.groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 or _id is null")
+    if bad.isEmpty():
+        return docs, id_col
+    key = fresh(docs, "row_key")
+    return table(docs.withColumn(key, F.monotonically_increasing_id())), key
+
+
 def with_row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(`_key`, `_id`, `_text`) of every row; `_key` is unique, so rows that repeat an id stay apart.
 

@@ -44,6 +44,27 @@ def sainte_lague(df: DataFrame, group: list[str], key: list[str], votes: str, se
     return out.withColumn("won", F.col("_base") + F.coalesce("_wins", F.lit(0))).drop("_v", "_n", "_base", "_top", "_left", "_wins")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """`rows` with `nth`, from 0 among rows that agree in id, source and size, so that they can be dealt apart.
+
+    Such rows are numbered inside the partitions in which they lie, after those of the partitions before; no task holds
+    more of them than a partition does.
+    """
+    same = ["id", "skey", "size"]
+    rows = rows.withColumn("part", F.spark_partition_id())
+    if rows.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return rows.withColumn("nth", F.lit(0).cast("long")).drop("part")
+    own = rows.groupBy(*same, "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(*same).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    own = own.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).where("base > 0").drop("n")
+    own = own.withColumnsRenamed({c: f"of_{c}" for c in (*same, "part")})
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*same, "part").orderBy(F.lit(0))) - 1)
+    alike = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in (*same, "part")]
+    j = rows.join(own, alike[0] & alike[1] & alike[2] & alike[3], "left")
+    # written, as which of several equal rows has which number is not settled otherwise
+    return cut(j.withColumn("nth", F.col("nth") + F.coalesce("base", F.lit(0))).select(*[c for c in rows.columns if c != "part"]))
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -67,7 +88,8 @@ def mix(
     seeded choice of the blocks of one more, whose words are `ranges` (from, to) of a document.
 
     Null texts have size 0, and so have empty ones: they take nothing. Sources without words have target 0. Rows that
-    repeat an id stay apart and are dealt alike. A very long document makes its shard longer. An empty table gives an
+    repeat an id stay apart; a document's shard and place come from its id, its size and its number among rows that agree
+    in id, source and size, so rows without an id are dealt out like others. A very long document makes its shard longer. An empty table gives an
     empty result. Extra columns do not matter. One row for each source, and one for each group of a source's shards,
     are put in order by one task.
     """
@@ -77,9 +99,9 @@ def mix(
             F.col(source_col).alias("source"),
             F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n")).alias("skey"),
             F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            seeded(seed, F.col(id_col)).alias("h"),
         )
     )
+    rows = _numbered(rows).select("id", "source", "skey", "size", seeded(seed, F.col("id"), F.col("size"), F.col("nth")).alias("h"))
     every = Window.partitionBy(F.lit(1))
     w = F.array(*[F.lit(float(x)) for x in weights])
     src = rows.groupBy("skey", "source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
@@ -156,11 +178,12 @@ def mix(
 def apply_mix(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` as the mix takes them: whole copies and then the taken words of one more, each on lines of its own.
 
-    Documents of which nothing is taken go. `decisions` come from mix() over rows with unique ids.
+    Documents of which nothing is taken go. `decisions` come from mix() by the same `id_col`, which has to tell the rows
+    apart (see with_unique()).
     """
     key, times, some_of = (fresh(docs, x) for x in ("id_taken", "times_taken", "ranges_taken"))
     d = decisions.where("taken > 0").select(F.col(id_col).alias(key), F.col("copies").alias(times), F.col("ranges").alias(some_of))
-    j = docs.join(d, F.col(id_col).eqNullSafe(F.col(key)))
+    j = docs.join(d, F.col(id_col) == F.col(key))
     words = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))
     some = F.transform(
         F.array(words),
@@ -173,11 +196,13 @@ def apply_mix(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", tex
 
 #: The same mix for DuckDB, for the parameters of the registered query and sources of one group of shards (up to 10^9 words).
 MIX_SQL = r"""
-WITH r AS (
+WITH raw AS (
   SELECT doc_id AS id, source, coalesce('s' || source, 'n') AS skey,
-         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS h
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents),
+r AS (
+  SELECT *, ('0x' || substr(md5('mix-1:' || coalesce(id::VARCHAR, 'null') || ':' || size || ':' || nth), 1, 15))::BIGINT AS h
+  FROM (SELECT *, row_number() OVER (PARTITION BY id, source, size) - 1 AS nth FROM raw)),
 s1 AS (SELECT skey, source, sum(size)::BIGINT AS source_size, count(*) AS source_rows FROM r GROUP BY ALL),
 s2 AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS pos, 1.5::DOUBLE * sum(source_size) OVER ()::DOUBLE AS budget FROM s1),
 s3 AS (SELECT *, ([5.0, 2.0, 1.0]::DOUBLE[])[((pos - 1) % 3 + 1)::INT] AS weight, (2 * source_size)::DOUBLE AS top FROM s2),

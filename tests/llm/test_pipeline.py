@@ -1,8 +1,13 @@
+from collections import Counter
+
 import corpus_pipeline
 from readlake.llm.classifier import fit_quality, text_features
 from readlake.llm.simhash import fingerprint
 
 import numpy as np
+import pytest
+
+from .helpers import frame, prose
 
 
 def test_stages_against_brute_force(spark, sf, tmp_path):
@@ -67,3 +72,43 @@ def test_odd_rows_and_clashing_columns(spark, sf, tmp_path):
     spark.read.parquet(f"{sf}/labels.parquet").limit(0).write.parquet(str(none / "labels.parquet"))
     docs.limit(0).write.parquet(str(none / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(none)).count() == 0
+
+
+def test_rows_without_ids_stay_single(spark, sf):
+    """Thirty rows without an id, and some that share one: no stage multiplies them, and each text is mixed by its own decision."""
+    rows = [(None, prose(i, 30 + i), "a" if i % 3 else "b") for i in range(30)] + [(7, prose(100 + i, 50), "a") for i in range(5)]
+    docs = frame(spark, rows).repartition(4)
+    out = corpus_pipeline.mixing(spark, docs, sf)
+    assert out.columns == docs.columns and out.count() <= len(rows)
+    took = sum(len(r["text"].split()) for r in out.collect())
+    assert abs(took - 1.5 * sum(len(r[1].split()) for r in rows)) <= 40
+    assert corpus_pipeline.near(spark, docs, sf).count() == corpus_pipeline.exact(spark, docs, sf).count() == len(rows)
+    twice = docs.union(docs)
+    assert Counter(r["text"] for r in corpus_pipeline.near(spark, twice, sf).collect()) == Counter(r[1] for r in rows)
+    mixed = corpus_pipeline.mixing(spark, twice, sf)
+    assert mixed.count() <= 2 * len(rows)
+
+
+def test_of_near_copies_the_smallest_id_stays(spark, sf):
+    base = prose(1, 400)
+    rows = [(None, base), (9, base), (4, base.replace("w1 ", "w2 ", 1)), (4, base), (None, prose(2, 80)), (None, prose(2, 80))]
+    kept = Counter(r["doc_id"] for r in corpus_pipeline.near(spark, frame(spark, rows), sf).collect())
+    assert kept == Counter([4, None])
+
+
+@pytest.mark.parametrize("parts", [2, 16, 64])
+def test_exact_stage_over_real_range_edges(spark, sf, parts):
+    head = "one boilerplate head that all share "
+    texts = [f"{head}{(i * 7919) % 10007:05d}" for i in range(2000)]
+    rows = list(enumerate(texts)) + [(5000 + i, sorted(texts)[1000 + i % 3]) for i in range(3000)] + [(None, texts[5])] * 20
+    on = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": str(parts)}
+    was = {k: spark.conf.get(k) for k in on}
+    for k, v in on.items():
+        spark.conf.set(k, v)
+    try:
+        out = corpus_pipeline.exact(spark, frame(spark, rows).repartition(6), sf).collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    best = {t: i for i, t in sorted((i, t) for i, t in rows if i is not None)}
+    assert {r["text"]: r["doc_id"] for r in out} == best and len(out) == len(best)
