@@ -35,13 +35,13 @@ def describe(df: DataFrame, keys: list[str], x: str, index: str, divisor: int |
     return out.withColumns({"mean": F.col("total") / F.col("n"), "spread": F.col("most") - F.col("least"), "variance": var, "sd": F.sqrt(var)})
 
 
-def _by_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on `keys`, null keys included; `other` has one row for each."""
+def _by_keys(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on `keys`, null keys included; `other` has one row for each."""
     names = {k: f"_key{i}" for i, k in enumerate(keys)}
     same = F.lit(True)
     for k, name in names.items():
         same = same & F.col(k).eqNullSafe(F.col(name))
-    return df.join(other.withColumnsRenamed(names), same).drop(*names.values())
+    return df.join(other.withColumnsRenamed(names), same, how).drop(*names.values())
 
 
 def _ranked(df: DataFrame, keys: list[str], x: str, wanted: Callable[[Column, Column, Column], Column] | None = None) -> DataFrame:
@@ -114,7 +114,7 @@ def other_means(df: DataFrame, keys: list[str], x: str) -> DataFrame:
     )
     counts = df.groupBy(*keys, c.alias("_x")).agg(F.count(F.lit(1)).alias("_c")).where("_x is not null")
     mode = counts.groupBy(*keys).agg(F.when(F.max("_c") > 1, F.max_by("_x", F.struct("_c", -F.col("_x")))).alias("mode"))
-    return means.join(mode, keys)
+    return _by_keys(means, mode, keys, "left")
 
 
 def shape(df: DataFrame, keys: list[str], x: str) -> DataFrame:
@@ -196,15 +196,18 @@ def chi_square_critical(p: pd.Series, df: pd.Series) -> pd.Series:
 
 
 def frequency(df: DataFrame, keys: list[str], x: str, bins: int) -> DataFrame:
-    """Counts of values up to each of `bins` equal upper limits between least and most: (limit, n), empty bins with 0; equal values are in bin 1."""
+    """Counts of values up to each of `bins` equal upper limits between least and most: (limit, n), empty bins with 0; equal
+    values are in bin 1. Nulls are no values: a group of nothing else has no rows. A null key is a group like any other."""
     c = F.col(x).cast("double")
+    df = df.where(c.isNotNull())
     ends = df.groupBy(*keys).agg(F.min(c).alias("_lo"), F.max(c).alias("_hi")).withColumn("_step", (F.col("_hi") - F.col("_lo")) / bins)
     values = df.groupBy(*keys, c.alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
     k = F.greatest(F.lit(1), F.ceil(F.try_divide(F.col("_x") - F.col("_lo"), F.col("_step"))))
-    n = values.join(ends, keys).groupBy(*keys, F.coalesce(F.least(k, F.lit(bins)), F.lit(1)).alias("bin")).agg(F.sum("_c").alias("n"))
+    bin_of = F.coalesce(F.least(k, F.lit(bins)), F.lit(1)).cast("long").alias("bin")
+    n = _by_keys(values, ends, keys).groupBy(*keys, bin_of).agg(F.sum("_c").alias("n"))
     grid = ends.withColumn("bin", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(bins).cast("long"))))
     limit = (F.col("_lo") + F.col("bin") * F.col("_step")).alias("limit")
-    return grid.join(n, [*keys, "bin"], "left").select(*keys, "bin", limit, F.coalesce("n", F.lit(0)).alias("n"))
+    return _by_keys(grid, n, [*keys, "bin"], "left").select(*keys, "bin", limit, F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def frequency_by_limits(df: DataFrame, keys: list[str], x: str, limits: list[float]) -> DataFrame:

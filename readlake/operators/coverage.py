@@ -62,19 +62,20 @@ def covered_bases(depth: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def target_coverage_bins(depth: DataFrame, targets: DataFrame) -> DataFrame:
-    """Targets by the whole per cent of their positions that are covered: (bin, targets)."""
-    pct = F.floor(F.col("covered") * 100 / (F.col("end_pos") - F.col("start_pos") + 1))
+    """Targets by the whole per cent of their positions that are covered: (bin, targets). A target of no length has none."""
+    pct = F.coalesce(F.floor(F.try_divide(F.col("covered") * 100, F.col("end_pos") - F.col("start_pos") + 1)), F.lit(0))
     b = F.when(pct == 0, "0").when(pct < 70, "<70").when(pct < 80, "<80").when(pct < 90, "<90").when(pct < 100, "<100").otherwise("100")
     return covered_bases(depth, targets).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("targets"))
 
 
 def target_depth(depth: DataFrame, targets: DataFrame, leeway: int = 30) -> DataFrame:
-    """Depth figures of each target widened by `leeway`: whole mean, min, max, positions without and with at most 30 reads."""
+    """Depth figures of each target widened by `leeway`: whole mean (null for a target of no length), min, max, positions
+    without and with at most 30 reads."""
     wide = targets.select("target_id", "chr", (F.col("start_pos") - leeway).alias("start_pos"), (F.col("end_pos") + leeway).alias("end_pos"))
     size = F.col("end_pos") - F.col("start_pos") + 1
     return covered_bases(depth, wide).select(
         "target_id",
-        F.floor(F.col("total_depth") / size).cast("long").alias("mean_depth"),
+        F.floor(F.try_divide(F.col("total_depth"), size)).cast("long").alias("mean_depth"),
         F.when(F.col("covered") < size, 0).otherwise(F.col("least")).cast("long").alias("min_depth"),
         F.col("max_depth").cast("long").alias("max_depth"),
         (size - F.col("covered")).alias("zero_positions"),

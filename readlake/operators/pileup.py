@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .intervals import TILE, by_tile, islands
 from .reads import cigar_ops, qualities
 
 
@@ -116,11 +117,21 @@ def consensus(bases: DataFrame, min_depth: int = 50) -> DataFrame:
 
 
 def consensus_sequences(sites: DataFrame) -> DataFrame:
-    """Consecutive consensus sites as sequences: (chr, start_pos, seq)."""
-    run = F.col("pos") - F.row_number().over(Window.partitionBy("chr", "_t").orderBy("pos"))
-    s = sites.withColumn("_t", F.floor(F.col("pos") / 100_000)).withColumn("_run", run)
-    g = s.groupBy("chr", "_t", "_run").agg(F.min("pos").alias("start_pos"), F.sort_array(F.collect_list(F.struct("pos", "base"))).alias("b"))
-    return g.select("chr", "start_pos", F.array_join(F.transform("b", lambda x: x["base"]), "").alias("seq"))
+    """Consecutive consensus sites as sequences: (chr, start_pos, seq).
+
+    Sites are strung together inside tiles; pieces that touch across tiles are joined, which one row for each tile tells.
+    """
+    run = F.col("pos") - F.row_number().over(Window.partitionBy("chr", "_tile").orderBy("pos"))
+    s = sites.withColumn("_tile", F.floor(F.col("pos") / TILE)).withColumn("_run", run)
+    bases = F.sort_array(F.collect_list(F.struct("pos", "base")))
+    g = s.groupBy("chr", "_tile", "_run").agg(F.min("pos").alias("start_pos"), F.max("pos").alias("end_pos"), bases.alias("b"))
+    g = g.select("chr", "_tile", "start_pos", "end_pos", F.array_join(F.transform("b", lambda x: x["base"]), "").alias("piece"))
+    before = F.lag("_end").over(Window.partitionBy("chr").orderBy("_tile"))
+    tiles = g.groupBy("chr", "_tile").agg(F.max("end_pos").alias("_end")).select("chr", "_tile", before.alias("_before"))
+    goes_on = F.coalesce(F.col("start_pos") == F.col("_before") + 1, F.lit(False))
+    g = islands(by_tile(g, tiles).withColumn("_new", F.when(goes_on, 0).otherwise(1)), ["start_pos"], "_new")
+    g = g.groupBy("chr", "_island").agg(F.min("start_pos").alias("start_pos"), F.sort_array(F.collect_list(F.struct("start_pos", "piece"))).alias("p"))
+    return g.select("chr", "start_pos", F.array_join(F.transform("p", lambda x: x["piece"]), "").alias("seq"))
 
 
 #: Ambiguity codes of nucleotide sets, as the IUPAC fixes them.

@@ -184,10 +184,10 @@ def shared_candidate_counts(report: DataFrame, background: DataFrame, homozygous
 
 
 def genotype(info: Column) -> Column:
-    """HOMO, HET or UNKNOWN: by AF 1 or .5 where it is given, else by the first of two AC counts as a share of DP; UNKNOWN
-    also where neither tells."""
+    """HOMO, HET or UNKNOWN: by AF 1 or .5 where it is given and not 0, else by the first of two AC counts as a share of DP;
+    UNKNOWN also where neither tells."""
     m = info_map(info)
-    af = F.element_at(m, "AF").try_cast("double")
+    af = F.nullif(F.element_at(m, "AF").try_cast("double"), F.lit(0.0))
     first = F.regexp_extract(F.element_at(m, "AC"), r"^(\d+),\d+$", 1).try_cast("double")
     share = F.try_divide(first * 100, F.element_at(m, "DP").try_cast("double"))
     return (

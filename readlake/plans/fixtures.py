@@ -59,6 +59,13 @@ FIXTURES: dict[str, tuple] = {
             "substr(letters, CAST(tile * 100 + 1 AS INT), 100) AS seq",
         ],
     ),
+    "fx_letters": (
+        "documents",
+        [
+            "doc_id",
+            "translate(regexp_replace(lower(text), '[^a-z]', ''{g}), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS letters",
+        ],
+    ),
     "fx_variants": (
         "orders",
         [

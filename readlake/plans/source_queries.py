@@ -154,7 +154,9 @@ def _(t: Tables):
 @query("S22_parse_report", "SELECT CAST(variant_id AS STRING) AS id, effect, '' AS rs FROM fx_variants WHERE variant_id % 7 <> 0")
 def _(t: Tables):
     v = "IF(variant_id % 7 = 0, concat('# capture: c', CAST(variant_id AS STRING), ' 99'), concat_ws('\t', CAST(variant_id AS STRING), effect, ''))"
-    return S.parse_report(_value(t.fx_variants, v), ["id", "effect", "rs"])
+    lines = t.fx_variants.select(F.lit("f").alias("file"), F.col("variant_id").alias("nth"), F.expr(v).alias("value"))
+    head = t.spark.createDataFrame([("f", -1, "id\teffect\trs")], "file string, nth long, value string")
+    return S.parse_report(lines.unionByName(head), ["id", "effect", "rs"]).drop("file")
 
 
 @query("S22_parse_captures", "SELECT concat('c', CAST(variant_id AS STRING)) AS name, '99 x' AS text FROM fx_variants WHERE variant_id % 7 = 0")

@@ -148,10 +148,10 @@ def _(t: Tables):
     return V.shared_candidate_counts(r, t.fx_targets.select("chr", F.col("start_pos").alias("pos")), ["a"], ["b"])
 
 
-@query("V01_genotype", """WITH v AS (SELECT o_orderkey AS variant_id, o_orderkey % 5 AS k, o_custkey % 90 AS dp, o_custkey % 77 AS one FROM orders)
-SELECT variant_id, CASE k WHEN 0 THEN 'HOMO' WHEN 1 THEN 'HET' WHEN 2 THEN 'UNKNOWN' WHEN 3 THEN CASE WHEN dp > 0 AND one * 100 > 75 * dp THEN 'HOMO' WHEN dp > 0 AND one * 100 > 35 * dp THEN 'HET' ELSE 'UNKNOWN' END ELSE 'UNKNOWN' END AS genotype FROM v""")
+@query("V01_genotype", """WITH v AS (SELECT o_orderkey AS variant_id, o_orderkey % 6 AS k, o_custkey % 90 AS dp, o_custkey % 77 AS one FROM orders)
+SELECT variant_id, CASE k WHEN 0 THEN 'HOMO' WHEN 1 THEN 'HET' WHEN 2 THEN 'UNKNOWN' WHEN 4 THEN 'UNKNOWN' ELSE CASE WHEN dp > 0 AND one * 100 > 75 * dp THEN 'HOMO' WHEN dp > 0 AND one * 100 > 35 * dp THEN 'HET' ELSE 'UNKNOWN' END END AS genotype FROM v""")
 def _(t: Tables):
-    tail = "CASE o_orderkey % 5 WHEN 0 THEN ';AF=1.00' WHEN 1 THEN ';AF=0.50;AC=0,9' WHEN 2 THEN ';AF=0.33' WHEN 3 THEN concat(';AC=', CAST(o_custkey % 77 AS STRING), ',', CAST(o_orderkey % 50 AS STRING)) ELSE ';AC=7' END"
+    tail = "CASE o_orderkey % 6 WHEN 0 THEN ';AF=1.00' WHEN 1 THEN ';AF=0.50;AC=0,9' WHEN 2 THEN ';AF=0.33' WHEN 4 THEN ';AC=7' ELSE concat(IF(o_orderkey % 6 = 3, '', ';AF=0'), ';AC=', CAST(o_custkey % 77 AS STRING), ',', CAST(o_orderkey % 50 AS STRING)) END"
     v = t.orders.selectExpr("o_orderkey AS variant_id", f"concat('DP=1;DP=', CAST(o_custkey % 90 AS STRING), {tail}) AS info")
     return v.select("variant_id", V.genotype(F.col("info")).alias("genotype"))
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.maps import last_wins
 from ..operators.variants import info_map
+from .splits import read_fasta, read_fasta_tiles, read_fastq  # noqa: F401
 
 
 def _lines(spark: SparkSession, paths: str | list[str], **options: str) -> DataFrame:
@@ -18,28 +18,6 @@ def _get(parts: Column, i: int) -> Column:
     return F.get(parts, F.lit(i))
 
 
-def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, name, seq, strand, qual) of FASTQ files, plain or gzipped.
-
-    A quality line may begin like a header, so records are framed by line numbers, never by what a line looks like.
-    Plain files are read in splits by many tasks: lines are numbered inside their split, and the splits' line counts,
-    one row for each, say where a split starts. A record without @ and +, or a file that ends inside one, fails.
-    """
-    lines = _lines(spark, paths).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"), "value"
-    )
-    splits = lines.groupBy("file", "_at").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
-    before = Window.partitionBy("file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("file", "_at", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    nth = F.col("_before") + F.col("_id") - F.col("_first")
-    r = lines.join(splits, ["file", "_at"]).withColumn("_k", nth % 4).withColumn("_rec", F.floor(nth / 4))
-    part = lambda k: F.max(F.when(F.col("_k") == k, F.col("value")))
-    r = r.groupBy("file", "_rec").agg(*[part(k).alias(c) for k, c in enumerate(("name", "seq", "strand", "qual"))])
-    whole = F.when(F.col("qual").isNull(), F.raise_error(F.concat("file", F.lit(" ends inside a record"))))
-    head = F.when(~F.col("name").startswith("@") | ~F.col("strand").rlike("^[+-]"), F.raise_error(F.concat("file", F.lit(": not a record: "), "name")))
-    return r.select("file", F.coalesce(whole, head, F.substring("name", 2, 1 << 30)).alias("name"), "seq", "strand", "qual")
-
-
 def parse_fastq(records: DataFrame) -> DataFrame:
     """(name, seq, strand, qual) of records that are one string of four lines each (`value`)."""
     p = F.split("value", "\n")
@@ -66,15 +44,12 @@ def parse_fasta(entries: DataFrame) -> DataFrame:
     )
 
 
-def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return parse_fasta(_lines(spark, paths, lineSep=">"))
-
-
 def fasta_tiles(fasta: DataFrame, size: int = 10_000) -> DataFrame:
     """(chr, tile from 0, subseq) of sequences, to be joined by place."""
     n = F.ceil(F.length("seq") / size).cast("int")
-    t = fasta.where("length(seq) > 0").select(F.col("name").alias("chr"), "seq", F.explode(F.sequence(F.lit(0), n - 1)).alias("tile"))
-    return t.select("chr", F.col("tile").cast("long").alias("tile"), F.substring(F.col("seq"), F.col("tile") * size + 1, F.lit(size)).alias("subseq"))
+    cut = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(F.col("seq"), i * size + 1, F.lit(size)))
+    t = fasta.where("length(seq) > 0").select(F.col("name").alias("chr"), F.posexplode(cut).alias("tile", "subseq"))
+    return t.select("chr", F.col("tile").cast("long").alias("tile"), "subseq")
 
 
 def fasta_records(fasta: DataFrame, width: int = 60) -> DataFrame:
@@ -87,17 +62,106 @@ def write_fasta(fasta: DataFrame, path: str, width: int = 60) -> None:
     fasta_records(fasta, width).write.text(path)
 
 
-def parse_sam(lines: DataFrame) -> DataFrame:
-    """The eleven fields of alignment lines and a map of their tags (name: type:value), the last of a tag that repeats."""
+def _checked(lines: DataFrame, fields: dict[str, tuple[Column, str | None]], wrong: Column | None = None) -> DataFrame:
+    """`lines` as they are, the fields as `_row`, and `_reason`: what makes a line no record, null where it is one.
+
+    A field with a type must be there and be of that type; `wrong` is a condition that tells other broken lines.
+    """
+    reasons = [F.when(wrong, "too few fields")] if wrong is not None else []
+    row = []
+    for name, (text, kind) in fields.items():
+        value = text.try_cast(kind) if kind else text
+        row.append(value.alias(name))
+        if kind:
+            reasons.append(F.when(text.isNull() | (text == ""), f"{name}: missing").when(value.isNull(), f"{name}: no {kind}"))
+    return lines.select("*", F.struct(*row).alias("_row"), F.coalesce(*reasons).alias("_reason"))
+
+
+def _sam(lines: DataFrame) -> DataFrame:
     p = F.split("value", "\t")
     tags = F.transform(F.slice(p, 12, 1 << 20), lambda t: F.named_struct(F.lit("key"), F.substring(t, 1, 2), F.lit("value"), F.substring(t, 4, 1 << 20)))
-    a = lines.where(~F.col("value").startswith("@"))
-    i = lambda k, t: _get(p, k).cast(t)
-    return a.select(
-        _get(p, 0).alias("qname"), i(1, "int").alias("flags"), _get(p, 2).alias("chr"), i(3, "long").alias("pos"), i(4, "int").alias("mapq"),
-        _get(p, 5).alias("cigar"), _get(p, 6).alias("mate_chr"), i(7, "long").alias("mate_pos"), i(8, "long").alias("isize"),
-        _get(p, 9).alias("seq"), _get(p, 10).alias("qual"), last_wins(tags).alias("tags"),
-    )
+    kinds = {
+        "qname": None, "flags": "int", "chr": None, "pos": "long", "mapq": "int", "cigar": None, "mate_chr": None, "mate_pos": "long",
+        "isize": "long", "seq": None, "qual": None,
+    }
+    fields = {name: (_get(p, i), kind) for i, (name, kind) in enumerate(kinds.items())}
+    return _checked(lines.where(~F.col("value").startswith("@")), fields | {"tags": (last_wins(tags), None)}, F.size(p) < 11)
+
+
+def _bed(lines: DataFrame) -> DataFrame:
+    p = F.split("value", "\t")
+    r = r"^([^\s:]+):(\d+)-(\d+)"
+    pick = lambda k: F.when(F.col("value").rlike(r), F.regexp_extract("value", r, k + 1)).otherwise(_get(p, k))
+    b = lines.where(~F.col("value").rlike(r"^(chromosome|#|track\b|browser\b)") & (F.col("value") != ""))
+    fields = {"chr": (F.regexp_replace(pick(0), "^chr", ""), None), "start_pos": (pick(1), "long"), "end_pos": (pick(2), "long")}
+    return _checked(b, fields | {"name": (_get(p, 3), None), "ref_id": (_get(p, 4), None)})
+
+
+def _vcf(lines: DataFrame) -> DataFrame:
+    p = F.split("value", "\t")
+    fields = {"chr": (_get(p, 0), None), "pos": (_get(p, 1), "long")} | {c: (_get(p, i), None) for i, c in enumerate(("id", "ref", "alt"), 2)}
+    fields |= {"qual": (_get(p, 5).try_cast("double"), None), "filter": (_get(p, 6), None), "info": (info_map(_get(p, 7)), None)}
+    return _checked(lines.where(~F.col("value").startswith("#") & (F.col("value") != "")), fields, F.size(p) < 5)
+
+
+def _depth(lines: DataFrame) -> DataFrame:
+    p = F.split("value", "\t")
+    return _checked(lines.where(F.col("value") != ""), {"chr": (_get(p, 0), None), "pos": (_get(p, 1), "long"), "depth": (_get(p, 2), "int")})
+
+
+def _gff(lines: DataFrame) -> DataFrame:
+    p = F.split("value", "\t")
+    body = lines.where(~F.col("value").startswith("#") & (F.col("value") != ""))
+    return _checked(body, {"name": (_get(p, 8), None), "chr": (_get(p, 0), None), "start_pos": (_get(p, 3), "long"), "end_pos": (_get(p, 4), "long")})
+
+
+def _psl(lines: DataFrame) -> DataFrame:
+    p = F.split("value", "\t")
+    # the header: its name, two lines of column names, a rule
+    body = lines.where(~F.col("value").rlike(r"^(#|psLayout\b|match\t|\s|-+\s*$)") & (F.col("value") != ""))
+    return _checked(body, {"name": (_get(p, 9), None), "chr": (_get(p, 13), None), "start_pos": (_get(p, 15), "long"), "end_pos": (_get(p, 16), "long")})
+
+
+#: Line formats of which every line is a record, a header or comment that is skipped, or broken.
+FORMATS = {"sam": _sam, "bed": _bed, "vcf": _vcf, "depth": _depth, "gff": _gff, "psl": _psl}
+
+
+def parse_lines(lines: DataFrame, kind: str) -> DataFrame:
+    """The records of `lines` (`value`) in one of FORMATS. Headers and comments are skipped, and so are broken lines: see rejects()."""
+    return FORMATS[kind](lines).where("_reason is null").select("_row.*")
+
+
+def rejects(lines: DataFrame, kind: str) -> DataFrame:
+    """The lines that parse_lines() skips as broken, with their other columns (a file's name) and the reason of each."""
+    return FORMATS[kind](lines).where("_reason is not null").select(*lines.columns, F.col("_reason").alias("reason"))
+
+
+def load_lines(lines: DataFrame, kind: str, out: str) -> dict[str, int]:
+    """Write records to `out`/records and broken lines to `out`/rejects, both Parquet, from one parse; what was counted on the way.
+
+    The parsed lines are written once, by whether they are records, and the two folders are read from there, so the input
+    is read once. Returns {"records": n, "rejects": n}.
+    """
+    seen = Observation()
+    row = FORMATS[kind](lines).select(*lines.columns, F.col("_reason").alias("reason"), F.col("_row").alias("row"))
+    good = F.col("reason").isNull()
+    # of records the line is not kept
+    row = row.withColumn("value", F.when(~good, F.col("value"))).withColumn("part", F.when(good, "records").otherwise("rejects"))
+    row = row.observe(seen, F.count_if(F.col("part") == "records").alias("records"), F.count_if(F.col("part") == "rejects").alias("rejects"))
+    row.write.partitionBy("part").parquet(out)
+    return {k: int(v) for k, v in seen.get.items()}
+
+
+def read_loaded(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of load_lines()."""
+    rows = spark.read.parquet(out)
+    keep = [c for c in rows.columns if c not in ("row", "part")]
+    return rows.where("part = 'records'").select("row.*"), rows.where("part = 'rejects'").select(*keep)
+
+
+def parse_sam(lines: DataFrame) -> DataFrame:
+    """The eleven fields of alignment lines and a map of their tags (name: type:value), the last of a tag that repeats."""
+    return parse_lines(lines, "sam")
 
 
 def read_sam(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -123,14 +187,8 @@ def sam_samples(lines: DataFrame) -> DataFrame:
 
 def parse_bed(lines: DataFrame, leeway: int = 0) -> DataFrame:
     """(chr, start_pos, end_pos, name, ref_id) of tab-separated or chr:start-end lines, without chr, widened by `leeway`."""
-    p = F.split("value", "\t")
-    r = r"^([^\s:]+):(\d+)-(\d+)"
-    pick = lambda k: F.when(F.col("value").rlike(r), F.regexp_extract("value", r, k + 1)).otherwise(_get(p, k))
-    b = lines.where(~F.col("value").rlike(r"^(chromosome|#|track\b|browser\b)") & (F.col("value") != ""))
-    return b.select(
-        F.regexp_replace(pick(0), "^chr", "").alias("chr"), (pick(1).cast("long") - leeway).alias("start_pos"),
-        (pick(2).cast("long") + leeway).alias("end_pos"), _get(p, 3).alias("name"), _get(p, 4).alias("ref_id"),
-    )
+    wide = {"start_pos": F.col("start_pos") - leeway, "end_pos": F.col("end_pos") + leeway}
+    return parse_lines(lines, "bed").withColumns(wide)
 
 
 def read_bed(spark: SparkSession, paths: str | list[str], leeway: int = 0) -> DataFrame:
@@ -139,11 +197,7 @@ def read_bed(spark: SparkSession, paths: str | list[str], leeway: int = 0) -> Da
 
 def parse_vcf(lines: DataFrame) -> DataFrame:
     """(chr, pos, id, ref, alt, qual, filter, info as a map) of a VCF's body."""
-    p = F.split("value", "\t")
-    return lines.where(~F.col("value").startswith("#")).select(
-        _get(p, 0).alias("chr"), _get(p, 1).cast("long").alias("pos"), _get(p, 2).alias("id"), _get(p, 3).alias("ref"), _get(p, 4).alias("alt"),
-        _get(p, 5).try_cast("double").alias("qual"), _get(p, 6).alias("filter"), info_map(_get(p, 7)).alias("info"),
-    )
+    return parse_lines(lines, "vcf")
 
 
 def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -156,12 +210,12 @@ def vcf_truncate(lines: DataFrame) -> DataFrame:
 
 
 def parse_depth(lines: DataFrame) -> DataFrame:
-    p = F.split("value", "\t")
-    return lines.select(_get(p, 0).alias("chr"), _get(p, 1).cast("long").alias("pos"), _get(p, 2).cast("int").alias("depth"))
+    """(chr, pos, depth) of tab-separated lines."""
+    return parse_lines(lines, "depth")
 
 
 def read_depth(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return spark.read.csv(paths, sep="\t", schema="chr string, pos long, depth int")
+    return parse_depth(_lines(spark, paths))
 
 
 def parse_qseq(lines: DataFrame) -> DataFrame:
@@ -196,13 +250,10 @@ def fna_qual(fasta: DataFrame, quals: DataFrame) -> DataFrame:
 
 def load_features(rows: DataFrame, kind: str, min_mapq: int = 5) -> DataFrame:
     """(name, chr, start_pos, end_pos) of lines of SAM (mapq from `min_mapq`, end at start + length of the read), GFF or PSL."""
-    p = F.split("value", "\t")
     if kind == "sam":
         s = parse_sam(rows).where(F.col("mapq") >= min_mapq)
         return s.select(F.col("qname").alias("name"), "chr", F.col("pos").alias("start_pos"), (F.col("pos") + F.length("seq")).alias("end_pos"))
-    at = {"gff": (8, 0, 3, 4), "psl": (9, 13, 15, 16)}[kind]
-    body = rows.where(~F.col("value").startswith("#") & F.col("value").contains("\t"))
-    return body.select(_get(p, at[0]).alias("name"), _get(p, at[1]).alias("chr"), _get(p, at[2]).cast("long").alias("start_pos"), _get(p, at[3]).cast("long").alias("end_pos"))
+    return parse_lines(rows, kind)
 
 
 def parse_flagstat(lines: DataFrame, file: str = "file") -> DataFrame:
@@ -217,11 +268,21 @@ def parse_lane_log(lines: DataFrame) -> DataFrame:
     return lines.where(F.size(p) >= 3).select(_get(p, 0).try_cast("int").alias("lane"), _get(p, 1).alias("sample"), _get(p, 2).try_cast("long").alias("reads")).where("lane is not null")
 
 
-def parse_report(lines: DataFrame, header: list[str]) -> DataFrame:
-    """Rows of a report by column name; comments and the header itself are skipped."""
-    p = F.split("value", "\t", -1)
-    body = lines.where(~F.col("value").startswith("#") & (F.col("value") != "\t".join(header)) & (F.col("value") != ""))
-    return body.select(*[_get(p, i).alias(c) for i, c in enumerate(header)])
+def parse_report(lines: DataFrame, columns: list[str], file: str = "file", at: str = "nth") -> DataFrame:
+    """(file, `columns`) of reports (file, nth, value) whose first line that is no comment names the columns.
+
+    Each file has its own order of columns; its header, one row for each file, is joined back and every cell is found by
+    its name. A column that a file lacks is null, one whose name repeats counts last; header lines that come again are
+    skipped, as are comments and empty lines.
+    """
+    body = lines.where(~F.col("value").startswith("#") & (F.col("value") != ""))
+    head = body.groupBy(file).agg(F.min_by("value", at).alias("_head"))
+    head = head.select(F.col(file).alias("_file"), "_head", F.posexplode(F.split("_head", "\t", -1)).alias("i", "x"))
+    place = [F.max(F.when(F.col("x") == c, F.col("i"))).alias(f"_at{k}") for k, c in enumerate(columns)]
+    head = head.groupBy("_file", "_head").agg(*place)
+    j = body.join(head, F.col(file).eqNullSafe(F.col("_file"))).where(F.col("value") != F.col("_head"))
+    cells = F.split("value", "\t", -1)
+    return j.select(file, *[F.get(cells, F.col(f"_at{k}")).alias(c) for k, c in enumerate(columns)])
 
 
 def parse_captures(lines: DataFrame) -> DataFrame:
@@ -275,12 +336,14 @@ def _sheet_lines(texts: DataFrame) -> DataFrame:
 
 
 def _named_cells(lines: DataFrame) -> DataFrame:
-    """(file, _m) of the lines behind the one that names the columns, of sheets that begin with [: cells by lower-cased name."""
+    """(file, _m) of the lines behind the one that names the columns, of sheets that begin with [: cells by lower-cased name,
+    the last of columns that share a name."""
     comma = F.split("value", ",", -1)
     c = lines.where(F.col("_first").startswith("["))
     head = c.where(F.lower("value").contains("sample_id,")).select("file", F.col("nth").alias("_at"), F.split(F.lower("value"), ",", -1).alias("_h"))
     n = F.least(F.size("_h"), F.size(comma))
-    return c.join(head, "file").where("nth > _at").select("file", F.map_from_arrays(F.slice("_h", 1, n), F.slice(comma, 1, n)).alias("_m"))
+    cells = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.get("_h", i).alias("key"), F.get(comma, i).alias("value")))
+    return c.join(head, "file").where("nth > _at").select("file", last_wins(cells).alias("_m"))
 
 
 def parse_well_sheet(texts: DataFrame) -> DataFrame:
