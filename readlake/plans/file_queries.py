@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.scratch import own_folder
+from ..operators.tracking import newest
 from ..sources import records as S
+from ..streaming import facts as FA
+from ..streaming import status as ST
 from .read_queries import _READS, with_quality
 from .registry import Tables, query
 
@@ -121,3 +124,50 @@ def _(t: Tables):
     heads = t.spark.createDataFrame([("0", "id\teffect\trs", -1), ("1", "rs\tid\teffect", -1), ("2", "effect\tother", -1), ("1", "# before", -2)], "f string, value string, nth long")
     lines = rows.unionByName(heads).selectExpr("concat('f', f) AS file", "nth", "value")
     return S.parse_report(lines, ["id", "effect", "rs"])
+
+
+_RUNS = """WITH r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY stamp DESC, event_id DESC) AS rn FROM fx_status_log)
+SELECT l.rid, l.status, CASE WHEN l.status LIKE '%#_FAILED' ESCAPE '#' THEN p.status END AS failed_step FROM r l LEFT JOIN r p ON p.rid = l.rid AND p.rn = 2
+WHERE l.rn = 1 AND (l.status = 'OFFLOADING_DONE' OR l.status LIKE '%#_FAILED' ESCAPE '#')"""
+
+
+@query("T02_stream_runs_to_process", _RUNS)
+def _(t: Tables):
+    """The log lands in four files that are no order of time, one to a batch; of each run the last batch that named it counts."""
+    out = own_folder(t.spark)
+    log = t.fx_status_log.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(4)))
+    log.repartition("part").write.partitionBy("part").parquet(f"{out}/log")
+    stream = t.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/log").drop("part")
+
+    def keep(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/runs/batch={batch}")
+
+    runs = ST.stream_runs_to_process(stream, ("OFFLOADING_DONE",)).writeStream.outputMode("update")
+    runs.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    return newest(t.spark.read.parquet(f"{out}/runs"), ["rid"], ["batch"]).where("pending").select("rid", "status", "failed_step")
+
+
+_FACTS = f"""WITH r AS ({_READS}), b AS (SELECT file_name AS fid, i AS x, substr(seq, i, 1) AS base, ascii(substr(qual, i, 1)) - 33 AS qv
+FROM (SELECT file_name, seq, qual, unnest(range(1, length(seq) + 1))::INT AS i FROM r))
+SELECT fid, base AS kind, x, count(*) AS n FROM b GROUP BY ALL UNION ALL SELECT fid, 'qual_sum', x, sum(qv)::BIGINT FROM b GROUP BY ALL
+UNION ALL SELECT fid, 'qual', qv, count(*) FROM b GROUP BY ALL
+UNION ALL SELECT file_name, 'gc', floor(100 * length(replace(replace(seq, 'A', ''), 'T', '')) / length(seq))::INT, count(*) FROM r WHERE seq <> '' GROUP BY ALL"""
+
+
+@query("T03_stream_fastq_qc", _FACTS)
+def _(t: Tables):
+    """Reads land in two lots; each is taken in by a run of its own, and the second lot once more, as after a lost commit."""
+    out = own_folder(t.spark)
+    reads = with_quality(t).withColumn("name", F.expr("concat('r', CAST(read_id AS STRING))"))
+
+    def take_in() -> None:
+        FA.stream_fastq_qc(t.spark, f"{out}/landing", f"{out}/facts", f"{out}/checkpoint", "/file_name=([^/]*)/").awaitTermination()
+
+    for lot in (0, 1):
+        S.write_fastq(reads.where(F.pmod("read_id", F.lit(2)) == lot), f"{out}/landing/lot{lot}", ["file_name"])
+        take_in()
+    jvm = t.spark._jvm
+    commit = jvm.org.apache.hadoop.fs.Path(f"{out}/checkpoint/commits/1")
+    commit.getFileSystem(t.spark._jsc.hadoopConfiguration()).delete(commit, False)
+    take_in()
+    return FA.read_facts(t.spark, f"{out}/facts")

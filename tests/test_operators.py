@@ -384,13 +384,6 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert rows(spark.table("st").select("rid", "status")) == [(1, "b"), (2, "a")]
-    r = spark.createDataFrame([("f1", "ACGT", "IIII"), ("f1", "AC", "##")], "file_name string, seq string, qual string")
-    r.write.parquet(str(tmp_path / "reads"))
-    for _ in range(2):  # a second start finds nothing new
-        q = status.stream_qc(spark, spark.readStream.schema(r.schema).parquet(str(tmp_path / "reads")), str(tmp_path / "facts"), str(tmp_path / "cp2"))
-        q.processAllAvailable()
-        q.stop()
-    assert rows(status.read_facts(spark, str(tmp_path / "facts")).select("file_name", "bases", "q30", "records")) == [("f1", 6, 4, 2)]
 
 
 @pytest.mark.parametrize("tile", [64, 1 << 16])
