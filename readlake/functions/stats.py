@@ -210,6 +210,44 @@ def frequency(df: DataFrame, keys: list[str], x: str, bins: int) -> DataFrame:
     return _by_keys(grid, n, [*keys, "bin"], "left").select(*keys, "bin", limit, F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def sturges_histogram(df: DataFrame, keys: list[str], x: str) -> DataFrame:
+    """Histogram of each group with round breaks: (keys, bin, lower, upper, n, density); a bin has its upper limit in it.
+
+    Sturges' rule asks for ceil(log2 n + 1) bins; the width is 1, 2 or 5 times a power of ten near the range over that
+    number, and the breaks are its multiples that enclose all values, so there may be more or fewer bins, one at
+    least. Nulls and what is not finite are no values; the least value is in bin 1; equal values have one width
+    around them.
+    """
+    c = F.col(x).cast("double")
+    values = df.where(c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))).groupBy(*keys, c.alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
+    g = values.groupBy(*keys).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.sum("_c").alias("_n"))
+    g = g.withColumn("_k", F.ceil(F.log2("_n") + 1))
+    span, size = F.col("_hi") - F.col("_lo"), F.greatest(F.abs("_lo"), F.abs("_hi"))
+    # a range that rounding could make: the width comes from the values' size instead
+    narrow = span < size * (1 + 1.5 / 3.75) * F.col("_k") * 3 * 2.0**-52
+    alone = 0.75 * F.when(size == 0, 1.0).when(size > 10, 9 + size / 10).otherwise(size)
+    g = g.withColumn("_cell", F.when(narrow | (span == 0), alone).otherwise(span / F.col("_k")))
+    ten = F.pow(F.lit(10.0), F.floor(F.log10("_cell")))
+    # the next rounder width is taken where it lies nearer, with a bias towards wide bins
+    unit = F.when(10 * ten - F.col("_cell") < 1.5 * (F.col("_cell") - 5 * ten), 10 * ten)
+    unit = unit.when(5 * ten - F.col("_cell") < 2.75 * (F.col("_cell") - 2 * ten), 5 * ten)
+    unit = unit.when(2 * ten - F.col("_cell") < 1.5 * (F.col("_cell") - ten), 2 * ten).otherwise(ten)
+    g = g.withColumn("_unit", unit)
+    g = g.withColumn("_from", F.floor(F.col("_lo") / F.col("_unit") + 1e-7)).withColumn("_to", F.ceil(F.col("_hi") / F.col("_unit") - 1e-7))
+    # a single value on a break: one bin, below it or, of a negative value, above it
+    none = F.col("_to") == F.col("_from")
+    up = F.col("_from") >= 0
+    g = g.withColumns({"_from": F.when(none & up, F.col("_from") - 1).otherwise(F.col("_from")), "_to": F.when(none & ~up, F.col("_to") + 1).otherwise(F.col("_to"))})
+    bin_of = F.greatest(F.lit(1), F.ceil(F.col("_x") / F.col("_unit") - F.col("_from") - 1e-7)).cast("long")
+    n = _by_keys(values, g.select(*keys, "_unit", "_from"), keys).groupBy(*keys, bin_of.alias("bin")).agg(F.sum("_c").alias("n"))
+    g = g.withColumn("bin", F.explode(F.sequence(F.lit(1).cast("long"), (F.col("_to") - F.col("_from")).cast("long"))))
+    n, found = F.coalesce("n", F.lit(0)), _by_keys(g, n, [*keys, "bin"], "left")
+    return found.select(
+        *keys, "bin", ((F.col("_from") + F.col("bin") - 1) * F.col("_unit")).alias("lower"), ((F.col("_from") + F.col("bin")) * F.col("_unit")).alias("upper"),
+        n.alias("n"), (n / (F.col("_n") * F.col("_unit"))).alias("density"),
+    )
+
+
 def frequency_by_limits(df: DataFrame, keys: list[str], x: str, limits: list[float]) -> DataFrame:
     """Counts of values by the first of the given ascending limits that is not below them; greater values are left out."""
     c = F.col(x).cast("double")
@@ -240,6 +278,27 @@ def least_squares(df: DataFrame, keys: list[str], x: str | None, y: str, order:
     return s.select(*keys, "n", "intercept", "slope", "r", F.when(left.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), left) / n)).alias("rms"))
 
 
+def significant(x: Column, digits: int = 5) -> Column:
+    """`x` rounded to so many significant digits, as a double; a carry (9.99996 to 10.000) is one digit longer before the point."""
+    x = x.cast("double")
+    power = F.floor(F.log10(F.abs(x))).cast("int")
+    # digits behind the point, or zeros before it where there are more digits than asked for
+    scale = F.pow(F.lit(10.0), F.abs(digits - 1 - power))
+    small = F.rint(x * scale) / scale
+    return F.when((x == 0) | F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(F.when(digits - 1 - power >= 0, small).otherwise(F.rint(x / scale) * scale))
+
+
+def precision_string(x: Column, digits: int = 5) -> Column:
+    """`x` as text without an exponent, with |int(log10 |x| - digits)| digits behind the point; 0 is "0", null null.
+
+    Below 1 and up to 10^digits that is so many significant digits at least. Above it, the digits behind the point grow again.
+    """
+    x = x.cast("double")
+    places = F.abs((F.log10(F.abs(x)) - digits).cast("int"))
+    text = F.call_function("format_string", F.concat(F.lit("%."), places.cast("string"), F.lit("f")), x)
+    return F.when(x == 0, "0").when(x.isNotNull(), text)
+
+
 def human_count(x: Column) -> Column:
     """1234567 as 1.23M, by powers of a thousand; below a thousand unchanged."""
     scaled = lambda k, unit: F.concat((F.floor(x / (k / 100)) / 100).cast("string"), F.lit(unit))

@@ -134,18 +134,43 @@ def expand_ranges(runs: DataFrame, *cols: str) -> DataFrame:
     return runs.select("chr", F.explode(F.sequence("start_pos", "end_pos")).alias("pos"), *cols)
 
 
+def _by_tiles(df: DataFrame) -> DataFrame:
+    """Intervals cut at the edges of tiles, with the tile as `_tile`."""
+    t = df.withColumn("_tile", F.explode(F.sequence(F.floor(F.col("start_pos") / TILE), F.floor(F.col("end_pos") / TILE))))
+    lo, hi = F.greatest("start_pos", F.col("_tile") * TILE), F.least("end_pos", (F.col("_tile") + 1) * TILE - 1)
+    return t.withColumns({"start_pos": lo, "end_pos": hi})
+
+
+def uncovered(regions: DataFrame, covers: DataFrame, id_col: str = "id") -> DataFrame:
+    """What of each region (`id_col`, chr, start_pos, end_pos) no cover reaches, as runs: (`id_col`, chr, start_pos, end_pos).
+
+    A sweep inside tiles: regions are cut at tile edges, and between the merged covers of a part lies what is left of it,
+    so no region is held whole, however long it is. Runs that touch a tile edge are then joined, at most two for each
+    tile of a region. A region without a cover comes back whole; one of no length has no run. Ids are unique.
+    """
+    r = regions.select(F.col(id_col).alias("_id"), "chr", "start_pos", "end_pos").where("start_pos <= end_pos")
+    parts = _by_tiles(r)
+    c = merge_intervals(covers.where("start_pos <= end_pos"), flank=1).select("chr", "start_pos", "end_pos")
+    c = _by_tiles(c).select(F.col("chr").alias("_c"), F.col("start_pos").alias("_s"), F.col("end_pos").alias("_e"))
+    hits = overlap_join(parts, c, ("chr", "start_pos", "end_pos"), ("_c", "_s", "_e"))
+    # a part's end closes the last run as a cover behind it would
+    ends = parts.select("*", F.col("chr").alias("_c"), (F.col("end_pos") + 1).alias("_s"), (F.col("end_pos") + 1).alias("_e"))
+    w = Window.partitionBy("_id", "_tile").orderBy("_s")
+    runs = hits.unionByName(ends).select(
+        "_id", "chr", "_tile", F.coalesce(F.lag("_e").over(w) + 1, "start_pos").alias("start_pos"), (F.col("_s") - 1).alias("end_pos")
+    ).where("start_pos <= end_pos")
+    at_edge = (F.col("start_pos") == F.col("_tile") * TILE) | (F.col("end_pos") == (F.col("_tile") + 1) * TILE - 1)
+    edge = runs.where(at_edge)
+    own = Window.partitionBy("_id").orderBy("start_pos")
+    new = F.when(F.col("start_pos") == F.lag("end_pos").over(own) + 1, 0).otherwise(1)
+    edge = edge.withColumn("_new", new).withColumn("_run", F.sum("_new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    edge = edge.groupBy("_id", "chr", "_run").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")).drop("_run")
+    return runs.where(~at_edge).drop("_tile").unionByName(edge).withColumnRenamed("_id", id_col)
+
+
 def gaps(depth: DataFrame, regions: DataFrame) -> DataFrame:
     """Uncovered runs of each region (region_id, chr, start_pos, end_pos), head and tail included. `depth` holds runs."""
-    r = regions.select(F.col("target_id").alias("region_id"), "chr", "start_pos", "end_pos")
-    d = merge_intervals(depth, flank=1).select(F.col("chr").alias("b_chr"), F.col("start_pos").alias("b_start"), F.col("end_pos").alias("b_end"))
-    hit = overlap_join(r, d).select("region_id", F.greatest("start_pos", "b_start").alias("s"), F.least("end_pos", "b_end").alias("e"))
-    hit = hit.groupBy("region_id").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("hits"))
-    r = r.join(hit, "region_id", "left")
-    hits = F.coalesce("hits", F.array().cast("array<struct<s:bigint,e:bigint>>"))
-    starts = F.concat(F.array("start_pos"), F.transform(hits, lambda x: x["e"] + 1))
-    ends = F.concat(F.transform(hits, lambda x: x["s"] - 1), F.array("end_pos"))
-    r = r.select("region_id", "chr", F.explode(F.arrays_zip(starts.alias("s"), ends.alias("e"))).alias("g"))
-    return r.select("region_id", "chr", F.col("g.s").alias("start_pos"), F.col("g.e").alias("end_pos")).where("end_pos >= start_pos")
+    return uncovered(regions.withColumnRenamed("target_id", "region_id"), depth, "region_id")
 
 
 def dips(depth: DataFrame, least: int = 10) -> DataFrame:
@@ -208,6 +233,12 @@ def liftover(intervals: DataFrame, blocks: DataFrame) -> DataFrame:
     )
 
 
+def liftover_gaps(intervals: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Parts of `intervals` (id, chr, start_pos, end_pos) that no block covers, so that liftover() does not map them."""
+    b = blocks.select(F.col("b_chr").alias("chr"), F.col("b_start").alias("start_pos"), F.col("b_end").alias("end_pos"))
+    return uncovered(intervals, b)
+
+
 def bin_mean(depth: DataFrame, width: int = 10_000) -> DataFrame:
     """Mean depth of tumbling windows of `width` positions, over runs (chr, start_pos, end_pos, depth): (chr, bin, total, mean)."""
     d = depth.withColumn("bin", F.explode(F.sequence(F.floor((F.col("start_pos") - 1) / width), F.floor((F.col("end_pos") - 1) / width))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -60,6 +60,14 @@ def filter_pf(reads: DataFrame, mode: str = "pf", flag: str = "pf") -> DataFrame
     return reads if mode == "all" else reads.where(F.col(flag) == (1 if mode == "pf" else 0))
 
 
+def filter_pf_counted(reads: DataFrame, mode: str = "pf", flag: str = "pf") -> tuple[DataFrame, Observation]:
+    """filter_pf() and what it counts while an action runs: {"n_in": rows, "n_out": rows kept}, with no scan of their own."""
+    seen = Observation()
+    # counted where they come in, so both counts are of one pass
+    keep = F.lit(True) if mode == "all" else F.coalesce(F.col(flag) == (1 if mode == "pf" else 0), F.lit(False))
+    return filter_pf(reads.observe(seen, F.count(F.lit(1)).alias("n_in"), F.count_if(keep).alias("n_out")), mode, flag), seen
+
+
 def filter_flags(alignments: DataFrame, exclude_mask: int, min_mapq: int = 0) -> DataFrame:
     return alignments.where((F.col("flags").bitwiseAND(exclude_mask) == 0) & (F.col("mapq") >= min_mapq))
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,14 +137,23 @@ def common_in_all(report: DataFrame) -> DataFrame:
     return g.crossJoin(F.broadcast(n)).where("_n = _all").select("chr", "pos")
 
 
-def rare(report: DataFrame, most_pct: float = 10, least_n: int = 30) -> DataFrame:
-    """Rows without a population figure (`freq` as n/fraction), or of more than `least_n` samples and below `most_pct` per cent."""
+def is_rare(most_pct: float = 10, least_n: int = 30) -> Column:
+    """No population figure (`freq` as n/fraction), or one of more than `least_n` samples that is below `most_pct` per cent."""
     p = F.split("freq", "/")
-    return report.where(F.col("freq").isNull() | (F.col("freq") == "") | ((F.get(p, 0).try_cast("double") > least_n) & (F.get(p, 1).try_cast("double") * 100 < most_pct)))
+    seldom = (F.get(p, 0).try_cast("double") > least_n) & (F.get(p, 1).try_cast("double") * 100 < most_pct)
+    return F.col("freq").isNull() | (F.col("freq") == "") | F.coalesce(seldom, F.lit(False))
+
+
+def rare(report: DataFrame, most_pct: float = 10, least_n: int = 30) -> DataFrame:
+    return report.where(is_rare(most_pct, least_n))
+
+
+def is_novel() -> Column:
+    return F.col("rs").isNull() | (F.col("rs") == "")
 
 
 def novel(report: DataFrame) -> DataFrame:
-    return report.where(F.col("rs").isNull() | (F.col("rs") == ""))
+    return report.where(is_novel())
 
 
 def not_kgpilot(report: DataFrame) -> DataFrame:
@@ -162,25 +170,27 @@ def zygosity_pattern(report: DataFrame, homozygous: list[str], heterozygous: lis
 
 def shared_candidates(report: DataFrame, background: DataFrame, homozygous: list[str], heterozygous: list[str]) -> DataFrame:
     """Harmful in all files, rare, not known, not in the background, with the zygosity pattern: one plan."""
-    return _candidate_steps(report, background, homozygous, heterozygous)[-1][1]
-
-
-def _candidate_steps(report: DataFrame, background: DataFrame, homozygous: list[str], heterozygous: list[str]) -> list[tuple[str, DataFrame]]:
     shared = harmful(report).join(common_in_all(report), ["chr", "pos"], "left_semi")
-    seldom = rare(shared)
-    unknown = novel(seldom)
-    own = subtract_background(unknown, background)
-    last = own.join(zygosity_pattern(report, homozygous, heterozygous), ["chr", "pos"], "left_semi")
-    return [("shared", shared), ("rare", seldom), ("novel", unknown), ("not in background", own), ("zygosity", last)]
+    own = subtract_background(novel(rare(shared)), background)
+    return own.join(zygosity_pattern(report, homozygous, heterozygous), ["chr", "pos"], "left_semi")
 
 
 def shared_candidate_counts(report: DataFrame, background: DataFrame, homozygous: list[str], heterozygous: list[str]) -> DataFrame:
-    """(step, nth, places): how many places are left after each step of shared_candidates()."""
-    counts = [
-        d.select("chr", "pos").distinct().agg(F.count(F.lit(1)).alias("places")).select(F.lit(name).alias("step"), F.lit(i).alias("nth"), "places")
-        for i, (name, d) in enumerate(_candidate_steps(report, background, homozygous, heterozygous), 1)
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    """(step, nth, places): how many places are left after each step of shared_candidates().
+
+    The steps run once: each place carries how far its rows get, as conditions, and one aggregation counts them all.
+    """
+    keys = ["chr", "pos"]
+    shared = harmful(report).join(common_in_all(report), keys, "left_semi")
+    # a place is left while one of its rows is
+    places = shared.groupBy(*keys).agg(F.bool_or(is_rare()).alias("_rare"), F.bool_or(is_rare() & is_novel()).alias("_novel"))
+    for name, other in (("_background", background), ("_pattern", zygosity_pattern(report, homozygous, heterozygous))):
+        places = places.join(other.select(*keys).distinct().withColumn(name, F.lit(True)), keys, "left")
+    own = F.col("_novel") & F.col("_background").isNull()
+    steps = {"shared": F.lit(True), "rare": F.col("_rare"), "novel": F.col("_novel"), "not in background": own, "zygosity": own & F.col("_pattern").isNotNull()}
+    counts = places.agg(*[F.count_if(c).alias(f"n{i}") for i, c in enumerate(steps.values(), 1)])
+    rows = F.array(*[F.struct(F.lit(name).alias("step"), F.lit(i).alias("nth"), F.col(f"n{i}").alias("places")) for i, name in enumerate(steps, 1)])
+    return counts.select(F.inline(rows))
 
 
 def genotype(info: Column) -> Column:

@@ -175,3 +175,14 @@ def _(t: Tables):
     b = t.fx_targets.groupBy("chr", F.floor(F.col("target_id") / 8).alias("k")).agg(F.min("start_pos").alias("b_start"), F.max("end_pos").alias("b_end"))
     b = b.select(F.col("chr").alias("b_chr"), "b_start", "b_end", F.concat(F.lit("new"), "chr").alias("to_chr"), (F.col("b_start") * 2 + 7).alias("to_start"))
     return I.liftover(t.fx_targets.withColumnRenamed("target_id", "id"), b)
+
+
+@query("J19_liftover_gaps", """WITH b AS (SELECT chr, min(start_pos) AS s, max(start_pos) + 30 AS e FROM fx_targets WHERE target_id % 3 = 0 GROUP BY chr, target_id // 40),
+t AS (SELECT target_id AS id, chr, start_pos, start_pos + 900 AS end_pos FROM fx_targets),
+p AS (SELECT id, chr, unnest(range(start_pos, end_pos + 1)) AS pos FROM t),
+f AS (SELECT p.*, row_number() OVER (PARTITION BY id ORDER BY pos) AS k FROM p WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.chr = p.chr AND p.pos BETWEEN b.s AND b.e))
+SELECT id, chr, min(pos) AS start_pos, max(pos) AS end_pos FROM f GROUP BY id, chr, pos - k""")
+def _(t: Tables):
+    b = t.fx_targets.where("target_id % 3 = 0").groupBy("chr", F.floor(F.col("target_id") / 40).alias("k")).agg(F.min("start_pos").alias("b_start"), (F.max("start_pos") + 30).alias("b_end"))
+    i = t.fx_targets.select(F.col("target_id").alias("id"), "chr", "start_pos", (F.col("start_pos") + 900).alias("end_pos"))
+    return I.liftover_gaps(i, b.withColumnRenamed("chr", "b_chr"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import reads as R
+from ..operators.scratch import own_folder
 from .registry import Tables, query
 
 _SEQ = "translate(substr(repeat(read_id, 4), 1, 80), '0123456789abcdef', 'ACGTACGTACGTACGT')"
@@ -52,6 +53,15 @@ def _(t: Tables):
     return R.filter_pf(r).select("l_orderkey", "l_partkey")
 
 
+@query("P04_pf_counts", "SELECT count(*) AS n_in, count(*) FILTER (l_returnflag = 'A') AS n_out FROM lineitem")
+def _(t: Tables):
+    """The counts of a run that writes the reads: no scan is made for them."""
+    r = t.lineitem.withColumn("pf", F.when(F.col("l_returnflag") == "A", 1).otherwise(0))
+    kept, seen = R.filter_pf_counted(r)
+    kept.write.parquet(own_folder(t.spark))
+    return t.spark.createDataFrame([(int(seen.get["n_in"]), int(seen.get["n_out"]))], "n_in long, n_out long")
+
+
 @query("P05_filter_flags", "SELECT read_id FROM fx_alignments WHERE flags & 1028 = 0 AND mapq >= 5")
 def _(t: Tables):
     return R.filter_flags(t.fx_alignments, 0x404, 5).select("read_id")

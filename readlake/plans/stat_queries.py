@@ -76,6 +76,17 @@ def _(t: Tables):
     )
 
 
+_PLACES = "abs(CAST(trunc(log10(abs(v)) - 5) AS INT))"
+_PRINTED = " ".join(f"WHEN {k} THEN printf('%.{k}f', v)" for k in range(20))
+
+
+@query("M08_precision_string", f"""WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 0.0::DOUBLE ELSE (o_orderkey % 7 - 3.5::DOUBLE) * (1 + o_custkey % 997) / pow(10.0, CAST(o_orderkey % 13 AS DOUBLE)) / 3 END AS v FROM orders)
+SELECT o_orderkey, CASE WHEN v = 0 THEN '0' ELSE CASE {_PLACES} {_PRINTED} END END AS text FROM r""")
+def _(t: Tables):
+    v = "IF(o_orderkey % 11 = 0, 0.0D, (o_orderkey % 7 - 3.5D) * (1 + o_custkey % 997) / pow(10.0D, CAST(o_orderkey % 13 AS DOUBLE)) / 3)"
+    return t.orders.select("o_orderkey", S.precision_string(F.expr(v)).alias("text"))
+
+
 @query("M09_frequency", f"""WITH v AS ({_X}), e AS (SELECT g, CAST(min(x) AS DOUBLE) AS lo, (CAST(max(x) AS DOUBLE) - CAST(min(x) AS DOUBLE)) / 8 AS st FROM v GROUP BY g), b AS (SELECT unnest(range(1, 9)) AS bin)
 SELECT e.g, bin, lo + bin * st AS "limit", (SELECT count(*) FROM v WHERE v.g = e.g AND least(8, greatest(1, ceil((x - lo) / st))) = bin) AS n FROM e, b""")
 def _(t: Tables):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import intervals as I
 from ..operators import variants as V
+from ..functions.stats import sturges_histogram
 from .registry import Tables, query
 
 _KNOWN = "k AS (SELECT chr, pos, min(row(rs, hgmd, flags)) AS x FROM fx_known_snps GROUP BY 1, 2)"
@@ -368,6 +369,19 @@ def _(t: Tables):
     return V.metric_histogram(t.fx_variants.select("file_name", F.floor("qual").alias("x")), "x", "file_name", 12)
 
 
+@query("A33_sturges_histogram", """WITH v AS (SELECT file_name, CAST(floor(qual) AS DOUBLE) AS x FROM fx_variants WHERE qual IS NOT NULL),
+g AS (SELECT file_name, min(x) AS lo, max(x) AS hi, count(*) AS n FROM v GROUP BY 1),
+c AS (SELECT *, (hi - lo) / ceil(log2(n) + 1) AS cell FROM g),
+d AS (SELECT *, pow(10.0, floor(log10(cell))) AS ten FROM c),
+u AS (SELECT *, CASE WHEN cell > 7 * ten THEN 10 * ten WHEN cell > 2.8::DOUBLE * ten THEN 5 * ten WHEN cell > 1.4::DOUBLE * ten THEN 2 * ten ELSE ten END AS unit FROM d),
+e AS (SELECT *, floor(lo / unit) AS a, ceil(hi / unit) AS z FROM u),
+b AS (SELECT *, unnest(range(1, CAST(z - a AS BIGINT) + 1)) AS bin FROM e)
+SELECT file_name, bin, (a + bin - 1) * unit AS lower, (a + bin) * unit AS upper, (SELECT count(*) FROM v WHERE v.file_name = b.file_name AND
+  (v.x > (a + bin - 1) * unit OR bin = 1) AND v.x <= (a + bin) * unit) AS n, n / (b.n * unit) AS density FROM b""".replace("AS n, n / (b.n", "AS n, (SELECT count(*) FROM v WHERE v.file_name = b.file_name AND (v.x > (a + bin - 1) * unit OR bin = 1) AND v.x <= (a + bin) * unit) / (b.n"))
+def _(t: Tables):
+    return sturges_histogram(t.fx_variants.select("file_name", F.floor("qual").alias("x")), ["file_name"], "x")
+
+
 @query("A37_population_summary", "SELECT rs, sum(CAST(floor(f * n) AS BIGINT))::BIGINT AS seen, sum(n)::BIGINT AS observations, avg(f) AS freq FROM (SELECT concat('rs', CAST(o_custkey AS STRING)) AS rs, (o_orderkey % 64) / 64.0::DOUBLE AS f, o_orderkey % 90 AS n FROM orders) GROUP BY 1")
 def _(t: Tables):
     return V.population_summary(t.orders.selectExpr("concat('rs', CAST(o_custkey AS STRING)) AS rs", "(o_orderkey % 64) / 64.0D AS freq", "o_orderkey % 90 AS n"))
