@@ -373,14 +373,14 @@ def top_effect_per_position(report: DataFrame, least: int = 5) -> DataFrame:
     return r.withColumn("gene", F.substring_index("gene", "/", 1)) if "gene" in report.columns else r
 
 
-def order_effects(report: DataFrame) -> DataFrame:
+def order_effects(report: DataFrame, last: tuple[str, ...] = ("variant_id",)) -> DataFrame:
     """`report` (..., gene_id, transcript) with `nth` within its place: what neither ENSG nor ENST names, then what an ENST
-    alone names, then the rest; inside each by the effect's rank, a missing effect as INTERGENIC."""
+    alone names, then the rest; inside each by the effect's rank, a missing effect as INTERGENIC; ties by the columns `last`."""
     gene = F.coalesce("gene_id", F.lit("")).rlike(r"^ENSG\d+")
     transcript = F.coalesce("transcript", F.lit("")).rlike(r"^ENST\d+")
     kind = F.when(~gene & ~transcript, 0).when(~gene, 1).otherwise(2)
     rank = effect_rank(F.coalesce("effect", F.lit("INTERGENIC")), REPORT_RANK)
-    w = Window.partitionBy("chr", "pos").orderBy(kind, rank.desc(), "variant_id")
+    w = Window.partitionBy("chr", "pos").orderBy(kind, rank.desc(), *last)
     return report.withColumn("nth", F.row_number().over(w))
 
 
@@ -504,6 +504,115 @@ def variation_report(variants: DataFrame, targets: DataFrame, known: DataFrame,
     return order_effects(v.withColumns({c: F.lit(None).cast("string") for c in lacks}) if lacks else v).drop(*lacks)
 
 
+def base_distribution_text(bases: DataFrame) -> DataFrame:
+    """(chr, pos, base_dist) of counts (chr, pos, base, n, q: summed quality): for each base seen "base: n(pct%)/mean quality",
+    the most frequent first, ties by base, joined by blanks."""
+    w = Window.partitionBy("chr", "pos")
+    b = bases.groupBy("chr", "pos", "base").agg(F.sum("n").alias("n"), F.sum("q").alias("q")).where("n > 0")
+    two = lambda x: F.format_string("%.2f", F.bround(x, 2))
+    text = F.concat("base", F.lit(": "), F.col("n").cast("string"), F.lit("("), two(F.col("n") / F.sum("n").over(w) * 100), F.lit("%)/"), two(F.col("q") / F.col("n")))
+    b = b.select("chr", "pos", F.struct((-F.col("n")).alias("n"), "base", text.alias("text")).alias("x"))
+    return b.groupBy("chr", "pos").agg(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["text"]), " ").alias("base_dist"))
+
+
+def places_annotated(places: DataFrame, targets: DataFrame, exons: DataFrame, regulation: DataFrame, leeway: int = 0, exon_leeway: int = 30) -> DataFrame:
+    """(chr, pos, on_target, exon, regulation) of the places (chr, pos) that a target, an exon or a regulatory feature reaches.
+
+    The three kinds of intervals are one table and are joined in one pass. The exon's name is followed by INTRON where
+    only its leeway reaches the place; of several the inner one counts, then the one that starts first.
+    """
+    kind = lambda df, k, name, by: df.select(
+        F.lit(k).alias("kind"), name.alias("label"), F.col("chr").alias("b_chr"), (F.col("start_pos") - by).alias("b_start"), (F.col("end_pos") + by).alias("b_end")
+    )
+    null = F.lit(None).cast("string")
+    features = kind(targets, "target", null, leeway).union(kind(exons, "exon", F.col("name"), exon_leeway)).union(kind(regulation, "regulation", F.col("label"), 0))
+    at = places.select("chr", F.col("pos").alias("start_pos"), F.col("pos").alias("end_pos"))
+    j = overlap_join(at, features)
+    inner = F.col("start_pos").between(F.col("b_start") + exon_leeway, F.col("b_end") - exon_leeway)
+    exon = F.struct(F.when(inner, 0).otherwise(1).alias("out"), "b_start", "b_end", "label")
+    of = j.groupBy("chr", F.col("start_pos").alias("pos")).agg(
+        F.bool_or(F.col("kind") == "target").alias("on_target"), F.min(F.when(F.col("kind") == "exon", exon)).alias("x"),
+        F.array_join(F.sort_array(F.collect_set(F.when(F.col("kind") == "regulation", F.col("label")))), "/").alias("regulation"),
+    )
+    name = F.when(F.col("x.out") == 1, F.concat("x.label", F.lit(" INTRON"))).otherwise(F.col("x.label"))
+    return of.select("chr", "pos", "on_target", F.coalesce(name, F.lit("INTRON")).alias("exon"), F.nullif("regulation", F.lit("")).alias("regulation"))
+
+
+#: Columns of a full report, in the order of its outputs.
+REPORT_COLUMNS = (
+    "position", "change", "filter", "score", "depth", "genotype", "base_dist", "gene", "transcript", "exon", "effect", "codon_pos", "aa_change",
+    "grantham", "dbsnp", "dbsnp_flags", "frequency", "hgmd", "pfam", "regulation", "polyphen", "sift", "condel", "gerp",
+)
+
+
+def full_report(
+    variants: DataFrame,
+    targets: DataFrame,
+    known: DataFrame,
+    effects: DataFrame,
+    exons: DataFrame,
+    regulation: DataFrame,
+    domains: DataFrame,
+    conservation: DataFrame,
+    grantham: DataFrame,
+    bases: DataFrame,
+    leeway: int = 0,
+) -> DataFrame:
+    """One row for each variant on target and each transcript that it touches: chr, pos, variant_id, nth and REPORT_COLUMNS.
+
+    What the report takes from a remote annotation library is here a table: `effects` (chr, pos, alt, gene_id, transcript,
+    effect, cpos, ppos, aas as A/V, polyphen, sift, condel), `domains` (transcript, first, last, name) by protein position,
+    `regulation` (label, chr, start_pos, end_pos), `conservation` (chr, pos, score), `grantham` (x, y, score of one-letter
+    amino acids, in either order), `known` (chr, pos, rs, hgmd, flags, class, freq) and `bases` (chr, pos, base, n, q).
+
+    All that goes by place is joined by (chr, pos), for which variants are dealt out once; intervals meet the distinct
+    places in one pass. A variant without an effect has one row, INTERGENIC. A missing second amino acid is the first.
+    nth orders a place's rows: see order_effects(); rows with nth = 1 are the short report.
+    """
+    place = ["chr", "pos"]
+    of_place = places_annotated(variants.select(*place).distinct(), targets, exons, regulation, leeway).where("on_target").drop("on_target")
+    snp = F.min(F.struct("rs", "hgmd", "flags", "class", "freq")).alias("k")
+    v = variants.join(of_place, place).join(known.groupBy(*place).agg(snp), place, "left")
+    v = v.join(conservation.groupBy(*place).agg(F.min("score").alias("gerp")), place, "left").join(base_distribution_text(bases), place, "left")
+    v = v.withColumnRenamed("alt", "_alt").drop("effect", "gene_id", "transcript")
+    e = effects.select("chr", "pos", F.col("alt").alias("_alt"), "gene_id", "transcript", "effect", "cpos", "ppos", "aas", "polyphen", "sift", "condel")
+    v = v.join(e, [*place, "_alt"], "left").withColumnRenamed("_alt", "alt").withColumn("effect", F.coalesce("effect", F.lit("INTERGENIC")))
+    pair = F.split("aas", "/")
+    old, new = F.get(pair, F.lit(0)), F.coalesce(F.nullif(F.get(pair, F.lit(1)), F.lit("")), F.get(pair, F.lit(0)))
+    v = v.withColumns({"_old": old, "_new": new})
+    # small tables; AQE sends them where they are
+    score = grantham.groupBy(F.least("x", "y").alias("_x"), F.greatest("x", "y").alias("_y")).agg(F.min("score").alias("_g"))
+    v = v.join(score, (F.least("_old", "_new") == F.col("_x")) & (F.greatest("_old", "_new") == F.col("_y")), "left")
+    d = domains.select(F.col("transcript").alias("_t"), "first", "last", F.col("name").alias("_d"))
+    hits = v.select("variant_id", "transcript", "ppos").where("ppos is not null").distinct()
+    hits = hits.join(d, (F.col("transcript") == F.col("_t")) & F.col("ppos").between(F.col("first"), F.col("last")))
+    # of several the last one
+    hits = hits.groupBy(F.col("variant_id").alias("_v"), "_t").agg(F.max_by("_d", F.struct("first", "last", "_d")).alias("pfam"))
+    v = v.join(hits, (F.col("variant_id") == F.col("_v")) & (F.col("transcript") == F.col("_t")), "left")
+    m = info_map(F.col("info"))
+    three = F.concat(F.lit("p."), one_to_three(F.col("_old")), F.col("ppos").cast("string"), F.lit(" "), one_to_three(F.col("_new")))
+    flags = F.when(F.col("k.rs").isNotNull(), F.concat(F.coalesce("k.flags", F.lit("")), F.coalesce(F.concat(F.lit(";VC="), "k.class"), F.lit(""))))
+    mutation = F.when(F.col("effect") == "HGMD_MUTATION", "Y").otherwise(F.col("k.hgmd"))
+    out = v.withColumns(
+        {
+            "position": F.concat("chr", F.lit(":"), F.col("pos").cast("string")), "change": F.concat("ref", F.lit(">"), "alt"), "score": F.col("qual"),
+            "depth": F.element_at(m, "DP").try_cast("long"), "genotype": genotype(F.col("info")), "gene": F.col("gene_id"),
+            "codon_pos": F.concat(F.lit("c."), F.col("cpos").cast("string")), "aa_change": F.when(F.col("_old") != "", three),
+            "grantham": F.when(F.col("_old") == F.col("_new"), 0).otherwise(F.col("_g")), "dbsnp": F.col("k.rs"), "dbsnp_flags": flags,
+            "frequency": F.col("k.freq"), "hgmd": mutation,
+        }
+    )
+    return order_effects(out, ("variant_id", "transcript")).select("chr", "pos", "variant_id", "nth", *REPORT_COLUMNS)
+
+
+def report_outputs(report: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(all rows, the row with the gravest effect of each place) of a report that is run and written once."""
+    from .scratch import table
+
+    rows = table(report)
+    return rows, rows.where("nth = 1")
+
+
 def anchored_pairs(alignments: DataFrame, max_n: float = 0.1, min_len: int = 22, edits_per: int = 20, min_mapq: int = 20) -> DataFrame:
     """Pairs of which one mate anchors and the other is a candidate for a split: (qname, anchor_id, split_id).
 

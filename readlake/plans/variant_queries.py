@@ -406,3 +406,76 @@ def _(t: Tables):
 @query("A46_polish_reads")
 def _(t: Tables):
     return V.polish_reads(t.fx_reads.where("seq <> ''").select("read_id", "seq", F.expr("repeat('I', length(seq))").alias("qual")))
+
+
+#: Annotation tables of a full report, in expressions that both engines share. Amino acids by place.
+_AA = "substr('ARNDCQEGHILKMFPSTWYV', CAST(1 + {} % 20 AS INT), 1)"
+_ANNOTATED = {
+    "ann_effects": f"""SELECT variant_id, chr, pos, alt, k, CASE WHEN k = 0 THEN concat('ENSG', CAST(pos % 900 AS STRING)) ELSE concat('GENE', CAST(pos % 90 AS STRING)) END AS gene_id,
+        concat(CASE WHEN k = 1 THEN 'NM_' ELSE 'ENST' END, CAST(pos % 700 AS STRING)) AS transcript, CASE WHEN (variant_id + k) % 13 = 5 THEN 'HGMD_MUTATION' WHEN k = 1 THEN 'SYNONYMOUS_CODING' ELSE effect END AS effect,
+        CASE WHEN k < 2 THEN CAST(pos % 3000 AS INT) END AS cpos, CASE WHEN pos % 4 <> 0 THEN CAST(pos % 1000 AS INT) END AS ppos,
+        CASE WHEN pos % 4 <> 0 THEN concat({_AA.format('pos')}, CASE WHEN pos % 5 = 0 THEN '' ELSE concat('/', {_AA.format('(pos * 7 + k)')}) END) END AS aas,
+        CASE WHEN k = 0 THEN concat('tolerated/0.', CAST(pos % 90 AS STRING)) END AS polyphen, CASE WHEN k = 1 THEN 'benign' END AS sift, CAST(NULL AS STRING) AS condel FROM ann_all""",
+    "ann_known": "SELECT chr, pos, rs, hgmd, flags, CASE WHEN pos % 2 = 0 THEN 'snp' END AS class, CAST(pos % 100 AS DOUBLE) / 128 AS freq FROM fx_known_snps",
+    "ann_conservation": "SELECT chr, pos, min(CAST(variant_id % 640 AS DOUBLE) / 64) AS score FROM fx_variants WHERE pos % 3 <> 0 GROUP BY chr, pos",
+    "ann_grantham": f"SELECT DISTINCT {_AA.format('o_custkey')} AS x, {_AA.format('(o_custkey * 3 + 1)')} AS y, CAST(10 + (o_custkey % 20) * 7 AS BIGINT) AS score FROM orders",
+    "ann_regulation": "SELECT concat('R', CAST(target_id % 7 AS STRING)) AS label, chr, start_pos + 20 AS start_pos, end_pos + 40 AS end_pos FROM fx_targets WHERE target_id % 3 = 0",
+    "ann_domains": "SELECT DISTINCT concat('NM_', CAST(o_orderkey % 700 AS STRING)) AS transcript, o_orderkey % 500 AS first, o_orderkey % 500 + 400 AS last, concat('D', CAST(o_custkey % 9 AS STRING)) AS name FROM orders",
+}
+
+
+def _annotations(t: Tables) -> dict[str, DataFrame]:
+    """The tables above, and variants with one to three transcripts each, of which every seventh has none."""
+    for name in ("fx_variants", "fx_known_snps", "fx_targets", "orders"):
+        getattr(t, name).createOrReplaceTempView(name)
+    t.spark.sql("SELECT *, explode(sequence(0, CAST(pos % 3 AS INT))) AS k FROM fx_variants WHERE variant_id % 7 <> 0").createOrReplaceTempView("ann_all")
+    found = {name: t.spark.sql(sql) for name, sql in _ANNOTATED.items()}
+    found["ann_effects"] = found["ann_effects"].groupBy("chr", "pos", "alt", "transcript").agg(*[F.min_by(c, F.struct("variant_id", "k")).alias(c) for c in ("gene_id", "effect", "cpos", "ppos", "aas", "polyphen", "sift", "condel")])
+    places = t.fx_variants.select("chr", "pos").distinct()
+    b = places.select("chr", "pos", F.explode(F.array(*[F.lit(x) for x in "ACGT"])).alias("base"))
+    n = (F.col("pos") + F.ascii("base")) % 9
+    found["bases"] = b.select("*", n.alias("n"), (n * (20 + F.col("pos") % 11)).alias("q"))
+    return found
+
+
+_THREE = "CASE {} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in V.THREE_LETTERS.items()) + " END"
+_FULL = f"""WITH ann_all AS (SELECT *, unnest(range(0, pos % 3 + 1)) AS k FROM fx_variants WHERE variant_id % 7 <> 0), {", ".join(f"{n} AS ({q})" for n, q in _ANNOTATED.items())},
+eff AS (SELECT * FROM ann_effects QUALIFY row_number() OVER (PARTITION BY chr, pos, alt, transcript ORDER BY variant_id, k) = 1),
+kn AS (SELECT chr, pos, min(row(rs, hgmd, flags, class, freq)) AS x FROM ann_known GROUP BY 1, 2),
+pl AS (SELECT DISTINCT chr, pos FROM fx_variants),
+bs AS (SELECT chr, pos, b, n, n * (20 + pos % 11) AS q, sum(n) OVER (PARTITION BY chr, pos) AS total FROM (SELECT chr, pos, b, (pos + ascii(b)) % 9 AS n FROM (SELECT *, unnest(['A', 'C', 'G', 'T']) AS b FROM pl))),
+bd AS (SELECT chr, pos, string_agg(concat(b, ': ', n, '(', printf('%.2f', n / total * 100), '%)/', printf('%.2f', q / n)), ' ' ORDER BY n DESC, b) AS base_dist FROM bs WHERE n > 0 GROUP BY 1, 2),
+ex AS (SELECT p.chr, p.pos, arg_min(concat('ex', CAST(target_id AS STRING), CASE WHEN p.pos BETWEEN start_pos AND end_pos THEN '' ELSE ' INTRON' END),
+  row(CASE WHEN p.pos BETWEEN start_pos AND end_pos THEN 0 ELSE 1 END, start_pos, end_pos, concat('ex', CAST(target_id AS STRING)))) AS exon
+  FROM pl p JOIN fx_targets t ON p.chr = t.chr AND p.pos BETWEEN start_pos - 30 AND end_pos + 30 GROUP BY 1, 2),
+rg AS (SELECT p.chr, p.pos, string_agg(DISTINCT label, '/' ORDER BY label) AS regulation FROM pl p JOIN ann_regulation r ON p.chr = r.chr AND p.pos BETWEEN r.start_pos AND r.end_pos GROUP BY 1, 2),
+j AS (SELECT v.variant_id, v.chr, v.pos, v.ref, v.alt, v.filter, v.qual AS score, v.info, e.gene_id, e.transcript, coalesce(e.effect, 'INTERGENIC') AS effect, cpos, ppos, polyphen, sift, condel, x,
+  split_part(aas, '/', 1) AS a, CASE WHEN split_part(aas, '/', 2) = '' THEN split_part(aas, '/', 1) ELSE split_part(aas, '/', 2) END AS z
+  FROM fx_variants v LEFT JOIN eff e ON v.chr = e.chr AND v.pos = e.pos AND v.alt = e.alt LEFT JOIN kn ON v.chr = kn.chr AND v.pos = kn.pos
+  WHERE EXISTS (SELECT 1 FROM fx_targets t WHERE t.chr = v.chr AND v.pos BETWEEN t.start_pos AND t.end_pos))
+SELECT j.chr, j.pos, variant_id, CAST(row_number() OVER (PARTITION BY j.chr, j.pos ORDER BY CASE WHEN gene_id LIKE 'ENSG%' THEN 2 WHEN transcript LIKE 'ENST%' THEN 1 ELSE 0 END,
+    {_REPORT} DESC, variant_id, transcript NULLS FIRST) AS INT) AS nth,
+  concat(j.chr, ':', j.pos) AS position, concat(ref, '>', alt) AS change, filter, j.score, CAST(split_part(split_part(info, ';', 1), '=', 2) AS BIGINT) AS depth, {_GENO} AS genotype, base_dist,
+  gene_id AS gene, transcript, coalesce(exon, 'INTRON') AS exon, effect, 'c.' || cpos AS codon_pos, 'p.' || {_THREE.format('a')} || ppos || ' ' || {_THREE.format('z')} AS aa_change,
+  CASE WHEN a = z THEN 0 ELSE (SELECT min(score) FROM ann_grantham g WHERE (g.x = a AND g.y = z) OR (g.x = z AND g.y = a)) END AS grantham,
+  x[1] AS dbsnp, CASE WHEN x[1] IS NOT NULL THEN concat(x[3], coalesce(';VC=' || x[4], '')) END AS dbsnp_flags, x[5] AS frequency, CASE WHEN effect = 'HGMD_MUTATION' THEN 'Y' ELSE x[2] END AS hgmd,
+  (SELECT max_by(name, row(first, last, name)) FROM ann_domains d WHERE d.transcript = j.transcript AND ppos BETWEEN first AND last) AS pfam, regulation, polyphen, sift, condel, c.score AS gerp
+FROM j LEFT JOIN bd ON j.chr = bd.chr AND j.pos = bd.pos LEFT JOIN ex ON j.chr = ex.chr AND j.pos = ex.pos LEFT JOIN rg ON j.chr = rg.chr AND j.pos = rg.pos
+LEFT JOIN ann_conservation c ON j.chr = c.chr AND j.pos = c.pos"""
+
+
+def _full(t: Tables) -> DataFrame:
+    a = _annotations(t)
+    return V.full_report(
+        t.fx_variants, t.fx_targets, a["ann_known"], a["ann_effects"], _exons(t), a["ann_regulation"], a["ann_domains"], a["ann_conservation"], a["ann_grantham"], a["bases"]
+    )
+
+
+@query("V20_full_report", _FULL)
+def _(t: Tables):
+    return V.report_outputs(_full(t))[0]
+
+
+@query("V20_top_effects", f"SELECT * FROM ({_FULL}) WHERE nth = 1")
+def _(t: Tables):
+    return V.report_outputs(_full(t))[1]
