@@ -281,22 +281,25 @@ def least_squares(df: DataFrame, keys: list[str], x: str | None, y: str, order:
 def significant(x: Column, digits: int = 5) -> Column:
     """`x` rounded to so many significant digits, as a double; a carry (9.99996 to 10.000) is one digit longer before the point."""
     x = x.cast("double")
-    power = F.floor(F.log10(F.abs(x))).cast("int")
+    finite = (x != 0) & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    power = F.floor(F.when(finite, F.log10(F.abs(x)))).cast("int")
     # digits behind the point, or zeros before it where there are more digits than asked for
     scale = F.pow(F.lit(10.0), F.abs(digits - 1 - power))
     small = F.rint(x * scale) / scale
-    return F.when((x == 0) | F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(F.when(digits - 1 - power >= 0, small).otherwise(F.rint(x / scale) * scale))
+    return F.when(~finite, x).otherwise(F.when(digits - 1 - power >= 0, small).otherwise(F.rint(x / scale) * scale))
 
 
 def precision_string(x: Column, digits: int = 5) -> Column:
-    """`x` as text without an exponent, with |int(log10 |x| - digits)| digits behind the point; 0 is "0", null null.
+    """`x` as text without an exponent, with |int(log10 |x| - digits)| digits behind the point; 0 is "0", and what is not finite
+    its name.
 
     Below 1 and up to 10^digits that is so many significant digits at least. Above it, the digits behind the point grow again.
     """
     x = x.cast("double")
-    places = F.abs((F.log10(F.abs(x)) - digits).cast("int"))
+    finite = (x != 0) & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    places = F.abs(F.when(finite, F.log10(F.abs(x)) - digits).cast("int"))
     text = F.call_function("format_string", F.concat(F.lit("%."), places.cast("string"), F.lit("f")), x)
-    return F.when(x == 0, "0").when(x.isNotNull(), text)
+    return F.when(x == 0, "0").when(finite, text).otherwise(x.cast("string"))
 
 
 def human_count(x: Column) -> Column:

@@ -305,15 +305,50 @@ def amino_acid(codon: Column) -> Column:
     return F.when(F.least(*i) < 0, "X").otherwise(F.substring(F.lit(AMINO_ACIDS), at, F.lit(1)))
 
 
+def majority_indels(alleles: DataFrame) -> DataFrame:
+    """(gene, indels) of alleles (gene, pos, allele), see alleles(): the insertions and deletions that more than half of the
+    reads over a place have right after it, as an array of (pos, n) in order, n bases inserted or -n deleted.
+
+    What most reads delete is no place of its own any more, so an indel inside such a deletion does not count. Alleles
+    are counted by place before they are dealt out by gene; what a gene keeps is one entry for each such indel.
+    """
+    n = F.length("allele") - 1
+    by = alleles.groupBy("gene", "pos", F.when(F.col("allele").contains("-"), -n).otherwise(n).alias("n")).agg(F.count(F.lit(1)).alias("c"))
+    top = by.groupBy("gene", "pos").agg(F.sum("c").alias("all"), F.max(F.struct("c", "n")).alias("x")).where("x.n != 0 and 2 * x.c > all")
+    found = top.groupBy("gene").agg(F.sort_array(F.collect_list(F.struct("pos", F.col("x.n").alias("n")))).alias("indels"))
+    none = F.struct(F.array().cast("array<struct<pos:bigint,n:int>>").alias("kept"), F.lit(-1).cast("long").alias("to"))
+
+    def step(x: Column, i: Column) -> Column:
+        last = F.when(i["n"] < 0, i["pos"] - i["n"]).otherwise(i["pos"])
+        return F.when(i["pos"] > x["to"], F.struct(F.array_append(x["kept"], F.struct(i["pos"].cast("long").alias("pos"), i["n"].cast("int").alias("n"))).alias("kept"), last.cast("long").alias("to"))).otherwise(x)
+
+    return found.select("gene", F.aggregate("indels", none, step)["kept"].alias("indels"))
+
+
 def codon_usage(alignments: DataFrame, genes: DataFrame, least: float = 1.0) -> DataFrame:
     """Codons that reads hold whole in the frame of each gene (gene, chr, start_pos, end_pos): (gene, codon_nr, aa, n, pct),
-    amino acids with at least `least` per cent of their place; codons with another letter than A, C, G or T count nothing."""
+    amino acids with at least `least` per cent of their place; codons with another letter than A, C, G or T count nothing.
+
+    The frame is that of the sample: indels that most reads have are taken as its own sequence, see majority_indels().
+    Bases behind such an insertion or deletion move on or back by it before codons are cut; bases inserted by it are
+    places of their own, and bases in a deletion of it are none. A read with another indel has no whole codon there.
+    """
     from .intervals import overlap_join
 
-    b = aligned_bases(alignments).where("base <> '-'").select("read_id", "chr", "pos", "base")
-    p = b.withColumn("end_pos", F.col("pos")).withColumnRenamed("pos", "start_pos")
+    b = alleles(alignments, "read_id").select("read_id", "chr", F.col("pos").alias("start_pos"), F.col("pos").alias("end_pos"), "allele")
     g = genes.select("gene", F.col("chr").alias("b_chr"), F.col("start_pos").alias("b_start"), F.col("end_pos").alias("b_end"))
-    j = overlap_join(p, g).withColumn("_o", F.col("start_pos") - F.col("b_start"))
+    j = overlap_join(b, g).select("gene", "read_id", F.col("start_pos").alias("pos"), "b_start", "allele")
+    own = majority_indels(j).withColumnRenamed("gene", "_gene")
+    j = j.join(own, F.col("gene") == F.col("_gene"), "left").withColumn("indels", F.coalesce("indels", F.array().cast("array<struct<pos:bigint,n:int>>")))
+    # what of the sample's own indels lies before a base, and what is inserted right after it
+    moved = F.aggregate("indels", F.lit(0), lambda x, i: x + F.when(i["pos"] < F.col("pos"), i["n"]).otherwise(0))
+    gone = F.exists("indels", lambda i: (F.col("pos") > i["pos"]) & (F.col("pos") <= i["pos"] - i["n"]))
+    new = F.aggregate("indels", F.lit(0), lambda x, i: x + F.when((i["pos"] == F.col("pos")) & (i["n"] > 0), i["n"]).otherwise(0))
+    size = F.length("allele") - 1
+    text = F.when((size == new) & ~F.col("allele").contains("-"), F.col("allele")).otherwise(F.left("allele", F.lit(1)))
+    letters = F.filter(F.split(text, ""), lambda c: c != "")
+    j = j.where(~gone).select("gene", "read_id", (F.col("pos") - F.col("b_start") + moved).alias("_p"), F.posexplode(letters).alias("_i", "base"))
+    j = j.withColumn("_o", F.col("_p") + F.col("_i"))
     j = j.groupBy("gene", "read_id", F.floor(F.col("_o") / 3).alias("codon_nr")).agg(
         F.sort_array(F.collect_list(F.struct("_o", "base"))).alias("b"), F.count(F.lit(1)).alias("k")
     ).where("k = 3")
@@ -347,7 +382,7 @@ def codon_report(usage: DataFrame, genes: DataFrame, tiles: DataFrame, size: int
     """Places of `usage`, by codon_usage(), where an amino acid is not the reference's: (gene, pos, codon_nr, ref_aa,
     frequencies as aa:share% with two decimals, mutations as <ref><n><aa>), both in order of amino acid.
 
-    The frame is the gene's own all the way; it is not shifted by indels that most reads have.
+    Codons are numbered in the sample's frame, and the reference's codon of the same number stands against each.
     """
     g = genes.select("gene", "chr", F.col("start_pos").alias("_from"))
     u = usage.join(g, "gene").withColumn("pos", F.col("_from") + 3 * (F.col("codon_nr") - 1))

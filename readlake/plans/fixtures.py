@@ -162,6 +162,6 @@ def with_views(sql: str) -> str:
     body = sql.strip()
     if not ctes:
         return body
-    if re.match(r"(?i)WITH\s", body):
-        return "WITH " + ", ".join(ctes) + ", " + body[5:]
+    if m := re.match(r"(?i)WITH\s+(RECURSIVE\s+)?", body):
+        return f"WITH {m[1] or ''}" + ", ".join(ctes) + ", " + body[m.end() :]
     return "WITH " + ", ".join(ctes) + " " + body

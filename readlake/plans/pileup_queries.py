@@ -173,7 +173,14 @@ def _(t: Tables):
 _AA = "substr('" + P.AMINO_ACIDS + "', CAST((instr('TCAG', substr(c, 1, 1)) - 1) * 16 + (instr('TCAG', substr(c, 2, 1)) - 1) * 4 + instr('TCAG', substr(c, 3, 1)) AS INT), 1)"
 
 
-_USAGE = f"""{_B}, j AS (SELECT target_id AS gene, read_id, (b.pos - start_pos) // 3 AS k, string_agg(base, '' ORDER BY b.pos) AS c FROM b JOIN fx_targets t ON b.chr = t.chr AND b.pos BETWEEN start_pos AND end_pos WHERE base <> '-' GROUP BY 1, 2, 3 HAVING count(*) = 3),
+#: Every deletion is of two bases, so each one that most reads have takes two places from its gene.
+_USAGE = f"""{_B}, x AS (SELECT read_id, chr, pos, base, coalesce(lead(base) OVER (PARTITION BY read_id ORDER BY pos) = '-', false) AS del FROM b),
+g AS (SELECT target_id AS gene, start_pos, read_id, x.pos, base, del FROM x JOIN fx_targets t ON x.chr = t.chr AND x.pos BETWEEN start_pos AND end_pos WHERE base <> '-'),
+mj AS (SELECT gene, pos FROM g GROUP BY 1, 2 HAVING 2 * count(*) FILTER (del) > count(*)),
+ac(gene, pos) AS (SELECT gene, min(pos) FROM mj GROUP BY 1 UNION ALL SELECT ac.gene, min(mj.pos) FROM ac JOIN mj ON mj.gene = ac.gene AND mj.pos > ac.pos + 2 GROUP BY 1),
+mv AS (SELECT g.gene, g.pos, count(*) FILTER (ac.pos < g.pos) AS k, bool_or(g.pos BETWEEN ac.pos + 1 AND ac.pos + 2) AS gone FROM (SELECT DISTINCT gene, pos FROM g) g JOIN ac ON ac.gene = g.gene GROUP BY 1, 2),
+sh AS (SELECT g.gene, read_id, base, g.pos - start_pos - 2 * coalesce(k, 0) AS o FROM g LEFT JOIN mv ON mv.gene = g.gene AND mv.pos = g.pos WHERE gone IS NOT TRUE),
+j AS (SELECT gene, read_id, o // 3 AS k, string_agg(base, '' ORDER BY o) AS c FROM sh GROUP BY 1, 2, 3 HAVING count(*) = 3),
 s AS (SELECT gene, k + 1 AS codon_nr, {_AA} AS aa, count(*) AS n FROM j GROUP BY 1, 2, 3), p AS (SELECT *, n * 100 / CAST(sum(n) OVER (PARTITION BY gene, codon_nr) AS DOUBLE) AS pct FROM s), us AS (SELECT * FROM p WHERE pct >= 1)"""
 _TILES = "ti AS (SELECT chr, (pos - 1) // 100 AS tile, rpad(string_agg(ref, '' ORDER BY pos, variant_id), 100, 'ACGT') AS sub FROM fx_variants GROUP BY 1, 2)"
 
@@ -187,12 +194,12 @@ def _tiles(t: Tables) -> DataFrame:
     return g.select("chr", "tile", F.rpad(F.array_join(F.transform("x", lambda v: v["ref"]), ""), 100, "ACGT").alias("subseq"))
 
 
-@query("A36_codon_usage", f"WITH {_USAGE} SELECT * FROM us")
+@query("A36_codon_usage", f"WITH RECURSIVE {_USAGE} SELECT * FROM us")
 def _(t: Tables):
     return P.codon_usage(_alignments(t), _genes(t))
 
 
-@query("A36_codon_report", f"""WITH {_USAGE}, {_TILES}, pl AS (SELECT us.*, chr, start_pos + 3 * (codon_nr - 1) AS pos FROM us JOIN fx_targets ON gene = target_id),
+@query("A36_codon_report", f"""WITH RECURSIVE {_USAGE}, {_TILES}, pl AS (SELECT us.*, chr, start_pos + 3 * (codon_nr - 1) AS pos FROM us JOIN fx_targets ON gene = target_id),
 bs AS (SELECT gene, codon_nr, i, substr(ti.sub, CAST((pos + i - 1) % 100 + 1 AS INT), 1) AS x FROM (SELECT DISTINCT gene, codon_nr, chr, pos, unnest(range(3)) AS i FROM pl) q JOIN ti ON ti.chr = q.chr AND ti.tile = (pos + i - 1) // 100),
 cd AS (SELECT gene, codon_nr, string_agg(x, '' ORDER BY i) AS c FROM bs GROUP BY 1, 2 HAVING count(*) = 3), rf AS (SELECT pl.gene, pl.pos, pl.codon_nr, pl.aa, pct, coalesce({_AA}, 'x') AS ref_aa FROM pl LEFT JOIN cd ON cd.gene = pl.gene AND cd.codon_nr = pl.codon_nr),
 fm AS (SELECT *, CAST(floor(pct * 100 + 0.5) AS BIGINT) AS h FROM rf WHERE aa <> ref_aa)
