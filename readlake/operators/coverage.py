@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .intervals import depth_from_intervals, merge_intervals, overlap_join
+from .intervals import depth_from_intervals, merge_intervals, overlap_join, sweep
 
 
 def usable_intervals(alignments: DataFrame, exclude: int = 0x404, min_mapq: int = 0) -> DataFrame:
@@ -34,14 +35,17 @@ def depth_bin(depth: Column) -> Column:
 
 
 def depth_bins(depth: DataFrame, targets: DataFrame) -> DataFrame:
-    """Positions of the merged targets by depth bin, and their share: (bin, bases, pct)."""
-    t = merge_intervals(targets)
-    seg = depth_in_targets(depth, t).groupBy(depth_bin(F.col("depth")).alias("bin")).agg(F.sum(F.col("seg_end") - F.col("seg_start") + 1).alias("n"))
-    total = t.agg(F.coalesce(F.sum(F.col("end_pos") - F.col("start_pos") + 1), F.lit(0)).alias("total"))
-    empty = total.crossJoin(seg.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))).select(F.lit("0").alias("bin"), (F.col("total") - F.col("n")).alias("n"))
-    both = seg.unionByName(empty).groupBy("bin").agg(F.sum("n").alias("bases"))
-    # at most six rows against one
-    return both.crossJoin(total).select("bin", "bases", F.try_divide(F.col("bases") * 100, F.col("total")).alias("pct"))
+    """Positions of the merged targets by depth bin, and their share: (bin, bases, pct), bin 0 always.
+
+    `depth` holds runs (chr, start_pos, end_pos, depth) that add up where they overlap: reads of depth 1 as they are, or
+    what depth_runs() made of them. One sweep takes depth and targets together, so nothing is joined.
+    """
+    inside = merge_intervals(targets).select("chr", "start_pos", "end_pos", F.lit(1).alias("target"))
+    runs = sweep({"depth": depth.select("chr", "start_pos", "end_pos", "depth"), "target": inside}).where("target > 0")
+    n = runs.groupBy(depth_bin(F.col("depth")).alias("bin")).agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("bases"))
+    # at most six rows
+    n = n.unionByName(n.sparkSession.createDataFrame([("0", 0)], "bin string, bases long")).groupBy("bin").agg(F.sum("bases").alias("bases"))
+    return n.select("bin", "bases", F.try_divide(F.col("bases") * 100, F.sum("bases").over(Window.partitionBy(F.lit(1)))).alias("pct"))
 
 
 def covered_bases(depth: DataFrame, targets: DataFrame) -> DataFrame:

@@ -138,3 +138,22 @@ def plate_view(wells: DataFrame) -> DataFrame:
     """8 x 12 grid of a plate's wells (well such as B07, value): (row, c1 ... c12)."""
     w = wells.select(F.substring("well", 1, 1).alias("row"), F.substring("well", 2, 2).cast("int").alias("col"), "value")
     return w.groupBy("row").pivot("col", list(range(1, 13))).agg(F.min("value")).select("row", *[F.col(str(i)).alias(f"c{i}") for i in range(1, 13)])
+
+
+def plate_report(wells: DataFrame, names: DataFrame, stats: DataFrame) -> DataFrame:
+    """8 x 12 grid of a plate as text: (row, c1 ... c12), a cell with the sample, its indexes by name, the reads and those
+    mapped without duplicates, a line each; a well without a sample is null.
+
+    `wells` (well, sample, index1, index2) come from a sheet, `names` (index, name) say what an index is called (itself
+    where none does), `stats` (sample, total, mapped, duplicates) from flagstat; a sample without them has empty figures.
+    """
+    n = names.groupBy("index").agg(F.min("name").alias("name"))
+    one, two = (n.select(F.col("index").alias(f"_i{k}"), F.col("name").alias(f"_n{k}")) for k in (1, 2))
+    s = stats.groupBy(F.col("sample").alias("_s")).agg(F.sum("total").alias("_t"), (F.sum("mapped") - F.sum("duplicates")).alias("_m"))
+    j = wells.join(one, F.col("index1") == F.col("_i1"), "left").join(two, F.col("index2") == F.col("_i2"), "left").join(s, F.col("sample") == F.col("_s"), "left")
+    line = lambda head, x: F.concat(F.lit(head), F.coalesce(x.cast("string"), F.lit("")))
+    cell = F.concat_ws(
+        "\n", "sample", line("index1: ", F.coalesce("_n1", "index1")), line("index2: ", F.coalesce("_n2", "index2")),
+        line("reads: ", F.col("_t")), line("reads mapped: ", F.col("_m")),
+    )
+    return plate_view(j.select("well", F.when(F.col("sample").isNotNull(), cell).alias("value")))

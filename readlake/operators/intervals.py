@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -104,29 +107,41 @@ def positions_to_ranges(points: DataFrame) -> DataFrame:
 def depth_from_intervals(intervals: DataFrame) -> DataFrame:
     """Depth as runs (chr, start_pos, end_pos, depth > 0): an event sweep, never a row for each base.
 
-    Events are summed by position before they are sorted; running sums are taken inside tiles and start from the sum of
-    the tiles before, so no window holds a whole chromosome.
+    No window holds a whole chromosome: see sweep().
     """
-    events = intervals.select("chr", F.col("start_pos").alias("pos"), F.lit(1).alias("d")).unionAll(
-        intervals.select("chr", (F.col("end_pos") + 1).alias("pos"), F.lit(-1).alias("d"))
-    )
-    events = events.groupBy("chr", "pos").agg(F.sum("d").alias("d")).where("d != 0").withColumn("_tile", F.floor(F.col("pos") / TILE))
-    tiles = events.groupBy("chr", "_tile").agg(F.sum("d").alias("_sum"), F.min("pos").alias("_first"))
+    one = intervals.select("chr", "start_pos", "end_pos", F.lit(1).alias("depth"))
+    return sweep({"depth": one}).where("depth > 0")
+
+
+def sweep(signals: dict[str, DataFrame]) -> DataFrame:
+    """(chr, start_pos, end_pos, one column for each signal): runs between the places at which any signal changes.
+
+    A signal is a table (chr, start_pos, end_pos, its own column) whose values add up where its intervals overlap. Changes
+    are summed by position before they are sorted; running sums are taken inside tiles and start from the sums of the
+    tiles before, one row for each tile. Runs without any signal between two others are there, with zeros.
+    """
+    names = list(signals)
+    events = []
+    for name, df in signals.items():
+        change = lambda at, sign, name=name: [
+            "chr", at.alias("pos"), *[(sign * F.col(n) if n == name else F.lit(0)).cast("long").alias(n) for n in names]
+        ]
+        events += [df.select(*change(F.col("start_pos"), 1)), df.select(*change(F.col("end_pos") + 1, -1))]
+    events = reduce(DataFrame.unionAll, events).groupBy("chr", "pos").agg(*[F.sum(n).alias(n) for n in names])
+    events = events.where(reduce(or_, [F.col(n) != 0 for n in names])).withColumn("_tile", F.floor(F.col("pos") / TILE))
+    tiles = events.groupBy("chr", "_tile").agg(*[F.sum(n).alias(f"_sum_{n}") for n in names], F.min("pos").alias("_first"))
     w = Window.partitionBy("chr").orderBy("_tile")
-    tiles = tiles.select(
-        "chr",
-        "_tile",
-        F.coalesce(F.sum("_sum").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.lead("_first").over(w).alias("_next"),
-    )
+    ahead = w.rowsBetween(Window.unboundedPreceding, -1)
+    before = [F.coalesce(F.sum(f"_sum_{n}").over(ahead), F.lit(0)).alias(f"_before_{n}") for n in names]
+    tiles = tiles.select("chr", "_tile", *before, F.lead("_first").over(w).alias("_next"))
     own = Window.partitionBy("chr", "_tile").orderBy("pos")
-    runs = events.join(tiles, ["chr", "_tile"]).select(
+    upto = own.rowsBetween(Window.unboundedPreceding, 0)
+    return by_tile(events, tiles).select(
         "chr",
         F.col("pos").alias("start_pos"),
         (F.coalesce(F.lead("pos").over(own), "_next") - 1).alias("end_pos"),
-        (F.col("_before") + F.sum("d").over(own.rowsBetween(Window.unboundedPreceding, 0))).alias("depth"),
+        *[(F.col(f"_before_{n}") + F.sum(n).over(upto)).alias(n) for n in names],
     )
-    return runs.where("depth > 0")
 
 
 def expand_ranges(runs: DataFrame, *cols: str) -> DataFrame:

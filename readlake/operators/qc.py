@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.stats import quantiles
+
 from .reads import qualities, reverse_complement
 
 
@@ -153,10 +155,13 @@ def prefix_skew(reads: DataFrame, most: int = 10, share: float = 0.5) -> DataFra
 
 
 def insert_stats(alignments: DataFrame, min_mapq: int = 20, most: int = 100_000) -> DataFrame:
-    """Insert sizes of proper pairs: (pairs, q1, median, q3, total)."""
+    """Insert sizes of proper pairs: (pairs, q1, median, q3, total). Sizes are counted and ranked in parts of their span."""
     a = alignments.where((F.col("flags").bitwiseAND(2) != 0) & (F.col("mapq") >= min_mapq) & (F.col("isize") > 0) & (F.col("isize") < most))
-    q = lambda p: F.percentile("isize", F.lit(p))
-    return a.agg(F.count(F.lit(1)).alias("pairs"), q(0.25).alias("q1"), q(0.5).alias("median"), q(0.75).alias("q3"), F.sum("isize").alias("total"))
+    one = a.select("isize", F.lit(0).alias("_all"))
+    q = quantiles(one, ["_all"], "isize").select("_all", F.col("q1"), F.col("q2").alias("median"), F.col("q3"))
+    n = a.agg(F.count(F.lit(1)).alias("pairs"), F.sum("isize").alias("total")).withColumn("_all", F.lit(0))
+    # one row each
+    return n.join(q, "_all", "left").select("pairs", "q1", "median", "q3", "total")
 
 
 def file_summary(reads: DataFrame) -> DataFrame:

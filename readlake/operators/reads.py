@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .ranking import take_until
+
 
 def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
@@ -142,6 +144,13 @@ def tag_read_group(alignments: DataFrame, rg: str, lib: str) -> DataFrame:
     return alignments.withColumn("tags", F.map_concat(rest, F.create_map(F.lit("RG"), F.lit(f"Z:{rg}"), F.lit("LB"), F.lit(f"Z:{lib}"))))
 
 
+def tag_sequences(header: DataFrame, assembly: str) -> DataFrame:
+    """Header lines (`value`) whose sequences carry the assembly: AN of each @SQ line is set, whatever it had before."""
+    v = F.col("value")
+    rest = F.regexp_replace(v, r"\tAN:[^\t]*", "")
+    return header.withColumn("value", F.when(v.startswith("@SQ\t"), F.concat(rest, F.lit(f"\tAN:{assembly}"))).otherwise(v))
+
+
 _BASES = "ACGT"
 
 
@@ -220,9 +229,17 @@ def n_count(seq: Column) -> Column:
     return F.length(seq) - F.length(F.replace(seq, F.lit("N"), F.lit("")))
 
 
+#: Rows that one task may hold as a sample.
+SMALL_SAMPLE = 10_000
+
+
 def sample_reads(reads: DataFrame, n: int, seed: int = 0, first: bool = False, order: str = "read_id") -> DataFrame:
-    """`n` reads: the first by `order`, or those with the least seeded hash, which a rerun finds again."""
-    return reads.orderBy(order).limit(n) if first else reads.orderBy(F.xxhash64(F.lit(seed), F.col(order)), order).limit(n)
+    """`n` reads: the first by `order`, or those with the least seeded hash, which a rerun finds again.
+
+    Up to SMALL_SAMPLE they are kept as a heap of each task; more are taken from range partitions, so no task holds them.
+    """
+    by = [F.col(order)] if first else [F.xxhash64(F.lit(seed), F.col(order)), F.col(order)]
+    return reads.orderBy(*by).limit(n) if n <= SMALL_SAMPLE else take_until(reads, by, n)
 
 
 #: A valid sample name: a letter, six or seven digits, perhaps a small letter.

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.maps import last_wins
-from .intervals import TILE, in_region, islands, overlap_join
+from .intervals import TILE, bare_chr, in_region, islands, overlap_join
 from .reads import reverse_complement
+from .scratch import table
 
 
 def info_map(info: Column) -> Column:
@@ -390,6 +392,11 @@ def dedupe_by_transcript(report: DataFrame) -> DataFrame:
     return report.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
+def last_by_position(report: DataFrame, keys: tuple[str, ...] = ("gene", "cpos"), order: str = "nth") -> DataFrame:
+    """The last row of each gene and coding position, by order; a null position is one like others."""
+    return report.groupBy(*keys).agg(F.max_by(F.struct(*report.columns), order).alias("_r")).select("_r.*")
+
+
 def homozygous_runs(variants: DataFrame, positions: DataFrame, least_cm: float = 0.5, least_n: int = 3) -> DataFrame:
     """Runs of consecutive HOMO variants that pass, longer than `least_cm` and of at least `least_n`, inside a chromosome:
     (chr, start_pos, end_pos, n, cm). `positions` gives centimorgan by id, see genetic_position(). Runs are counted inside
@@ -451,16 +458,31 @@ SNP_CLASSES = {"SNV": "SNP", "DIV": "INDEL", "MIXED": "MIXED"}
 KEPT_FLAGS = ("KGPilot123", "VLD", "G5", "G5A", "PM", "CLN")
 
 
-def snp_etl(vcf: DataFrame) -> DataFrame:
+def snp_etl(vcf: DataFrame, hgmd: DataFrame | None = None, markers: DataFrame | None = None) -> DataFrame:
     """(rs, chr, pos, class, flags, maf) of a VCF: one row for each rs of a joined identifier, class by VC, flags kept in a
-    fixed order, GMAF in ten-thousandths; the PAR contigs are dropped."""
+    fixed order, GMAF in ten-thousandths; the PAR contigs are dropped.
+
+    With `hgmd` (rs, chr, pos) and `markers` (rs, chr, pos, centimorgan) also hgmd, Y by rs or by place and else N, and
+    centimorgan, by place and else by rs. Chromosomes are compared without chr.
+    """
     m = info_map(F.col("info"))
     c = F.create_map(*[F.lit(x) for kv in SNP_CLASSES.items() for x in kv])
     kept = F.array_join(F.array_compact(F.array(*[F.when(F.array_contains(F.map_keys(m), k), F.lit(k)) for k in KEPT_FLAGS])), ";")
-    return vcf.where(F.col("chr") != "PAR").select(
+    rows = vcf.where(F.col("chr") != "PAR").select(
         F.explode(F.split("id", ";")).alias("rs"), "chr", "pos", F.coalesce(F.element_at(c, F.element_at(m, "VC")), F.lit("UNKNOWN")).alias("class"),
         kept.alias("flags"), F.floor(F.element_at(m, "GMAF").try_cast("double") * 10000 + 0.5).alias("maf"),
     )
+    if hgmd is None or markers is None:
+        return rows
+    place = [bare_chr(F.col("chr")).alias("_c"), F.col("pos").alias("_p")]
+    m = markers.where("centimorgan is not null")
+    # of each side one row for a key
+    by_rs = hgmd.select("rs", F.lit("Y").alias("_h"), F.lit(None).cast("double").alias("_m")).union(m.select("rs", F.lit(None), "centimorgan"))
+    by_rs = by_rs.where("rs is not null").groupBy(F.col("rs").alias("_rs")).agg(F.max("_h").alias("_h1"), F.min("_m").alias("_m1"))
+    by_place = hgmd.select(*place, F.lit("Y").alias("_h"), F.lit(None).cast("double").alias("_m")).union(m.select(*place, F.lit(None), "centimorgan"))
+    by_place = by_place.where("_p is not null").groupBy("_c", "_p").agg(F.max("_h").alias("_h2"), F.min("_m").alias("_m2"))
+    j = rows.join(by_rs, F.col("rs") == F.col("_rs"), "left").join(by_place, (bare_chr(F.col("chr")) == F.col("_c")) & (F.col("pos") == F.col("_p")), "left")
+    return j.select(*rows.columns, F.coalesce("_h1", "_h2", F.lit("N")).alias("hgmd"), F.coalesce("_m2", "_m1").alias("centimorgan"))
 
 
 def snp_insert_new(vcf: DataFrame, known: DataFrame) -> DataFrame:
@@ -607,8 +629,6 @@ def full_report(
 
 def report_outputs(report: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(all rows, the row with the gravest effect of each place) of a report that is run and written once."""
-    from .scratch import table
-
     rows = table(report)
     return rows, rows.where("nth = 1")
 
@@ -631,24 +651,52 @@ def anchored_pairs(alignments: DataFrame, max_n: float = 0.1, min_len: int = 22,
     return a.join(s, "qname").where("_a <> _s").select("qname", "anchor_id", "split_id")
 
 
-def cluster_polish(reads: DataFrame, max_mismatch: int = 1, min_size: int = 3) -> DataFrame:
-    """Each distinct sequence joined to its most frequent neighbour within `max_mismatch` places that is more frequent than
-    itself: (seq, n, leader, size), leaders of at least `min_size` reads. One pass, ties by sequence.
+#: Sequences that share a piece of themselves beyond which they are parted by a further piece.
+MOST_ALIKE = 200
 
-    Neighbours agree on one of max_mismatch + 1 pieces, so candidates meet by piece and length, never all with all.
+
+def neighbours(seqs: DataFrame, max_mismatch: int = 1, most: int = MOST_ALIKE) -> DataFrame:
+    """(seq, o_seq, o_n) of the distinct sequences (seq, n): those within `max_mismatch` places that are more frequent.
+
+    Two such sequences agree on one of max_mismatch + 1 pieces, so candidates meet by piece and length, never all with
+    all. A piece that more than `most` sequences share, such as an adaptor's start, is not joined: what is left of its
+    sequences differs in as few places, so it is cut into pieces in turn and its sequences meet by one of those as well,
+    until a group is small or its sequences differ in `max_mismatch` places at most.
     """
     from .demux import hamming
 
-    c = reads.groupBy("seq").agg(F.count(F.lit(1)).alias("n"))
     k = max_mismatch + 1
-    piece = lambda i: F.struct(
-        F.lit(i).alias("i"), F.length("seq").alias("len"),
-        F.substring(F.col("seq"), F.floor(F.length("seq") * i / k).cast("int") + 1, (F.floor(F.length("seq") * (i + 1) / k) - F.floor(F.length("seq") * i / k)).cast("int")).alias("p"),
-    )
-    p = c.where("length(seq) >= 1").select("seq", "n", F.explode(F.array(*[piece(i) for i in range(k)])).alias("k"))
-    q = p.select(F.col("seq").alias("o_seq"), F.col("n").alias("o_n"), "k")
-    j = p.join(q, "k").where(F.col("o_n") > F.col("n")).where(hamming(F.col("seq"), F.col("o_seq")) <= max_mismatch)
-    best = j.groupBy("seq").agg(F.max_by("o_seq", F.struct("o_n", "o_seq")).alias("leader"))
+
+    def pieces(df: DataFrame) -> DataFrame:
+        """A row for each piece of `rest`: its group, and what is left."""
+        n = F.length("rest")
+        lo, hi = [F.floor(n * i / k).cast("int") for i in range(k)], [F.floor(n * (i + 1) / k).cast("int") for i in range(k)]
+        piece = lambda i: F.struct(
+            F.xxhash64(F.col("key"), F.lit(i), F.substring(F.col("rest"), lo[i] + 1, hi[i] - lo[i])).alias("key"),
+            F.concat(F.substring(F.col("rest"), F.lit(1), lo[i]), F.substring(F.col("rest"), hi[i] + 1, n)).alias("rest"),
+        )
+        return df.select("seq", "n", F.explode(F.array(*[piece(i) for i in range(k)])).alias("p")).select("seq", "n", "p.*")
+
+    rows = table(pieces(seqs.where("length(seq) >= 1").select("seq", "n", F.length("seq").cast("long").alias("key"), F.col("seq").alias("rest"))))
+    found = []
+    while True:
+        # what is left of a group that cannot be parted is at most max_mismatch letters
+        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.length("rest")).alias("left"))
+        hot = table(sizes.where((F.col("c") > most) & (F.col("left") > max_mismatch)).select("key"))
+        parted = not hot.isEmpty()
+        fits = rows.join(hot, "key", "left_anti") if parted else rows
+        o = fits.select(F.col("seq").alias("o_seq"), F.col("n").alias("o_n"), "key")
+        found.append(fits.join(o, "key").where(F.col("o_n") > F.col("n")).where(hamming(F.col("seq"), F.col("o_seq")) <= max_mismatch).select("seq", "o_seq", "o_n"))
+        if not parted:
+            return reduce(DataFrame.union, found).distinct()
+        rows = table(pieces(rows.join(hot, "key", "left_semi")))
+
+
+def cluster_polish(reads: DataFrame, max_mismatch: int = 1, min_size: int = 3) -> DataFrame:
+    """Each distinct sequence joined to its most frequent neighbour within `max_mismatch` places that is more frequent than
+    itself: (seq, n, leader, size), leaders of at least `min_size` reads. One pass, ties by sequence. See neighbours()."""
+    c = table(reads.groupBy("seq").agg(F.count(F.lit(1)).alias("n")))
+    best = neighbours(c, max_mismatch).groupBy("seq").agg(F.max_by("o_seq", F.struct("o_n", "o_seq")).alias("leader"))
     out = c.join(best, "seq", "left").withColumn("leader", F.coalesce("leader", "seq"))
     size = out.groupBy("leader").agg(F.sum("n").alias("size"))
     return out.join(size, "leader").where(F.col("size") >= min_size).select("seq", "n", "leader", "size")

@@ -171,3 +171,21 @@ def _(t: Tables):
     commit.getFileSystem(t.spark._jsc.hadoopConfiguration()).delete(commit, False)
     take_in()
     return FA.read_facts(t.spark, f"{out}/facts")
+
+
+@query("S30_report_by_gene", "SELECT effect AS gene, variant_id, qual FROM fx_variants UNION ALL SELECT 'full', variant_id, qual FROM fx_variants")
+def _(t: Tables):
+    """One output for each gene, an effect here, and one with all; both are read back."""
+    out = own_folder(t.spark)
+    S.write_by(t.fx_variants.select(F.col("effect").alias("gene"), "variant_id", "qual"), out, "gene")
+    cols = ["gene", "variant_id", "qual"]
+    return t.spark.read.parquet(f"{out}/by_gene").select(*cols).union(t.spark.read.parquet(f"{out}/all").withColumn("gene", F.lit("full")).select(*cols))
+
+
+@query("S25_parse_hgmd", """SELECT rs, x[1] AS chr, x[2] AS pos FROM (SELECT concat('rs', CAST(c_custkey % 300 AS STRING)) AS rs,
+min(row(CAST(1 + c_custkey % 4 AS VARCHAR), 1 + (c_custkey * 997) % 50000)) FILTER (c_custkey % 9 > 4) AS x FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey % 11 <> 0 GROUP BY 1)""")
+def _(t: Tables):
+    rs = "IF(c_custkey % 7 = 0, 'null', concat('rs', CAST(c_custkey % 300 AS STRING)))"
+    at = "IF(c_custkey % 9 <= 4, 'null:', concat('chr', CAST(1 + c_custkey % 4 AS STRING), ':', CAST(1 + (c_custkey * 997) % 50000 AS STRING)))"
+    lines = t.customer.selectExpr(f"IF(c_custkey % 11 = 0, '//', concat_ws('\t', 'M', 'gene', 'x', {rs}, {at})) AS value")
+    return S.parse_hgmd(lines)

@@ -11,6 +11,8 @@ _ROW = (
     "CAST(round(l_extendedprice * 100) AS BIGINT), l_returnflag, l_linestatus)"
 )
 _SPAN = "CAST(20 + l_quantity AS BIGINT)"
+#: Positions begin here, so that the edge of a tile (2 x 2^20) lies in the middle of every chromosome's 50,000.
+_FROM = 2_072_153
 
 #: What the two engines write differently: a global replacement, and a row for each tile of 100 letters.
 _TILES = "greatest(1, CAST(floor((length(letters) + 99) / 100) AS BIGINT))"
@@ -24,8 +26,8 @@ FIXTURES: dict[str, tuple] = {
         [
             "p_partkey AS target_id",
             "concat('chr', CAST(1 + p_partkey % 5 AS STRING)) AS chr",
-            "CAST(1 + (p_partkey * 911) % 50000 AS BIGINT) AS start_pos",
-            "CAST(1 + (p_partkey * 911) % 50000 + p_size * 4 AS BIGINT) AS end_pos",
+            f"CAST({_FROM} + (p_partkey * 911) % 50000 AS BIGINT) AS start_pos",
+            f"CAST({_FROM} + (p_partkey * 911) % 50000 + p_size * 4 AS BIGINT) AS end_pos",
         ],
     ),
     "fx_alignments": (
@@ -34,7 +36,7 @@ FIXTURES: dict[str, tuple] = {
             f"md5({_ROW}) AS read_id",
             "l_orderkey AS qname",
             "concat('chr', CAST(1 + l_suppkey % 5 AS STRING)) AS chr",
-            "CAST(1 + (l_partkey * 37 + l_orderkey * 13) % 50000 AS BIGINT) AS pos",
+            f"CAST({_FROM} + (l_partkey * 37 + l_orderkey * 13) % 50000 AS BIGINT) AS pos",
             f"{_SPAN} AS span",
             f"CASE l_linenumber % 3 WHEN 0 THEN concat(CAST({_SPAN} AS STRING), 'M') "
             "WHEN 1 THEN concat('10M2D', CAST(CAST(8 + l_quantity AS BIGINT) AS STRING), 'M') "
@@ -72,7 +74,7 @@ FIXTURES: dict[str, tuple] = {
             "o_orderkey AS variant_id",
             "concat('file', CAST(o_custkey % 3 AS STRING)) AS file_name",
             "concat('chr', CAST(1 + o_orderkey % 5 AS STRING)) AS chr",
-            "CAST(1 + (o_custkey * 997) % 50000 AS BIGINT) AS pos",
+            f"CAST({_FROM} + (o_custkey * 997) % 50000 AS BIGINT) AS pos",
             "substr('ACGT', CAST(1 + o_orderkey % 4 AS INT), 1) AS ref",
             "substr('ACGT', CAST(1 + (o_orderkey + 1 + o_custkey % 3) % 4 AS INT), 1) AS alt",
             "o_totalprice / 1000 AS qual",
@@ -88,7 +90,7 @@ FIXTURES: dict[str, tuple] = {
         [
             "concat('rs', CAST(c_custkey AS STRING)) AS rs",
             "concat('chr', CAST(1 + c_custkey % 5 AS STRING)) AS chr",
-            "CAST(1 + (c_custkey * 997) % 50000 AS BIGINT) AS pos",
+            f"CAST({_FROM} + (c_custkey * 997) % 50000 AS BIGINT) AS pos",
             "CASE WHEN c_custkey % 4 = 0 THEN 'Y' ELSE 'N' END AS hgmd",
             "CASE WHEN c_custkey % 3 = 0 THEN 'KGPilot123;VLD' ELSE 'VLD' END AS flags",
             "CASE WHEN c_custkey % 2 = 0 THEN CAST((c_custkey * 997) % 50000 AS DOUBLE) / 1000 END AS centimorgan",

@@ -82,7 +82,7 @@ b AS (SELECT CASE WHEN d = 0 THEN '0' WHEN d = 1 THEN '1' WHEN d < 10 THEN '2-9'
 SELECT bin, bases, bases * 100 / CAST((SELECT count(*) FROM g) AS DOUBLE) AS pct FROM b
 UNION ALL SELECT '0', 0, 0.0 WHERE NOT EXISTS (SELECT 1 FROM b WHERE bin = '0')""")
 def depth_bins(t: Tables):
-    return C.depth_bins(C.depth_runs(t.fx_alignments), t.fx_targets)
+    return C.depth_bins(C.usable_intervals(t.fx_alignments).withColumn("depth", F.lit(1)), t.fx_targets)
 
 
 _T = f"""{_EV}, cb AS (SELECT t.target_id, any_value(t.start_pos) AS s, any_value(t.end_pos) AS e, coalesce(sum(n), 0)::BIGINT AS covered, coalesce(sum(n * depth), 0)::BIGINT AS total,

@@ -134,8 +134,8 @@ CASE k WHEN 3 THEN (ascii(substr(q, j, 1)) + ascii(substr(q, j + 1, 1)) + ascii(
 d AS (SELECT chr, pos, allele, rev, e, count(*) AS n, sum(qv)::BIGINT AS q FROM w WHERE allele <> '' GROUP BY 1, 2, 3, 4, 5),
 g AS (SELECT chr, pos, allele, sum(n)::BIGINT AS n, sum(q)::BIGINT AS q, count(*) FILTER (NOT rev) AS forward, count(*) FILTER (rev) AS reverse FROM d GROUP BY 1, 2, 3)"""
 _PAIR = f"""{_STARTS}, o AS (SELECT *, row_number() OVER (PARTITION BY chr, pos ORDER BY n DESC, allele) AS r FROM g),
-rk AS (SELECT d.chr, d.pos, o.r, rank() OVER (PARTITION BY d.chr, d.pos ORDER BY e) + (count(*) OVER (PARTITION BY d.chr, d.pos, e) - 1) / 2.0::DOUBLE AS rank
-FROM d JOIN o ON d.chr = o.chr AND d.pos = o.pos AND d.allele = o.allele WHERE o.r <= 2), z AS (SELECT chr, pos, sum(rank) AS ranks FROM rk WHERE r = 1 GROUP BY 1, 2),
+rk AS (SELECT d.chr, d.pos, e, count(*) AS m, count(*) FILTER (o.r = 1) AS major FROM d JOIN o ON d.chr = o.chr AND d.pos = o.pos AND d.allele = o.allele WHERE o.r <= 2 GROUP BY 1, 2, 3),
+z AS (SELECT chr, pos, sum(major * (before + (m + 1) / 2.0::DOUBLE)) AS ranks FROM (SELECT *, sum(m) OVER (PARTITION BY chr, pos ORDER BY e) - m AS before FROM rk) GROUP BY 1, 2),
 t AS (SELECT x.chr, x.pos, x.allele AS major, y.allele AS minor, x.n AS major_n, x.q AS major_q, x.forward AS major_forward, x.reverse AS major_reverse, y.n AS minor_n, y.q AS minor_q, y.forward AS minor_forward, y.reverse AS minor_reverse, ranks
 FROM o x JOIN o y ON x.chr = y.chr AND x.pos = y.pos AND x.r = 1 AND y.r = 2 JOIN z ON z.chr = x.chr AND z.pos = x.pos)"""
 #: Logarithm of the probability of a table with this upper left number, and the numbers that it may be.

@@ -101,6 +101,13 @@ def _(t: Tables):
     return a.select("read_id", F.col("tags.RG").alias("rg"), F.col("tags.LB").alias("lb"), F.col("tags.NM").alias("nm"))
 
 
+@query("P11_tag_sequences", "SELECT CASE WHEN n_regionkey = 4 THEN concat('@RG', chr(9), 'ID:', n_name) ELSE concat('@SQ', chr(9), 'SN:', n_name, chr(9), 'LN:', CAST(n_nationkey AS STRING), chr(9), 'AN:hg19') END AS value FROM nation")
+def _(t: Tables):
+    old = "IF(n_regionkey = 1, '\tAN:b36', '')"
+    v = f"IF(n_regionkey = 4, concat('@RG\tID:', n_name), concat('@SQ\tSN:', n_name, {old}, '\tLN:', CAST(n_nationkey AS STRING)))"
+    return R.tag_sequences(t.nation.selectExpr(f"{v} AS value"), "hg19")
+
+
 @query("P12_colours", """WITH p AS (SELECT read_id, seq, unnest(range(1, length(seq))) AS i FROM fx_reads),
 c AS (SELECT read_id, string_agg(CAST(xor(instr('ACGT', substr(seq, i, 1)) - 1, instr('ACGT', substr(seq, i + 1, 1)) - 1) AS STRING), '' ORDER BY i) AS cs FROM p GROUP BY 1)
 SELECT r.read_id, concat(substr(seq, 1, 1), coalesce(cs, '')) AS colours, seq AS bases FROM fx_reads r LEFT JOIN c ON r.read_id = c.read_id WHERE seq <> ''""")
@@ -133,6 +140,12 @@ def _(t: Tables):
     return R.sample_reads(t.fx_reads, 100, first=True).select("read_id")
 
 
+@query("P16_sample_many_reads", "SELECT read_id FROM fx_reads ORDER BY read_id LIMIT 20000")
+def _(t: Tables):
+    """More than a task's heap takes: from range partitions."""
+    return R.sample_reads(t.fx_reads, 20_000, first=True).select("read_id")
+
+
 _NAME = "concat(substr('ABC', CAST(1 + c_custkey % 3 AS INT), 1), lpad(CAST(c_custkey AS STRING), CAST(5 + c_custkey % 3 AS INT), '0'), CASE WHEN c_custkey % 5 = 0 THEN 'a' ELSE '' END)"
 
 

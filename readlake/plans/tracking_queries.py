@@ -80,6 +80,20 @@ def _(t: Tables):
     return D.plate_view(w)
 
 
+_CELL = """concat('S', k, chr(10), 'index1: ', CASE WHEN k % 4 < 2 THEN concat('N70', k % 4) ELSE concat('i', k % 4) END, chr(10), 'index2: ', CASE WHEN k % 3 = 0 THEN '' ELSE concat('j', k % 3) END, chr(10),
+'reads: ', CASE WHEN k % 5 <> 0 THEN CAST(k * 10 AS STRING) ELSE '' END, chr(10), 'reads mapped: ', CASE WHEN k % 5 <> 0 THEN CAST(k * 8 - k % 7 AS STRING) ELSE '' END)"""
+
+
+@query("A49_plate_report", "WITH w AS (SELECT s_suppkey AS k, substr('ABCDEFGH', CAST(1 + s_suppkey % 8 AS INT), 1) AS r, s_suppkey // 8 % 12 + 1 AS c FROM supplier WHERE s_suppkey < 96) SELECT r AS \"row\", " + ", ".join(f"min({_CELL}) FILTER (c = {i}) AS c{i}" for i in range(1, 13)) + " FROM w GROUP BY 1")
+def _(t: Tables):
+    k = t.supplier.where("s_suppkey < 96").withColumn("k", F.col("s_suppkey"))
+    well = "concat(substr('ABCDEFGH', CAST(1 + k % 8 AS INT), 1), lpad(CAST(k div 8 % 12 + 1 AS STRING), 2, '0')) AS well"
+    wells = k.selectExpr(well, "concat('S', k) AS sample", "concat('i', k % 4) AS index1", "IF(k % 3 = 0, '', concat('j', k % 3)) AS index2")
+    names = t.spark.createDataFrame([("i0", "N700"), ("i1", "N701")], "index string, name string")
+    stats = k.where("k % 5 <> 0").selectExpr("concat('S', k) AS sample", "k * 10 AS total", "k * 8 AS mapped", "k % 7 AS duplicates")
+    return D.plate_report(wells, names, stats)
+
+
 @query("W12_latest_status", "SELECT rid, max_by(status, row(stamp, event_id)) AS status, max(stamp) AS stamp FROM fx_status_log GROUP BY rid")
 def _(t: Tables):
     return T.latest_status(t.fx_status_log).withColumn("stamp", F.col("stamp").cast("timestamp_ntz"))

@@ -328,6 +328,24 @@ def _(t: Tables):
     return V.snp_etl(k).withColumn("maf", F.col("maf").cast("int"))
 
 
+@query("V16_snp_etl_with_tables", """WITH k AS (SELECT *, CAST(substr(rs, 3) AS BIGINT) AS i FROM fx_known_snps WHERE chr <> 'chr5'), e AS (SELECT unnest([rs, concat(rs, 'x')]) AS rs, chr, pos, i FROM k),
+h AS (SELECT CASE WHEN i % 4 = 0 THEN rs END AS rs, CASE WHEN i % 6 = 0 THEN pos END AS pos, chr FROM k), m AS (SELECT concat(rs, 'x') AS rs, chr, CASE WHEN i % 10 = 0 THEN pos + 1 ELSE pos END AS pos, centimorgan FROM k WHERE centimorgan IS NOT NULL)
+SELECT rs, chr, pos, CASE WHEN rs IN (SELECT rs FROM h WHERE rs IS NOT NULL) OR EXISTS (SELECT 1 FROM h WHERE h.chr = e.chr AND h.pos = e.pos) THEN 'Y' ELSE 'N' END AS hgmd,
+coalesce((SELECT min(centimorgan) FROM m WHERE m.chr = e.chr AND m.pos = e.pos), (SELECT min(centimorgan) FROM m WHERE m.rs = e.rs)) AS centimorgan FROM e""")
+def _(t: Tables):
+    k = t.fx_known_snps.withColumn("i", F.expr("CAST(substr(rs, 3) AS BIGINT)"))
+    own = k.where("chr <> 'chr5'")
+    hgmd = own.selectExpr("IF(i % 4 = 0, rs, NULL) AS rs", "substr(chr, 4) AS chr", "IF(i % 6 = 0, pos, NULL) AS pos")
+    markers = own.selectExpr("concat(rs, 'x') AS rs", "chr", "IF(i % 10 = 0, pos + 1, pos) AS pos", "centimorgan")
+    vcf = k.selectExpr("concat(rs, ';', rs, 'x') AS id", "IF(chr = 'chr5', 'PAR', chr) AS chr", "pos", "'VC=SNV' AS info")
+    return V.snp_etl(vcf, hgmd, markers).select("rs", "chr", "pos", "hgmd", "centimorgan")
+
+
+@query("W16_last_by_position", "SELECT variant_id % 50 AS gene, pos % 40 AS cpos, max(variant_id) AS variant_id FROM fx_variants GROUP BY 1, 2")
+def _(t: Tables):
+    return V.last_by_position(t.fx_variants.selectExpr("variant_id % 50 AS gene", "pos % 40 AS cpos", "variant_id"), order="variant_id")
+
+
 @query("V17_snp_insert_new", "SELECT concat('rs', CAST(o_orderkey AS STRING)) AS rs, CASE WHEN o_custkey % 2 = 0 THEN 'multi_genotypes' ELSE 'single' END AS class FROM orders WHERE o_orderkey NOT IN (SELECT c_custkey FROM customer)")
 def _(t: Tables):
     v = t.orders.selectExpr("concat('rs', CAST(o_orderkey AS STRING)) AS rs", "IF(o_custkey % 2 = 0, 'GT=1;GT2=3', 'GT=1') AS info")
@@ -398,12 +416,23 @@ def _(t: Tables):
 
 
 # all pairs of whole reads are too slow in SQL: a brute-force test holds these two
-@query("A46_cluster_polish")
+#: Distinct sequences meet by either half; two that differ in one place agree on one of them.
+_CLUSTER = """c AS (SELECT seq, count(*) AS n FROM fx_reads WHERE seq <> '' GROUP BY 1), h AS (SELECT seq, n, length(seq) AS l, substr(seq, 1, length(seq) // 2) AS a, substr(seq, length(seq) // 2 + 1) AS b FROM c),
+p AS (SELECT x.seq, y.seq AS o, y.n FROM h x JOIN h y ON x.l = y.l AND x.a = y.a AND y.n > x.n WHERE hamming(x.seq, y.seq) <= 1 UNION SELECT x.seq, y.seq, y.n FROM h x JOIN h y ON x.l = y.l AND x.b = y.b AND y.n > x.n WHERE hamming(x.seq, y.seq) <= 1),
+best AS (SELECT seq, max_by(o, row(n, o)) AS leader FROM p GROUP BY 1), l AS (SELECT c.seq, n, coalesce(leader, c.seq) AS leader FROM c LEFT JOIN best ON best.seq = c.seq),
+cl AS (SELECT seq, n, leader, size FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY leader) AS BIGINT) AS size FROM l) WHERE size >= 3)"""
+
+
+@query("A46_cluster_polish", f"WITH {_CLUSTER} SELECT * FROM cl")
 def _(t: Tables):
     return V.cluster_polish(t.fx_reads.select("seq").where("seq <> ''"))
 
 
-@query("A46_polish_reads")
+@query("A46_polish_reads", f"""WITH {_CLUSTER}, b AS (SELECT leader, n, i, substr(seq, CAST(i AS INT), 1) AS base FROM (SELECT *, unnest(range(1, length(seq) + 1)) AS i FROM cl)),
+k AS (SELECT leader, i, base, sum(n) AS n FROM b WHERE base IN ('A', 'C', 'G', 'T') GROUP BY 1, 2, 3), u AS (SELECT leader, i, max_by(base, n) AS base FROM k GROUP BY 1, 2 HAVING max(n) > sum(n) * 0.98::DOUBLE),
+r AS (SELECT read_id, leader, i, substr(x.seq, CAST(i AS INT), 1) AS base FROM (SELECT read_id, seq, unnest(range(1, length(seq) + 1)) AS i FROM fx_reads) x JOIN cl ON cl.seq = x.seq)
+SELECT read_id, r.leader, string_agg(CASE WHEN u.base <> r.base THEN lower(u.base) ELSE r.base END, '' ORDER BY r.i) AS seq, string_agg(CASE WHEN u.base <> r.base THEN '!' ELSE 'I' END, '' ORDER BY r.i) AS qual
+FROM r LEFT JOIN u ON u.leader = r.leader AND u.i = r.i GROUP BY 1, 2""")
 def _(t: Tables):
     return V.polish_reads(t.fx_reads.where("seq <> ''").select("read_id", "seq", F.expr("repeat('I', length(seq))").alias("qual")))
 

@@ -313,6 +313,19 @@ def parse_genetic_map(lines: DataFrame) -> DataFrame:
     return lines.select(_get(p, 0).alias("chr"), _get(p, 1).try_cast("long").alias("pos"), _get(p, 2).alias("rs"), _get(p, 3).try_cast("double").alias("centimorgan")).where("pos is not null")
 
 
+def parse_hgmd(lines: DataFrame) -> DataFrame:
+    """(rs, chr, pos) of a mutation table: rs in the fourth column, chr:pos in the fifth, chr without its prefix.
+
+    Comments, rules of slashes and the header are skipped, and so are lines that name no rs; a place that is null stays
+    null, and each rs counts once, at its least place.
+    """
+    p = F.split("value", "\t")
+    body = lines.where(~F.col("value").rlike("#|^//|^Type")).select(_get(p, 3).alias("rs"), F.split(_get(p, 4), ":").alias("_at"))
+    chr = F.nullif(F.regexp_replace(_get(F.col("_at"), 0), "chr", ""), F.lit("null"))
+    place = F.when(chr.isNotNull(), F.struct(chr.alias("chr"), _get(F.col("_at"), 1).try_cast("long").alias("pos")))
+    return body.where("rs is not null and rs not in ('', 'null')").groupBy("rs").agg(F.min(place).alias("_x")).select("rs", "_x.*")
+
+
 def strip_html(lines: DataFrame) -> DataFrame:
     """Text of HTML lines (`value`): cell ends become tabs, tags and &nbsp; go, blanks on the left too; TABLE lines are dropped."""
     v = F.regexp_replace("value", "(?i)</t[dh]>", "\t")
@@ -417,9 +430,9 @@ def table_write(df: DataFrame, name: str, url: str | None = None, mode: str = "a
 
 
 def write_by(df: DataFrame, path: str, key: str) -> None:
-    """One folder for each value of `key` and one, `all`, with everything."""
-    df.write.partitionBy(key).parquet(f"{path}/by_{key}")
+    """One folder for each value of `key` and one, `all`, with everything; `df` is run once, into `all`, and dealt out from there."""
     df.write.parquet(f"{path}/all")
+    df.sparkSession.read.schema(df.schema).parquet(f"{path}/all").write.partitionBy(key).parquet(f"{path}/by_{key}")
 
 
 def chunk_of(reads: DataFrame, n: int = 10_000_000, order: str = "name") -> DataFrame:

@@ -206,3 +206,21 @@ def test_full_report_of_one_place(spark):
     r = rows[3]
     assert r["base_dist"] == "C: 5(62.50%)/20.20 A: 3(37.50%)/30.00" and (r["exon"], r["regulation"], r["pfam"], r["gerp"]) == ("ex1 INTRON", "Q/R", "b", 4.5)
     assert (r["dbsnp"], r["dbsnp_flags"], r["frequency"], r["codon_pos"], r["genotype"], r["depth"]) == ("rs1", "VLD;VC=snp", 0.25, "c.30", "HOMO", 8)
+
+
+def test_neighbours_of_sequences_that_share_a_hot_piece(spark):
+    """Very many sequences with one half in common, some of them one place apart; every limit gives the same pairs."""
+    rnd = random.Random(5)
+    half = "A" * 20
+    seqs = {half + "".join(rnd.choices("ACGT", k=20)): rnd.randrange(1, 9) for _ in range(300)}
+    for s in list(seqs)[:60]:
+        i = rnd.randrange(40)
+        seqs[s[:i] + rnd.choice("ACGT") + s[i + 1 :]] = rnd.randrange(1, 9)
+    seqs |= {"A": 1, "C": 2, "AC": 3, "AG": 1, "": 4}
+    df = spark.createDataFrame(list(seqs.items()), "seq string, n long")
+    want = {(a, b) for a in seqs for b in seqs if a and len(a) == len(b) and seqs[b] > seqs[a] and sum(x != y for x, y in zip(a, b)) <= 1}
+    for most in (1, 5, 10_000):
+        out = V.neighbours(df, 1, most).collect()
+        assert {(r["seq"], r["o_seq"]) for r in out} == want and len(out) == len(want)
+    two = {(a, b) for a in seqs for b in seqs if a and len(a) == len(b) and seqs[b] > seqs[a] and sum(x != y for x, y in zip(a, b)) <= 2}
+    assert {(r["seq"], r["o_seq"]) for r in V.neighbours(df, 2, 20).collect()} == two
