@@ -35,12 +35,13 @@ def depth_bin(depth: Column) -> Column:
 
 
 def depth_bins(depth: DataFrame, targets: DataFrame) -> DataFrame:
-    """Positions of the merged targets by depth bin, and their share: (bin, bases, pct), bin 0 always.
+    """Positions that any target holds by depth bin, and their share: (bin, bases, pct), bin 0 always.
 
     `depth` holds runs (chr, start_pos, end_pos, depth) that add up where they overlap: reads of depth 1 as they are, or
     what depth_runs() made of them. One sweep takes depth and targets together, so nothing is joined.
     """
-    inside = merge_intervals(targets).select("chr", "start_pos", "end_pos", F.lit(1).alias("target"))
+    # where targets overlap they add up; any of them is enough
+    inside = targets.where("start_pos <= end_pos").select("chr", "start_pos", "end_pos", F.lit(1).alias("target"))
     runs = sweep({"depth": depth.select("chr", "start_pos", "end_pos", "depth"), "target": inside}).where("target > 0")
     n = runs.groupBy(depth_bin(F.col("depth")).alias("bin")).agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("bases"))
     # at most six rows

@@ -118,15 +118,17 @@ def sweep(signals: dict[str, DataFrame]) -> DataFrame:
 
     A signal is a table (chr, start_pos, end_pos, its own column) whose values add up where its intervals overlap. Changes
     are summed by position before they are sorted; running sums are taken inside tiles and start from the sums of the
-    tiles before, one row for each tile. Runs without any signal between two others are there, with zeros.
+    tiles before, one row for each tile. Runs without any signal between two others are there, with zeros. Intervals on
+    no chromosome go.
     """
     names = list(signals)
     events = []
     for name, df in signals.items():
-        change = lambda at, sign, name=name: [
-            "chr", at.alias("pos"), *[(sign * F.col(n) if n == name else F.lit(0)).cast("long").alias(n) for n in names]
-        ]
-        events += [df.select(*change(F.col("start_pos"), 1)), df.select(*change(F.col("end_pos") + 1, -1))]
+        change = lambda at, sign, name=name: F.struct(
+            at.cast("long").alias("pos"), *[(sign * F.col(n) if n == name else F.lit(0)).cast("long").alias(n) for n in names]
+        )
+        both = F.array(change(F.col("start_pos"), 1), change(F.col("end_pos") + 1, -1))
+        events.append(df.select("chr", F.inline(both)))
     events = reduce(DataFrame.unionAll, events).groupBy("chr", "pos").agg(*[F.sum(n).alias(n) for n in names])
     events = events.where(reduce(or_, [F.col(n) != 0 for n in names])).withColumn("_tile", F.floor(F.col("pos") / TILE))
     tiles = events.groupBy("chr", "_tile").agg(*[F.sum(n).alias(f"_sum_{n}") for n in names], F.min("pos").alias("_first"))
@@ -136,7 +138,7 @@ def sweep(signals: dict[str, DataFrame]) -> DataFrame:
     tiles = tiles.select("chr", "_tile", *before, F.lead("_first").over(w).alias("_next"))
     own = Window.partitionBy("chr", "_tile").orderBy("pos")
     upto = own.rowsBetween(Window.unboundedPreceding, 0)
-    return by_tile(events, tiles).select(
+    return events.join(tiles, ["chr", "_tile"]).select(
         "chr",
         F.col("pos").alias("start_pos"),
         (F.coalesce(F.lead("pos").over(own), "_next") - 1).alias("end_pos"),
