@@ -19,8 +19,8 @@ UNMAPPED, UNUSABLE = 0x4, 0x404
 
 
 def _blocks(alignments: DataFrame, ops: tuple[str, ...], *cols: str, skip: int = UNUSABLE) -> DataFrame:
-    """One row (cols, pos, seq, qual, op, n, ref_at, seq_at, next) for each CIGAR block of `ops` of usable reads: where it
-    begins on the reference and in the read, from 0, and the block after it."""
+    """One row (cols, pos, seq, qual, op, n, ref_at, seq_at, next, before) for each CIGAR block of `ops` of usable reads: where
+    it begins on the reference and in the read, from 0, the block after it and the last one before it on the reference."""
     a = alignments.where(F.col("flags").bitwiseAND(skip) == 0)
     zero = F.struct(F.lit(0).alias("r"), F.lit(0).alias("s"), F.array().cast("array<struct<op:string,n:int,ref_at:int,seq_at:int>>").alias("out"))
 
@@ -33,22 +33,27 @@ def _blocks(alignments: DataFrame, ops: tuple[str, ...], *cols: str, skip: int =
 
     rows = a.select(*cols, "pos", "seq", "qual", F.aggregate(cigar_ops(F.col("cigar")), zero, step)["out"].alias("_b"))
     rows = rows.select(*cols, "pos", "seq", "qual", "_b", F.posexplode("_b").alias("_i", "_x")).where(F.col("_x.op").isin(*ops))
-    return rows.select(*cols, "pos", "seq", "qual", "_x.*", F.get("_b", F.col("_i") + 1).alias("next"))
+    last = F.try_element_at(F.filter(F.slice("_b", F.lit(1), F.col("_i")), lambda b: b["op"].isin("M", "=", "X", "D", "N")), F.lit(-1))
+    return rows.select(*cols, "pos", "seq", "qual", "_x.*", F.get("_b", F.col("_i") + 1).alias("next"), last.alias("before"))
 
 
 def aligned_bases(alignments: DataFrame, *cols: str, skip: int = UNUSABLE) -> DataFrame:
-    """One row (read_id, flags, chr, pos, base, qv, cycle, cols) for each reference position that a read without any of the
-    flags `skip` covers; deleted positions have base '-' and quality 0. CIGAR blocks are laid out first, a few rows a
-    read, then their bases."""
+    """One row (read_id, flags, chr, pos, base, qv, cycle, previous, cols) for each reference position that a read without any
+    of the flags `skip` covers; deleted positions have base '-' and quality 0. CIGAR blocks are laid out first, a few rows a
+    read, then their bases. `previous` is the read's base at the position before, null at its first."""
     keep = ["read_id", "flags", "chr", *cols]
     b = _blocks(alignments, ("M", "=", "X", "D", "N"), *keep, skip=skip)
-    b = b.select(*keep, "pos", "seq", "qual", "ref_at", "seq_at", F.col("op").isin("D", "N").alias("gap"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    gap = F.col("op").isin("D", "N").alias("gap")
+    b = b.select(*keep, "pos", "seq", "qual", "ref_at", "seq_at", gap, "before", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
     at = (F.col("seq_at") + F.col("i") + 1).cast("int")
+    ended = F.substring(F.col("seq"), (F.col("before.seq_at") + F.col("before.n")).cast("int"), F.lit(1))
+    crossed = F.when(F.col("before.op").isin("D", "N"), "-").otherwise(ended)
+    own = F.when(F.col("gap"), "-").otherwise(F.substring(F.col("seq"), at - 1, F.lit(1)))
     rows = b.select(
         "read_id", "flags", "chr", (F.col("pos") + F.col("ref_at") + F.col("i")).alias("pos"),
         F.when(F.col("gap"), "-").otherwise(F.substring(F.col("seq"), at, F.lit(1))).alias("base"),
         F.when(F.col("gap"), 0).otherwise(F.ascii(F.substring(F.col("qual"), at, F.lit(1))) - 33).alias("qv"),
-        (F.col("ref_at") + F.col("i") + 1).alias("cycle"), *cols,
+        (F.col("ref_at") + F.col("i") + 1).alias("cycle"), F.when(F.col("i") > 0, own).otherwise(crossed).alias("previous"), *cols,
     )
     return rows.where("base <> ''")
 
@@ -103,9 +108,9 @@ def apply_recalibration(reads: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def covariate_table(bases: DataFrame, rg: str = "rg") -> DataFrame:
-    """Observed bases by read group, quality, cycle and dinucleotide: (rg, qv, cycle, dinuc, n)."""
-    w = Window.partitionBy("read_id").orderBy("cycle")
-    d = bases.withColumn("dinuc", F.concat(F.coalesce(F.lag("base").over(w), F.lit("N")), "base"))
+    """Observed bases by read group, quality, cycle and dinucleotide: (rg, qv, cycle, dinuc, n), of aligned_bases(); what comes
+    before a read's first base is N. Nothing is sorted: each base carries the one before it."""
+    d = bases.withColumn("dinuc", F.concat(F.coalesce("previous", F.lit("N")), "base"))
     return d.groupBy(rg, "qv", "cycle", "dinuc").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -67,8 +67,9 @@ def intron_offset(variants: DataFrame, exons: DataFrame, tile: int = 1 << 16) ->
     An as-of step in both directions by sorted unions, inside tiles of `tile` bases; what a tile takes from those before
     or after it comes from one row a tile.
     """
-    w = Window.partitionBy("chr").orderBy("start_pos", "end_pos", "name").rowsBetween(Window.unboundedPreceding, 0)
-    e = exons.withColumn("coding", F.sum(F.col("end_pos") - F.col("start_pos") + 1).over(w))
+    e = exons.withColumns({"_tile": F.floor(F.col("start_pos") / tile), "_size": F.col("end_pos") - F.col("start_pos") + 1})
+    # a running sum of sizes, inside tiles as well
+    e = islands(e, ["start_pos", "end_pos", "name"], "_size").withColumnRenamed("_island", "coding").drop("_tile", "_size")
     v = in_region(variants, exons, keep=False).select("variant_id", "chr", F.col("pos").cast("long").alias("pos"))
 
     def near(points: DataFrame, edge: str, before: bool) -> DataFrame:
