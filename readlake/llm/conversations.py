@@ -224,7 +224,8 @@ def damaged(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
     new = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
     times = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
     d = conversations.select(conv_col, turn_col, F.when(kind == 4, "user").otherwise(role).alias(role_col), new.alias(text_col), times.alias("_times"))
-    return d.select(conv_col, turn_col, role_col, text_col, F.explode(F.array_repeat(F.lit(0), F.col("_times")))).drop("col")
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_copy")
+    return d.select(conv_col, turn_col, role_col, text_col, copies).drop("_copy")
 
 
 def repair(
