@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from readlake.operators import coverage as C
 from readlake.operators import intervals as I
+from readlake.operators import pileup as P
 from readlake.operators import variants as V
 
 
@@ -64,3 +65,35 @@ def test_bins_fitted_to_the_intervals(spark):
     inside = sorted((str(x[0]), str(y[0])) for x in features for y in features if x[2] <= x[3] and y[1] == x[1] and y[2] <= x[2] and x[3] <= y[3])
     f = b.selectExpr("CAST(b_id AS STRING) AS label", "b_chr AS chr", "b_start AS start_pos", "b_end AS end_pos")
     assert sorted(map(tuple, V.domains_of(a.withColumn("id", F.col("id").cast("string")), f).collect())) == inside
+
+
+def test_bases_are_counted_where_they_are_dealt_out_to(spark):
+    """Reads over edges of the dealt-out parts, with each kind of block; the base before is found over an edge as well."""
+    r = random.Random(4)
+    rows, bases, found = [], {}, {}
+    for i in range(200):
+        seq, qual = "".join(r.choice("ACGT") for _ in range(40)), "".join(chr(33 + r.randint(0, 40)) for _ in range(40))
+        pos, cut = 100 + r.randint(0, 300), r.randint(1, 30)
+        kind = i % 4
+        cigar = ["40M", f"{cut}M150N{40 - cut}M", f"{cut}M3I{37 - cut}M", f"5S{cut}M2D{35 - cut}M"][kind]
+        rows.append((str(i), "x", pos, 0, cigar, seq, qual))
+        walk = []
+        for k in range(5 if kind == 3 else 0, 40):
+            j = k - (5 if kind == 3 else 0)
+            if kind == 2 and cut <= k < cut + 3:
+                continue
+            if kind in (1, 3) and j == cut:
+                walk += [("-", 0)] * (150 if kind == 1 else 2)
+            walk.append((seq[k], ord(qual[k]) - 33))
+        for n, (b, q) in enumerate(walk):
+            bases[str(i), pos + n] = (b, q, n + 1, walk[n - 1][0] if n else None)
+            if b != "-":
+                found[pos + n, b, q] = found.get((pos + n, b, q), 0) + 1
+    a = spark.createDataFrame(rows, "read_id string, chr string, pos long, flags int, cigar string, seq string, qual string")
+    b = P.aligned_bases(a)
+    assert {(x.read_id, x.pos): (x.base, x.qv, x.cycle, x.previous) for x in b.collect()} == bases
+    counts = P.pileup_qualities(b)
+    assert {(x.pos, x.base, x.qv): x.n for x in counts.collect()} == found
+    # one exchange deals the pieces out; counting by place adds none
+    assert counts._jdf.queryExecution().sparkPlan().toString().count("Aggregate") >= 1
+    assert counts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
