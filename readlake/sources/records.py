@@ -78,14 +78,16 @@ def _checked(lines: DataFrame, fields: dict[str, tuple[Column, str | None]], wro
 
 
 def _sam(lines: DataFrame) -> DataFrame:
-    p = F.split("value", "\t")
+    # a line is split once, not once for each field
+    lines = lines.where(~F.col("value").startswith("@")).withColumn("_p", F.split("value", "\t"))
+    p = F.col("_p")
     tags = F.transform(F.slice(p, 12, 1 << 20), lambda t: F.named_struct(F.lit("key"), F.substring(t, 1, 2), F.lit("value"), F.substring(t, 4, 1 << 20)))
     kinds = {
         "qname": None, "flags": "int", "chr": None, "pos": "long", "mapq": "int", "cigar": None, "mate_chr": None, "mate_pos": "long",
         "isize": "long", "seq": None, "qual": None,
     }
     fields = {name: (_get(p, i), kind) for i, (name, kind) in enumerate(kinds.items())}
-    return _checked(lines.where(~F.col("value").startswith("@")), fields | {"tags": (last_wins(tags), None)}, F.size(p) < 11)
+    return _checked(lines, fields | {"tags": (last_wins(tags), None)}, F.size(p) < 11).drop("_p")
 
 
 def _bed(lines: DataFrame) -> DataFrame:

@@ -97,3 +97,18 @@ def test_bases_are_counted_where_they_are_dealt_out_to(spark):
     # one exchange deals the pieces out; counting by place adds none
     assert counts._jdf.queryExecution().sparkPlan().toString().count("Aggregate") >= 1
     assert counts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_entries_of_a_map_are_written_once_in_the_plan(spark):
+    """Of an INFO text the entries were made again for each entry; the last of a key that repeats still counts."""
+    v = spark.createDataFrame([("DP=1;AF=0.5;DP=2;DB",), (None,), ("",)], "info string")
+    m = v.select(V.info_map(F.col("info")).alias("m"))
+    assert [r.m for r in m.collect()] == [{"AF": "0.5", "DP": "2", "DB": None}, None, {"": None}]
+    assert m._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_exons_at_one_place_are_numbered_by_their_id(spark):
+    rows = [(i, "t", 1, 10, 20) for i in (7, 3, 9, 1)]
+    for order in (rows, rows[::-1]):
+        e = spark.createDataFrame(order, "target_id long, transcript string, strand int, start_pos long, end_pos long")
+        assert {r.target_id: r.number for r in V.exon_table(e).collect()} == {1: 1, 3: 2, 7: 3, 9: 4}
