@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import contextlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,24 +24,57 @@ def read_facts_of(reads: DataFrame) -> DataFrame:
     All are sums, so the facts of two batches of a file add up. Cycles count from 1; an empty read adds nothing, and a
     base without a quality counts quality 0.
     """
-    n = F.length("seq")
-    letters = F.filter(F.split("seq", ""), lambda c: c != "")
-    base = lambda c, i: F.struct((i + 1).alias("x"), c.alias("base"), F.greatest(F.ascii(F.substring("qual", i + 1, F.lit(1))) - 33, F.lit(0)).alias("qv"))
-    strong = n - F.length(F.translate("seq", "GC", ""))
-    gc = F.array(F.struct(F.floor(F.try_divide(100 * strong, n)).cast("int").alias("x"), F.lit(None).cast("string").alias("base"), F.lit(0).alias("qv")))
-    # a read's bases, and one more row for the read
-    each = reads.where(n > 0).select("fid", F.explode(F.concat(F.transform(letters, base), gc)).alias("b")).select("fid", "b.*")
-    counts = each.groupBy("fid", "x", "base", "qv").agg(F.count(F.lit(1)).alias("c"))
-    is_base = F.col("base").isNotNull()
-    facts = F.when(
-        is_base,
-        F.array(
-            F.struct(F.col("base").alias("kind"), F.col("x"), F.col("c").alias("n")),
-            F.struct(F.lit("qual_sum").alias("kind"), F.col("x"), (F.col("c") * F.col("qv")).alias("n")),
-            F.struct(F.lit("qual").alias("kind"), F.col("qv").alias("x"), F.col("c").alias("n")),
-        ),
-    ).otherwise(F.array(F.struct(F.lit("gc").alias("kind"), F.col("x"), F.col("c").alias("n"))))
-    return counts.select("fid", F.explode(facts).alias("f")).groupBy("fid", "f.kind", "f.x").agg(F.sum("f.n").alias("n"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 10_000):
+                yield _counted(batch.slice(at, 10_000))
+
+    facts = reads.where("seq <> ''").select("fid", "seq", "qual").mapInArrow(count, "fid string, kind string, x int, n long")
+    return facts.groupBy(*KEYS).agg(F.sum("n").alias("n"))
+
+
+def _sums(key: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys from 0, and how often each comes, or the sum of its weights."""
+    if len(key) and key.max() > 4 * len(key) + 1_000_000:
+        key, back = np.unique(key, return_inverse=True)
+    else:
+        back, key = key, np.arange(key.max() + 1 if len(key) else 0)
+    seen = np.bincount(back, minlength=len(key))
+    n = seen if weight is None else np.bincount(back, weight, len(key)).astype(np.int64)
+    return key[seen > 0], n[seen > 0]
+
+
+def _counted(reads: pa.RecordBatch) -> pa.RecordBatch:
+    """Facts of one batch of reads that are not empty."""
+    file = reads.column("fid").dictionary_encode()
+    # one more name than files, for reads without one
+    names, f = [*file.dictionary.to_pylist(), None], file.indices.fill_null(len(file.dictionary)).to_numpy(zero_copy_only=False).astype(np.int64)
+    seqs = reads.column("seq").to_pylist()
+    quals = [q if q is not None and len(q) == len(s) else (q or "")[: len(s)].ljust(len(s), "\0") for s, q in zip(seqs, reads.column("qual").to_pylist())]
+    points = lambda texts: np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    n = np.fromiter(map(len, seqs), np.int64, len(seqs))
+    bases, qv = points(seqs), np.maximum(points(quals).astype(np.int64) - 33, 0)
+    x, own = np.arange(len(bases)) - np.repeat(np.cumsum(n) - n, n) + 1, np.repeat(f, n)
+    found: list[tuple] = []
+
+    def add(key: np.ndarray, width: int, kind: Callable[[np.ndarray], list[str]], weight: np.ndarray | None = None) -> None:
+        """Facts by key = series * width + x; a series is a file, or a file and what `kind` tells."""
+        k, c = _sums(key, weight)
+        series = k // width
+        found.append(([names[i] for i in (series % len(names)).tolist()], kind(series // len(names)), k % width, c))
+
+    named = lambda name: lambda series: [name] * len(series)
+    letters, letter = np.unique(bases, return_inverse=True) if len(bases) and bases.max() > 127 else (np.arange(128), bases.astype(np.int64))
+    wide = int(n.max(initial=0)) + 1
+    add((letter * len(names) + own) * wide + x, wide, lambda series: [chr(letters[i]) for i in series.tolist()])
+    add(own * wide + x, wide, named("qual_sum"), qv)
+    most = int(qv.max(initial=0)) + 1
+    add(own * most + qv, most, named("qual"))
+    strong = np.cumsum(np.append(0, (bases == ord("G")) | (bases == ord("C"))))
+    ends = np.cumsum(n)
+    add(f * 101 + 100 * (strong[ends] - strong[ends - n]) // n, 101, named("gc"))
+    cols = [sum((p[0] for p in found), []), sum((p[1] for p in found), []), np.concatenate([p[2] for p in found]), np.concatenate([p[3] for p in found])]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int32(), pa.int64()))], ["fid", "kind", "x", "n"])
 
 
 def merge_facts(spark: SparkSession, facts: DataFrame, out: str, batch: int, buckets: int = 64) -> None:
