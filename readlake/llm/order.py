@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import own_folder, text_or_empty
-from .tokens import encoder
+from .tokens import encoder, slices
 
 _NO_ID = -(1 << 63)
 #: Fills a record behind its ids.
@@ -82,8 +82,8 @@ def write_training_order(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, n = encoder(vocabulary), 0
         for batch in batches:
-            for t in batch.column("text"):
-                n += -(-(enc.count(t.as_py()) + 1) // sequence)
+            for part in slices(batch):
+                n += int((enc.words(part.column("text")).counts() // sequence + 1).sum())
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["pid", "n"])
 
     # one row for each input partition
@@ -101,10 +101,11 @@ def write_training_order(
         pid = TaskContext.get().partitionId()
         index, stop = (sent.value[pid : pid + 2].tolist() + [0, 0])[:2] if pid + 1 < len(sent.value) else (0, 0)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = [np.concatenate([np.frombuffer(enc.ids(t.as_py()), "<u4"), end]) for t in part.column("text")]
-                pieces = np.array([-(-len(x) // sequence) for x in texts])
+            for part in slices(batch):
+                words = enc.words(part.column("text"))
+                counts = words.counts()
+                texts = [np.append(x, end) for x in np.split(words.ids(), np.cumsum(counts)[:-1])]
+                pieces = counts // sequence + 1
                 # the line feed is the writer's
                 rows = np.zeros(pieces.sum(), kind)
                 rows["doc"] = np.repeat(part.column("id").fill_null(_NO_ID).to_numpy(), pieces)
