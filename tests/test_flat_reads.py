@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from readlake.operators import reads as R
-from readlake.plans.fixtures import view
+from readlake.plans.fixtures import swapped, view
 from readlake.streaming import facts
 
 _R = random.Random(3)
@@ -98,3 +98,13 @@ def test_masked_runs_cost_less_than_a_text_for_each():
         f()
         took[f] = min(took.get(f, 9), time.process_time() - start)
     assert took[by_arrays] < took[by_loop] / 2
+
+
+def test_letters_are_swapped_by_look_up(spark, tmp_path):
+    texts = [None, "", "a'b\\c\"D`e\x00", "éßſ漢😀", "Zz 9\n\tq", *("".join(chr(_R.choice([_R.randrange(128), _R.randrange(0x250)])) for _ in range(50)) for _ in range(200))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("source", F.lit("s"))
+    old = "translate(regexp_replace(lower(text), '[^a-z]', ''), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')"
+    assert df.where(~F.expr(old).eqNullSafe(swapped(F.col("text")))).count() == 0
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    plan = view(spark, str(tmp_path), "fx_reads")._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan and "regexp_replace(" not in plan
