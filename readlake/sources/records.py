@@ -62,6 +62,13 @@ def write_fasta(fasta: DataFrame, path: str, width: int = 60) -> None:
     fasta_records(fasta, width).write.text(path)
 
 
+def _cells(lines: DataFrame) -> DataFrame:
+    """`lines` with `_p`, the value cut at tabs. Both are generated columns: of plain ones, a filter on the fields would repeat
+    for each field not only the cutting but all that the text is made of."""
+    rest = [c for c in lines.columns if c != "value"]
+    return lines.select(*rest, F.inline(F.array(F.struct("value", F.split("value", "\t").alias("_p")))))
+
+
 def _checked(lines: DataFrame, fields: dict[str, tuple[Column, str | None]], wrong: Column | None = None) -> DataFrame:
     """`lines` as they are, the fields as `_row`, and `_reason`: what makes a line no record, null where it is one.
 
@@ -74,24 +81,22 @@ def _checked(lines: DataFrame, fields: dict[str, tuple[Column, str | None]], wro
         row.append(value.alias(name))
         if kind:
             reasons.append(F.when(text.isNull() | (text == ""), f"{name}: missing").when(value.isNull(), f"{name}: no {kind}"))
-    return lines.select("*", F.struct(*row).alias("_row"), F.coalesce(*reasons).alias("_reason"))
+    return lines.select("*", F.struct(*row).alias("_row"), F.coalesce(*reasons).alias("_reason")).drop("_p")
 
 
 def _sam(lines: DataFrame) -> DataFrame:
-    # a line is split once, not once for each field
-    lines = lines.where(~F.col("value").startswith("@")).withColumn("_p", F.split("value", "\t"))
-    p = F.col("_p")
+    lines, p = _cells(lines).where(~F.col("value").startswith("@")), F.col("_p")
     tags = F.transform(F.slice(p, 12, 1 << 20), lambda t: F.named_struct(F.lit("key"), F.substring(t, 1, 2), F.lit("value"), F.substring(t, 4, 1 << 20)))
     kinds = {
         "qname": None, "flags": "int", "chr": None, "pos": "long", "mapq": "int", "cigar": None, "mate_chr": None, "mate_pos": "long",
         "isize": "long", "seq": None, "qual": None,
     }
     fields = {name: (_get(p, i), kind) for i, (name, kind) in enumerate(kinds.items())}
-    return _checked(lines, fields | {"tags": (last_wins(tags), None)}, F.size(p) < 11).drop("_p")
+    return _checked(lines, fields | {"tags": (last_wins(tags), None)}, F.size(p) < 11)
 
 
 def _bed(lines: DataFrame) -> DataFrame:
-    p = F.split("value", "\t")
+    lines, p = _cells(lines), F.col("_p")
     r = r"^([^\s:]+):(\d+)-(\d+)"
     pick = lambda k: F.when(F.col("value").rlike(r), F.regexp_extract("value", r, k + 1)).otherwise(_get(p, k))
     b = lines.where(~F.col("value").rlike(r"^(chromosome|#|track\b|browser\b)") & (F.col("value") != ""))
@@ -100,25 +105,25 @@ def _bed(lines: DataFrame) -> DataFrame:
 
 
 def _vcf(lines: DataFrame) -> DataFrame:
-    p = F.split("value", "\t")
+    lines, p = _cells(lines), F.col("_p")
     fields = {"chr": (_get(p, 0), None), "pos": (_get(p, 1), "long")} | {c: (_get(p, i), None) for i, c in enumerate(("id", "ref", "alt"), 2)}
     fields |= {"qual": (_get(p, 5).try_cast("double"), None), "filter": (_get(p, 6), None), "info": (info_map(_get(p, 7)), None)}
     return _checked(lines.where(~F.col("value").startswith("#") & (F.col("value") != "")), fields, F.size(p) < 5)
 
 
 def _depth(lines: DataFrame) -> DataFrame:
-    p = F.split("value", "\t")
+    lines, p = _cells(lines), F.col("_p")
     return _checked(lines.where(F.col("value") != ""), {"chr": (_get(p, 0), None), "pos": (_get(p, 1), "long"), "depth": (_get(p, 2), "int")})
 
 
 def _gff(lines: DataFrame) -> DataFrame:
-    p = F.split("value", "\t")
+    lines, p = _cells(lines), F.col("_p")
     body = lines.where(~F.col("value").startswith("#") & (F.col("value") != ""))
     return _checked(body, {"name": (_get(p, 8), None), "chr": (_get(p, 0), None), "start_pos": (_get(p, 3), "long"), "end_pos": (_get(p, 4), "long")})
 
 
 def _psl(lines: DataFrame) -> DataFrame:
-    p = F.split("value", "\t")
+    lines, p = _cells(lines), F.col("_p")
     # the header: its name, two lines of column names, a rule
     body = lines.where(~F.col("value").rlike(r"^(#|psLayout\b|match\t|\s|-+\s*$)") & (F.col("value") != ""))
     return _checked(body, {"name": (_get(p, 9), None), "chr": (_get(p, 13), None), "start_pos": (_get(p, 15), "long"), "end_pos": (_get(p, 16), "long")})

@@ -147,3 +147,12 @@ def test_targets_of_no_length(spark):
 def test_genotype_with_af_zero(spark):
     df = spark.createDataFrame([("AF=0;AC=90,10;DP=100",), ("AF=0.0;AC=40,60;DP=100",), ("AF=1;AC=1,9;DP=10",), ("AF=0",)], "i string")
     assert [r[0] for r in df.select(V.genotype(F.col("i"))).collect()] == ["HOMO", "HET", "HOMO", "UNKNOWN"]
+
+
+@pytest.mark.parametrize("kind", sorted(LINES))
+def test_a_line_is_made_and_cut_once(spark, kind):
+    lines = spark.range(3).selectExpr("concat(md5(CAST(id AS STRING)), '\t1') AS value", "id")
+    for df in (S.parse_lines(lines, kind), S.rejects(lines, kind)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("md5(") == 1
+        assert plan.count(", \t, -1)") == 1
