@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 from readlake.operators import intervals as I
 from readlake.operators import variants as V
+from readlake.plans import QUERIES
+from readlake.plans.fixtures import view
 
 A, B = "id string, chr string, start_pos long, end_pos long", "label string, b_chr string, b_start long, b_end long"
 
@@ -58,3 +60,11 @@ def test_pairs_of_one_place_come_on_end_and_from_many_tasks(spark, monkeypatch):
     assert len(ids) == len(reads)
     assert sum(p != q for p, q in zip(places, places[1:])) == len(set(places)) - 1
     assert all(reads[i] == reads[i.split("-")[0] + "-0"] for i in reads)
+
+
+def test_variants_of_one_place_come_on_end(spark, sf):
+    at = {x.variant_id: (x.chr, x.pos) for x in view(spark, sf, "fx_variants").collect()}
+    out = [x.variant_id for x in QUERIES["J04_overlap_join"](spark, sf).collect()]
+    places = [at[i] for i in out]
+    assert sum(p != q for p, q in zip(places, places[1:])) == len(set(places)) - 1
+    assert sum(i != j for i, j in zip(out, out[1:])) == len(set(out)) - 1
