@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import intervals as I
 from ..operators import variants as V
 from ..functions.stats import sturges_histogram
+from .fixtures import view
 from .registry import Tables, query
 
 _KNOWN = "k AS (SELECT chr, pos, min(row(rs, hgmd, flags)) AS x FROM fx_known_snps GROUP BY 1, 2)"
@@ -73,7 +74,7 @@ def _(t: Tables):
 
 @query("J24_domains_of", "SELECT read_id AS id, concat('ex', CAST(target_id AS STRING)) AS label FROM fx_alignments a JOIN fx_targets t ON a.chr = t.chr AND t.start_pos <= a.pos AND a.pos + a.span - 1 <= t.end_pos")
 def _(t: Tables):
-    a = t.fx_alignments.selectExpr("read_id AS id", "chr", "pos AS start_pos", "pos + span - 1 AS end_pos")
+    a = view(t.spark, t.sf_dir, "fx_alignments", spread=False).selectExpr("read_id AS id", "chr", "pos AS start_pos", "pos + span - 1 AS end_pos")
     return V.domains_of(a, _exons(t).withColumnRenamed("name", "label"))
 
 
